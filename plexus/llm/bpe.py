@@ -29,8 +29,9 @@ from plexus.llm.textnum import span_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 REMEMBER = 600_000
-#: Characters encoded at once, unless one text is longer.
-AT_ONCE = 3 << 20
+#: Characters cut into words at once, and characters whose new words are merged at once.
+AT_ONCE = 1 << 20
+MERGE_ONCE = 16 << 20
 
 LETTER, NUMBER, SPACE, OTHER, EDGE = range(5)
 _EDGE_CODE = 0x110000
@@ -201,28 +202,22 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids, self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _look_up(self, text: str, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The number of each word in memory; merges the ones that are new."""
+    def _look_up(self, text: str, codes: np.ndarray, start: np.ndarray, end: np.ndarray, new_words: list[bytes]) -> np.ndarray:
+        """The number of each word in memory; words that are new get the next numbers and join ``new_words``."""
         distinct, where, back = np.unique(span_hashes(codes, start, end), return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > self.remember:
-            self._forget()
         known = self.known
-        at = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        at = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int32, len(distinct))
         new = np.flatnonzero(at < 0)
         if new.size:
-            own = [text[i:j].encode() for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)]
-            ids, count = merge_words(own, self.v)
-            at[new] = np.arange(len(self.count), len(self.count) + len(new))
+            at[new] = np.arange(len(known), len(known) + len(new))
             known.update(zip(distinct[new].tolist(), at[new].tolist(), strict=True))
-            self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(count) - count))
-            self.count = np.concatenate((self.count, count))
-            self.ids = np.concatenate((self.ids, ids))
+            new_words += [text[i:j].encode() for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)]
         return at[back]
 
-    def _pieces(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts without special tokens."""
+    def _words(self, texts: list[str], new_words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of texts without special tokens, and where each text's end."""
         joined = "\x00".join(texts) + "\x00"
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).copy()
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
@@ -232,40 +227,66 @@ class Encoder:
         end = np.append(begin[1:], len(codes))
         real = kind[begin] != EDGE
         begin, end = begin[real], end[real]
-        word = self._look_up(joined, codes, begin, end) if begin.size else np.zeros(0, np.int64)
+        word = self._look_up(joined, codes, begin, end, new_words) if begin.size else np.zeros(0, np.int32)
+        return word, np.searchsorted(begin, ends)
+
+    def _expand(self, word: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text from its word numbers."""
         count = self.count[word]
         total = np.cumsum(count)
         ids = self.ids[np.repeat(self.first[word] - (total - count), count) + np.arange(total[-1] if len(total) else 0)]
-        cuts = np.concatenate(([0], total))[np.searchsorted(begin, ends)]
-        return np.split(ids, cuts[:-1])
+        return np.split(ids, np.concatenate(([0], total))[stops][:-1])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text; strings of special tokens become their ids."""
+        """The ids of each text; strings of special tokens become their ids.
+
+        Texts are cut into words in runs of AT_ONCE characters; the words that are new in MERGE_ONCE characters are merged together.
+        """
         own: list[str] = []
-        plan: list[list] = []  # per text: numbers of pieces, special ids as arrays
-        size = 0
+        runs: list[tuple[np.ndarray, np.ndarray]] = []
+        new_words: list[bytes] = []
+        plan: list[list] = []  # per text: None for a piece, in order, or ids of special tokens
+        size = done = 0
+
+        def cut() -> None:
+            if own:
+                runs.append(self._words(own, new_words))
+                own.clear()
 
         def flush() -> Iterator[np.ndarray]:
-            got = self._pieces(own) if own else []
+            cut()
+            if new_words:
+                ids, count = merge_words(new_words, self.v)
+                self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(count) - count))
+                self.count = np.concatenate((self.count, count))
+                self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+                new_words.clear()
+            pieces = (p for run in runs for p in self._expand(*run))
             for parts in plan:
-                found = [got[p] if isinstance(p, int) else p for p in parts]
-                yield found[0] if len(found) == 1 else np.concatenate(found) if found else np.zeros(0, np.int64)
-            own.clear()
+                found = [next(pieces) if p is None else p for p in parts]
+                yield found[0] if len(found) == 1 else np.concatenate(found) if found else np.zeros(0, np.int32)
+            runs.clear()
             plan.clear()
+            if len(self.known) > self.remember:
+                self._forget()
 
         for t in texts:
-            if own and size + len(t) > AT_ONCE:
-                yield from flush()
-                size = 0
             parts: list = []
             for piece in self._split(t):
                 if isinstance(piece, str):
-                    parts.append(len(own))
+                    if own and size + len(piece) > AT_ONCE:
+                        cut()
+                        size = 0
+                    parts.append(None)
                     own.append(piece)
+                    size += len(piece)
                 else:
-                    parts.append(np.array([piece]))
+                    parts.append(np.array([piece], np.int32))
             plan.append(parts)
-            size += len(t)
+            done += len(t)
+            if done > MERGE_ONCE:
+                yield from flush()
+                size = done = 0
         yield from flush()
 
     def _split(self, text: str) -> Iterator[str | int]:
