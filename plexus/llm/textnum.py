@@ -45,7 +45,7 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def batches(texts: list, most: int = 1 << 22):
+def batches(texts: list, most: int = 1 << 20):
     """Runs of whole texts of at most ``most`` bytes each, unless one text alone is longer: (first index, byte strings)."""
     own, size, first = [], 0, 0
     for i, t in enumerate(texts):
