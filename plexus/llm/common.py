@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -47,6 +48,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more, instead of at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexus.llm.common import checkpoint, shuffle_partitions
+from plexus.llm.common import checkpoint, release, shuffle_partitions
 from plexus.llm.components import components, roots
 from plexus.llm.textnum import batches, hashed_words, mix64, windows
 
@@ -406,7 +406,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     described = checkpoint(docs.select("doc_id", "text").mapInArrow(_describe, f"doc_id {id_type}, n_shingles bigint, cls bigint, is_shingle boolean"))
     rows = described.filter("not is_shingle").drop("is_shingle")
     sets = shared_shingles(docs, described)
-    labels = class_components(sets)
+    release(docs.sparkSession)  # of the postings
+    labels = checkpoint(class_components(sets))
+    release(docs.sparkSession)  # of the comparisons
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     groups = named.groupBy("label").agg(F.min("least").alias("component_id"))
