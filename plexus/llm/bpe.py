@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from plexus.llm.textnum import span_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
-REMEMBER = 600_000
+REMEMBER = 400_000
 #: Characters cut into words at once, and characters whose new words are merged at once.
 AT_ONCE = 1 << 20
-MERGE_ONCE = 16 << 20
+MERGE_ONCE = 8 << 20
 
 LETTER, NUMBER, SPACE, OTHER, EDGE = range(5)
 _EDGE_CODE = 0x110000

@@ -23,7 +23,18 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows and bytes of an Arrow batch at most, so that a worker holds few long texts at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts are long rows: the default of 10,000 rows a batch lets a worker's memory grow with them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

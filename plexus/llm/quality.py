@@ -156,20 +156,20 @@ def score_texts(model: dict, texts: list, at_once: int = 2048) -> np.ndarray:
     return out
 
 
-def scored(docs: DataFrame, model: dict | None) -> DataFrame:
-    """``docs`` with ``score``: every text's probability of label 1. A column of that name is replaced."""
+def scored(docs: DataFrame, model: dict | None, name: str = "score") -> DataFrame:
+    """``docs`` with ``name``: every text's probability of label 1. A column of that name is replaced."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)
-    rows = docs.select(*[c for c in docs.columns if c.lower() != "score"])
+    rows = docs.select(*[c for c in docs.columns if c.lower() != name])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             at = batch.schema.names.index("text")
             texts = batch.column(at).to_pylist()
             s = score_texts(shared.value, texts) if shared.value else np.full(len(texts), 0.5)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], [*batch.schema.names, name])
 
-    schema = StructType(list(rows.schema.fields)).add("score", "double")
+    schema = StructType(list(rows.schema.fields)).add(name, "double")
     return rows.mapInArrow(run, schema)
 
 
@@ -190,5 +190,5 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
-    return scored(rows, learn(docs, labels)).filter(F.col("score") >= THRESHOLD).select("_row.*")
+    rows = scored(docs, learn(docs, labels), "_quality_score")
+    return rows.filter(F.col("_quality_score") >= THRESHOLD).select(*docs.columns)
