@@ -20,7 +20,6 @@ SQL: dict[str, str] = {}
 c = F.col
 PROD = "coalesce(NOT contains(lower(qualified_name), 'test'), false)"
 big = lambda x: x.cast("bigint")
-one = F.count("*")
 
 
 def on_graph(name: str, sql: str | None = None):
@@ -248,9 +247,9 @@ SELECT seed, array_to_string(path, ',') AS path FROM t""")(lambda g: paths.call_
 
 # Aggregates -------------------------------------------------------------------------------------------------------------
 
-on_graph("A01", "SELECT label, count(*) AS n FROM nodes GROUP BY label")(lambda g: g.nodes.groupBy("label").agg(one.alias("n")).orderBy(F.desc("n"), "label"))
-on_graph("A02", "SELECT type, count(*) AS n FROM edges GROUP BY type")(lambda g: g.edges.groupBy("type").agg(one.alias("n")).orderBy(F.desc("n"), "type"))
-on_graph("A03", "SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges")(lambda g: g.nodes.agg(one.alias("nodes")).crossJoin(g.edges.agg(one.alias("edges"))))
+on_graph("A01", "SELECT label, count(*) AS n FROM nodes GROUP BY label")(lambda g: g.nodes.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label"))
+on_graph("A02", "SELECT type, count(*) AS n FROM edges GROUP BY type")(lambda g: g.edges.groupBy("type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "type"))
+on_graph("A03", "SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges")(lambda g: g.nodes.agg(F.count("*").alias("nodes")).crossJoin(g.edges.agg(F.count("*").alias("edges"))))
 on_graph("A04", "SELECT e.src, string_agg(n.name, ',' ORDER BY n.name) AS names FROM edges e JOIN nodes n ON n.node_id = e.dst WHERE e.type = 'DEFINES_METHOD' GROUP BY e.src")(
     lambda g: g.ends("DEFINES_METHOD").groupBy("src").agg(F.array_join(F.array_sort(F.collect_list("d_name")), ",").alias("names"))
 )
@@ -261,7 +260,7 @@ def top(name: str, kind: str, end: str, k: int = 20, least: int = 0) -> None:
 
     def run(g: PropertyGraph) -> DataFrame:
         # The few winners are joined to their names, not all nodes.
-        best = g.of_type(kind).groupBy(c(end).alias("node_id")).agg(one.alias("n")).filter(c("n") > least).orderBy(F.desc("n"), "node_id").limit(k)
+        best = g.of_type(kind).groupBy(c(end).alias("node_id")).agg(F.count("*").alias("n")).filter(c("n") > least).orderBy(F.desc("n"), "node_id").limit(k)
         return best.join(g.nodes.select("node_id", "name"), "node_id").select("node_id", "name", "n")
 
     on_graph(name, sql)(run)
@@ -272,12 +271,12 @@ top("A06", "CALLS", "dst")
 top("A07", "CALLS", "src")
 top("A08", "IMPORTS", "src")
 top("A10", "CALLS", "dst", 1 << 30, 5)
-on_graph("P20", SQL["A10"][len(GRAPH_SQL) :])(lambda g: g.ends("CALLS").groupBy(c("dst").alias("node_id"), c("d_name").alias("name")).agg(one.alias("n")).filter("n > 5"))
+on_graph("P20", SQL["A10"][len(GRAPH_SQL) :])(lambda g: g.ends("CALLS").groupBy(c("dst").alias("node_id"), c("d_name").alias("name")).agg(F.count("*").alias("n")).filter("n > 5"))
 on_graph("A09", "SELECT node_id, count(*) AS n FROM (SELECT src AS node_id FROM edges UNION ALL SELECT dst FROM edges) GROUP BY node_id ORDER BY n DESC, node_id LIMIT 20")(
-    lambda g: g.undirected().groupBy(c("src").alias("node_id")).agg(one.alias("n")).orderBy(F.desc("n"), "node_id").limit(20)
+    lambda g: g.undirected().groupBy(c("src").alias("node_id")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "node_id").limit(20)
 )
 on_graph("A11", "SELECT 'node' AS what, label AS kind, count(*) AS n FROM nodes GROUP BY label UNION ALL SELECT 'edge', type, count(*) FROM edges GROUP BY type")(
-    lambda g: g.nodes.groupBy(c("label").alias("kind")).agg(one.alias("n")).select(F.lit("node").alias("what"), "kind", "n").union(g.edges.groupBy("type").agg(one).select(F.lit("edge"), "type", "count(1)"))
+    lambda g: g.nodes.groupBy(c("label").alias("kind")).agg(F.count("*").alias("n")).select(F.lit("node").alias("what"), "kind", "n").union(g.edges.groupBy("type").agg(F.count("*")).select(F.lit("edge"), "type", "count(1)"))
 )
 
 
@@ -298,7 +297,7 @@ def hubs(g: PropertyGraph) -> DataFrame:
 
 on_graph("A13", f", p AS (SELECT node_id FROM fm WHERE {PROD}), e AS (SELECT * FROM calls WHERE src IN (SELECT * FROM p) AND dst IN (SELECT * FROM p)) SELECT node_id, i AS n_in, o AS n_out FROM (SELECT dst AS node_id, count(*) AS i FROM e GROUP BY dst) JOIN (SELECT src AS node_id, count(*) AS o FROM e GROUP BY src) USING (node_id) WHERE i >= 3 AND o >= 3 ORDER BY i + o DESC, i DESC, node_id DESC LIMIT 10")(hubs)
 on_graph("A14", "SELECT split_part(s.qualified_name, '.', 1) AS src_mod, split_part(d.qualified_name, '.', 1) AS dst_mod, count(*) AS n FROM calls JOIN nodes s ON s.node_id = src JOIN nodes d ON d.node_id = dst GROUP BY 1, 2 HAVING src_mod <> dst_mod ORDER BY n DESC, 1, 2 LIMIT 25")(
-    lambda g: g.ends("CALLS").groupBy(module_of(c("s_qualified_name")).alias("src_mod"), module_of(c("d_qualified_name")).alias("dst_mod")).agg(one.alias("n")).filter("src_mod != dst_mod").orderBy(F.desc("n"), "src_mod", "dst_mod").limit(25)
+    lambda g: g.ends("CALLS").groupBy(module_of(c("s_qualified_name")).alias("src_mod"), module_of(c("d_qualified_name")).alias("dst_mod")).agg(F.count("*").alias("n")).filter("src_mod != dst_mod").orderBy(F.desc("n"), "src_mod", "dst_mod").limit(25)
 )
 on_graph("A15", f"SELECT dst AS parent, string_agg(src::VARCHAR, ',' ORDER BY src) AS children FROM edges JOIN nodes ON node_id = src WHERE type = 'INHERITS' AND {PROD} GROUP BY dst")(
     lambda g: g.ends("INHERITS").filter(production(c("s_qualified_name"))).groupBy(c("dst").alias("parent")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("src")), lambda x: x.cast("string")), ",").alias("children"))
@@ -308,7 +307,7 @@ on_graph("A16", f"SELECT e.src AS module, count(*) FILTER (d.label = 'Function')
 )
 for _n, _not in (("A17_literal", "NOT "), ("A17_production", "")):
     on_graph(_n, f"SELECT e.src AS module, count(*) AS n FROM edges e JOIN nodes d ON d.node_id = e.dst WHERE e.type = 'IMPORTS' AND {_not}{PROD.replace('qualified_name', 'd.qualified_name')} GROUP BY e.src")(
-        lambda g, neg=bool(_not): g.ends("IMPORTS").filter(~production(c("d_qualified_name")) if neg else production(c("d_qualified_name"))).groupBy(c("src").alias("module")).agg(one.alias("n"))
+        lambda g, neg=bool(_not): g.ends("IMPORTS").filter(~production(c("d_qualified_name")) if neg else production(c("d_qualified_name"))).groupBy(c("src").alias("module")).agg(F.count("*").alias("n"))
     )
 on_graph("A18", None)(lambda g: (lambda p: resolve.overrides(g).join(p.withColumnRenamed("node_id", "src"), "src", "left_semi").join(p.withColumnRenamed("node_id", "dst"), "dst", "left_semi").select("src", "dst"))(g.label("Method").filter(production(c("qualified_name"))).select("node_id")))
 SQL["A18"] = SQL["J13"].replace("SELECT a.method AS src, arg_min(b.method, up.depth) AS dst, min(up.depth)::BIGINT AS depth", "SELECT a.method AS src, arg_min(b.method, up.depth) AS dst")
@@ -325,12 +324,12 @@ on_log("A21", f"SELECT {COUNTS}, count(DISTINCT repo) AS repos, count(DISTINCT c
 on_log("A21_slowest", "SELECT event_id, cmd, duration_ms FROM log WHERE NOT cached ORDER BY duration_ms DESC, event_id LIMIT 5")(lambda d: d.filter(~c("cached")).orderBy(F.desc("duration_ms"), "event_id").limit(5).select("event_id", "cmd", "duration_ms"))
 on_log("A23", f"SELECT cmd AS prefix, {COUNTS}, count(*) FILTER (return_code <> 0) / count(*) AS failure_rate FROM log GROUP BY cmd")(lambda d: rounded(logs.by_prefix(d)))
 on_log("A24", "SELECT cmd AS prefix, count(*) AS total FROM log GROUP BY cmd ORDER BY total DESC, prefix LIMIT 3")(lambda d: logs.by_prefix(d).orderBy(F.desc("total"), "prefix").limit(3).select("prefix", "total"))
-on_log("A26", "SELECT count(*) AS entries, count(*) FILTER (cached) AS hits, count(*) FILTER (NOT cached) AS misses FROM log")(lambda d: d.agg(one.alias("entries"), F.count_if("cached").alias("hits"), F.count_if(~c("cached")).alias("misses")))
-on_graph("A27", "SELECT extension, count(*) AS n FROM nodes WHERE label = 'File' GROUP BY extension ORDER BY n DESC, extension LIMIT 1")(lambda g: g.label("File").groupBy("extension").agg(one.alias("n")).orderBy(F.desc("n"), "extension").limit(1))
+on_log("A26", "SELECT count(*) AS entries, count(*) FILTER (cached) AS hits, count(*) FILTER (NOT cached) AS misses FROM log")(lambda d: d.agg(F.count("*").alias("entries"), F.count_if("cached").alias("hits"), F.count_if(~c("cached")).alias("misses")))
+on_graph("A27", "SELECT extension, count(*) AS n FROM nodes WHERE label = 'File' GROUP BY extension ORDER BY n DESC, extension LIMIT 1")(lambda g: g.label("File").groupBy("extension").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "extension").limit(1))
 on_table("A28", "documents", "SELECT lang, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM documents GROUP BY lang")(
-    lambda d: d.groupBy("lang").agg(one.alias("n")).select("lang", "n", F.round(100.0 * c("n") / F.sum("n").over(Window.partitionBy()), 4).alias("share"))
+    lambda d: d.groupBy("lang").agg(F.count("*").alias("n")).select("lang", "n", F.round(100.0 * c("n") / F.sum("n").over(Window.partitionBy()), 4).alias("share"))
 )
-on_log("A29", "SELECT cmd AS reason, count(*) AS n FROM log WHERE return_code <> 0 GROUP BY cmd")(lambda d: logs.by_status(d, "failed").groupBy(c("cmd").alias("reason")).agg(one.alias("n")))
+on_log("A29", "SELECT cmd AS reason, count(*) AS n FROM log WHERE return_code <> 0 GROUP BY cmd")(lambda d: logs.by_status(d, "failed").groupBy(c("cmd").alias("reason")).agg(F.count("*").alias("n")))
 on_log("W09", "SELECT event_id, repo, round(avg(duration_ms) OVER (PARTITION BY repo ORDER BY event_id ROWS 9 PRECEDING), 6) AS moving_ms FROM log")(lambda d: logs.moving_rate(d).withColumn("moving_ms", F.round("moving_ms", 6)))
 
 # Ranking and samples ----------------------------------------------------------------------------------------------------
@@ -339,7 +338,7 @@ on_graph("O03", "SELECT node_id, end_line - start_line AS span FROM nodes WHERE
 SCORES = ", r AS (SELECT node_id, count(*) AS all_rels, count(*) FILTER (type = 'CALLS') AS calls FROM (SELECT src AS node_id, type FROM edges UNION ALL SELECT dst, type FROM edges) GROUP BY node_id), sc AS (SELECT node_id, coalesce(calls, 0) AS calls, coalesce(all_rels, 0) AS all_rels, greatest(coalesce(end_line, 0) - coalesce(start_line, 0), 0) AS span, docstring FROM fm LEFT JOIN r USING (node_id)), o5 AS (SELECT node_id, calls, all_rels, (10 * calls + 2 * all_rels + least(span, 50) + CASE WHEN length(docstring) > 0 THEN 5 ELSE 0 END)::BIGINT AS score FROM sc WHERE all_rels >= 3 OR span >= 10) "
 on_graph("O05", SCORES + "SELECT * FROM o5")(lambda g: sampling.seed_scores(g))
 on_graph("A32", ", r AS (SELECT node_id, count(*) AS all_rels, count(*) FILTER (type = 'CALLS') AS calls FROM (SELECT src AS node_id, type FROM edges UNION ALL SELECT dst, type FROM edges) GROUP BY node_id) SELECT node_id, calls, all_rels FROM r JOIN fm USING (node_id)")(
-    lambda g: (lambda s: s.groupBy("node_id").agg(F.count_if(c("type") == "CALLS").alias("calls"), one.alias("all_rels")).join(g.label("Function", "Method").select("node_id"), "node_id", "left_semi"))(g.undirected().select(c("src").alias("node_id"), "type"))
+    lambda g: (lambda s: s.groupBy("node_id").agg(F.count_if(c("type") == "CALLS").alias("calls"), F.count("*").alias("all_rels")).join(g.label("Function", "Method").select("node_id"), "node_id", "left_semi"))(g.undirected().select(c("src").alias("node_id"), "type"))
 )
 on_graph("O06", """, e2 AS (SELECT src AS node_id, type, 'out' AS way FROM edges UNION ALL SELECT dst, type, 'in' FROM edges),
 k AS (SELECT node_id, count(*) FILTER (type = 'CALLS') AS calls, count(*) FILTER (way = 'in' AND type IN ('DEFINES', 'DEFINES_METHOD')) AS defd, count(*) FILTER (type = 'INHERITS') AS inh, count(*) FILTER (way = 'out' AND type = 'DEFINES_METHOD') AS mm, count(*) FILTER (type = 'IMPORTS') AS imp, count(*) FILTER (way = 'out' AND type = 'DEFINES') AS def FROM e2 GROUP BY node_id)
@@ -396,4 +395,4 @@ on_log("K11", "SELECT repo||':'||cmd AS key, max(event_id) AS event_id FROM log
 on_log("J20", "SELECT event_id FROM log WHERE repo||':'||cmd NOT IN (SELECT repo||':'||cmd FROM log WHERE cached)")(
     lambda d: (lambda k: logs.with_cache(k, k.filter("cached").select("key").distinct())[1].select("event_id"))(d.withColumn("key", F.concat_ws(":", "repo", "cmd")))
 )
-on_graph("K04", "SELECT label, qualified_name AS key, count(*) AS n FROM nodes WHERE label IN ('Class', 'Function', 'Method', 'Module', 'Package') GROUP BY 1, 2 HAVING count(*) > 1")(lambda g: g.label("Class", "Function", "Method", "Module", "Package").groupBy("label", c("qualified_name").alias("key")).agg(one.alias("n")).filter("n > 1"))
+on_graph("K04", "SELECT label, qualified_name AS key, count(*) AS n FROM nodes WHERE label IN ('Class', 'Function', 'Method', 'Module', 'Package') GROUP BY 1, 2 HAVING count(*) > 1")(lambda g: g.label("Class", "Function", "Method", "Module", "Package").groupBy("label", c("qualified_name").alias("key")).agg(F.count("*").alias("n")).filter("n > 1"))
