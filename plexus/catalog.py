@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plexus.functions import names as N
-from plexus.operators import logs, paths, resolve, sampling
+from plexus.operators import commands, logs, paths, resolve, sampling
 from plexus.plans.graph import PropertyGraph, module_of, production
+from plexus.sources import sinks
 from plexus.sources.tables import GRAPH_SQL, graph, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -396,3 +397,61 @@ on_log("J20", "SELECT event_id FROM log WHERE repo||':'||cmd NOT IN (SELECT repo
     lambda d: (lambda k: logs.with_cache(k, k.filter("cached").select("key").distinct())[1].select("event_id"))(d.withColumn("key", F.concat_ws(":", "repo", "cmd")))
 )
 on_graph("K04", "SELECT label, qualified_name AS key, count(*) AS n FROM nodes WHERE label IN ('Class', 'Function', 'Method', 'Module', 'Package') GROUP BY 1, 2 HAVING count(*) > 1")(lambda g: g.label("Class", "Function", "Method", "Module", "Package").groupBy("label", c("qualified_name").alias("key")).agg(F.count("*").alias("n")).filter("n > 1"))
+
+# Further rows ------------------------------------------------------------------------------------------------------------
+
+scan("P01", "label = 'Function'", cols="name, qualified_name")
+on_graph("P03", "SELECT e.src, e.type, n.name FROM edges e JOIN nodes n ON n.node_id = e.src")(lambda g: g.edges.join(g.nodes.select(c("node_id").alias("src"), "name"), "src").select("src", "type", "name"))
+scan("F01", "contains(lower(name), 'p1') AND startswith(qualified_name, 'r')", "contains(lower(name), 'p1') AND starts_with(qualified_name, 'r')")
+on_graph("F06", "SELECT node_id, string_split_regex(qualified_name, '[.:]')[-1] AS target FROM nodes WHERE qualified_name IS NOT NULL")(lambda g: g.nodes.filter("qualified_name IS NOT NULL").select("node_id", N.call_target(c("qualified_name")).alias("target")))
+on_graph("F08", "SELECT node_id, CASE WHEN p = k THEN 100 WHEN ends_with(p, k) OR ends_with(k, p) THEN 90 WHEN contains(p, k) THEN floor(80 * length(k) / length(p)) ELSE 0 END::BIGINT AS score FROM (SELECT node_id, lower(qualified_name) AS p, lower(name) AS k FROM nodes WHERE qualified_name IS NOT NULL)")(
+    lambda g: g.nodes.filter("qualified_name IS NOT NULL").select("node_id", N.match_score(F.lower("qualified_name"), F.lower("name")).alias("score"))
+)
+on_graph("F12", "SELECT node_id, string_split(qualified_name, '.')[2]||'.x' AS target FROM nodes WHERE label = 'Module'")(lambda g: g.label("Module").select("node_id", N.relative_import(c("qualified_name"), 1, F.lit("x")).alias("target")))
+on_graph("F13", "SELECT src, dst, 'size' AS name, substr(version_spec, 5) AS spec FROM edges WHERE version_spec IS NOT NULL")(
+    lambda g: g.edges.filter("version_spec IS NOT NULL").select("src", "dst", N.requirement_name(c("version_spec")).alias("name"), N.requirement_spec(c("version_spec")).alias("spec"))
+)
+on_log("F17", "SELECT event_id, cmd AS prefix FROM log")(lambda d: d.select("event_id", N.command_prefix(c("cmd")).alias("prefix")))
+for _n, _p in (("F24", 3), ("F25", 6)):
+    on_table(_n, "embeddings", f"SELECT vec_id, CASE WHEN round(score, {_p}) = 0 THEN 0.0 ELSE round(score, {_p}) END AS score FROM ({COSINE})")(
+        lambda e, p=_p: e.crossJoin(F.broadcast(e.filter("vec_id = 0").select(c("embedding").alias("q")))).select("vec_id", F.round(N.cosine(c("embedding"), c("q")), p).alias("score"))  # one row
+    )
+on_log("F26", "SELECT event_id, 'Look at '||repo||'.' AS line FROM log")(lambda d: d.select("event_id", N.filled(F.lit("Look at ${REPO_NAME}."), REPO_NAME=c("repo")).alias("line")))
+on_log("F32", "SELECT event_id, false AS valid, 'Command '''||cmd||''' not in allowlist' AS error FROM log")(lambda d: d.select("event_id", commands.validated(c("cmd")).alias("r")).select("event_id", "r.*"))
+on_log("F34", "SELECT event_id, CASE WHEN s < 60 THEN s||'s' WHEN s < 3600 THEN (s // 60)||'m '||(s % 60)||'s' ELSE (s // 3600)||'h '||(s % 3600 // 60)||'m' END AS took FROM (SELECT event_id, event_id AS s FROM log)")(
+    lambda d: d.select("event_id", N.duration(c("event_id")).alias("took"))
+)
+on_log("A22", f"SELECT {COUNTS} FROM log")(lambda d: rounded(logs.summary(d)).drop("repos", "cmds"))
+on_log("A25", "SELECT substr(md5(p), 1, 12) AS pattern_id, p AS pattern, count(*) AS n, arg_min(e, event_id) AS first_stderr FROM (SELECT event_id, cmd||' at step '||event_id AS e, cmd||' at step {num}' AS p FROM log WHERE return_code <> 0) GROUP BY p")(
+    lambda d: logs.error_patterns(d.filter("return_code != 0").select(F.concat_ws(" at step ", "cmd", "event_id").alias("stderr"), "cmd", "repo", c("event_id").alias("seq"))).drop("examples")
+)
+on_graph("O01", "SELECT src, count(*) AS n FROM calls GROUP BY src ORDER BY n DESC, src LIMIT 10")(lambda g: g.of_type("CALLS").groupBy("src").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "src").limit(10))
+on_graph("O02", "SELECT node_id FROM nodes WHERE label = 'Function' ORDER BY node_id LIMIT 50")(lambda g: g.label("Function").select("node_id").orderBy("node_id").limit(50))
+on_log("K01", "SELECT repo AS key, cmd AS k, arg_max(event_id::VARCHAR, event_id) AS v FROM log GROUP BY repo, cmd")(
+    lambda d: sinks.merged_nodes(d.select(F.lit("Function").alias("label"), c("repo").alias("key"), F.create_map("cmd", c("event_id").cast("string")).alias("props"), c("event_id").alias("seq"))).select("key", F.explode("props").alias("k", "v"))
+)
+
+
+def edge_specs(g: PropertyGraph) -> tuple[DataFrame, DataFrame]:
+    """Calls by qualified names, every fifth to a function that is not there, and the functions by key."""
+    gone = F.when(c("dst") % 5 == 0, F.concat(F.lit("gone."), "d_qualified_name")).otherwise(c("d_qualified_name"))
+    label = F.lit("Function")
+    specs = g.ends("CALLS").select(label.alias("from_label"), c("s_qualified_name").alias("from_key"), "type", label.alias("to_label"), gone.alias("to_key"))
+    return specs, g.label("Function").select("node_id", "label", c("qualified_name").alias("key"))
+
+
+def failed_calls(g: PropertyGraph) -> DataFrame:
+    specs, nodes = edge_specs(g)
+    return sinks.failed_report(specs, sinks.resolved_edges(specs, nodes)[1])
+
+
+for _n in ("K02", "J10"):
+    on_graph(_n, "SELECT src, dst, type FROM edges WHERE type = 'CALLS' AND dst % 5 <> 0")(lambda g: sinks.resolved_edges(*edge_specs(g))[0])
+on_graph("K03", "SELECT 'CALLS' AS type, count(*) AS attempted, count(*) FILTER (dst % 5 = 0) AS failed FROM calls")(failed_calls)
+on_log("K06", "SELECT row_number() OVER (ORDER BY min(event_id)) - 1 AS node_id, 'Function' AS label, repo AS key, arg_min(cmd, event_id) AS cmd FROM log GROUP BY repo")(
+    lambda d: sinks.first_nodes(d.select(F.lit("Function").alias("label"), c("repo").alias("key"), F.create_map(F.lit("cmd"), "cmd").alias("props"), c("event_id").alias("seq"))).select("node_id", "label", "key", c("props")["cmd"].alias("cmd"))
+)
+on_log("K13", "SELECT repo, count(*) AS n, count(*) FILTER (return_code = 0) AS success FROM log GROUP BY repo")(lambda d: d.groupBy("repo").agg(F.count("*").alias("n"), F.count_if(c("return_code") == 0).alias("success")))
+on_log("A30", "SELECT count(*) AS n, count(*) FILTER (return_code = 0) AS success, count(DISTINCT repo) AS repos FROM log")(lambda d: d.agg(F.count("*").alias("n"), F.count_if(c("return_code") == 0).alias("success"), F.count_distinct("repo").alias("repos")))
+on_log("A31", "SELECT date_trunc('hour', ts) AS begin, count(*) AS n FROM log GROUP BY 1")(lambda d: d.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select(c("w.start").alias("begin"), "n"))
+on_graph("W01", "SELECT src, min(dst) AS dst FROM edges WHERE type = 'INHERITS' GROUP BY src")(lambda g: g.of_type("INHERITS").groupBy("src").agg(F.min("dst").alias("dst")))

@@ -71,17 +71,18 @@ def js_path(path: Column, module: Column) -> Column:
 
 def requirement_name(spec: Column) -> Column:
     """the name of a dependency line, without extras."""
-    return F.regexp_extract(F.trim(spec), r"^([A-Za-z0-9](?:[A-Za-z0-9._-]*[A-Za-z0-9])?)", 1)
+    return F.regexp_extract(F.trim(spec), r"^([A-Za-z0-9_.-]+)", 1)
 
 
 def requirement_spec(spec: Column) -> Column:
-    return F.trim(F.regexp_extract(F.trim(spec), r"^[A-Za-z0-9._-]+\s*(?:\[[^\]]*\])?\s*(.*)$", 1))
+    return F.trim(F.regexp_extract(F.trim(spec), r"^[A-Za-z0-9_.-]+(?:\[[^\]]*\])?(.*)$", 1))
 
 
 def repo_of_url(url: Column) -> Column:
-    """owner/name of a hosting URL, https or ssh."""
-    p = r"^(?:https?://[^/]+/|git@[^:]+:)([^/]+)/([^/?#]+?)(?:\.git)?/?$"
-    return F.when(F.regexp_like(url, F.lit(p)), F.concat_ws("/", F.regexp_extract(url, p, 1), F.regexp_extract(url, p, 2)))
+    """owner/name of a hosting URL, https or ssh; null for others. The pattern is a fixed value."""
+    p = r"github\.com[/:]([^/]+)/([^/\s]+?)(?:\.git)?$"
+    own = F.trim(url)
+    return F.when(F.regexp_like(own, F.lit(p)), F.concat_ws("/", F.regexp_extract(own, p, 1), F.regexp_extract(own, p, 2)))
 
 
 #: F16: language aliases, fixed values.
@@ -123,8 +124,8 @@ ERROR_PATTERNS = (
     (r'"[^"]*"', "{str}"),
     (r"'[^']*'", "{str}"),
     (r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b", "{ip}"),
-    (r"\d{4}-\d{2}-\d{2}", "{date}"),
-    (r"\d{2}:\d{2}:\d{2}", "{time}"),
+    (r"\b\d{4}-\d{2}-\d{2}\b", "{date}"),
+    (r"\b\d{2}:\d{2}:\d{2}\b", "{time}"),
 )
 
 
@@ -166,3 +167,35 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(norm > 0, dot(a, b) / norm)
+
+
+def llm_json(reply: Column, schema: str) -> Column:
+    """a reply without its code fence, parsed; null where it is no JSON of that schema."""
+    return F.from_json(F.trim(F.regexp_replace(F.trim(reply), r"^```(?:json)?|```$", "")), schema)
+
+
+def cypher_reply(reply: Column) -> Column:
+    """without backticks and a language prefix, with one semicolon at the end."""
+    bare = F.trim(F.regexp_replace(F.replace(F.trim(reply), F.lit("`"), F.lit("")), r"^cypher", ""))
+    return F.when(bare.endswith(";"), bare).otherwise(F.concat(bare, F.lit(";")))
+
+
+def duration(seconds: Column) -> Column:
+    """like 42s, 3m 7s or 2h 5m."""
+    part = lambda unit, of: F.pmod(F.floor(seconds / unit), F.lit(of)).cast("bigint").cast("string")
+    hours = F.floor(seconds / 3600).cast("bigint").cast("string")
+    short = F.concat(F.rint(seconds).cast("bigint").cast("string"), F.lit("s"))
+    return F.when(seconds < 60, short).when(seconds < 3600, F.concat(part(60, 60), F.lit("m "), part(1, 60), F.lit("s"))).otherwise(F.concat(hours, F.lit("h "), part(60, 60), F.lit("m")))
+
+
+def filled(template: Column, **values: Column) -> Column:
+    """``${NAME}`` replaced by the values."""
+    for name, value in values.items():
+        template = F.replace(template, F.lit("${" + name + "}"), value)
+    return template
+
+
+def weights(text: str, known: tuple[str, ...]) -> dict[str, int]:
+    """like ``a:4,b:3``; unknown names and parts without a colon are left out."""
+    pairs = [p.split(":") for p in text.split(",") if ":" in p]
+    return {n.strip(): int(w) for n, w in pairs if n.strip() in known}

@@ -7,7 +7,7 @@ from plexus.operators import logs, paths, resolve, sampling
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07"]
+SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01"]
 
 
 @pytest.fixture(scope="module")
@@ -90,7 +90,7 @@ def test_names(spark):
     assert not one(N.has_prefix(lit("a.bc"), "a.b")) and one(N.has_prefix(lit("a.b"), "a.b"))
     assert one(N.command_prefix(lit("git -C x log"))) == "git x" and one(N.command_prefix(lit("grep -rn --color foo"))) == "grep -rn" and one(N.command_prefix(lit(" "))) == "unknown"
     assert one(N.normal_error(lit("fail at 12345678 line 7\nmore"))) == "fail at {hash} line {num}"
-    assert one(N.js_path(lit("../b/c"), lit("p.x.y"))) == "p.b.c" and one(N.repo_of_url(lit("git@h.com:o/r.git"))) == "o/r"
+    assert one(N.js_path(lit("../b/c"), lit("p.x.y"))) == "p.b.c" and one(N.repo_of_url(lit("git@github.com:o/r.git"))) == "o/r"
     assert one(N.requirement_name(lit("pkg[extra]>=1.0"))) == "pkg" and one(N.requirement_spec(lit("pkg[extra]>=1.0"))) == ">=1.0"
 
 
