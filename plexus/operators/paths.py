@@ -131,3 +131,44 @@ def call_tree(edges: DataFrame, seeds: DataFrame, depth: int, children: int = 4)
         now = now.join(e, F.element_at("path", -1) == F.col("src")).filter(~F.array_contains("path", F.col("dst"))).select("seed", F.array_append("path", F.col("dst")).alias("path"))
         out = out.union(now)
     return out
+
+
+def chain_with_siblings(g: PropertyGraph, seeds: DataFrame, depth: int = 4, siblings: int = 2, callers: int = 3, salt: str = "s") -> DataFrame:
+    """Seed, node: a call chain, the siblings of its nodes and the callers of its seed; picks follow a fixed hash instead of chance."""
+    order = lambda col: F.struct(F.md5(F.concat(F.col(col).cast("string"), F.lit(salt))).alias("h"), F.col(col).alias("n"))
+    calls = g.of_type("CALLS").select("src", "dst").distinct()
+    now = seeds.select("seed", F.array("seed").alias("path"))
+    done = None
+    for _ in range(depth):
+        step = now.join(calls, F.element_at("path", -1) == F.col("src"), "left")
+        free = F.when(~F.array_contains("path", F.col("dst")), order("dst"))
+        step = step.groupBy("seed", "path").agg(F.min(free).alias("b"))
+        ended = step.filter("b IS NULL").select("seed", "path")
+        done = ended if done is None else done.union(ended)
+        now = step.filter("b IS NOT NULL").select("seed", F.array_append("path", F.col("b.n")).alias("path"))
+    chain = (now if done is None else done.union(now)).select("seed", F.explode("path").alias("node"))
+    owns = g.of_type("DEFINES", "DEFINES_METHOD").select(F.col("src").alias("up"), F.col("dst").alias("node")).distinct()
+    # One more than asked for a node is kept of each parent, as the node itself is no sibling.
+    best = _least(owns, "up", "node", siblings + 1, salt)
+    near = chain.join(owns, "node").join(best.withColumnRenamed("node", "sibling"), "up").filter("node != sibling")
+    w = Window.partitionBy("seed", "node").orderBy(F.md5(F.concat(F.col("sibling").cast("string"), F.lit(salt))), "sibling")
+    picked = near.select("seed", "node", "sibling").distinct().withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= siblings).select("seed", F.col("sibling").alias("node"))
+    over = _least(calls.select(F.col("dst").alias("up"), F.col("src").alias("node")), "up", "node", callers, salt)
+    above = seeds.join(over, F.col("seed") == F.col("up")).select("seed", "node")
+    return chain.union(picked).union(above).distinct()
+
+
+def _least(rows: DataFrame, key: str, col: str, most: int, salt: str) -> DataFrame:
+    """The first ``most`` values of ``col`` under each key by a fixed hash."""
+    w = Window.partitionBy(key).orderBy(F.md5(F.concat(F.col(col).cast("string"), F.lit(salt))), col)
+    return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= most).drop("_r")
+
+
+def file_centric(g: PropertyGraph, seeds: DataFrame, modules: DataFrame, external: int = 5, salt: str = "s") -> DataFrame:
+    """Seed, node: what the seed's module (modules: node_id, module) defines, and up to ``external`` callees outside of it."""
+    home = seeds.join(modules, F.col("seed") == F.col("node_id")).select("seed", "module")
+    owns = g.of_type("DEFINES", "DEFINES_METHOD").select(F.col("src").alias("module"), F.col("dst").alias("node"))
+    inside = seeds.select("seed", F.col("seed").alias("node")).union(home.join(owns, "module").select("seed", "node")).distinct()
+    calls = g.of_type("CALLS").select(F.col("src").alias("node"), "dst").distinct()
+    out = inside.join(calls, "node").select("seed", F.col("dst").alias("node")).distinct().join(inside, ["seed", "node"], "left_anti")
+    return inside.union(_least(out, "seed", "node", external, salt).select("seed", "node"))

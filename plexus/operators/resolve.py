@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.names import call_target, import_distance
+from plexus.operators.paths import bfs
 from plexus.plans.graph import PropertyGraph, durable
 
 
@@ -51,11 +52,25 @@ def overrides(g: PropertyGraph) -> DataFrame:
 
 
 def by_simple_name(calls: DataFrame, registry: DataFrame) -> DataFrame:
-    """J15/E12 fallback: calls (id, call_name, module_qn) to the registry's (qualified_name, simple_name) nearest by import distance."""
-    named = calls.withColumn("simple_name", call_target(F.col("call_name")))
-    all_ = named.join(registry, "simple_name").withColumn("distance", import_distance(F.col("qualified_name"), F.col("module_qn")))
-    best = all_.groupBy("id").agg(F.min(F.struct("distance", "qualified_name")).alias("b"))
-    return best.select("id", F.col("b.qualified_name").alias("callee"), F.col("b.distance").alias("distance"))
+    """J15/W02/E12 fallback: calls (id, call_name, module_qn) to the registry's (qualified_name, simple_name) nearest by import distance.
+
+    Equal distances go to the least name. The registry is reduced, before the join, to the least name by simple name,
+    leading parts and length; a caller meets its own leading parts, so a name that everything defines makes no pairs.
+    A candidate seen by fewer leading parts than it shares looks farther than it is and never wins over itself.
+    """
+    def heads(name: str):
+        parts = F.split(name, "[.]")
+        return F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("shared"), F.array_join(F.slice(parts, F.lit(1), i), ".").alias("head")))
+
+    table = registry.select("simple_name", "qualified_name", F.size(F.split("qualified_name", "[.]")).alias("parts"), F.explode(heads("qualified_name")).alias("h"))
+    table = table.groupBy("simple_name", "h.shared", "h.head", "parts").agg(F.min("qualified_name").alias("callee"))
+    named = calls.select("id", "module_qn", call_target(F.col("call_name")).alias("simple_name"))
+    asked = named.select("simple_name", "module_qn").distinct().withColumn("own", F.size(F.split("module_qn", "[.]")))
+    met = asked.select("simple_name", "module_qn", "own", F.explode(heads("module_qn")).alias("h")).select("simple_name", "module_qn", "own", "h.*").join(table, ["simple_name", "shared", "head"])
+    near = (F.col("own") > 1) & (F.col("shared") >= F.col("own") - 1) & (F.col("parts") >= F.col("own"))
+    distance = (F.greatest("own", "parts") - F.col("shared") - near.cast("int")).cast("bigint")
+    best = met.groupBy("simple_name", "module_qn").agg(F.min(F.struct(distance.alias("distance"), "callee")).alias("b"))
+    return named.join(best, ["simple_name", "module_qn"]).select("id", F.col("b.callee").alias("callee"), F.col("b.distance").alias("distance"))
 
 
 def resolve_calls(calls: DataFrame, imports: DataFrame, registry: DataFrame) -> DataFrame:
@@ -101,3 +116,69 @@ def external_importers(imports: DataFrame, packages: DataFrame) -> DataFrame:
     parts = F.split("imported", "[.]")
     each = F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "."))).alias("package")
     return imports.select("module", "imported", each).join(packages, "package").groupBy("package", "module").agg(F.max("imported").alias("imported"))
+
+
+def class_names(uses: DataFrame, imports: DataFrame, registry: DataFrame) -> DataFrame:
+    """Id, class_qn, step of uses (id, class_name, module_qn).
+
+    Steps: 0 the module's import of that name, whether registered or not; 1 the same module; 2 and on the packages around
+    it, nearest first; 1000 the least registered name ending in it. imports: module_qn, local_name, full_name.
+    """
+    reg = registry.select("qualified_name").distinct()
+    first = imports.groupBy("module_qn", F.col("local_name").alias("class_name")).agg(F.max("full_name").alias("qn"))
+    by_import = uses.join(first, ["module_qn", "class_name"]).select("id", "qn", F.lit(0).alias("step"))
+    parts = F.split("module_qn", "[.]")
+    around = F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct((F.size(parts) - i + 1).alias("step"), F.array_join(F.slice(parts, F.lit(1), i), ".").alias("at"))))
+    probes = uses.select("id", "class_name", around.alias("p")).select("id", F.concat_ws(".", "p.at", "class_name").alias("qualified_name"), "p.step")
+    by_place = probes.join(reg, "qualified_name").select("id", F.col("qualified_name").alias("qn"), "step")
+    ends = reg.groupBy(F.element_at(F.split("qualified_name", "[.]"), -1).alias("class_name")).agg(F.min("qualified_name").alias("qn"))
+    by_end = uses.join(ends, "class_name").select("id", "qn", F.lit(1000).alias("step"))
+    best = by_import.union(by_place).union(by_end).groupBy("id").agg(F.min(F.struct("step", "qn")).alias("b"))
+    return best.select("id", F.col("b.qn").alias("class_qn"), F.col("b.step").cast("bigint").alias("step"))
+
+
+def wildcard_targets(calls: DataFrame, stars: DataFrame, registry: DataFrame) -> DataFrame:
+    """Id, callee of calls (id, call_name, module_qn) by the first wildcard import (module_qn, full_name, ord) that has the name.
+
+    A dotted probe comes before one with two colons; a full name that has two colons itself gets no dotted one.
+    """
+    dotted = F.when(~F.col("full_name").contains("::"), F.concat_ws(".", "full_name", "call_name"))
+    probes = F.posexplode(F.array(dotted, F.concat_ws("::", "full_name", "call_name"))).alias("k", "qualified_name")
+    tried = calls.join(stars, "module_qn").select("id", "ord", probes).join(registry.select("qualified_name").distinct(), "qualified_name")
+    return tried.groupBy("id").agg(F.min(F.struct("ord", "k", "qualified_name")).alias("b")).select("id", F.col("b.qualified_name").alias("callee"))
+
+
+def typed_methods(g: PropertyGraph, uses: DataFrame, imports: DataFrame) -> DataFrame:
+    """Id, cls, method, depth of uses (id, class_name, module_qn, name): the type's class, then its own or nearest inherited method.
+
+    A dotted type names its class by itself; others go through ``class_names``.
+    """
+    classes = g.label("Class").select("qualified_name", F.col("node_id").alias("cls"))
+    plain = class_names(uses.filter(~F.col("class_name").contains(".")), imports, classes).select("id", "class_qn")
+    found = plain.union(uses.filter(F.col("class_name").contains(".")).select("id", "class_name"))
+    at = found.join(classes, found.class_qn == classes.qualified_name).join(uses.select("id", "name"), "id").select("id", "cls", "name")
+    inherits = g.of_type("INHERITS").select(F.col("src").alias("child"), F.col("dst").alias("parent"))
+    methods = class_methods(g)
+    # The walk starts from the asked classes only; all levels are bounded by the depth of the class tree.
+    asked = at.select("cls", "name").distinct()
+    up = bfs(inherits.select(F.col("child").alias("src"), F.col("parent").alias("dst")), asked.select(F.col("cls").alias("seed")).distinct(), 40)
+    hits = asked.join(up, F.col("cls") == F.col("seed")).select("cls", "name", "node", "depth").join(methods.select(F.col("cls").alias("node"), "name", "method"), ["node", "name"])
+    best = hits.groupBy("cls", "name").agg(F.min(F.struct("depth", "method")).alias("b"))
+    return at.join(best, ["cls", "name"]).select("id", "cls", F.col("b.method").alias("method"), F.col("b.depth").alias("depth"))
+
+
+def graph_folders(graphs: DataFrame, clones: DataFrame) -> DataFrame:
+    """Stem, owner, repo: graphs (stem) to clones (owner, repo). ``owner__repo`` asks for that clone only; a bare name takes the least owner."""
+    has = F.col("stem").contains("__")
+    named = graphs.filter(has).select("stem", F.substring_index("stem", "__", 1).alias("owner"), F.expr("substring(stem, instr(stem, '__') + 2)").alias("repo"))
+    bare = graphs.filter(~has).select("stem", F.col("stem").alias("repo"))
+    every = clones.select("owner", "repo").distinct()
+    least = every.groupBy("repo").agg(F.min("owner").alias("owner"))
+    return named.join(every, ["owner", "repo"]).select("stem", "owner", "repo").union(bare.join(least, "repo").select("stem", "owner", "repo"))
+
+
+def ranked_modules(candidates: DataFrame, penalty: Column) -> DataFrame:
+    """Candidates (id, idx, candidate, module_qn) with ``rank`` by penalty, import distance from 0 up, then idx."""
+    distance = F.greatest(import_distance(F.col("candidate"), F.col("module_qn")), F.lit(0))
+    w = Window.partitionBy("id").orderBy("_p", "_d", "idx")
+    return candidates.withColumn("_p", penalty).withColumn("_d", distance).withColumn("rank", F.row_number().over(w).cast("bigint")).drop("_p", "_d")

@@ -7,7 +7,7 @@ from plexus.operators import logs, paths, resolve, sampling
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01"]
+SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35"]
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +98,32 @@ def test_log_summary(spark):
     log = spark.createDataFrame([("ls", "r", 0, 10.0, False), ("grep foo", "r", 1, 20.0, False), ("ls", "r", 0, 0.0, True)], "cmd string, repo string, return_code int, duration_ms double, cached boolean")
     r = logs.summary(log).first()
     assert (r["total"], r["success"], r["failed"], r["cached"], r["avg_ms"]) == (3, 2, 1, 1, 15.0)
+
+
+def test_nearest_of_a_simple_name_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    name = lambda n: ".".join(rng.choice("ab") for _ in range(n))
+    reg = sorted({f"{name(rng.randrange(1, 5))}.{rng.choice('fg')}" for _ in range(60)} | {"f"})
+    calls = [(i, f"x.{rng.choice('fgh')}", name(rng.randrange(1, 5))) for i in range(80)]
+
+    def distance(cand, caller):
+        a, b = cand.split("."), caller.split(".")
+        same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        parent = ".".join(b[:-1])
+        return max(len(a), len(b)) - same - bool(parent and cand.startswith(parent + "."))
+
+    want = {i: min((distance(q, m), q) for q in reg if q.split(".")[-1] == n[-1]) for i, n, m in calls if not n.endswith("h")}
+    got = resolve.by_simple_name(spark.createDataFrame(calls, "id long, call_name string, module_qn string"), spark.createDataFrame([(q, q.split(".")[-1]) for q in reg], "qualified_name string, simple_name string"))
+    assert {r.id: (r.distance, r.callee) for r in got.collect()} == want
+
+
+def test_context_text(spark):
+    from plexus.operators.render import graph_context
+    from plexus.plans.graph import PropertyGraph
+
+    nodes = spark.createDataFrame([(1, "Module", "m", "a.py", "m"), (2, "Function", "f", None, "m.f"), (3, "Function", "g", None, "m.g"), (4, "Class", "K", None, "m.K"), (5, "Class", "L", None, "n.L")], "node_id long, label string, name string, path string, qualified_name string")
+    edges = spark.createDataFrame([(1, 2, "DEFINES"), (1, 3, "DEFINES"), (1, 4, "DEFINES"), (2, 3, "CALLS"), (4, 5, "INHERITS")], "src long, dst long, type string")
+    ctx = spark.createDataFrame([(2, 2), (2, 3), (2, 4), (2, 99)], "seed long, node long")
+    assert graph_context(PropertyGraph(nodes, edges), ctx).first()["context"] == "## File Structure\n\n### a.py\n  - [Function] f\n  - [Function] g\n  - [Class] K\n\n## Call Graph\n  f -> g\n\n## Inheritance\n  K extends L"
