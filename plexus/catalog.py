@@ -456,4 +456,4 @@ on_log("A30", "SELECT count(*) AS n, count(*) FILTER (return_code = 0) AS succes
 on_log("A31", "SELECT date_trunc('hour', ts) AS begin, count(*) AS n FROM log GROUP BY 1")(lambda d: d.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select(c("w.start").alias("begin"), "n"))
 on_graph("W01", "SELECT src, min(dst) AS dst FROM edges WHERE type = 'INHERITS' GROUP BY src")(lambda g: g.of_type("INHERITS").groupBy("src").agg(F.min("dst").alias("dst")))
 
-from plexus import catalog_names  # noqa: E402, F401
+from plexus import catalog_names, catalog_sources  # noqa: E402, F401

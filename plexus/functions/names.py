@@ -176,7 +176,9 @@ def llm_json(reply: Column, schema: str) -> Column:
 
 def cypher_reply(reply: Column) -> Column:
     """without backticks and a language prefix, with one semicolon at the end."""
-    bare = F.trim(F.regexp_replace(F.replace(F.trim(reply), F.lit("`"), F.lit("")), r"^cypher", ""))
+    stripped = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    bare = F.replace(stripped(reply), F.lit("`"), F.lit(""))
+    bare = F.when(bare.startswith("cypher"), stripped(F.substring(bare, 7, 1 << 30))).otherwise(bare)
     return F.when(bare.endswith(";"), bare).otherwise(F.concat(bare, F.lit(";")))
 
 
@@ -199,3 +201,28 @@ def weights(text: str, known: tuple[str, ...]) -> dict[str, int]:
     """like ``a:4,b:3``; unknown names and parts without a colon are left out."""
     pairs = [p.split(":") for p in text.split(",") if ":" in p]
     return {n.strip(): int(w) for n, w in pairs if n.strip() in known}
+
+
+def weights_of(text: Column, known: tuple[str, ...]) -> Column:
+    """F36 for a column: a map of the known names; of a repeated name the last counts."""
+    pairs = F.filter(F.transform(F.split(text, ","), lambda p: F.split(p, ":")), lambda p: (F.size(p) == 2) & F.trim(p[0]).isin(*known))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: F.trim(q[0]) == F.trim(p[0])))
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(F.trim(p[0]), F.trim(p[1]).cast("int"))))
+
+
+def merged(low: Column, high: Column) -> Column:
+    """both maps' entries; ``high`` wins where both have a key."""
+    return F.map_concat(F.map_filter(low, lambda k, _: ~F.map_contains_key(high, k)), high)
+
+
+def iso_utc(ts: Column) -> Column:
+    """ISO 8601 in UTC, without a fraction if it is none; the session's zone is UTC."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    micro = F.date_format(ts, "SSSSSS")
+    return F.concat(whole, F.when(micro != "000000", F.concat(F.lit("."), micro)).otherwise(""), F.lit("+00:00"))
+
+
+def shown(value: Column, kind: str) -> Column:
+    """values of other than plain types as text."""
+    plain = kind.startswith(("string", "int", "bigint", "double", "float", "boolean", "array", "map", "struct"))
+    return value if plain else value.cast("string")

@@ -80,3 +80,45 @@ def validated(cmd: Column, risky: bool = False) -> Column:
         return pd.DataFrame({"valid": [e is None for e in error], "error": pd.Series(error, dtype=object)})
 
     return check(cmd)
+
+
+#: Commands and Git subcommands that run without approval, and redirects, fixed values.
+UNASKED = ("ls", "cat", "find", "pwd", "rg", "echo", "wc", "head", "tail", "sort", "uniq", "cut", "tr")
+UNASKED_GIT = ("status", "log", "diff", "show", "ls-files", "remote", "config", "branch")
+REDIRECTS = (">", ">>", "<", "<<")
+_OPERATOR = re.compile(r"&&|\|\||;|\|")
+
+
+def groups(command: str) -> list[tuple[str | None, list[str]]]:
+    """pipelines of a command line with the operator before each; operators in quotes or after a backslash are text."""
+    bare, out, operator, pipeline, at = outside(command)[1], [], None, [], 0
+    for m in [*_OPERATOR.finditer(bare), None]:
+        if segment := command[at : m.start() if m else None].strip():
+            pipeline.append(segment)
+        if m is None or m[0] != "|":
+            if pipeline:
+                out.append((operator, pipeline))
+            operator, pipeline = m and m[0], []
+        at = m.end() if m else at
+    return out
+
+
+def needs_approval(command: str | None) -> bool:
+    """whether any command of the line is not known to be harmless; so is a line without commands, null or badly quoted."""
+    try:
+        parts = [shlex.split(s) for _, pipeline in groups(command or "") for s in pipeline]
+    except ValueError:
+        return True
+    known = lambda p: not set(p) & set(REDIRECTS) and (p[0] in UNASKED or (p[0] == "git" and len(p) > 1 and p[1] in UNASKED_GIT))
+    return not any(parts) or not all(known(p) for p in parts if p)
+
+
+def grouped(cmd: Column) -> Column:
+    """F33 as a struct: n_groups, n_commands, approval; a null line has none and needs approval."""
+
+    @F.pandas_udf("n_groups bigint, n_commands bigint, approval boolean")
+    def split(s: pd.Series) -> pd.DataFrame:
+        found = [groups(x or "") for x in s]
+        return pd.DataFrame({"n_groups": [len(g) for g in found], "n_commands": [sum(len(p) for _, p in g) for g in found], "approval": [needs_approval(x) for x in s]})
+
+    return split(cmd)

@@ -42,15 +42,24 @@ def prop(name: str, kind: str = "string") -> Column:
     return F.get_json_object("properties", f"$.{name}").cast(kind)
 
 
-def listed(spark: SparkSession, path: str) -> DataFrame:
-    """Value: trimmed lines, without blank ones and comments, each once."""
+def entries(lines: DataFrame) -> DataFrame:
+    """Value: trimmed lines, without blank ones and comments, each once. lines: value."""
     line = F.regexp_replace("value", r"^\s+|\s+$", "")
-    return spark.read.text(path).select(line.alias("value")).filter("value != '' AND NOT startswith(value, '#')").distinct()
+    return lines.select(line.alias("value")).filter("value != '' AND NOT startswith(value, '#')").distinct()
 
 
-def node_ids(spark: SparkSession, path: str) -> DataFrame:
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """S10 of a text file."""
+    return entries(spark.read.text(path))
+
+
+def as_node_ids(lines: DataFrame) -> DataFrame:
     """node_id; a line that is no number is an error, as silent loss would shrink the extraction."""
-    return listed(spark, path).select(F.col("value").cast("bigint").alias("node_id"))
+    return entries(lines).select(F.col("value").cast("bigint").alias("node_id"))
+
+
+def node_ids(spark: SparkSession, path: str) -> DataFrame:
+    return as_node_ids(spark.read.text(path))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -58,6 +67,12 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def json_rows(lines: DataFrame, col: str, schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """S13-S15 for lines in a column: the columns of ``keep`` and those of ``schema``; malformed lines are left out."""
+    good = lines.filter(F.try_parse_json(F.col(col)).isNotNull())
+    return good.select(*keep, F.from_json(col, schema).alias("_v")).select(*keep, "_v.*")
+
+
 def command_results(spark: SparkSession, path: str) -> DataFrame:
     """S14."""
     return spark.read.schema(RESULT).json(path)
@@ -68,12 +83,26 @@ def command_inputs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("cmd string, repo string").json(path)
 
 
-def repo_urls(spark: SparkSession, path: str) -> DataFrame:
-    """Url, owner, name of the lines that are hosting URLs."""
-    own = listed(spark, path).select("value", F.split(repo_of_url(F.col("value")), "/").alias("p")).filter("p IS NOT NULL")
+def repos_in(lines: DataFrame) -> DataFrame:
+    """Url, owner, name of the lines (value) that are hosting URLs."""
+    own = entries(lines).select("value", F.split(repo_of_url(F.col("value")), "/").alias("p")).filter("p IS NOT NULL")
     return own.select(F.col("value").alias("url"), F.col("p")[0].alias("owner"), F.col("p")[1].alias("name"))
 
 
+def repo_urls(spark: SparkSession, path: str) -> DataFrame:
+    return repos_in(spark.read.text(path))
+
+
+def wanted_repos(repos: DataFrame, languages: tuple[str, ...], least_stars: int, most_kb: int, most: int | None = None) -> DataFrame:
+    """Repos (name, language, stars, size_kb, supported) of these languages that are supported, popular and small enough.
+
+    ``most`` keeps those of most stars, then by name.
+    """
+    own = repos.filter(F.col("supported") & (F.col("stars") >= least_stars) & (F.col("size_kb") <= most_kb))
+    own = own.filter(F.col("language").isin(*languages)) if languages else own
+    return own if most is None else own.orderBy(F.desc("stars"), "name").limit(most)
+
+
 def kept_path(path: Column, exclude: tuple[str, ...] = (), include: tuple[str, ...] = ()) -> Column:
     """Whether a relative file path is scanned. An included path or folder wins over excluded folders, not over suffixes."""
     dirs = F.slice(F.split(path, "/"), 1, F.size(F.split(path, "/")) - 1)

@@ -7,7 +7,7 @@ from plexus.operators import logs, paths, resolve, sampling
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35"]
+SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35", "S10", "S12", "S13", "S14", "S16", "S17", "S09", "T21", "S11", "E19", "K08", "K10", "P22", "F09", "F11", "F15", "F27", "F28", "F29", "F31", "F33", "F36", "R01", "R04", "R06", "R08", "R09", "E01", "E02", "E04", "E07", "E08", "E11", "E21", "E22"]
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,8 @@ import shlex
 import pytest
 
 from plexus.functions import names as N
-from plexus.operators.commands import fault, validated
+from plexus.operators import extract
+from plexus.operators.commands import fault, groups, needs_approval, validated
 from plexus.plans.graph import PropertyGraph
 from plexus.sources import files, manifests, sinks
 from plexus.streaming import jobs
@@ -139,3 +140,38 @@ def test_file_events(spark, tmp_path):
     rest = jobs.without_changed(PropertyGraph(nodes, edges), changed)
     assert sorted(r.node_id for r in rest.nodes.collect()) == [3, 4]
     assert [tuple(r) for r in rest.edges.select("src", "dst", "type").collect()] == [(3, 4, "DEFINES")]
+
+
+@pytest.mark.parametrize(
+    ("cmd", "want", "ask"),
+    [
+        ("ls | wc && git log", [(None, ["ls", "wc"]), ("&&", ["git log"])], False), ("; ls", [(";", ["ls"])], False), ('echo "a|b;c"', [(None, ['echo "a|b;c"'])], False), (r"ls a\;b", [(None, [r"ls a\;b"])], False),
+        ("ls || rm x", [(None, ["ls"]), ("||", ["rm x"])], True), ("cat < x", [(None, ["cat < x"])], True), ("", [], True), ("ls 'a", [(None, ["ls 'a"])], True), ("git push", [(None, ["git push"])], True),
+    ],
+)
+def test_command_groups(cmd, want, ask):
+    assert groups(cmd) == want
+    assert needs_approval(cmd) is ask
+
+
+def test_extraction(spark):
+    code = "from . import s\nfrom ..u import v as w\nasync def a():\n    class B(x.Y, Z[int]):\n        @p.q\n        def m(self): super().m()\n    return lambda: b()[0].c()\nif True:\n    def d(): pass\n"
+    rows = spark.createDataFrame([("k/t.py", code), ("bad.py", "def ("), ("null.py", None), ("x.txt", "def f(): pass"), ("empty.py", ""), ("nul.py", "a\0")], "path string, content string")
+    got = extract.extracted(rows, "P").collect()
+    kind = lambda *k: {tuple(getattr(r, c) for c in k[1:]) for r in got if r.kind == k[0]}
+    assert kind("Function", "qualified_name", "parent") == {("P.k.t.a", "P.k.t"), ("P.k.t.d", "P.k.t")}
+    assert kind("Class", "qualified_name") == {("P.k.t.a.B",)} and [r.bases for r in got if r.kind == "Class"] == [["x.Y"]]
+    assert kind("Method", "qualified_name", "parent") == {("P.k.t.a.B.m", "P.k.t.a.B")}
+    assert kind("import", "name", "full_name") == {("s", "P.k.s"), ("w", "P.u.v")}
+    assert kind("call", "parent", "call_name") == {("P.k.t.a.B.m", "super"), ("P.k.t.a.B.m", "m"), ("P.k.t.a", "b"), ("P.k.t.a", "c")}
+    assert {r.path for r in got if r.kind == "error"} == {"bad.py", "nul.py"}
+
+
+def test_structure_and_texts(spark):
+    paths = spark.createDataFrame([("a/__init__.py",), ("a/b/c.py",), ("top.py",)], "path string")
+    nodes, edges = extract.structure(paths, "P")
+    assert {(r.label, r.key) for r in nodes.filter("label != 'File'").collect()} == {("Package", "P.a"), ("Folder", "a/b")}
+    assert {tuple(r) for r in edges.select("from_key", "type", "to_key").collect()} == {("P", "CONTAINS_PACKAGE", "P.a"), ("P.a", "CONTAINS_FOLDER", "a/b"), ("P.a", "CONTAINS_FILE", "a/__init__.py"), ("a/b", "CONTAINS_FILE", "a/b/c.py"), ("P", "CONTAINS_FILE", "top.py")}
+    located = spark.createDataFrame([(1, "Function", "f", 2, 9), (2, "Function", "f", 4, 5), (3, None, "f", 1, 1), (4, "Folder", None, None, None), (5, "Function", None, 1, 1), (6, "Function", "g", 1, 1)], "node_id long, label string, path string, start_line long, end_line long")
+    got = {r.node_id: (r.text, r.error) for r in extract.texts(located, spark.createDataFrame([("f", "x\r\ny\nz")], "path string, content string")).collect()}
+    assert got == {1: ("y\nz", None), 2: (None, "out of range"), 3: (None, "unknown"), 4: (None, "structural"), 5: (None, "no module"), 6: (None, "unreadable")}
