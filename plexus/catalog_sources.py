@@ -48,8 +48,8 @@ url = pick(c("c_custkey"), text("https://github.com/o", c("c_nationkey"), "/r",
 URLS = "SELECT c_custkey, 'o'||c_nationkey AS owner, 'r'||c_custkey AS name, CASE c_custkey % 3 WHEN 0 THEN 'https://github.com/o'||c_nationkey||'/r'||c_custkey||'.git' WHEN 1 THEN 'git@github.com:o'||c_nationkey||'/r'||c_custkey END AS url FROM customer"
 on_table("S16", "customer", f"SELECT url, owner, name FROM ({URLS}) WHERE url IS NOT NULL")(lambda d: files.repos_in(d.select(url.alias("value"))))
 on_table("F15", "customer", f"SELECT c_custkey, CASE WHEN url IS NOT NULL THEN owner||'/'||name END AS repo FROM ({URLS})")(lambda d: d.select("c_custkey", N.repo_of_url(url).alias("repo")))
-on_table("P22", "part", "SELECT p_name AS name, p_retailprice::BIGINT AS stars FROM part WHERE p_partkey % 4 > 0 AND p_retailprice >= 900 AND p_size <= 30 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') ORDER BY p_retailprice DESC, p_name LIMIT 50")(
-    lambda d: files.wanted_repos(d.select(c("p_name").alias("name"), c("p_brand").alias("language"), c("p_retailprice").alias("stars"), c("p_size").alias("size_kb"), (c("p_partkey") % 4 > 0).alias("supported")), ("Brand#11", "Brand#12", "Brand#13"), 900, 30, 50).select("name", F.round("stars").cast("bigint").alias("stars"))
+on_table("P22", "part", "SELECT p_name AS name, floor(p_retailprice)::BIGINT AS stars FROM part WHERE p_partkey % 4 > 0 AND p_retailprice >= 900 AND p_size <= 30 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') ORDER BY p_retailprice DESC, p_name LIMIT 50")(
+    lambda d: files.wanted_repos(d.select(c("p_name").alias("name"), c("p_brand").alias("language"), c("p_retailprice").alias("stars"), c("p_size").alias("size_kb"), (c("p_partkey") % 4 > 0).alias("supported")), ("Brand#11", "Brand#12", "Brand#13"), 900, 30, 50).select("name", F.floor("stars").alias("stars"))
 )
 
 

@@ -14,6 +14,8 @@ from plexus.functions.names import path_to_module
 #: kind: Function, Class, Method, import, call or error; a row fills the columns that its kind has.
 SCHEMA = "path string, module_qn string, kind string, qualified_name string, name string, parent string, start_line bigint, end_line bigint, docstring string, decorators array<string>, bases array<string>, full_name string, is_wildcard boolean, call_name string"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+#: Rows sent back at once, and those of one source more.
+AT_ONCE = 5000
 SCOPES = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
 
 
@@ -79,10 +81,14 @@ def extracted(files: DataFrame, project: str) -> DataFrame:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in it:
+            rows: list[list] = []
             for path, module, content in part.itertuples(index=False):
-                rows = [{"path": path, "module_qn": module, **r} for r in found_in(module, content)]
-                if rows:
-                    yield pd.DataFrame([[r.get(k) for k in COLUMNS] for r in rows], columns=COLUMNS, dtype=object)
+                rows += [[{"path": path, "module_qn": module, **r}.get(k) for k in COLUMNS] for r in found_in(module, content)]
+                if len(rows) >= AT_ONCE:
+                    yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
     own = files.filter(F.col("path").endswith(".py") & F.col("content").isNotNull())
     return own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content").mapInPandas(run, SCHEMA)

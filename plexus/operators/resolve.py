@@ -8,17 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.names import call_target, import_distance
-from plexus.operators.paths import bfs
 from plexus.plans.graph import PropertyGraph, durable
 
 
-def ancestor_methods(inherits: DataFrame, methods: DataFrame, own: bool, most: int = 40) -> DataFrame:
+def ancestor_methods(inherits: DataFrame, methods: DataFrame, own: bool, most: int = 40, wanted: DataFrame | None = None) -> DataFrame:
     """Cls, name, found, depth: the first method of that name on the way up, level by level, parents in order.
 
     inherits: child, parent, ord. methods: cls, name, method. own: whether a class's own method counts.
+    wanted: cls and name to look for; every method's own, if none is given.
     The search goes on only from classes that have found nothing; a place among its level's parents breaks ties.
     """
-    wanted = methods.select("cls", "name").distinct()
+    wanted = (methods if wanted is None else wanted).select("cls", "name").distinct()
     front = wanted.select("cls", "name", F.col("cls").alias("at"), F.lit("").alias("place"))
     seen, found = front.select("cls", "name", "at"), []
     have = methods.select(F.col("cls").alias("at"), "name", F.col("method").alias("found"))
@@ -157,14 +157,10 @@ def typed_methods(g: PropertyGraph, uses: DataFrame, imports: DataFrame) -> Data
     plain = class_names(uses.filter(~F.col("class_name").contains(".")), imports, classes).select("id", "class_qn")
     found = plain.union(uses.filter(F.col("class_name").contains(".")).select("id", "class_name"))
     at = found.join(classes, found.class_qn == classes.qualified_name).join(uses.select("id", "name"), "id").select("id", "cls", "name")
-    inherits = g.of_type("INHERITS").select(F.col("src").alias("child"), F.col("dst").alias("parent"))
-    methods = class_methods(g)
-    # The walk starts from the asked classes only; all levels are bounded by the depth of the class tree.
-    asked = at.select("cls", "name").distinct()
-    up = bfs(inherits.select(F.col("child").alias("src"), F.col("parent").alias("dst")), asked.select(F.col("cls").alias("seed")).distinct(), 40)
-    hits = asked.join(up, F.col("cls") == F.col("seed")).select("cls", "name", "node", "depth").join(methods.select(F.col("cls").alias("node"), "name", "method"), ["node", "name"])
-    best = hits.groupBy("cls", "name").agg(F.min(F.struct("depth", "method")).alias("b"))
-    return at.join(best, ["cls", "name"]).select("id", "cls", F.col("b.method").alias("method"), F.col("b.depth").alias("depth"))
+    at = durable(at)
+    inherits = g.of_type("INHERITS").select(F.col("src").alias("child"), F.col("dst").alias("parent"), F.lit(0).alias("ord"))
+    best = ancestor_methods(inherits, class_methods(g), own=True, wanted=at)
+    return at.join(best, ["cls", "name"]).select("id", "cls", F.col("found").alias("method"), "depth")
 
 
 def graph_folders(graphs: DataFrame, clones: DataFrame) -> DataFrame:
