@@ -67,6 +67,24 @@ on_graph("J19", """ SELECT c.src||'-'||c.dst AS id, t.qualified_name AS callee F
 JOIN nodes m ON m.node_id = i.dst JOIN nodes f ON f.node_id = c.dst JOIN nodes t ON t.label = 'Function' AND t.qualified_name = m.qualified_name||'.'||f.name""")(wildcards)
 
 
+def resolved(g: PropertyGraph) -> DataFrame:
+    """Calls by name from each module, which imports a fifth of its callees by name and other modules whole."""
+    module = g.label("Module").select(c("node_id").alias("m"), c("qualified_name").alias("module_qn"))
+    home = g.of_type("DEFINES").select(c("src").alias("m"), c("dst").alias("src"))
+    f = g.label("Function").select(c("node_id").alias("dst"), "qualified_name", "name")
+    calls = g.of_type("CALLS").select("src", "dst").join(home, "src").join(module, "m").join(f, "dst")
+    named = calls.filter("dst % 5 = 0").select("module_qn", c("name").alias("local_name"), c("qualified_name").alias("full_name"), F.lit(False).alias("is_wildcard")).distinct()
+    ends = g.of_type("IMPORTS").select(c("src").alias("m"), c("dst").alias("to")).join(module, "m").join(module.select(c("m").alias("to"), c("module_qn").alias("full_name")), "to")
+    stars = ends.select("module_qn", F.concat(F.lit("*"), "full_name").alias("local_name"), "full_name", F.lit(True).alias("is_wildcard"))
+    asked = calls.select(F.concat_ws("-", "src", "dst").alias("id"), c("name").alias("call_name"), "module_qn")
+    registry = f.select("qualified_name", c("name").alias("simple_name"))
+    return resolve.resolve_calls(asked, named.union(stars), registry).select("id", "callee", big(c("step")).alias("step"))
+
+
+on_graph("E12", """ SELECT c.src||'-'||c.dst AS id, f.qualified_name AS callee, (CASE WHEN c.dst % 5 = 0 THEN 1 WHEN EXISTS (SELECT 1 FROM edges i WHERE i.type = 'IMPORTS' AND i.src = h.src AND i.dst = k.src) THEN 3 WHEN h.src = k.src THEN 4 ELSE 5 END)::BIGINT AS step
+FROM calls c JOIN edges h ON h.type = 'DEFINES' AND h.dst = c.src JOIN edges k ON k.type = 'DEFINES' AND k.dst = c.dst JOIN nodes f ON f.node_id = c.dst""")(resolved)
+
+
 def graph_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
     stems = read(spark, sf_dir, "supplier").select(F.when(c("s_suppkey") % 2 == 0, text("o", c("s_nationkey"), "__r", c("s_suppkey") % 60)).otherwise(text("r", c("s_suppkey") % 60)).alias("stem"))

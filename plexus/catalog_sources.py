@@ -44,10 +44,10 @@ on_log("S14", "SELECT event_id, cmd, repo, return_code, round(duration_ms, 6) AS
     lambda d: files.json_rows(line(d, "cmd", "repo", "return_code", "duration_ms", "cached"), "line", files.RESULT, ("event_id",)).select("event_id", "cmd", "repo", "return_code", F.round("duration_ms", 6).alias("duration_ms"), "cached")
 )
 on_log("S15", "SELECT event_id, cmd, repo FROM log")(lambda d: files.json_rows(line(d, "cmd", "repo"), "line", "cmd string, repo string", ("event_id",)))
-url = pick(c("c_custkey"), text("https://github.com/o", c("c_nationkey"), "/r", c("c_custkey"), ".git"), text("git@github.com:o", c("c_nationkey"), "/r", c("c_custkey")), text("https://example.org/", c("c_custkey")))
+url = lambda: pick(c("c_custkey"), text("https://github.com/o", c("c_nationkey"), "/r", c("c_custkey"), ".git"), text("git@github.com:o", c("c_nationkey"), "/r", c("c_custkey")), text("https://example.org/", c("c_custkey")))
 URLS = "SELECT c_custkey, 'o'||c_nationkey AS owner, 'r'||c_custkey AS name, CASE c_custkey % 3 WHEN 0 THEN 'https://github.com/o'||c_nationkey||'/r'||c_custkey||'.git' WHEN 1 THEN 'git@github.com:o'||c_nationkey||'/r'||c_custkey END AS url FROM customer"
-on_table("S16", "customer", f"SELECT url, owner, name FROM ({URLS}) WHERE url IS NOT NULL")(lambda d: files.repos_in(d.select(url.alias("value"))))
-on_table("F15", "customer", f"SELECT c_custkey, CASE WHEN url IS NOT NULL THEN owner||'/'||name END AS repo FROM ({URLS})")(lambda d: d.select("c_custkey", N.repo_of_url(url).alias("repo")))
+on_table("S16", "customer", f"SELECT url, owner, name FROM ({URLS}) WHERE url IS NOT NULL")(lambda d: files.repos_in(d.select(url().alias("value"))))
+on_table("F15", "customer", f"SELECT c_custkey, CASE WHEN url IS NOT NULL THEN owner||'/'||name END AS repo FROM ({URLS})")(lambda d: d.select("c_custkey", N.repo_of_url(url()).alias("repo")))
 on_table("P22", "part", "SELECT p_name AS name, floor(p_retailprice)::BIGINT AS stars FROM part WHERE p_partkey % 4 > 0 AND p_retailprice >= 900 AND p_size <= 30 AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') ORDER BY p_retailprice DESC, p_name LIMIT 50")(
     lambda d: files.wanted_repos(d.select(c("p_name").alias("name"), c("p_brand").alias("language"), c("p_retailprice").alias("stars"), c("p_size").alias("size_kb"), (c("p_partkey") % 4 > 0).alias("supported")), ("Brand#11", "Brand#12", "Brand#13"), 900, 30, 50).select("name", F.floor("stars").alias("stars"))
 )
@@ -63,12 +63,12 @@ def cached_results(d: DataFrame) -> DataFrame:
 on_log("S17", "SELECT event_id, sha256(log.repo||':'||log.cmd) AS key, stored, code FROM log LEFT JOIN (SELECT repo, cmd, max(event_id) AS stored, arg_max(return_code, event_id) AS code FROM log WHERE event_id % 2 = 1 GROUP BY repo, cmd) k ON k.repo = log.repo AND k.cmd = log.cmd")(cached_results)
 
 #: Paths of every document, some in ignored folders or with ignored suffixes.
-place = pick(c("doc_id"), text("src/", c("lang"), "/", c("doc_id"), ".py"), text("pkg", c("doc_id") % 9, "/build/x/", c("doc_id"), ".c"), text("a/", c("doc_id"), ".pyc"), text("node_modules/", c("lang"), "/y/", c("doc_id"), ".js"), text("keep/build/", c("doc_id"), ".py")).alias("path")
+place = lambda: pick(c("doc_id"), text("src/", c("lang"), "/", c("doc_id"), ".py"), text("pkg", c("doc_id") % 9, "/build/x/", c("doc_id"), ".c"), text("a/", c("doc_id"), ".pyc"), text("node_modules/", c("lang"), "/y/", c("doc_id"), ".js"), text("keep/build/", c("doc_id"), ".py")).alias("path")
 PLACES = "WITH pl AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'src/'||lang||'/'||doc_id||'.py' WHEN 1 THEN 'pkg'||(doc_id % 9)||'/build/x/'||doc_id||'.c' WHEN 2 THEN 'a/'||doc_id||'.pyc' WHEN 3 THEN 'node_modules/'||lang||'/y/'||doc_id||'.js' ELSE 'keep/build/'||doc_id||'.py' END AS path FROM documents) "
 for _n in ("S09", "R02"):
-    on_table(_n, "documents", PLACES + "SELECT path FROM pl WHERE doc_id % 5 IN (0, 4)")(lambda d: d.select(place).filter(files.kept_path(c("path"), include=("keep/build",))))
-on_table("S20", "documents", PLACES + "SELECT DISTINCT string_split(path, '/')[1] AS entry FROM pl")(lambda d: d.select(place).select(F.substring_index("path", "/", 1).alias("entry")).distinct())
-on_table("T21", "documents", PLACES + "SELECT DISTINCT CASE doc_id % 5 WHEN 1 THEN 'pkg'||(doc_id % 9)||'/build' WHEN 3 THEN 'node_modules' ELSE 'keep/build' END AS path FROM pl WHERE doc_id % 5 IN (1, 3, 4)")(lambda d: extract.excludable(d.select(place), files.IGNORED_DIRS))
+    on_table(_n, "documents", PLACES + "SELECT path FROM pl WHERE doc_id % 5 IN (0, 4)")(lambda d: d.select(place()).filter(files.kept_path(c("path"), include=("keep/build",))))
+on_table("S20", "documents", PLACES + "SELECT DISTINCT string_split(path, '/')[1] AS entry FROM pl")(lambda d: d.select(place()).select(F.substring_index("path", "/", 1).alias("entry")).distinct())
+on_table("T21", "documents", PLACES + "SELECT DISTINCT CASE doc_id % 5 WHEN 1 THEN 'pkg'||(doc_id % 9)||'/build' WHEN 3 THEN 'node_modules' ELSE 'keep/build' END AS path FROM pl WHERE doc_id % 5 IN (1, 3, 4)")(lambda d: extract.excludable(d.select(place()), files.IGNORED_DIRS))
 
 # Manifests: one file a part, of a kind by its number ---------------------------------------------------------------------
 
