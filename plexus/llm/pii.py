@@ -57,6 +57,8 @@ def permute(x: int, n: int, tweak: str, key: bytes) -> int:
 #: Letters are permuted within their class; any other character stays.
 CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
 HEX = "0123456789abcdef"
+#: What secrets are named, in any case.
+NAMES = "(?i:password|passwd|token|secret|api[_-]?key)"
 
 
 def _alphabet(c: str) -> str:
@@ -174,8 +176,14 @@ def mail(m: re.Match, key: bytes) -> str:
 
 def secret(m: re.Match, key: bytes) -> str:
     head, value = m["name"] or "", m["value"]
-    hexes = re.fullmatch(r"[0-9a-f]{12,}", value)
-    return m[0][: len(m[0]) - len(value)] + by_class(value, "secret" if head else "key", key, [HEX] * len(value) if hexes else None)
+    lower, upper = re.fullmatch(r"[0-9a-f]{12,}", value), re.fullmatch(r"[0-9A-F]{12,}", value)
+    alphabets = [HEX if lower else HEX.upper()] * len(value) if lower or upper else None
+    new = value
+    while True:
+        new = by_class(new, "secret" if head else "key", key, alphabets)
+        # Digits alone count as lower-case, so an upper-case value must keep a letter.
+        if lower or not upper or not new.isdigit():
+            return m[0][: len(m[0]) - len(value)] + new
 
 
 def access_key(m: re.Match, key: bytes) -> str:
@@ -186,7 +194,7 @@ def access_key(m: re.Match, key: bytes) -> str:
 KINDS = {
     "mail": (r"(?<![\w.%+-])[\w.%+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63})+", mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
-    "secret": (r"(?<!\w)(?P<name>password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9_+/-]{8,256})", secret),
+    "secret": (rf"(?<!\w)(?P<name>{NAMES})\s{{0,3}}[=:]\s{{0,3}}[\"']?(?P<value>[A-Za-z0-9_+/-]{{8,256}})", secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", iban),
     "ipv4": (r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)", ipv4),
     "date": (r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!\d|[-/]\d)", date),
@@ -207,7 +215,7 @@ def compiled() -> re.Pattern:
     return re.compile("|".join(parts))
 
 
-_HINT = re.compile(r"[0-9@]|(?:password|passwd|token|secret|api_?key)\s{0,3}[=:]")
+_HINT = re.compile(rf"[0-9@]|{NAMES}\s{{0,3}}[=:]")
 
 
 def pseudonyms(text: str | None, key: bytes, pattern: re.Pattern) -> tuple[str | None, list[str]]:

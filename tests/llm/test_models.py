@@ -47,6 +47,21 @@ def test_invalid_values_and_plain_text_stay(text):
     assert out(text) == text
 
 
+@pytest.mark.parametrize("head", ["TOKEN = \"", "Password: ", "PASSWD=", "API_KEY=", "api-key: '", "Secret = "])
+@pytest.mark.parametrize("value,shape", [("9233A8EC0B7D41F6", "[0-9A-F]{16}"), ("hunterXYZword", "[a-z]{6}[A-Z]{3}[a-z]{4}"), ("9233a8ec0b7d41f6", "[0-9a-f]{16}")])
+def test_secrets_of_any_case_are_replaced(head, value, shape):
+    new = out(f"so {head}{value}")
+    assert value not in new and re.fullmatch(re.escape(f"so {head}") + shape, new)
+
+
+def test_secrets_in_shouted_documents():
+    import pyarrow.parquet as pq
+
+    named = re.compile(r"(?<!\w)(?:PASSWORD|PASSWD|TOKEN|SECRET|API[_-]?KEY)\s{0,3}[=:]\s{0,3}[\"']?([A-Z0-9_+/-]{8,256})")
+    texts = [t for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist() if t and named.search(t)]
+    assert texts and not any(m[1] in out(t) for t in texts for m in named.finditer(t))
+
+
 def test_pseudonyms_pass_other_columns(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "me@a.b.org", None), (2, "me@a.b.org", None), (3, "", "y")], "doc_id long, text string, source string")
     got = pii.pseudonymised(df).orderBy("doc_id").collect()
