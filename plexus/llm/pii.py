@@ -6,7 +6,8 @@ over the whole numbers below the count of such values, walked on until the resul
 equal values stay equal across documents and different values stay different, and nothing is stored or shuffled.
 
 Numbers and dates keep their punctuation, check digits are recomputed, mail keeps its last two domain labels; keys and
-passwords are permuted letter by letter class. Numbers that fail validation are left alone.
+passwords are permuted letter by letter class. Where a candidate fails validation, its shorter runs that end at a
+separator and the later kinds are tried, then what begins further on inside it; numbers that fail all are left alone.
 
 Defined results: null texts stay null with no finds; empty texts likewise; texts without finds come back unchanged, byte
 for byte; very long texts are scanned whole; repeated rows are replaced alike; an empty table gives no rows; all other
@@ -94,10 +95,10 @@ def refill(shape: str, symbols: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
-def card(m: re.Match, key: bytes) -> str:
+def card(m: re.Match, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", m[0])
     if not luhn(digits) or len(set(digits)) == 1:
-        return m[0]
+        return None
     body = by_class(digits[:-1], "card", key)
     return refill(m[0], body + next(c for c in "0123456789" if luhn(body + c)))
 
@@ -113,25 +114,25 @@ def ssn_valid(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
 
-def ssn(m: re.Match, key: bytes) -> str:
+def ssn(m: re.Match, key: bytes) -> str | None:
     d = m[0].replace("-", "")
     if not ssn_valid(d):
-        return m[0]
+        return None
     while True:
         d = by_class(d, "ssn", key)
         if ssn_valid(d):
             return f"{d[:3]}-{d[3:5]}-{d[5:]}"
 
 
-def ipv4(m: re.Match, key: bytes) -> str:
+def ipv4(m: re.Match, key: bytes) -> str | None:
     parts = [int(p) for p in m[0].split(".")]
     if max(parts) > 255 or any(len(p) > 1 and p[0] == "0" for p in m[0].split(".")):
-        return m[0]
+        return None
     y = permute(int.from_bytes(bytes(parts), "big"), 1 << 32, "ipv4", key)
     return ".".join(map(str, y.to_bytes(4, "big")))
 
 
-def date(m: re.Match, key: bytes) -> str:
+def date(m: re.Match, key: bytes) -> str | None:
     a, sep, b, c = re.match(r"(\d+)([-/.])(\d+)[-/.](\d+)$", m[0]).groups()
     iso = len(a) == 4
     orders = [(a, b, c)] if iso else [(c, b, a), (c, a, b)]  # day first, else month first
@@ -152,17 +153,17 @@ def date(m: re.Match, key: bytes) -> str:
             return f"{new.year:04}{sep}{new.month:02}{sep}{new.day:02}"
         first, second = (new.day, new.month) if i == 0 else (new.month, new.day)
         return f"{first:02}{sep}{second:02}{sep}{new.year:04}"
-    return m[0]
+    return None
 
 
 def iban_number(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4]))
 
 
-def iban(m: re.Match, key: bytes) -> str:
+def iban(m: re.Match, key: bytes) -> str | None:
     s = m[0].replace(" ", "")
     if not 15 <= len(s) <= 34 or iban_number(s) % 97 != 1:
-        return m[0]
+        return None
     body = by_class(s[4:], "iban" + s[:2], key)
     return refill(m[0], f"{s[:2]}{98 - iban_number(s[:2] + '00' + body) % 97:02}{body}")
 
@@ -190,7 +191,7 @@ def access_key(m: re.Match, key: bytes) -> str:
     return m[0][:4] + by_class(m[0][4:], "access", key)
 
 
-#: Fixed patterns, by kind, tried in this order.
+#: Fixed patterns, by kind, tried in this order, with what replaces a match; None: it fails validation.
 KINDS = {
     "mail": (r"(?<![\w.%+-])[\w.%+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63})+", mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
@@ -203,6 +204,7 @@ KINDS = {
     "card": (r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)", card),
 }
 _GROUPS = re.compile(r"\\(\d)")
+_ALONE = {name: re.compile(pattern) for name, (pattern, _) in KINDS.items()}
 
 
 def compiled() -> re.Pattern:
@@ -218,20 +220,41 @@ def compiled() -> re.Pattern:
 _HINT = re.compile(rf"[0-9@]|{NAMES}\s{{0,3}}[=:]")
 
 
+def replaced(text: str, at: int, first: str, key: bytes) -> tuple[str, int, str] | None:
+    """Kind, end and pseudonym of the first valid value at ``at``: kinds from ``first`` on, of each the longest run first."""
+    kinds = list(KINDS)
+    for kind in kinds[kinds.index(first) :]:
+        m = _ALONE[kind].match(text, at)
+        if not m:
+            continue
+        stops = [at + i for i, c in enumerate(m[0]) if c in " -"]
+        for stop in (m.end(), *reversed(stops)):
+            # The run ends before a separator, so what follows it needs no look.
+            run = _ALONE[kind].fullmatch(text, at, stop) if stop < m.end() else m
+            new = KINDS[kind][1](run, key) if run else None
+            if new is not None:
+                return kind, stop, new
+    return None
+
+
 def pseudonyms(text: str | None, key: bytes, pattern: re.Pattern) -> tuple[str | None, list[str]]:
     """The text with its values replaced, and the kinds of the values that were."""
     if not text or not _HINT.search(text):
         return text, []
     found: list[str] = []
-
-    def one(m: re.Match) -> str:
+    out, done, at = [], 0, 0
+    while m := pattern.search(text, at):
         kind = m.lastgroup[2:] if m.lastgroup and m.lastgroup.startswith("k_") else next(k for k in KINDS if m[f"k_{k}"] is not None)
-        new = KINDS[kind][1](m, key)
-        if new != m[0]:
+        hit = replaced(text, m.start(), kind, key)
+        if hit is None:
+            at = m.start() + 1
+            continue
+        kind, at, new = hit
+        if new != text[m.start() : at]:
             found.append(kind)
-        return new
-
-    return pattern.sub(one, text), found
+        out += [text[done : m.start()], new]
+        done = at
+    return "".join([*out, text[done:]]), found
 
 
 def pseudonymised(docs: DataFrame, key: bytes = KEY, counts: bool = True) -> DataFrame:

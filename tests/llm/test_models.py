@@ -47,6 +47,15 @@ def test_invalid_values_and_plain_text_stay(text):
     assert out(text) == text
 
 
+@pytest.mark.parametrize("before,value,after", [
+    ("", "4111 1111 1111 1111", " 12/25"), ("", "4111 1111 1111 1111", " 737 ok"), ("", "4111111111111111", " 123"), ("", "4111-1111-1111-1111", " 12"), ("3 ", "4111 1111 1111 1111", " 99"),
+    ("AB12 ", "4111 1111 1111 1111", ""), ("", "GB82 WEST 1234 5698 7654 32", " OK"), ("", "GB82WEST12345698765432", " PAY NOW"), ("", "GB82 WEST 1234 5698 7654 32", " 2024"),
+])
+def test_values_that_digits_or_words_follow(before, value, after):
+    alone, new = out(value), out(f"so {before}{value}{after}")
+    assert alone != value and new == f"so {before}{alone}{after}"
+
+
 @pytest.mark.parametrize("head", ["TOKEN = \"", "Password: ", "PASSWD=", "API_KEY=", "api-key: '", "Secret = "])
 @pytest.mark.parametrize("value,shape", [("9233A8EC0B7D41F6", "[0-9A-F]{16}"), ("hunterXYZword", "[a-z]{6}[A-Z]{3}[a-z]{4}"), ("9233a8ec0b7d41f6", "[0-9a-f]{16}")])
 def test_secrets_of_any_case_are_replaced(head, value, shape):
