@@ -42,6 +42,8 @@ NUMERATOR, DENOMINATOR = 3, 4
 BLOCK = 64
 MAX_FREQUENT = 1 << 20
 FREQUENT = 1 << 30
+#: Keys of repeated rows that are sent to all tasks at most; more are joined by a shuffle.
+MAX_HINTED = 100_000
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -66,12 +68,14 @@ def shingle_sets(texts: list) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
 
 
 def _describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows: doc_id, n_shingles, cls (null without shingles); and shingles frequent in a run, as (cls: shingle, n_shingles: count)."""
+    """Rows: all columns but the text, n_shingles, cls (null without shingles); and shingles frequent in a run, as (cls: shingle, n_shingles: count)."""
     for batch in it:
+        own = [c for c in batch.schema.names if c != "text"]
+        names = [*own, "n_shingles", "cls", "is_shingle"]
         for at, win, cuts, n, cls in shingle_sets(batch.column("text").to_pylist()):
-            ids = batch.column("doc_id").slice(at, len(n))
+            ids = [batch.column(c).slice(at, len(n)) for c in own]
             cls_col = pa.array(cls, mask=n == 0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), cls_col, pa.array(np.zeros(len(n), bool))], ["doc_id", "n_shingles", "cls", "is_shingle"])
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(n, pa.int64()), cls_col, pa.array(np.zeros(len(n), bool))], names)
             _, first = np.unique(cls, return_index=True)
             alone = np.zeros(len(n), bool)
             alone[first] = True
@@ -80,7 +84,7 @@ def _describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             often = c >= max(8, len(some) // (MAX_FREQUENT // 2))
             if often.any():
                 k = int(often.sum())
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, ids.type), pa.array(c[often], pa.int64()), pa.array(u[often].astype(np.int64)), pa.array(np.ones(k, bool))], ["doc_id", "n_shingles", "cls", "is_shingle"])
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(k, x.type) for x in ids], pa.array(c[often], pa.int64()), pa.array(u[often].astype(np.int64)), pa.array(np.ones(k, bool))], names)
 
 
 def _pack(cls: np.ndarray, n: np.ndarray, tok: np.ndarray) -> bytes:
@@ -400,29 +404,45 @@ def class_components(sets: DataFrame) -> DataFrame:
     return placed.join(joined.select(F.col("v").alias("comp"), F.col("label")), "comp", "left").select(F.col("v").alias("cls"), F.coalesce("label", "comp").alias("label"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    id_type = dict(docs.dtypes)["doc_id"]
-    described = checkpoint(docs.select("doc_id", "text").mapInArrow(_describe, f"doc_id {id_type}, n_shingles bigint, cls bigint, is_shingle boolean"))
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All columns of ``docs`` but the text, n_shingles and cls of every row; cls and label, its component, of every class."""
+    own = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
+    described = checkpoint(docs.mapInArrow(_describe, f"{own}, n_shingles bigint, cls bigint, is_shingle boolean"))
     rows = described.filter("not is_shingle").drop("is_shingle")
     sets = shared_shingles(docs, described)
     release(docs.sparkSession)  # of the postings
     labels = checkpoint(class_components(sets))
     release(docs.sparkSession)  # of the comparisons
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    named = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    return rows, classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    rows, named = grouped(docs.select("doc_id", "text"))
     groups = named.groupBy("label").agg(F.min("least").alias("component_id"))
     component = named.join(groups, "label").select("cls", "component_id")
     return rows.join(component, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group of near duplicates, the one whose doc_id names the group.
+    """The rows of ``docs`` that stay: exactly one of each group of near duplicates, and every row without words.
 
-    Rows that repeat such a doc_id keep their least text; rows with null doc_id stay if nothing in their group has one.
+    Of a group stays the row of the least doc_id (null comes last), then by digests of the text and of the whole row;
+    of rows that are equal in all columns stays any one.
     """
-    joined = near_duplicates(docs.select("doc_id", "text"))
-    stay = joined.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    kept = rows.join(stay, F.col("_row.doc_id").eqNullSafe(F.col("_id")))
+    rows = rows.select("_row", F.unhex(F.md5(F.to_json("_row"))).alias("_k"))
+    own, named = grouped(rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), F.unhex(F.md5("_row.text")).alias("t"), F.col("_k").alias("k")))
+    # Equal rows are one from here on, so a group costs no more than its different rows.
+    several = own.groupBy("cls", "doc_id", "t", "k").agg(F.count("*").alias("n")).join(named.select("cls", "label"), "cls", "left")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "k", "n")
+    best = several.filter("label is not null").groupBy("label").agg(F.min(order).alias("b")).select(F.col("b.k").alias("_k"), (F.col("b.n") > 1).alias("repeats"))
+    stay = checkpoint(best.union(several.filter("label is null").select("k", F.lit(False)).distinct()))
+    repeats = stay.filter("repeats").select("_k")
+    many = repeats.count()
+    kept = rows.join(stay.filter("not repeats").select("_k"), "_k").select("_row")
+    if many:
+        found = rows.join(F.broadcast(repeats) if many <= MAX_HINTED else repeats, "_k")
+        kept = kept.union(found.groupBy("_k").agg(F.first("_row").alias("_row")).select("_row"))
     return kept.select("_row.*")

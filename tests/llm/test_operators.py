@@ -249,6 +249,23 @@ def test_representatives_keep_one_row_each(docs, rows):
     assert kept.filter("doc_id is not null").select("doc_id").distinct().count() == comps
 
 
+def test_representatives_keep_exactly_one_row_of_each_group(spark):
+    near = [" ".join(f"{g}{i}" for i in range(60)) for g in "abcdef"]
+    rows = [
+        *[(1, near[0], "x")] * 3,  # one row, repeated
+        (3, near[1], "x"), (5, near[1] + " more", "x"), (5, near[2], "x"),  # id 5 is a near copy of 3, and another row is alone
+        (None, near[3], "x"), (None, near[3] + " more", "y"),  # nothing has an id
+        (7, near[4], "x"), (None, near[4] + " more", "x"),
+        (9, near[5], "x"), (9, near[5], "y"), (9, near[5] + " more", "x"),
+        *[(11, " ", "x")] * 2, (None, None, "x"),  # no words: each alone
+    ]
+    kept = [tuple(r) for r in jaccard.representatives(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()]
+    group = lambda r: r[1][:2] if r[1] and r[1].strip() else None
+    assert collections.Counter(map(group, kept)) == {"a0": 1, "b0": 1, "c0": 1, "d0": 1, "e0": 1, "f0": 1, None: 3}
+    assert {group(r): r[0] for r in kept if group(r)} == {"a0": 1, "b0": 3, "c0": 5, "d0": None, "e0": 7, "f0": 9}
+    assert all(r in rows for r in kept)
+
+
 def test_graph_components(spark):
     edges = [(i, i + 1) for i in range(50, 90)] + [(1, 9), (9, 4), (4, 1), (7, 7)]
     got = {r["v"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
