@@ -355,7 +355,7 @@ on_graph("O12", "SELECT label, node_id FROM (SELECT label, node_id, row_number()
 )
 on_graph("W06", "SELECT src, min(dst) AS dst FROM calls GROUP BY src")(lambda g: g.of_type("CALLS").groupBy("src").agg(F.min("dst").alias("dst")))
 on_graph("W04", "SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS k FROM calls) WHERE k <= 4")(lambda g: g.of_type("CALLS").select("src", "dst", F.row_number().over(Window.partitionBy("src").orderBy("dst")).alias("k")).filter("k <= 4").select("src", "dst"))
-on_graph("W05", None)(lambda g: sampling.packed(paths.expand(g, seeds(g, "Function", 40), "bfs", 1, 30).join(g.nodes.filter("end_line IS NOT NULL").select(c("node_id").alias("node"), (c("end_line") - c("start_line")).alias("size")), "node"), 60))
+on_graph("W05", None)(lambda g: sampling.packed(paths.expand(g, seeds(g, "Function", 1), "bfs", 1, 30).join(g.nodes.filter("end_line IS NOT NULL").select(c("node_id").alias("node"), (c("end_line") - c("start_line")).alias("size")), "node"), 60))
 on_graph("W07", "SELECT node_id, row_number() OVER (ORDER BY node_id) - 1 AS seq FROM nodes")(lambda g: sampling.numbered(g.nodes.select("node_id"), ["node_id"], "seq", ""))
 on_table("W08", "documents", "SELECT doc_id, printf('prompt_%04d', row_number() OVER (ORDER BY doc_id) - 1) AS prompt FROM documents")(lambda d: sampling.numbered(d.select("doc_id"), ["doc_id"], "prompt"))
 
@@ -456,4 +456,4 @@ on_log("A30", "SELECT count(*) AS n, count(*) FILTER (return_code = 0) AS succes
 on_log("A31", "SELECT date_trunc('hour', ts) AS begin, count(*) AS n FROM log GROUP BY 1")(lambda d: d.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select(c("w.start").alias("begin"), "n"))
 on_graph("W01", "SELECT src, min(dst) AS dst FROM edges WHERE type = 'INHERITS' GROUP BY src")(lambda g: g.of_type("INHERITS").groupBy("src").agg(F.min("dst").alias("dst")))
 
-from plexus import catalog_names, catalog_sources  # noqa: E402, F401
+from plexus import catalog_names, catalog_sources, catalog_whole  # noqa: E402, F401

@@ -127,3 +127,17 @@ def test_context_text(spark):
     edges = spark.createDataFrame([(1, 2, "DEFINES"), (1, 3, "DEFINES"), (1, 4, "DEFINES"), (2, 3, "CALLS"), (4, 5, "INHERITS")], "src long, dst long, type string")
     ctx = spark.createDataFrame([(2, 2), (2, 3), (2, 4), (2, 99)], "seed long, node long")
     assert graph_context(PropertyGraph(nodes, edges), ctx).first()["context"] == "## File Structure\n\n### a.py\n  - [Function] f\n  - [Function] g\n  - [Class] K\n\n## Call Graph\n  f -> g\n\n## Inheritance\n  K extends L"
+
+
+WHOLE = ["T10_all", "T10_capped_all", "T11_all", "T12_all", "T13_all", "T14_all", "T19_all", "J18_all", "F35_all", "O11_all"]
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_whole_query_equals_its_sql(spark, duck, name):
+    test_query_equals_its_sql(spark, duck, name)
+
+
+@pytest.mark.parametrize("name", ["T10_all", "T14_all", "T19_all", "W05"])
+def test_every_function_is_a_seed(spark, duck, name):
+    want = {r[0] for r in duck.sql("SELECT 40000000000 + p_partkey FROM part").fetchall()}
+    assert {r.seed for r in catalog.QUERIES[name](spark, SF).select("seed").distinct().collect()} == want
