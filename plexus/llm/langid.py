@@ -107,9 +107,9 @@ def logits(model: dict, own: list[bytes]) -> np.ndarray:
     out, count = np.zeros((len(own), len(columns))), np.zeros(len(own))
     for n, slots in zip(ORDERS, subwords(data), strict=False):
         stop = np.maximum(ends + 2 - n, begin)  # the spaces around a text belong to it
-        cut = np.minimum(np.stack((begin, stop), axis=1).ravel(), len(slots) - 1)
+        cut = np.minimum(np.stack((begin, stop), axis=1).ravel(), len(slots))
         some, slots = (stop > begin)[:, None], slots.astype(np.intp)
-        sums = np.stack([np.add.reduceat(np.take(column, slots), cut)[::2] for column in columns], axis=1)
+        sums = np.stack([np.add.reduceat(np.append(np.take(column, slots), np.float32(0)), cut)[::2] for column in columns], axis=1)
         out += np.where(some, sums, 0)
         count += stop - begin
     return out / np.maximum(count, 1)[:, None] + model["bias"]

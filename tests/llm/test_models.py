@@ -107,6 +107,14 @@ def test_logits_are_means_over_whole_texts():
         assert np.allclose(z, want, atol=1e-4)
 
 
+@pytest.mark.parametrize("texts", [["x", "the dog and more"], ["der hund"], ["", "x"], ["the dog", "x"]])
+def test_logits_of_the_last_text_are_whole(texts):
+    m = {"table": np.random.default_rng(4).normal(0, 1, (langid.SLOTS, 3)).astype(np.float32), "bias": np.zeros(3)}
+    for t, z in zip(texts, langid.logits(m, [t.encode() for t in texts]), strict=True):
+        s = langid.text_slots(t)
+        assert np.allclose(z, m["table"][s].mean(axis=0) if len(s) else 0, atol=1e-4)
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.predict(docs, labels).join(labels, "doc_id").filter("held_out").collect()
