@@ -35,3 +35,7 @@ on_graph("J18_all", "SELECT a.dst AS node_id, b.dst AS sibling FROM edges a JOIN
 )
 on_graph("F35_all", (FILE + CONTEXT).replace(*EVERY))(lambda g: render.graph_context(g, file_centric(g)))
 on_graph("O11_all", (FILE + CONTEXT[: CONTEXT.index("cl AS")].rstrip(",\n")).replace(*EVERY) + " SELECT seed, file, b AS block FROM bl ORDER BY seed, file")(lambda g: render.file_blocks(g, file_centric(g)).orderBy("seed", "file"))
+
+# Whole jobs without SQL, as the plain names do less ------------------------------------------------------------------------
+
+on_graph("T06_imports", None)(lambda g: paths.chains(g, "IMPORTS", ("Module",), 2, 4, 1))

@@ -141,3 +141,15 @@ def test_whole_query_equals_its_sql(spark, duck, name):
 def test_every_function_is_a_seed(spark, duck, name):
     want = {r[0] for r in duck.sql("SELECT 40000000000 + p_partkey FROM part").fetchall()}
     assert {r.seed for r in catalog.QUERIES[name](spark, SF).select("seed").distinct().collect()} == want
+
+
+def test_import_chains_are_the_brute_force_ones(spark):
+    from plexus.plans.graph import PropertyGraph
+
+    edges = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (2, 5), (6, 7)]
+    nodes = spark.createDataFrame([(i, "Module", "r1.test_m" if i == 7 else f"r{i % 2}.n{i}") for i in range(1, 8)], "node_id long, label string, qualified_name string")
+    g = PropertyGraph(nodes, spark.createDataFrame([(a, b, "IMPORTS") for a, b in edges] + [(1, 6, "INHERITS")], "src long, dst long, type string"))
+    want = {",".join(map(str, p)) for s in range(1, 7) for p in brute(edges, s, 4) if len(p) > 2 and 7 not in p}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(catalog, "graph", lambda *_: g)
+        assert {r["path"] for r in catalog.QUERIES["T06_imports"](spark, SF).collect()} == want
