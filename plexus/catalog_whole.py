@@ -25,6 +25,8 @@ on_graph("T10_capped_all", _reach[:_cut] + f"SELECT seed, node, depth FROM (SELE
 on_graph("T11_all", SIBLINGS.replace(*EVERY))(lambda g: paths.chain_with_siblings(g, seeds(g, "Function", 1)))
 on_graph("T12_all", REACH.format(label="Function", n=1, d=3, g="SELECT dst AS src, src AS dst FROM calls"))(lambda g: paths.expand(g, seeds(g, "Function", 1), "callers", 3, UNCAPPED))
 on_graph("T13_all", REACH.format(label="Function", n=1, d=4, g="SELECT src, dst FROM calls"))(lambda g: paths.expand(g, seeds(g, "Function", 1), "callees", 4, UNCAPPED))
+IMPORT_TREE = "SELECT src, dst FROM edges WHERE type IN ('IMPORTS', 'DEFINES') UNION ALL SELECT dst, src FROM edges WHERE type = 'IMPORTS'"
+on_graph("T15_all", REACH.format(label="Module", n=1, d=3, g=IMPORT_TREE))(lambda g: paths.expand(g, seeds(g, "Module", 1), "imports", 3, UNCAPPED))
 file_centric = lambda g: paths.file_centric(g, seeds(g, "Function", 1), resolve.defining_module(g))
 on_graph("T14_all", FILE.replace(*EVERY) + " SELECT seed, node FROM fc")(file_centric)
 on_graph("T19_all", """, k AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS r FROM calls) WHERE r <= 4),

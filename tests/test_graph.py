@@ -129,7 +129,7 @@ def test_context_text(spark):
     assert graph_context(PropertyGraph(nodes, edges), ctx).first()["context"] == "## File Structure\n\n### a.py\n  - [Function] f\n  - [Function] g\n  - [Class] K\n\n## Call Graph\n  f -> g\n\n## Inheritance\n  K extends L"
 
 
-WHOLE = ["T10_all", "T10_capped_all", "T11_all", "T12_all", "T13_all", "T14_all", "T19_all", "J18_all", "F35_all", "O11_all"]
+WHOLE = ["T10_all", "T10_capped_all", "T11_all", "T12_all", "T13_all", "T14_all", "T15_all", "T19_all", "J18_all", "F35_all", "O11_all"]
 
 
 @pytest.mark.parametrize("name", WHOLE)
