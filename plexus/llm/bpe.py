@@ -5,8 +5,9 @@ to end, and an index maps each pair that has a merge to all its positions. Activ
 all positions of the lowest active rank are merged at once, and the lists of the pairs beside them are updated. A pair
 that holds a merge's result has a higher rank than the merge, so each rank is applied once.
 
-Words merged so far are kept per partition up to ``REMEMBER`` words; beyond that the memory starts anew, which changes
-nothing in the results.
+Words merged so far are kept per partition, by their letters, up to ``REMEMBER`` words or eight times as many ids; beyond
+that the memory starts anew, which changes nothing in the results. Words of a run are sorted by a hash and then compared
+letter by letter, so a word never takes another one's ids.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; very long texts are encoded whole;
 repeated rows are alike; an empty table gives no rows; further columns are ignored.
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plexus.llm.textnum import span_hashes
+from plexus.llm.textnum import span_ids
 
 VOCABULARY = "byte_bpe_50k.json"
 REMEMBER = 400_000
@@ -201,20 +202,22 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[str, int] = {}
         self.ids, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _look_up(self, text: str, codes: np.ndarray, start: np.ndarray, end: np.ndarray, new_words: list[bytes]) -> np.ndarray:
         """The number of each word in memory; words that are new get the next numbers and join ``new_words``."""
-        distinct, where, back = np.unique(span_hashes(codes, start, end), return_index=True, return_inverse=True)
+        number, first = span_ids(codes, start, end)
         known = self.known
-        at = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int32, len(distinct))
+        words = [text[i:j] for i, j in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        at = np.fromiter((known.get(w, -1) for w in words), np.int32, len(words))
         new = np.flatnonzero(at < 0)
         if new.size:
             at[new] = np.arange(len(known), len(known) + len(new))
-            known.update(zip(distinct[new].tolist(), at[new].tolist(), strict=True))
-            new_words += [text[i:j].encode() for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)]
-        return at[back]
+            fresh = [words[i] for i in new.tolist()]
+            known.update(zip(fresh, at[new].tolist(), strict=True))
+            new_words += [w.encode() for w in fresh]
+        return at[number]
 
     def _words(self, texts: list[str], new_words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of texts without special tokens, and where each text's end."""
@@ -267,7 +270,7 @@ class Encoder:
                 yield found[0] if len(found) == 1 else np.concatenate(found) if found else np.zeros(0, np.int32)
             runs.clear()
             plan.clear()
-            if len(self.known) > self.remember:
+            if len(self.known) > self.remember or len(self.ids) > 8 * self.remember:
                 self._forget()
 
         for t in texts:

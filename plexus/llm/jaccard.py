@@ -1,26 +1,31 @@
 """N-gram Jaccard join (operator 7): a distributed prefix-tree join of word shingle sets.
 
-1. Every text becomes a set of shingle hashes. Equal sets are one class from here on, so copies cost nothing further.
+1. Every text becomes a set of 64-bit shingle hashes. Equal sets are one class from here on, so copies cost nothing
+   further. Two hashes name a class; classes that share the first are told apart by the second.
 2. Shingles are counted by hash range, in compact blocks. Shingles of one class cannot be shared; they come first in the
-   global order (rarest first, then by hash) and are never stored. Shingles so frequent that their lists would outgrow a
-   range (at most MAX_FREQUENT of them, by their share of all shingles) are told apart beforehand and come last.
+   global order (rarest first, then by hash) and are never stored. Each task keeps a summary of its frequent shingles;
+   those with a share of 1 / SUMMARY of all shingles, whose lists would outgrow a range, are found by it for certain,
+   skip the ranges and come last in the order.
 3. A class whose shared shingles number less than 75 % of its set has no partner and is dropped. The others keep
-   their shared shingles in the global order; the first few of them, as many as a partner may lack, are its prefix.
-   Partners have a prefix shingle in common.
-4. Each class points to the class that leads most of its prefix shingles. Links to leaders are verified; pointers
-   without regard to links give clusters, cut into blocks of about BLOCK classes. Blocks are compared that lie in one
-   cluster, unless both hold one component only, or that share a prefix shingle across clusters. So a group of near
-   copies around a leader costs a row per class, and each remaining class is compared block by block, in tasks of
-   bounded size.
-5. Comparing two blocks, one is stored as a compressed prefix tree in the global order and the other's sets traverse it
-   together: the overlap gathered on a shared path is computed once, and a set leaves a subtree when what it has plus
-   what can follow cannot reach the overlap that the sizes demand.
-
-No pair is emitted for copies, no group is cut short, and each task holds two blocks or one hash range.
+   their shared shingles in the global order. A class is listed under each of the first of them, as many as a partner
+   may lack, with the largest partner that it may have if that shingle is the first one in common: what it lists before
+   is lost, and so the overlap is at most what follows. Entries that allow no partner of their list's sizes go.
+4. In every list the class that allows the largest partner leads. The leader traverses a prefix tree of the sets it leads
+   (in blocks of about BLOCK shingles). The links found give components, so a group of near copies costs a row for
+   each class and list, however many pairs it has.
+5. Lists that hold two components still are open. Lists of equal members are one. In each, the sets outside its largest
+   component traverse prefix trees of all its sets, both sides cut into blocks of about BLOCK shingles.
+6. A prefix tree stores the sets of a block in the global order. Sets that traverse it gather the overlap of a shared path
+   once, leave a subtree when what they have plus what can follow is less than the sizes demand, and skip subtrees
+   whose sets all lie in their own component already.
+
+No pair is emitted, no group is cut short, and each task holds two blocks or one hash range. What stays quadratic: sets
+of one list that pass the size bounds, link with neither its leader nor each other, and so stay open.
 
 Defined results: null and empty texts and texts without words have no shingles and are alone; a text of fewer than five
 words is one shingle; very long texts are taken whole; rows of one doc_id are joined like others; rows with null doc_id
-are joined, and a component's id is its least non-null doc_id; an empty table gives no rows; further columns are ignored.
+are joined, and a component's id is its least non-null doc_id; ties go to the larger class; repeated rows are one class;
+an empty table gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,30 +34,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.llm.common import checkpoint, release, shuffle_partitions
-from plexus.llm.components import components, roots
+from plexus.llm.components import components
 from plexus.llm.textnum import batches, hashed_words, mix64, windows
 
 SHINGLE = 5
 #: A link needs NUMERATOR / DENOMINATOR at least.
 NUMERATOR, DENOMINATOR = 3, 4
-BLOCK = 64
+#: Shingles of a block that is compared at once.
+BLOCK = 1 << 18
+#: Cells of the table by which sets traverse a tree at once.
+CELLS = 1 << 22
+#: Entries of a task's summary of frequent shingles, and the frequent shingles of all at most.
+SUMMARY = 1 << 16
 MAX_FREQUENT = 1 << 20
 FREQUENT = 1 << 30
+#: Classes that a task remembers to have sent.
+REMEMBER = 1 << 20
 #: Keys of repeated rows that are sent to all tasks at most; more are joined by a shuffle.
 MAX_HINTED = 100_000
-_LOW48 = np.uint64((1 << 48) - 1)
 
 
-def shingle_sets(texts: list) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of texts: first index, distinct shingles, where each text's begin (and the total), set sizes, classes."""
+def shingle_sets(texts: list) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of texts: first index, distinct shingles, where each text's begin (and the total), set sizes, two hashes of each set."""
     for at, own in batches(texts):
         h, bounds = hashed_words([b.lower() for b in own])
         win, text, _ = windows(h, bounds, SHINGLE, whole=True)
-        win = win & _LOW48
         order = np.lexsort((win, text))
         win, text = win[order], text[order]
         keep = np.ones(len(win), bool)
@@ -60,50 +70,79 @@ def shingle_sets(texts: list) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.
         win, text = win[keep], text[keep]
         cuts = np.searchsorted(text, np.arange(len(own) + 1))
         n = np.diff(cuts)
-        # Two sums of mixed hashes name a set whatever the order.
+        # Sums of mixed hashes name a set whatever the order.
         parts = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(win + np.uint64(k))))) for k in (1, 1 << 50)]
         sums = [p[cuts[1:]] - p[cuts[:-1]] for p in parts]
-        cls = (mix64(sums[0] * np.uint64(0x9E3779B97F4A7C15) + sums[1]) >> np.uint64(1)).astype(np.int64)
-        yield at, win, cuts, n, cls
+        cls, check = ((mix64(x) >> np.uint64(1)).astype(np.int64) for x in (sums[0] * np.uint64(0x9E3779B97F4A7C15) + sums[1], sums[1] + n.astype(np.uint64)))
+        yield at, win, cuts, n, cls, check
+
+
+class Frequent:
+    """A Misra-Gries summary: what has a share of 1 / SUMMARY of all that was added is in it."""
+
+    def __init__(self):
+        self.item, self.count, self.seen, self.taken = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0
+
+    def add(self, items: np.ndarray) -> None:
+        self.seen += len(items)
+        self.item, back = np.unique(np.concatenate((self.item, items)), return_inverse=True)
+        self.count = np.bincount(back, np.concatenate((self.count, np.ones(len(items), np.int64))), len(self.item)).astype(np.int64)
+        if len(self.item) > SUMMARY:
+            least = np.partition(self.count, len(self.count) - SUMMARY - 1)[len(self.count) - SUMMARY - 1]
+            keep = self.count > least
+            self.item, self.count, self.taken = self.item[keep], self.count[keep] - least, self.taken + int(least)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        """Items, and their counts at most."""
+        often = self.count + self.taken >= max(8, self.seen // SUMMARY)
+        return self.item[often], self.count[often] + self.taken
 
 
 def _describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows: all columns but the text, n_shingles, cls (null without shingles); and shingles frequent in a run, as (cls: shingle, n_shingles: count)."""
+    """Rows: all columns but the text, n_shingles, cls and check (null without shingles); and frequent shingles, as (cls: shingle, n_shingles: count)."""
+    frequent, empty = Frequent(), None
     for batch in it:
         own = [c for c in batch.schema.names if c != "text"]
-        names = [*own, "n_shingles", "cls", "is_shingle"]
-        for at, win, cuts, n, cls in shingle_sets(batch.column("text").to_pylist()):
+        names = [*own, "n_shingles", "cls", "check", "is_shingle"]
+        for at, win, cuts, n, cls, check in shingle_sets(batch.column("text").to_pylist()):
             ids = [batch.column(c).slice(at, len(n)) for c in own]
-            cls_col = pa.array(cls, mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(n, pa.int64()), cls_col, pa.array(np.zeros(len(n), bool))], names)
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(n, pa.int64()), pa.array(cls, mask=n == 0), pa.array(check, mask=n == 0), pa.array(np.zeros(len(n), bool))], names)
             _, first = np.unique(cls, return_index=True)
             alone = np.zeros(len(n), bool)
             alone[first] = True
-            some = win[np.repeat(alone, n)]
-            u, c = np.unique(some, return_counts=True)
-            often = c >= max(8, len(some) // (MAX_FREQUENT // 2))
-            if often.any():
-                k = int(often.sum())
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(k, x.type) for x in ids], pa.array(c[often], pa.int64()), pa.array(u[often].astype(np.int64)), pa.array(np.ones(k, bool))], names)
+            frequent.add(win[np.repeat(alone, n)])
+            empty = [x.type for x in ids]
+    item, count = frequent.found()
+    for i in range(0, len(item), 1 << 16):
+        some = item[i : i + (1 << 16)]
+        k = len(some)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(k, t) for t in empty], pa.array(count[i : i + k], pa.int64()), pa.array(some.view(np.int64)), pa.nulls(k, pa.int64()), pa.array(np.ones(k, bool))], names)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+
+
+def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    start = _starts(keys)
+    return zip(start.tolist(), np.append(start[1:], len(keys)).tolist() if len(keys) else [], strict=True)
 
 
 def _pack(cls: np.ndarray, n: np.ndarray, tok: np.ndarray) -> bytes:
-    """Postings sorted by class as class, set size and count per class, and six bytes per shingle."""
-    start = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
+    """Postings sorted by class as class, set size and count per class, and eight bytes per shingle."""
+    start = _starts(cls)
     count = np.diff(np.append(start, len(cls)))
     head = np.array([len(start), len(tok)], np.int64)
-    return head.tobytes() + cls[start].tobytes() + n[start].astype(np.int32).tobytes() + count.astype(np.int32).tobytes() + tok.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return head.tobytes() + cls[start].tobytes() + n[start].astype(np.int32).tobytes() + count.astype(np.int32).tobytes() + tok.tobytes()
 
 
 def _unpack(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    k, m = np.frombuffer(b, np.int64, 2)
-    k, m = int(k), int(m)
+    k, m = map(int, np.frombuffer(b, np.int64, 2))
     cls = np.frombuffer(b, np.int64, k, 16)
     n = np.frombuffer(b, np.int32, k, 16 + 8 * k)
     count = np.frombuffer(b, np.int32, k, 16 + 12 * k)
-    raw = np.zeros((m, 8), np.uint8)
-    raw[:, :6] = np.frombuffer(b, np.uint8, 6 * m, 16 + 16 * k).reshape(m, 6)
-    return np.repeat(cls, count), np.repeat(n, count), raw.view(np.uint64).ravel()
+    return np.repeat(cls, count), np.repeat(n, count), np.frombuffer(b, np.uint64, m, 16 + 16 * k)
 
 
 def _by_key(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
@@ -136,47 +175,47 @@ def _labels(spark, n: int) -> list[int]:
     return [found.get(i, i) for i in range(n)]
 
 
-def shared_shingles(docs: DataFrame, described: DataFrame) -> DataFrame:
+def _holds(found: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted ``found``."""
+    if not len(found):
+        return np.zeros(len(values), bool)
+    return found[np.minimum(np.searchsorted(found, values), len(found) - 1)] == values
+
+
+def shared_shingles(docs: DataFrame, described: DataFrame, doubled: np.ndarray) -> DataFrame:
     """cls, n, r, tok, df: classes that may have partners, with their shared shingles in the global order."""
     spark = docs.sparkSession
     labels = _labels(spark, shuffle_partitions(spark))
     parts = len(labels)
     total = described.filter("not is_shingle").agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("t")).first()["t"]
     often = described.filter("is_shingle").groupBy("cls").agg(F.sum("n_shingles").alias("c")).filter(F.col("c") >= max(16, total // MAX_FREQUENT))
-    # Each holds a share of 1 / MAX_FREQUENT of all shingles at least, so there are no more than that.
-    frequent = spark.sparkContext.broadcast(np.sort(np.array([r["cls"] for r in often.select("cls").collect()], np.int64)).astype(np.uint64))
-
-    def is_frequent(tok: np.ndarray) -> np.ndarray:
-        f = frequent.value
-        if not len(f):
-            return np.zeros(len(tok), bool)
-        return f[np.minimum(np.searchsorted(f, tok), len(f) - 1)] == tok
+    # Each holds a share of about 1 / MAX_FREQUENT of all shingles at least, which bounds their number.
+    frequent = spark.sparkContext.broadcast(np.sort(np.array([r["cls"] for r in often.select("cls").collect()], np.int64).view(np.uint64)))
 
     def post(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in it:
-            for _, win, cuts, n, cls in shingle_sets(batch.column("text").to_pylist()):
+            for _, win, cuts, n, cls, check in shingle_sets(batch.column("text").to_pylist()):
+                cls = np.where(_holds(doubled, cls), check, cls)
                 fresh = np.zeros(len(n), bool)
                 for i, c in enumerate(cls.tolist()):
                     if c not in seen and n[i]:
                         seen.add(c)
                         fresh[i] = True
+                if len(seen) > REMEMBER:  # what is sent twice is counted once all the same
+                    seen.clear()
                 keep = np.repeat(fresh, n)
                 tok, own = win[keep], np.repeat(np.arange(len(n)), n)[keep]
-                if not len(tok):
-                    continue
-                common = is_frequent(tok)
-                bucket = np.where(common, parts + cls[own] % parts, (mix64(tok) % np.uint64(parts)).astype(np.int64))
+                bucket = np.where(_holds(frequent.value, tok), parts + cls[own] % parts, (mix64(tok) % np.uint64(parts)).astype(np.int64))
                 order = np.lexsort((own, bucket))
                 tok, own, bucket = tok[order], own[order], bucket[order]
-                starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                stops = np.append(starts[1:], len(tok))
                 keys, blocks = [], []
-                for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+                for a, b in _runs(bucket):
                     k = int(bucket[a])
                     keys.append(labels[k] if k < parts else -1 - labels[k - parts])
                     blocks.append(_pack(cls[own[a:b]], n[own[a:b]], tok[a:b]))
-                yield _rows(keys, blocks)
+                if keys:
+                    yield _rows(keys, blocks)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """From shingle ranges to classes: shingles of two classes at least, with their counts."""
@@ -190,18 +229,17 @@ def shared_shingles(docs: DataFrame, described: DataFrame) -> DataFrame:
                 new = np.ones(len(tok), bool)
                 new[1:] = (tok[1:] != tok[:-1]) | (cls[1:] != cls[:-1])
                 cls, n, tok = cls[new], n[new], tok[new]
-                start = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
-                df = np.repeat(np.diff(np.append(start, len(tok))), np.diff(np.append(start, len(tok))))
+                size = np.diff(np.append(_starts(tok), len(tok)))
+                df = np.repeat(size, size)
                 shared = df > 1
                 cls, n, tok, df = cls[shared], n[shared], tok[shared], df[shared]
             to = cls % parts
             order = np.lexsort((cls, to))
             cls, n, tok, df, to = cls[order], n[order], tok[order], df[order], to[order]
-            starts = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1]))) if len(to) else np.zeros(0, int)
             keys, blocks = [], []
-            for a, b in zip(starts.tolist(), np.append(starts[1:], len(to)).tolist(), strict=True):
+            for a, b in _runs(to):
                 keys.append(labels[int(to[a])])
-                blocks.append(_pack(cls[a:b], n[a:b], tok[a:b]) + df[a:b].astype(np.int32).tobytes())
+                blocks.append(_pack(cls[a:b], n[a:b], tok[a:b]) + np.minimum(df[a:b], FREQUENT).astype(np.int32).tobytes())
             if keys:
                 yield _rows(keys, blocks)
 
@@ -218,14 +256,12 @@ def shared_shingles(docs: DataFrame, described: DataFrame) -> DataFrame:
             new = np.ones(len(tok), bool)
             new[1:] = (tok[1:] != tok[:-1]) | (cls[1:] != cls[:-1])
             cls, n, tok, df = cls[new], n[new], tok[new], df[new]
-            start = np.flatnonzero(np.concatenate(([True], cls[1:] != cls[:-1])))
-            stop = np.append(start[1:], len(cls))
-            enough = (stop - start) * DENOMINATOR >= n[start].astype(np.int64) * NUMERATOR
-            for i in range(0, int(enough.sum()), 1000):
-                some = [(int(a), int(b)) for a, b in zip(start[enough][i : i + 1000], stop[enough][i : i + 1000], strict=True)]
+            enough = [(a, b) for a, b in _runs(cls) if (b - a) * DENOMINATOR >= int(n[a]) * NUMERATOR]
+            for i in range(0, len(enough), 1000):
+                some = enough[i : i + 1000]
                 first = [a for a, _ in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cls[first]), pa.array(n[first], pa.int32()), pa.array([b - a for a, b in some], pa.int32()), pa.array([tok[a:b].astype(np.int64).tobytes() for a, b in some], pa.binary()), pa.array([df[a:b].tobytes() for a, b in some], pa.binary())],
+                    [pa.array(cls[first]), pa.array(n[first], pa.int32()), pa.array([b - a for a, b in some], pa.int32()), pa.array([tok[a:b].tobytes() for a, b in some], pa.binary()), pa.array([df[a:b].tobytes() for a, b in some], pa.binary())],
                     ["cls", "n", "r", "tok", "df"],
                 )
 
@@ -234,16 +270,20 @@ def shared_shingles(docs: DataFrame, described: DataFrame) -> DataFrame:
     return checkpoint(_dealt(counted, labels).mapInArrow(gather, "cls bigint, n int, r int, tok binary, df binary"))
 
 
-def _prefixes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """p, cls, n and most: the size of the largest partner whose first shingle in common is p."""
     for batch in it:
-        cls, tok = [], []
-        for c, n, r, t in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            need = -(-NUMERATOR * n // DENOMINATOR)
-            own = np.frombuffer(t, np.int64)[: r - need + 1]
-            tok.append(own)
-            cls.append(np.full(len(own), c))
-        if cls:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cls)), pa.array(np.concatenate(tok))], ["cls", "p"])
+        own = [batch.column(i).to_pylist() for i in range(4)]
+        for i in range(0, len(own[0]), 200):
+            cls, tok, size, most = [], [], [], []
+            for c, n, r, t in zip(*(x[i : i + 200] for x in own), strict=True):
+                need = -(-NUMERATOR * n // DENOMINATOR)
+                k = r - need + 1
+                tok.append(np.frombuffer(t, np.int64)[:k])
+                cls.append(np.full(k, c))
+                size.append(np.full(k, n, np.int64))
+                most.append((NUMERATOR + DENOMINATOR) * (r - np.arange(k)) // NUMERATOR - n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (tok, cls, size, most)], ["p", "cls", "n", "most"])
 
 
 def needed(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
@@ -252,16 +292,17 @@ def needed(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
 
 
 class Sets:
-    """The shared shingles of a block's classes, numbered by the global order of the two blocks compared."""
+    """The shared shingles of a block's classes and the components that they lie in (each its own where none is given)."""
 
     def __init__(self, rows: list[dict]):
-        self.cls = np.array([x["cls"] for x in rows], np.int64)
+        self.comp = np.array([x["comp"] if "comp" in x else x["cls"] for x in rows], np.int64)
         self.n = np.array([x["n"] for x in rows], np.int64)
-        self.tok = [np.frombuffer(x["tok"], np.int64) for x in rows]
+        self.tok = [np.frombuffer(x["tok"], np.uint64) for x in rows]
         self.df = [np.frombuffer(x["df"], np.int32) for x in rows]
 
 
 def _ordered(a: Sets, b: Sets) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+    """The sets by numbers in the global order of the two blocks' shingles, and how many there are."""
     tok = np.concatenate(a.tok + b.tok)
     df = np.concatenate(a.df + b.df)
     _, first, back = np.unique(tok, return_index=True, return_inverse=True)
@@ -271,145 +312,170 @@ def _ordered(a: Sets, b: Sets) -> tuple[list[np.ndarray], list[np.ndarray], int]
     return parts[: len(a.tok)], parts[len(a.tok) :], len(first)
 
 
-def tree_links(a: Sets, b: Sets) -> list[tuple[int, int]]:
-    """Positions (in a, in b) of all links. The sets of ``b`` form a compressed prefix tree; those of ``a`` traverse it."""
+class Tree:
+    """The sets of a block as a compressed prefix tree: sorted, a subtree is a run of them that agree on a prefix."""
+
+    def __init__(self, sets: Sets, right: list[np.ndarray]):
+        order = sorted(range(len(right)), key=lambda j: right[j].astype(">u4").tobytes())
+        self.place = np.array(order, np.int64)
+        self.sets = [right[j] for j in order]
+        self.size = np.array([len(x) for x in self.sets], np.int64)
+        self.n, self.comp = sets.n[self.place], sets.comp[self.place]
+        self._mark()
+
+    def _mark(self) -> None:
+        self.changes = np.flatnonzero(self.comp[1:] != self.comp[:-1]) + 1
+
+    def merge(self, old: int, new: int) -> None:
+        self.comp[self.comp == old] = new
+        self._mark()
+
+    def one_component(self, lo: int, hi: int) -> bool:
+        k = int(np.searchsorted(self.changes, lo, "right"))
+        return k == len(self.changes) or int(self.changes[k]) >= hi
+
+
+def tree_links(a: Sets, b: Sets, thin: bool = False) -> list[tuple[int, int]]:
+    """Positions (in a, in b) of all links. The sets of ``b`` form a prefix tree; those of ``a`` traverse it together.
+
+    thin: links between components that are not joined yet only; ``a.comp`` is changed as they are joined.
+    """
     left, right, width = _ordered(a, b)
-    has = np.zeros((len(left), width + 1), np.int32)
-    for i, x in enumerate(left):
-        has[i, x + 1] = 1
-    upto = np.cumsum(has, axis=1)  # upto[i, k]: shingles of set i below number k
-    size = upto[:, -1]
-    order = sorted(range(len(right)), key=lambda j: right[j].tolist())
+    tree, links = Tree(b, right), []
+    step = max(1, CELLS // (width + 1))
+    for i in range(0, len(left), step):
+        links += _traverse(a, np.arange(i, min(i + step, len(left))), left, tree, width, thin)
+    return links
+
+
+def _traverse(a: Sets, some: np.ndarray, left: list[np.ndarray], tree: Tree, width: int, thin: bool) -> list[tuple[int, int]]:
+    has = np.zeros((len(some), width + 1), np.int32)
+    for k, i in enumerate(some.tolist()):
+        has[k, left[i] + 1] = 1
+    upto = np.cumsum(has, axis=1, dtype=np.int32)  # upto[k, x]: shingles of a set below number x
+    size, n = upto[:, -1], a.n[some]
     links: list[tuple[int, int]] = []
-    # A subtree is a run of the sorted sets that agree on their first `depth` shingles.
-    stack = [(0, len(order), 0, np.arange(len(left)), np.zeros(len(left), np.int64))]
+    stack = [(0, len(tree.sets), 0, np.arange(len(some)), np.zeros(len(some), np.int64))]
     while stack:
         lo, hi, depth, who, got = stack.pop()
-        one, last = right[order[lo]], right[order[hi - 1]]
+        if thin and tree.one_component(lo, hi):
+            other = a.comp[some[who]] != tree.comp[lo]
+            who, got = who[other], got[other]
+        one, last = tree.sets[lo], tree.sets[hi - 1]
         m = min(len(one), len(last))
         differ = np.flatnonzero(one[depth:m] != last[depth:m])
         end = depth + int(differ[0]) if differ.size else m
-        if end > depth:
-            got = got + (has[who][:, one[depth:end] + 1]).sum(axis=1)
-        below = [len(right[order[k]]) for k in range(lo, hi)]
+        if end > depth and who.size:
+            got = got + has[who[:, None], one[depth:end] + 1].sum(axis=1)
         after = one[end - 1] + 1 if end else 0
-        can = got + np.minimum(size[who] - upto[who, after], max(below) - end)
-        keep = can >= needed(a.n[who], b.n[[order[k] for k in range(lo, hi)]].min())
+        can = got + np.minimum(size[who] - upto[who, after], tree.size[lo:hi].max() - end)
+        keep = can >= needed(n[who], tree.n[lo:hi].min())
         who, got = who[keep], got[keep]
         if not who.size:
             continue
         k = lo
-        while k < hi and len(right[order[k]]) == end:
-            j = order[k]
-            links += [(int(i), j) for i in who[got >= needed(a.n[who], b.n[j])]]
+        while k < hi and tree.size[k] == end:
+            for i in some[who[got >= needed(n[who], tree.n[k])]].tolist():
+                u, v = int(a.comp[i]), int(tree.comp[k])
+                if not thin:
+                    links.append((i, int(tree.place[k])))
+                elif u != v:
+                    links.append((i, int(tree.place[k])))
+                    a.comp[a.comp == v] = u
+                    tree.merge(v, u)
             k += 1
         while k < hi:
-            nxt = right[order[k]][end]
+            nxt = tree.sets[k][end]
             stop = k + 1
-            while stop < hi and right[order[stop]][end] == nxt:
+            while stop < hi and tree.sets[stop][end] == nxt:
                 stop += 1
             stack.append((k, stop, end, who, got))
             k = stop
     return links
 
 
-def _verify(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether each class links with its leader."""
-    for batch in it:
-        out = []
-        for x in batch.to_pylist():
-            o = len(np.intersect1d(np.frombuffer(x["tok"], np.int64), np.frombuffer(x["ltok"], np.int64), assume_unique=True))
-            out.append(bool(o >= needed(x["n"], x["ln"])))
-        yield pa.RecordBatch.from_arrays([batch.column("cls"), batch.column("leader"), pa.array(out, pa.bool_())], ["cls", "leader", "linked"])
-
-
 def _compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the two blocks of each task, thinned to a forest over components; rows are sorted by task."""
-
-    def run(rows: list[dict]) -> list[tuple[int, int]]:
-        sides = [[x for x in rows if x["side"] == s] for s in (0, 1)]
-        a, b = Sets(sides[0]), Sets(sides[1] or sides[0])
-        comp = [np.array([x["comp"] for x in s], np.int64) for s in (sides[0], sides[1] or sides[0])]
-        parent: dict[int, int] = {}
-
-        def find(v: int) -> int:
-            while parent.setdefault(v, v) != v:
-                parent[v] = v = parent[parent[v]]
-            return v
-
-        out = []
-        for i, j in tree_links(a, b):
-            u, v = find(int(comp[0][i])), find(int(comp[1][j]))
-            if u != v:
-                parent[u] = v
-                out.append((int(comp[0][i]), int(comp[1][j])))
-        return out
-
-    def write(edges: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in edges], pa.int64()), pa.array([v for _, v in edges], pa.int64())], ["a", "b"])
+    """Links between components found by the sets of side 0 in the tree of side 1; rows are sorted by task."""
+
+    def run(rows: list[dict]) -> pa.RecordBatch:
+        a, b = (Sets([x for x in rows if x["side"] == s]) for s in (0, 1))
+        of = a.comp.copy(), b.comp.copy()
+        links = tree_links(a, b, thin=True) if len(a.n) and len(b.n) else []
+        return pa.RecordBatch.from_arrays([pa.array([int(of[s][x[s]]) for x in links], pa.int64()) for s in (0, 1)], ["a", "b"])
 
     task, rows = None, []
     for batch in it:
         for x in batch.to_pylist():
-            if (x["c1"], x["c2"]) != task and rows:
-                yield write(run(rows))
+            if (x["k"], x["i"], x["j"]) != task and rows:
+                yield run(rows)
                 rows = []
-            task = (x["c1"], x["c2"])
+            task = (x["k"], x["i"], x["j"])
             rows.append(x)
     if rows:
-        yield write(run(rows))
+        yield run(rows)
+
+
+def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) of components, from rows (k, i, j: the task; side, cls, comp). Each task's sets go to it once."""
+    full = rows.join(sets.select("cls", "n", "tok", "df"), "cls").select("k", "i", "j", "side", "comp", "n", "tok", "df")
+    return checkpoint(full.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(_compare, "a bigint, b bigint"))
+
+
+def _blocks(weight: Column) -> Column:
+    return F.ceil(weight / BLOCK).cast("int")
+
+
+def _block_of(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int")
+
+
+def _each(blocks: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), blocks - 1))
 
 
 def class_components(sets: DataFrame) -> DataFrame:
     """cls and label for classes that link with another one."""
-    prefixes = checkpoint(sets.select("cls", "n", "r", "tok").mapInArrow(_prefixes, "cls bigint, p bigint"))
-    lead = prefixes.groupBy("p").agg(F.min("cls").alias("leader"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    votes = prefixes.join(lead, "p").groupBy("cls", "leader").agg(F.count("*").alias("c"))
-    chosen = votes.groupBy("cls").agg(F.max(F.struct("c", "leader"))["leader"].alias("leader"))
-    led = sets.select("cls", "n", "tok").join(chosen.filter("cls != leader"), "cls")
-    leaders = sets.select(F.col("cls").alias("leader"), F.col("n").alias("ln"), F.col("tok").alias("ltok"))
-    stars = led.join(leaders, "leader").select("cls", "leader", "n", "tok", "ln", "ltok").mapInArrow(_verify, "cls bigint, leader bigint, linked boolean")
-    pointers = chosen.select("cls").join(stars, "cls", "left").select(
-        F.col("cls").alias("v"), F.when(F.col("linked"), F.col("leader")).otherwise(F.col("cls")).alias("comp"), F.coalesce("leader", "cls").alias("cluster")
-    )
-    placed = roots(pointers, ["comp", "cluster"])
-
-    sizes = placed.groupBy("cluster", "comp").agg(F.count("*").alias("m"))
-    # A component of more than a block's size has blocks of its own in its cluster; the others share blocks.
-    keyed = placed.join(sizes, ["cluster", "comp"]).withColumn("part", F.when(F.col("m") > BLOCK, F.col("comp")))
-    parts = sizes.withColumn("part", F.when(F.col("m") > BLOCK, F.col("comp"))).groupBy("cluster", "part").agg(F.sum("m").alias("k"), F.count("*").alias("comps"))
-    salted = keyed.join(parts.withColumnRenamed("cluster", "_c").withColumnRenamed("part", "_p"), (F.col("cluster") == F.col("_c")) & F.col("part").eqNullSafe(F.col("_p")))
-    salt = F.pmod(F.xxhash64("v", F.lit("block")), F.ceil(F.col("k") / BLOCK))
-    blocked = checkpoint(salted.select("v", "comp", "cluster", "part", F.xxhash64("cluster", F.coalesce("part", F.lit(-1)), salt).alias("block")))
-
-    # Blocks of one cluster, unless they lie in one component.
-    blocks = checkpoint(blocked.groupBy("cluster", "part", "block").agg(F.count_distinct("comp").alias("comps"), F.min("comp").alias("comp")))
-    x, y = blocks.alias("x"), blocks.alias("y")
-    alone = (F.col("x.comps") == 1) & (F.col("y.comps") == 1) & (F.col("x.comp") == F.col("y.comp"))
-    inside = x.join(y, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block"))).filter(~alone).select(F.col("x.block").alias("c1"), F.col("y.block").alias("c2"))
-    # Blocks of different clusters that share a prefix shingle.
-    where = prefixes.join(blocked.select(F.col("v").alias("cls"), "block", "cluster"), "cls").select("p", "block", "cluster").distinct()
-    spread = where.groupBy("p").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).filter("lo != hi").select("p")
-    wide = where.join(spread, "p")
-    u, w = wide.alias("u"), wide.alias("w")
-    across = u.join(w, (F.col("u.p") == F.col("w.p")) & (F.col("u.cluster") != F.col("w.cluster")) & (F.col("u.block") < F.col("w.block"))).select(F.col("u.block").alias("c1"), F.col("w.block").alias("c2")).distinct()
-    tasks = inside.union(across)
-
-    full = sets.join(blocked.select(F.col("v").alias("cls"), "comp", "block"), "cls")
-    one = tasks.join(full.withColumnRenamed("block", "c1"), "c1").withColumn("side", F.lit(0))
-    two = tasks.filter("c1 != c2").join(full.withColumnRenamed("block", "c2"), "c2").withColumn("side", F.lit(1))
-    rows = one.unionByName(two).select("c1", "c2", "side", "cls", "comp", "n", "tok", "df")
-    edges = checkpoint(rows.repartition("c1", "c2").sortWithinPartitions("c1", "c2").mapInArrow(_compare, "a bigint, b bigint"))
-    joined = components(edges)
-    return placed.join(joined.select(F.col("v").alias("comp"), F.col("label")), "comp", "left").select(F.col("v").alias("cls"), F.coalesce("label", "comp").alias("label"))
+    entries = checkpoint(sets.select("cls", "n", "r", "tok").mapInArrow(_entries, "p bigint, cls bigint, n bigint, most bigint"))
+    lists = entries.groupBy("p").agg(F.count("*").alias("c"), F.min("n").alias("least")).filter("c > 1")
+    useful = checkpoint(entries.join(lists, "p").filter("most >= least").select("p", "cls", "n", "most"))
+
+    lead = useful.groupBy("p").agg(F.max(F.struct("most", "cls"))["cls"].alias("k"))
+    led = checkpoint(useful.join(lead, "p").filter("cls != k").groupBy("k", "cls").agg(F.first("n").alias("n")))
+    blocks = led.groupBy("k").agg(_blocks(F.sum("n")).alias("blocks"))
+    none = F.lit(0).alias("i")
+    trees = led.join(blocks, "k").select("k", none, _block_of(F.col("blocks")).alias("j"), F.lit(1).alias("side"), "cls", F.col("cls").alias("comp"))
+    probes = blocks.select("k", none, _each(F.col("blocks")).alias("j"), F.lit(0).alias("side"), F.col("k").alias("cls"), F.col("k").alias("comp"))
+    stars = components(_compared(trees.unionByName(probes), sets))
+
+    placed = useful.join(stars.withColumnRenamed("v", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
+    mark = [F.sum(F.xxhash64("cls", F.lit(x)).cast("decimal(20,0)")).alias(x) for x in ("s", "t")]
+    open_lists = placed.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), *mark).filter("lo != hi")
+    # Lists of the same members need one comparison.
+    kept = open_lists.groupBy("c", "s", "t", "lo", "hi").agg(F.min("p").alias("p")).select("p")
+    members = checkpoint(placed.join(kept, "p"))
+    sizes = members.groupBy("p", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    largest = sizes.groupBy("p").agg(F.max(F.struct("m", "w", "comp")).alias("b"), F.sum("w").alias("w"))
+    cut = largest.select("p", F.col("b.comp").alias("giant"), _blocks(F.col("w")).alias("trees"), _blocks(F.col("w") - F.col("b.w")).alias("probes"))
+    both = members.join(cut, "p")
+    trees = both.select(F.col("p").alias("k"), _each(F.col("probes")).alias("i"), _block_of(F.col("trees")).alias("j"), F.lit(1).alias("side"), "cls", "comp")
+    probes = both.filter("comp != giant").select(F.col("p").alias("k"), _block_of(F.col("probes")).alias("i"), _each(F.col("trees")).alias("j"), F.lit(0).alias("side"), "cls", "comp")
+    joined = components(_compared(trees.unionByName(probes), sets))
+    ends = stars.select("v", "label").union(joined.join(stars.select(F.col("label").alias("v")).distinct(), "v", "left_anti").select("v", F.col("v").alias("label")))
+    return ends.join(joined.select(F.col("v").alias("label"), F.col("label").alias("far")), "label", "left").select(F.col("v").alias("cls"), F.coalesce("far", "label").alias("label"))
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All columns of ``docs`` but the text, n_shingles and cls of every row; cls and label, its component, of every class."""
     own = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
-    described = checkpoint(docs.mapInArrow(_describe, f"{own}, n_shingles bigint, cls bigint, is_shingle boolean"))
+    described = checkpoint(docs.mapInArrow(_describe, f"{own}, n_shingles bigint, cls bigint, check bigint, is_shingle boolean"))
     rows = described.filter("not is_shingle").drop("is_shingle")
-    sets = shared_shingles(docs, described)
+    # Different sets under one first hash: at most a handful among billions.
+    twice = rows.filter("cls is not null").groupBy("cls").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo != hi")
+    doubled = np.sort(np.array([r["cls"] for r in twice.select("cls").collect()], np.int64))
+    if len(doubled):
+        rows = rows.withColumn("cls", F.when(F.col("cls").isin(doubled.tolist()), F.col("check")).otherwise(F.col("cls")))
+    rows = rows.drop("check")
+    sets = shared_shingles(docs, described, doubled)
     release(docs.sparkSession)  # of the postings
     labels = checkpoint(class_components(sets))
     release(docs.sparkSession)  # of the comparisons

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.llm.common import n_words
-from plexus.llm.textnum import batches, hashed_words, windows
+from plexus.llm.textnum import batches, numbered_words, window_ids, windows
 
 WINDOW = 5
 #: Symbols counted by n_symbols, fixed.
@@ -49,18 +49,26 @@ def policy_mask(policy: str) -> int:
     return sum(BIT[r] for r in POLICIES[policy])
 
 
+def _alike(win: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows, and whether each but the first is like the one before it in that order."""
+    order = np.lexsort((win, text))
+    return order, (win[order][1:] == win[order][:-1]) & (text[order][1:] == text[order][:-1])
+
+
 def _repeats(batch_iter: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text: words in windows that are found twice or more in it."""
     for batch in batch_iter:
         texts = batch.column("text").to_pylist()
         out = np.zeros(len(texts), np.int64)
         for at, own in batches(texts):
-            h, bounds = hashed_words(own)
-            win, text, first = windows(h, bounds, WINDOW, whole=False)
+            h, bounds = numbered_words(own)
+            win, text, first = windows(h.astype(np.uint64), bounds, WINDOW, whole=False)
             if not len(win):
                 continue
-            order = np.lexsort((win, text))
-            same = (win[order][1:] == win[order][:-1]) & (text[order][1:] == text[order][:-1])
+            order, same = _alike(win, text)
+            here, before = first[order[1:][same]], first[order[:-1][same]]
+            if any((h[here + k] != h[before + k]).any() for k in range(WINDOW)):  # unlike windows of one hash
+                order, same = _alike(window_ids(h, WINDOW)[first], text)
             again = np.zeros(len(win), bool)
             again[order[1:][same]] = True
             again[order[:-1][same]] = True

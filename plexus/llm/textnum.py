@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -16,26 +15,51 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_KEPT: dict[int, np.ndarray] = {}
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the spans that begin there, end to end."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def powers(n: int, base: np.uint64) -> np.ndarray:
-    """The first n powers; the longest run so far is kept."""
-    kept = _KEPT.get(int(base))
-    if kept is None or len(kept) < n:
-        kept = np.full(max(n, 1 << 16) + n // 8, base, np.uint64)
-        kept[0] = 1
-        kept = _KEPT[int(base)] = np.cumprod(kept, dtype=np.uint64)
-    return kept[:n]
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of values[start:end]: sums of a mixed hash of each value and its place in the span.
 
+    Value and place are mixed before they are summed, so no arithmetic relation between the letters of two spans, as
+    in sums of powers, makes them alike.
+    """
+    size = end - start
+    at = _places(start, size)
+    place = at - np.repeat(start, size)
+    mixed = mix64((place.astype(np.uint64) << np.uint64(21)) + values[at].astype(np.uint64) + np.uint64(1))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
+    upto = np.cumsum(size)
+    return mix64(sums[upto] - sums[upto - size] + size.astype(np.uint64))
 
-def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end], by differences of prefix sums of a polynomial modulo 2**64."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(mix64(values.astype(np.uint64) + np.uint64(1)) * powers(n, _BASE), out=sums[1:])
-    back = powers(n + 1, _INVERSE)
-    return mix64((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+
+def span_ids(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each span, alike for equal spans only, and where the first span of each number stands.
+
+    Spans are sorted by hash and then compared with the first of their hash, value by value; those that differ from it
+    are told apart by their values.
+    """
+    _, first, number = np.unique(span_hashes(values, start, end), return_index=True, return_inverse=True)
+    size, like = end - start, first[number]
+    differ = size != size[like]
+    check = np.flatnonzero(~differ & (like != np.arange(len(start))))
+    if check.size:
+        away = values[_places(start[check], size[check])] != values[_places(start[like[check]], size[check])]
+        if away.any():
+            differ[check[np.repeat(np.arange(len(check)), size[check])[away]]] = True
+    if differ.any():
+        more: dict[bytes, int] = {}
+        first = first.tolist()
+        for i in np.flatnonzero(differ).tolist():
+            own = values[start[i] : end[i]].tobytes()
+            if own not in more:
+                more[own] = len(first)
+                first.append(i)
+            number[i] = more[own]
+        first = np.array(first)
+    return number, first
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +91,23 @@ def hashed_words(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, start, end), np.concatenate(([0], np.searchsorted(start, ends)))
 
 
+def numbered_words(own: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``hashed_words``, but with numbers that only equal words share."""
+    data = np.frombuffer(b"\n".join(own) + b"\n", np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, own), np.int64, len(own)) + 1)
+    start, end = word_spans(data)
+    number, _ = span_ids(data, start, end)
+    return number, np.concatenate(([0], np.searchsorted(start, ends)))
+
+
+def window_ids(number: np.ndarray, k: int) -> np.ndarray:
+    """A number for each run of ``k`` numbers, alike for equal runs only."""
+    own = number.astype(np.int64)
+    for j in range(1, k):
+        _, own = np.unique(own[: len(number) - j] * (len(number) + 1) + number[j:], return_inverse=True)
+    return own
+
+
 def windows(h: np.ndarray, bounds: np.ndarray, k: int, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the runs of ``k`` words inside a text, the text of each and its first word.
 

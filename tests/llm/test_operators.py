@@ -242,6 +242,110 @@ def test_tree_links_are_all_links():
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_thin_links_join_the_same_components():
+    rng = np.random.default_rng(2)
+    for case in range(30):
+        make = lambda at: [{"comp": at + i, "n": len(t), "tok": t.tobytes(), "df": np.full(len(t), 2, np.int32).tobytes()} for i, t in enumerate(np.flatnonzero(rng.random(20) < 0.85).astype(np.int64) for _ in range(8))]  # noqa: E731, B023
+        left, right = make(0), make(100)
+        roots = []
+        for thin in (False, True):
+            a, b = jaccard.Sets(left), jaccard.Sets(right)
+            links = jaccard.tree_links(a, b, thin=thin)
+            parent = {}
+            find = lambda x, p=parent: x if p.setdefault(x, x) == x else find(p[x], p)  # noqa: E731, B023
+            for i, j in links:
+                parent[find(i, parent)] = find(100 + j, parent)
+            roots.append({frozenset(x for x in [*range(8), *range(100, 108)] if find(x, parent) == r) for r in [*range(8), *range(100, 108)]} - {frozenset()})
+        assert roots[0] == roots[1] and len(links) <= 15, case
+
+
+@pytest.mark.parametrize("rows_", [
+    [(1, "a b c d e f")], [(1, "a b c d e f"), (2, "g h i j k l")], [(1, None)], [(1, ""), (2, " "), (None, None)], [(4, "x"), (2, "X"), (3, "x y")], [(None, "a b c d e f"), (7, "a b c d e F")],
+])
+@pytest.mark.parametrize("partitions", ["2", "211"])
+def test_components_of_tiny_tables(spark, rows_, partitions):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = jaccard.near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert collections.Counter(tuple(r) for r in got) == brute_components(rows_)
+
+
+def test_components_of_a_large_group_at_the_threshold(spark):
+    """Near copies of which many link neither with the leader nor with most others, beside one passage in many texts."""
+    import random
+
+    rng = random.Random(4)
+    base, passage = [f"b{i}" for i in range(150)], " ".join(f"s{i}" for i in range(12))
+    rows = []
+    for k in range(500):
+        own = list(base)
+        for _ in range(rng.randint(0, 7)):
+            at = rng.randrange(150)
+            own[at] = f"e{rng.randrange(12)}"
+        rows.append((k, " ".join(own)))
+    rows += [(1000 + k, f"{passage} {' '.join(rng.choices(base, k=30))}" if k % 100 else " ".join(rng.choices(base, k=40))) for k in range(300)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = brute_components(rows)
+    assert collections.Counter(tuple(r) for r in got) == want
+    assert len({c for _, _, c in want}) > 305  # not all of the group is one component
+
+
+def test_classes_of_one_hash_are_told_apart(spark, monkeypatch):
+    real = jaccard.shingle_sets
+
+    def clash(texts):
+        for at, win, cuts, n, cls, check in real(texts):
+            yield at, win, cuts, n, cls % 3, check
+
+    monkeypatch.setattr(jaccard, "shingle_sets", clash)
+    rows = [(i, f"{'a b c d e f g h i j k l m n o p q' if i % 2 else 'r s t u v w x y z aa bb cc'}{' more' * (i % 3)}") for i in range(12)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter(tuple(r) for r in got) == brute_components(rows)
+
+
+def test_summary_holds_what_is_frequent(monkeypatch):
+    monkeypatch.setattr(jaccard, "SUMMARY", 100)
+    rng = np.random.default_rng(0)
+    f = jaccard.Frequent()
+    for _ in range(50):  # item 7 is one in fifty, never more than a few in a run
+        f.add(np.where(rng.random(200) < 0.02, 7, rng.integers(1 << 20, 1 << 60, 200)).astype(np.uint64))
+    item, count = f.found()
+    assert 7 in item.tolist() and count[item.tolist().index(7)] >= 100 and len(item) <= 100
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_without_a_common_hash(spark, tokenizer, n):
+    """Two words that sums of powers modulo 2**64 cannot tell apart."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    other = one.translate(str.maketrans("ab", "ba"))
+    for t, ids in zip([f"{one} {other}", other, one], bpe.Encoder(bpe._vocabulary("byte_bpe_50k.json")).encode([f"{one} {other}", other, one]), strict=True):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    rows = [(1, f"p q {one} r s p q {other} r s"), (2, f"p q {one} r s"), (3, f"p q {other} r s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_repeat_words"] for r in rules.judged(df).collect()} == {1: 0, 2: 0, 3: 0}
+    assert collections.Counter(tuple(r) for r in jaccard.near_duplicates(df).collect()) == brute_components(rows)
+
+
+def test_words_and_windows_of_one_hash_are_compared(docs, rows, tokenizer, monkeypatch):
+    from plexus.llm import textnum
+
+    real = textnum.span_hashes
+    monkeypatch.setattr(textnum, "span_hashes", lambda v, s, e: real(v, s, e) % np.uint64(5))
+    texts = [t or "" for _, t, *_ in rows]
+    for t, ids in zip(texts, bpe.Encoder(bpe._vocabulary("byte_bpe_50k.json")).encode(texts), strict=True):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    monkeypatch.setattr(rules, "windows", lambda h, b, k, whole: (lambda w, t, f: (w % np.uint64(2), t, f))(*textnum.windows(h, b, k, whole)))
+    got = []
+    import pyarrow as pa
+
+    for batch in rules._repeats(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])):
+        got += batch.column("n_repeat_words").to_pylist()
+    assert got == [measures(t)[4] for t in texts]
+
+
 def test_representatives_keep_one_row_each(docs, rows):
     kept = jaccard.representatives(docs)
     assert kept.columns == docs.columns
