@@ -5,18 +5,20 @@ counts are exact) and the digest of the tokenizer file. Digests are joined to st
 without a count are encoded; their counts are appended to the cache, from which all rows then get theirs. Texts are
 thinned to one per digest on the map side, before they are shuffled, so copies cost nothing further.
 
-The cache is a Parquet table in a shared folder. Counts never go stale, as a digest names content and tokenizer; a
-digest that two jobs append at once is in it twice and read once. Executors that are lost leave no partial rows, because
+The cache is one Parquet table in a shared folder for all corpora, with a folder for each tokenizer digest, so only one
+tokenizer's counts are read. Counts never go stale, as a digest names content and tokenizer; a digest that two jobs append at once is in it twice and read once. Executors that are lost leave no partial rows, because
 an append appears only when its job commits.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; very long texts are encoded whole; repeated rows share a
-count; an empty table gives no rows and appends nothing; further columns are ignored.
+count; a count equal to the limit is not over it; an empty table gives no rows and appends nothing; further columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,11 +26,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexus.llm.bpe import byte_symbols
+from plexus.llm.bpe import Encoder, Vocabulary, byte_symbols
+from plexus.llm.common import checkpoint
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-_CACHE = "tokenizer string, digest binary, n_tokens bigint"
+_CACHE = "digest binary, n_tokens bigint, tokenizer string"
+#: Digests that are sent to all tasks at most (4 MB); more are joined by a shuffle.
+MAX_HINTED = 100_000
+#: White space that the faster encoder is not given: its pattern needs a stack as deep as the run.
+LONG_SPACE = re.compile(r"\s{4096}")
 #: The pre-tokenizer of byte-level files, fixed.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -69,7 +76,16 @@ def counter(name: str) -> Callable[[str], int]:
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(raw[c] for c in s): i for s, i in spec["model"]["vocab"].items() if s not in special}
         own = tiktoken.Encoding("plain", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
-        return lambda t: len(own.encode(t, allowed_special="all") if any(s in t for s in special) else own.encode_ordinary(t))
+        spare: list[Encoder] = []
+
+        def count(t: str) -> int:
+            if LONG_SPACE.search(t):
+                if not spare:
+                    spare.append(Encoder(Vocabulary(path)))
+                return sum(len(ids) for ids in spare[0].encode([t]))
+            return len(own.encode(t, allowed_special="all") if any(s in t for s in special) else own.encode_ordinary(t))
+
+        return count
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -79,7 +95,7 @@ def counter(name: str) -> Callable[[str], int]:
 
 
 def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
-    """digest and n_tokens, one row per digest."""
+    """digest and n_tokens, one row per digest. Only the tokenizer's own folder is read."""
     try:
         rows = spark.read.schema(_CACHE).parquet(path)
     except AnalysisException:
@@ -91,17 +107,25 @@ def append_misses(docs: DataFrame, path: str, name: str) -> None:
     """Counts the contents of ``docs`` that the cache at ``path`` lacks, and appends them to it."""
     spark, tokenizer = docs.sparkSession, file_digest(name)
     text = F.coalesce(F.col("text"), F.lit(""))
-    contents = docs.select(_digest(text).alias("digest"), text.alias("text")).groupBy("digest").agg(F.first("text").alias("text"))
-    misses = contents.join(read_cache(spark, path, tokenizer), "digest", "left_anti")
+    keyed = docs.select(_digest(text).alias("digest"), text.alias("text"))
+    # Digests alone are looked up first, so texts that have a count are not moved.
+    missing = checkpoint(keyed.select("digest").distinct().join(read_cache(spark, path, tokenizer), "digest", "left_anti"))
+    n = missing.count()
+    if not n:
+        return
+    if n <= MAX_HINTED:
+        contents = keyed.join(F.broadcast(missing), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    else:
+        contents = keyed.groupBy("digest").agg(F.first("text").alias("text")).join(missing, "digest", "left_semi")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = None
         for batch in it:
             count = count or counter(name)
             n = [count(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([tokenizer] * len(n), pa.string()), batch.column("digest"), pa.array(n, pa.int64())], ["tokenizer", "digest", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64()), pa.array([tokenizer] * len(n), pa.string())], ["digest", "n_tokens", "tokenizer"])
 
-    misses.mapInArrow(run, _CACHE).write.mode("append").parquet(path)
+    contents.mapInArrow(run, _CACHE).write.mode("append").partitionBy("tokenizer").parquet(path)
 
 
 def _digest(text):
@@ -113,5 +137,6 @@ def token_counts(docs: DataFrame, path: str, name: str = TOKENIZER, limit: int =
     append_misses(docs, path, name)
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), _digest(text).alias("digest"))
-    counts = read_cache(docs.sparkSession, path, file_digest(name))
+    # Written out, so that both sides of the join are plain exchanges and a digest that many rows share can be split.
+    counts = checkpoint(read_cache(docs.sparkSession, path, file_digest(name)))
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
