@@ -6,7 +6,8 @@ rows are bounded by MAX_LABELLED, and yields one weight per hash slot, which joi
 Host and path rules come first; the longest that fits decides.
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule, and the model's verdict on the
-empty string; repeated rows are judged alike; an empty table gives no rows; further columns are ignored.
+empty string; very long urls are judged by all their n-grams; a score equal to the threshold blocks; repeated rows are
+judged alike; an empty table gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,17 +31,33 @@ SLOTS = 4096
 GRAMS = (3, 4, 5)
 MAX_LABELLED = 1000
 STEPS = 200
-RATE = 8.0
-DECAY = 1e-3
+RATE = 20.0
+DECAY = 1e-4
 
-#: Labelled hosts and paths; every host meets every path.
-BAD_HOSTS = ("spam-farm.example.net", "cheap-pills.example.com", "casino-bonus.example.net", "free-casino.example.org", "best-pills.example.net", "link-farm.example.com", "win-big-slots.example.net", "adult-cams.example.com", "xxx-videos.example.net", "payday-loans.example.org", "viagra-shop.example.com", "seo-links.example.net", "ads-server.example.com", "ads-tracker.example.net", "track-ads.example.org", "sports-bets.example.net", "bets-win.example.com", "adult-chat.example.org")
-GOOD_HOSTS = ("library.example.org", "www.therin.example.net", "blog.ththan.example.net", "m.theron.example.com", "news.example.com", "thther.example.org", "docs.example.net", "www.thering.example.org", "blog.tionsh.example.net", "museum.example.com", "m.ththed.example.org", "school.example.net", "farm-museum.example.org", "old-town.example.com", "open-data.example.net", "city.example.com", "health.example.net", "thionble.example.com")
-PATHS = ("/en/123", "/de/456/", "/fr/78.html", "/es/912", "/en/640/", "/")
+#: The labelled table is made from words of either label, invented names, paths of either label and paths of both.
+BAD_WORDS = ("casino", "slots", "pills", "bets", "ads", "spam", "adult", "xxx", "cheap", "free", "win", "loans", "seo", "click", "track", "cams", "dating", "bonus", "poker", "farm")
+GOOD_WORDS = ("library", "museum", "school", "news", "garden", "city", "weather", "forum", "recipes", "history", "science", "travel", "music", "health", "council", "theatre", "railway", "river", "harbour", "village")
+SYLLABLES = ("lo", "ren", "tha", "mir", "on", "vel", "sha", "ti", "ber", "ing", "wo", "nes", "ther", "al", "du", "cor")
+BAD_PATHS = ("/casino/bonus/spin-now", "/cheap/pills/order", "/adult/cams/live.html", "/win/free/prize")
+GOOD_PATHS = ("/articles/history/bridges", "/docs/reference/index.html", "/recipes/bread/rye", "/council/minutes/2020")
+PATHS = ("/", "/en/204", "/de/77/", "/fr/310.html", "/es/5", "/en/8841/")
+FIRST = ("", "www.", "m.", "blog.")
+LAST = (".example.com", ".example.net", ".example.org")
 
 
 def labelled() -> list[tuple[str, int]]:
-    return [(f"https://{h}{p}", y) for y, hosts in ((1, BAD_HOSTS), (0, GOOD_HOSTS)) for h in hosts for p in PATHS]
+    """100 hosts of each label, each with a path of its label and four of either: 1000 rows."""
+    n = len(BAD_WORDS)
+    bad = [f"{BAD_WORDS[i]}-{BAD_WORDS[(i + k) % n]}" for k in (1, 3, 7, 9, 13) for i in range(n)]
+    good = [f"{GOOD_WORDS[i]}-{GOOD_WORDS[(i + k) % n]}" for k in (1, 7) for i in range(n)]
+    m = len(SYLLABLES)
+    good += ["".join(SYLLABLES[x % m] for x in (i, 3 * i + 1 + i // m, 7 * i + 2)[: 2 + i % 2]) for i in range(len(bad) - len(good))]
+    rows = []
+    for y, hosts, own in ((1, bad, BAD_PATHS), (0, good, GOOD_PATHS)):
+        for i, h in enumerate(hosts):
+            paths = [own[i % len(own)], *(PATHS[(i + j) % len(PATHS)] for j in range(4))]
+            rows += [(f"https://{FIRST[(i + j) % len(FIRST)]}{h}{LAST[(i + j) % len(LAST)]}{p}", y) for j, p in enumerate(paths)]
+    return rows
 
 
 def host_of(url: Column) -> Column:
