@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
+from functools import reduce
 
 import corpus_pipeline
 from plexus.llm import bpe, fingerprints, jaccard, langid, mixing, pii, quality, rules, tokencount, urls
-from plexus.llm.common import shared_dir, table
+from plexus.llm.common import scratch, shared_dir, table
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +24,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = f"{shared_dir(spark)}/plexus-token-counts/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
-    return tokencount.token_counts(table(spark, sf_dir, "documents"), cache)
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/plexus-token-counts")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
 
+def rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy removes, from the same ledger."""
+    rows = rules.written(table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+    parts = [rules.ablation(rows, p).select(F.lit(p).alias("policy"), "*") for p in rules.POLICIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_pii, op3_fingerprints, op4_token_counts, op5_url_filter, op6_quality_rules, op7_ngram_jaccard, op8_language_id, op9_quality_classifier, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_pii, op3_fingerprints, op4_token_counts, op5_url_filter, op6_quality_rules, op7_ngram_jaccard, op8_language_id, op9_quality_classifier, op10_mixing, rules_ablation)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL: dict[str, str] = {}

@@ -1,12 +1,12 @@
 """Quality rules (operator 6).
 
-One pass measures every text and evaluates every rule, once. The ledger keeps the measurements and a bitmask of failed
-rules per document. Policies are versioned sets of rules: applying one is a bitwise test on the mask, and the ablation
+One pass measures every text and evaluates every rule, once. The ledger, a written table, keeps the measurements and a
+bitmask of failed rules per document. Policies are versioned sets of rules: applying one is a bitwise test on the mask, and the ablation
 of a policy (what each rule alone would remove, what would return if it were dropped) is an aggregation over masks.
 
 Defined results: null and empty texts have no words and fail ``few_words``; texts of white space only likewise; very
-long texts are measured whole; repeated rows are measured alike; an empty table gives an empty ledger; further columns
-are ignored.
+long texts are measured whole; repeated rows are measured alike, each with a row of its own; a measurement equal to a
+rule's limit passes; an empty table gives an empty ledger; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexus.llm.common import n_words
+from plexus.llm.common import n_words, scratch
 from plexus.llm.textnum import batches, numbered_words, window_ids, windows
 
 WINDOW = 5
@@ -43,6 +43,7 @@ POLICIES = {
     "v2": tuple(BIT),
 }
 CURRENT = "v2"
+MEASURED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks")
 
 
 def policy_mask(policy: str) -> int:
@@ -131,7 +132,15 @@ def ablation(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    base = policy_mask("base")
-    rows = apply_policy(ledger(docs), policy).withColumn("base_failed", F.col("failed").bitwiseAND(base) != 0)
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
+def written(docs: DataFrame, path: str) -> DataFrame:
+    """The ledger, written to ``path`` and read again: policies and ablations never measure a text anew."""
+    ledger(docs).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def judged(docs: DataFrame, policy: str = CURRENT, path: str | None = None) -> DataFrame:
+    """The ledger, written to ``path`` or a folder of its own, with base_failed, the verdict ``kept`` of a policy, and that of every policy as kept_<version>."""
+    rows = written(docs, path or scratch(docs.sparkSession, "ledger"))
+    out = apply_policy(rows, policy).withColumn("base_failed", F.col("failed").bitwiseAND(policy_mask("base")) != 0)
+    every = [(F.col("failed").bitwiseAND(policy_mask(p)) == 0).alias(f"kept_{p}") for p in POLICIES]
+    return out.select("doc_id", *MEASURED, "base_failed", "kept", "failed", *every)
