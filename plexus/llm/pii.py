@@ -5,22 +5,26 @@ dates, octets, social security ranges). Each is replaced by a keyed permutation
 over the whole numbers below the count of such values, walked on until the result is valid again. It is a bijection, so
 equal values stay equal across documents and different values stay different, and nothing is stored or shuffled.
 
-Numbers and dates keep their punctuation, check digits are recomputed, mail keeps its last two domain labels; keys and
-passwords are permuted letter by letter class. Where a candidate fails validation, its shorter runs that end at a
+Numbers and dates keep their punctuation and the width of their fields, check digits are recomputed, mail keeps its last
+two domain labels; keys and passwords of any length are permuted letter by letter class, letters of other scripts within
+their neighbourhood. Where a candidate fails validation, its shorter runs that end at a
 separator and the later kinds are tried, then what begins further on inside it; numbers that fail all are left alone.
 
 Defined results: null texts stay null with no finds; empty texts likewise; texts without finds come back unchanged, byte
-for byte; very long texts are scanned whole; repeated rows are replaced alike; an empty table gives no rows; all other
-columns pass through.
+for byte; very long texts are scanned whole; repeated rows are replaced alike; of values that overlap the first counts, at one
+place by the order of the kinds; an empty table gives no rows; all other columns pass through, whatever their names, but
+for the two that ``counts`` adds.
 """
 
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import hmac
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,20 +59,51 @@ def permute(x: int, n: int, tweak: str, key: bytes) -> int:
             return x
 
 
-#: Letters are permuted within their class; any other character stays.
+#: Letters are permuted within their class, other scripts' within their neighbourhood; any other character stays.
 CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
+_CLASSED = frozenset("".join(CLASSES))
 HEX = "0123456789abcdef"
 #: What secrets are named, in any case.
 NAMES = "(?i:password|passwd|token|secret|api[_-]?key)"
 
 
+#: Characters that are permuted as one number at most.
+SEGMENT = 128
+#: Code points of a neighbourhood.
+NEIGHBOURS = 128
+
+
+@functools.lru_cache(1 << 16)
 def _alphabet(c: str) -> str:
-    return next((a for a in CLASSES if c in a), c)
+    """The characters that may stand for ``c``: its class, or those of its category in its run of NEIGHBOURS code points."""
+    if own := next((a for a in CLASSES if c in a), ""):
+        return own
+    kind, first = unicodedata.category(c), ord(c) // NEIGHBOURS * NEIGHBOURS
+    if kind[0] not in "LN":
+        return c
+    return "".join(x for x in map(chr, range(first, first + NEIGHBOURS)) if unicodedata.category(x) == kind and x not in _CLASSED)
 
 
 def by_class(s: str, tweak: str, key: bytes, alphabets: list[str] | None = None) -> str:
-    """``s`` read as a number with a digit per character, permuted, and written again."""
+    """``s`` permuted within the alphabets of its characters.
+
+    A longer value is permuted in segments, forwards and then backwards, each with the result of the one before it as a
+    tweak. That is a permutation too, and every segment depends on all of the value.
+    """
     own = alphabets or [_alphabet(c) for c in s]
+    if len(s) <= SEGMENT:
+        return _as_number(s, tweak, key, own)
+    parts = [s[i : i + SEGMENT] for i in range(0, len(s), SEGMENT)]
+    for way in (range(len(parts)), range(len(parts) - 1, -1, -1)):
+        before = f"{tweak}/{way.step}"
+        for i in way:
+            parts[i] = _as_number(parts[i], f"{tweak}/{i}/{hashlib.sha256(before.encode()).hexdigest()}", key, own[i * SEGMENT : (i + 1) * SEGMENT])
+            before = parts[i]
+    return "".join(parts)
+
+
+def _as_number(s: str, tweak: str, key: bytes, own: list[str]) -> str:
+    """``s`` read as a number with a digit per character, permuted, and written again."""
     n, x = 1, 0
     for c, a in zip(s, own, strict=True):
         n *= len(a)
@@ -143,16 +178,15 @@ def date(m: re.Match, key: bytes) -> str | None:
             continue
         if not FIRST_DAY <= day <= LAST_DAY:
             continue
-        # A date that can be read either way must stay one that is read the same way.
+        # A date that can be read either way must stay one that is read the same way, and a field of one digit stays one.
+        wide = len(mo), len(d)
         while True:
-            day = FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date{i}", key)
+            day = FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, f"date{i}{wide}", key)
             new = datetime.date.fromordinal(day)
-            if i == 0 or new.day > 12:
+            if (i == 0 or new.day > 12) and all(w == 2 or x < 10 for w, x in zip(wide, (new.month, new.day), strict=True)):
                 break
-        if iso:
-            return f"{new.year:04}{sep}{new.month:02}{sep}{new.day:02}"
-        first, second = (new.day, new.month) if i == 0 else (new.month, new.day)
-        return f"{first:02}{sep}{second:02}{sep}{new.year:04}"
+        month, date_ = f"{new.month:0{wide[0]}}", f"{new.day:0{wide[1]}}"
+        return sep.join((f"{new.year:04}", month, date_) if iso else (date_, month, f"{new.year:04}") if i == 0 else (month, date_, f"{new.year:04}"))
     return None
 
 
@@ -193,9 +227,9 @@ def access_key(m: re.Match, key: bytes) -> str:
 
 #: Fixed patterns, by kind, tried in this order, with what replaces a match; None: it fails validation.
 KINDS = {
-    "mail": (r"(?<![\w.%+-])[\w.%+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63})+", mail),
+    "mail": (r"(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
-    "secret": (rf"(?<!\w)(?P<name>{NAMES})\s{{0,3}}[=:]\s{{0,3}}[\"']?(?P<value>[A-Za-z0-9_+/-]{{8,256}})", secret),
+    "secret": (rf"(?<!\w)(?P<name>{NAMES})\s{{0,3}}[=:]\s{{0,3}}[\"']?(?P<value>[A-Za-z0-9_+/-]{{8,}})", secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", iban),
     "ipv4": (r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)", ipv4),
     "date": (r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!\d|[-/]\d)", date),
