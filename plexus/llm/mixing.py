@@ -6,7 +6,9 @@ completes a distributed prefix sum, so even a source that holds most rows is spr
 cut where the prefix sum reaches its budget; whole epochs are repeated before the cut.
 
 Defined results: null text has size 0; null source is a source of its own, last in order; a source without words has
-target 0; null doc_ids share one key; equal rows share a key and stand next to each other; an empty table gives no rows.
+target 0; null doc_ids are keyed by their text, so they spread; very long texts count by all their words and may be cut; rows
+of one key are ordered by doc_id and size, and equal ones stand next to each other; an empty table gives no rows; further
+columns pass through, whatever their names, but for the four that ``mix`` adds.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ def mix(docs: DataFrame, seed: str = SEED, slice_bits: int = SLICE_BITS) -> Data
     rounded to a whole number. A column of the input with one of the four names is replaced.
     """
     keep = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "taken")]
-    key = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f"/{seed}"))), 1, _KEY_BITS // 4), 16, 10).cast("long")
+    key = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null/"), F.md5(F.coalesce("text", F.lit(""))))), F.lit(f"/{seed}"))), 1, _KEY_BITS // 4), 16, 10).cast("long")
     keyed = docs.select(
         F.struct(*keep).alias("_row"),
         F.col("doc_id").alias("_id"),
