@@ -11,7 +11,7 @@
    may lack, with the largest partner that it may have if that shingle is the first one in common: what it lists before
    is lost, and so the overlap is at most what follows. Entries that allow no partner of their list's sizes go.
 4. In every list the class that allows the largest partner leads. The leader traverses a prefix tree of the sets it leads
-   (in blocks of about BLOCK shingles). The links found give components, so a group of near copies costs a row for
+   (in blocks of about BLOCK shingles or BLOCK_SETS sets). The links found give components, so a group of near copies costs a row for
    each class and list, however many pairs it has.
 5. Lists that hold two components still are open. Lists of equal members are one. In each, the sets outside its largest
    component traverse prefix trees of all its sets, both sides cut into blocks of about BLOCK shingles.
@@ -44,8 +44,9 @@ from plexus.llm.textnum import batches, hashed_words, mix64, windows
 SHINGLE = 5
 #: A link needs NUMERATOR / DENOMINATOR at least.
 NUMERATOR, DENOMINATOR = 3, 4
-#: Shingles of a block that is compared at once.
+#: Shingles and sets of a block that is compared at once.
 BLOCK = 1 << 18
+BLOCK_SETS = 128
 #: Cells of the table by which sets traverse a tree at once.
 CELLS = 1 << 22
 #: Entries of a task's summary of frequent shingles, and the frequent shingles of all at most.
@@ -421,8 +422,8 @@ def _compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return checkpoint(full.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInArrow(_compare, "a bigint, b bigint"))
 
 
-def _blocks(weight: Column) -> Column:
-    return F.ceil(weight / BLOCK).cast("int")
+def _blocks(weight: Column, sets: Column) -> Column:
+    return F.ceil(F.greatest(weight / BLOCK, sets / BLOCK_SETS)).cast("int")
 
 
 def _block_of(blocks: Column) -> Column:
@@ -441,7 +442,7 @@ def class_components(sets: DataFrame) -> DataFrame:
 
     lead = useful.groupBy("p").agg(F.max(F.struct("most", "cls"))["cls"].alias("k"))
     led = checkpoint(useful.join(lead, "p").filter("cls != k").groupBy("k", "cls").agg(F.first("n").alias("n")))
-    blocks = led.groupBy("k").agg(_blocks(F.sum("n")).alias("blocks"))
+    blocks = led.groupBy("k").agg(_blocks(F.sum("n"), F.count("*")).alias("blocks"))
     none = F.lit(0).alias("i")
     trees = led.join(blocks, "k").select("k", none, _block_of(F.col("blocks")).alias("j"), F.lit(1).alias("side"), "cls", F.col("cls").alias("comp"))
     probes = blocks.select("k", none, _each(F.col("blocks")).alias("j"), F.lit(0).alias("side"), F.col("k").alias("cls"), F.col("k").alias("comp"))
@@ -454,8 +455,8 @@ def class_components(sets: DataFrame) -> DataFrame:
     kept = open_lists.groupBy("c", "s", "t", "lo", "hi").agg(F.min("p").alias("p")).select("p")
     members = checkpoint(placed.join(kept, "p"))
     sizes = members.groupBy("p", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
-    largest = sizes.groupBy("p").agg(F.max(F.struct("m", "w", "comp")).alias("b"), F.sum("w").alias("w"))
-    cut = largest.select("p", F.col("b.comp").alias("giant"), _blocks(F.col("w")).alias("trees"), _blocks(F.col("w") - F.col("b.w")).alias("probes"))
+    largest = sizes.groupBy("p").agg(F.max(F.struct("m", "w", "comp")).alias("b"), F.sum("w").alias("w"), F.sum("m").alias("m"))
+    cut = largest.select("p", F.col("b.comp").alias("giant"), _blocks(F.col("w"), F.col("m")).alias("trees"), _blocks(F.col("w") - F.col("b.w"), F.col("m") - F.col("b.m")).alias("probes"))
     both = members.join(cut, "p")
     trees = both.select(F.col("p").alias("k"), _each(F.col("probes")).alias("i"), _block_of(F.col("trees")).alias("j"), F.lit(1).alias("side"), "cls", "comp")
     probes = both.filter("comp != giant").select(F.col("p").alias("k"), _block_of(F.col("probes")).alias("i"), _each(F.col("trees")).alias("j"), F.lit(0).alias("side"), "cls", "comp")
