@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import sys
 import tempfile
 import uuid
@@ -39,9 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset: a temporary one in local mode, else an error."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not at and not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix="plexus-")
     if not sc.getCheckpointDir():

@@ -1,16 +1,17 @@
 """Language identification (operator 8).
 
 Hashed subwords (byte n-grams inside a text) have embeddings; a text's embeddings are averaged and a linear softmax
-gives the language. Embeddings and softmax are trained by stochastic gradient descent in numpy on a bounded sample
-(``PER_LABEL`` texts of each language, ``EXCERPT`` characters each). A temperature and a rejection threshold are
-calibrated on a part of the sample that training does not see.
+gives the language. Embeddings and softmax are trained by stochastic gradient descent in numpy on the whole texts of a
+bounded sample (``PER_LABEL`` rows of each language; more than ``MAX_LABELS`` languages are an error). A temperature and
+a rejection threshold are calibrated on a part of the sample that training does not see.
 
 For prediction each subword's embedding is multiplied with the softmax matrix once, so a text's logits are a mean of
 table rows, taken over the whole text.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter; ``rejected`` marks further texts whose
 calibrated probability is below the threshold (the language stays the likeliest); repeated rows are alike; ties go to
-the first language by code point; without any labelled row every text is ``und``; further columns are ignored.
+the first language by code point; without any labelled row every text is ``und``; very long texts are judged by all their
+subwords; an empty table gives no rows; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ SLOTS = 1 << 15
 DIM = 16
 ORDERS = (2, 3, 4)
 PER_LABEL = 600
-EXCERPT = 2000
 EPOCHS = 6
 RATE = 20.0
 #: Share of the calibration texts that may be rejected though they are right.
@@ -109,7 +109,7 @@ def logits(model: dict, own: list[bytes]) -> np.ndarray:
         stop = np.maximum(ends + 2 - n, begin)  # the spaces around a text belong to it
         cut = np.minimum(np.stack((begin, stop), axis=1).ravel(), len(slots))
         some, slots = (stop > begin)[:, None], slots.astype(np.intp)
-        sums = np.stack([np.add.reduceat(np.append(np.take(column, slots), np.float32(0)), cut)[::2] for column in columns], axis=1)
+        sums = np.stack([np.add.reduceat(np.append(np.take(column, slots), np.float32(0)), cut, dtype=np.float64)[::2] for column in columns], axis=1)
         out += np.where(some, sums, 0)
         count += stop - begin
     return out / np.maximum(count, 1)[:, None] + model["bias"]
@@ -142,5 +142,5 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 
 
 def learn(docs: DataFrame) -> dict | None:
-    rows = training_rows(docs.select("doc_id", "text", F.col("lang").alias("label")), PER_LABEL, EXCERPT)
+    rows = training_rows(docs.select("doc_id", "text", F.col("lang").alias("label")), PER_LABEL)
     return train(rows) if rows else None

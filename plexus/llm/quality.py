@@ -2,11 +2,13 @@
 
 A text's bytes are embedded; filters of ``WIDTH`` bytes, ``STRIDE`` apart, run over overlapping chunks that cover the
 whole text; each chunk's responses are max-pooled, and the chunk vectors' maximum and mean over the text feed one
-logistic unit. Filters, embeddings and unit are trained by Adam on a bounded sample of labelled texts (``PER_LABEL`` of
-each label, ``EXCERPT`` characters each).
+logistic unit. Filters, embeddings and unit are trained by Adam on the whole texts of a bounded sample (``PER_LABEL`` rows
+of each label).
 
 Defined results: null and empty texts are scored as one empty chunk; the score of a text depends on nothing else in its
-table; repeated rows are alike; without labelled rows every score is the prior 0.5; further columns are ignored.
+table; repeated rows are alike; very long texts are scored by all their chunks, some thousand at a time; a score equal to
+the threshold is accepted; of unlike labels of one doc_id the least counts; without labelled rows every score is the prior
+0.5; an empty table gives no rows; further columns are ignored or kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ CHUNK, OVERLAP = 512, 64
 WIDTH, STRIDE = 8, 4
 EMBED, FILTERS = 8, 24
 PER_LABEL = 1000
-EXCERPT = 6000
 #: Bytes of the short excerpts.
 SHORT = (20, 300)
 EPOCHS = 7
@@ -176,7 +177,7 @@ def scored(docs: DataFrame, model: dict | None, name: str = "score") -> DataFram
 def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
     """A model from documents outside fold 0 that have a label. Labels of one document are alike or the least counts."""
     marks = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    rows = training_rows(docs.select("doc_id", "text").join(marks, "doc_id"), PER_LABEL, EXCERPT)
+    rows = training_rows(docs.select("doc_id", "text").join(marks, "doc_id"), PER_LABEL)
     return train(rows) if rows else None
 
 
@@ -190,5 +191,8 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
-    rows = scored(docs, learn(docs, labels), "_quality_score")
-    return rows.filter(F.col("_quality_score") >= THRESHOLD).select(*docs.columns)
+    name = "_quality_score"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    rows = scored(docs, learn(docs, labels), name)
+    return rows.filter(F.col(name) >= THRESHOLD).select(*docs.columns)

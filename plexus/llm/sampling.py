@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5
+MAX_LABELS = 1000
 
 
 def fold(doc_id: Column) -> Column:
@@ -17,25 +18,23 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 0
 
 
-def excerpt(text: Column, doc_id: Column, most: int) -> Column:
-    """A run of at most ``most`` characters that starts at a pseudo-random place; only for training samples."""
-    room = F.greatest(F.length(text) - most, F.lit(0)) + 1
-    return text.substr((F.pmod(F.xxhash64(doc_id, F.lit("at")), room) + 1).cast("int"), F.lit(most))
+def training_rows(labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
+    """Whole texts of at most ``per_label`` rows for each of (text, label, doc_id)'s labels, chosen by a hash of doc_id.
 
-
-def training_rows(labelled: DataFrame, per_label: int, most_chars: int) -> list[tuple[str, object]]:
-    """At most ``per_label`` rows for each of (text, label, doc_id)'s labels, chosen by a hash of doc_id, in a fixed order.
-
-    Only rows outside fold 0 are used. A range of the hash is drawn first, by the label counts, so that no sort meets
-    all rows and texts are read for the drawn rows only.
+    Only rows outside fold 0 are used. The labels are counted, then one scan draws a range of the hash for each label by
+    its count, so that no sort meets all rows and texts are read for the drawn rows only. More than MAX_LABELS labels
+    are an error. The order is fixed.
     """
     usable = labelled.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("label").isNotNull())
+    found = usable.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"there are more than {MAX_LABELS} labels")
+    if not found:
+        return []
+    share = F.create_map(*[F.lit(x) for r in found for x in (r["label"], min(1.0, (1.2 * per_label + 20) / r["n"]))])
     part = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
-    rows: list = []
-    for label, n in sorted(counts.items(), key=lambda kv: str(kv[0])):
-        drawn = usable.filter((F.col("label") == F.lit(label)) & (part < min(1.0, 1.2 * per_label / n + 20 / n)))
-        text = excerpt(F.col("text"), F.col("doc_id"), most_chars)
-        got = drawn.select(text.alias("text"), "label", F.xxhash64("doc_id", "text").alias("o")).orderBy("o").limit(per_label).collect()
-        rows += [(r["o"], r["text"], r["label"]) for r in got]
-    return [(t, y) for _, t, y in sorted(rows, key=lambda r: r[0])]
+    drawn = usable.filter(part < F.element_at(share, F.col("label"))).select("text", "label", F.xxhash64("doc_id", "text").alias("o")).collect()
+    by_label: dict = {}
+    for o, t, y in sorted((r["o"], r["text"], r["label"]) for r in drawn):
+        by_label.setdefault(y, []).append((o, t, y))
+    return [(t, y) for _, t, y in sorted(x for own in by_label.values() for x in own[:per_label])]

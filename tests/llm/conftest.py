@@ -44,5 +44,5 @@ def clashing(docs):
     """The same documents with further columns whose names operators use themselves."""
     from pyspark.sql import functions as F
 
-    names = ["size", "target", "taken", "score", "n_tokens", "cls", "_row", "block", "key", "kinds", "n_values", "label", "digest", "_keep", "letter", "held_out", "sketch", "n_words", "failed", "kept"]
+    names = ["size", "target", "taken", "score", "n_tokens", "cls", "_row", "block", "key", "kinds", "n_values", "label", "digest", "_keep", "letter", "held_out", "sketch", "n_words", "failed", "kept", "check", "is_shingle", "_quality_score", "n_bytes", "comp", "n"]
     return docs.select("*", *[F.lit("x").alias(n) for n in names])

@@ -63,6 +63,30 @@ def test_secrets_of_any_case_are_replaced(head, value, shape):
     assert value not in new and re.fullmatch(re.escape(f"so {head}") + shape, new)
 
 
+@pytest.mark.parametrize("text,hidden", [
+    ("token = " + "aB3" * 120, ["aB3" * 20]), ("password: " + "x9" * 5000, ["x9" * 20]), ("q" * 70 + "@mail.example.com", ["q" * 20]), ("иван@пример.рф", ["иван"]), ("josé.ñandú@a.b.org", ["josé", "ñandú"]), ("δοκιμή@x.example.com", ["δοκιμή"]),
+])
+def test_nothing_of_a_value_stays_in_clear(text, hidden):
+    new = out(f"so {text} then")
+    assert len(new) == len(f"so {text} then") and new.startswith("so ") and new.endswith(" then")
+    assert not any(h in new for h in hidden)
+    assert new == out(f"so {text} then") and out(f"so {text}z then") != new
+
+
+def test_long_values_are_permuted_one_to_one(monkeypatch):
+    monkeypatch.setattr(pii, "SEGMENT", 2)
+    import itertools
+
+    all_ = ["".join(x) for x in itertools.product("abcd", repeat=5)]
+    new = {pii.by_class(x, "t", b"k", ["abcd"] * 5) for x in all_}
+    assert new == set(all_)
+
+
+@pytest.mark.parametrize("value,shape", [("1/2/2020", r"[1-9]/[1-9]/\d{4}"), ("2020-1-31", r"\d{4}-[1-9]-\d\d"), ("2020-12-3", r"\d{4}-\d\d-[1-9]"), ("31/12/2020", r"\d\d/\d\d/\d{4}"), ("12/31/2020", r"\d\d/(1[3-9]|2\d|3[01])/\d{4}")])
+def test_dates_keep_the_width_of_their_fields(value, shape):
+    assert re.fullmatch(shape, out(value)) and out(value) != value
+
+
 def test_secrets_in_shouted_documents():
     import pyarrow.parquet as pq
 
@@ -115,6 +139,45 @@ def test_logits_of_the_last_text_are_whole(texts):
         assert np.allclose(z, m["table"][s].mean(axis=0) if len(s) else 0, atol=1e-4)
 
 
+def test_more_labels_than_allowed_are_an_error(spark, monkeypatch):
+    from plexus.llm import sampling
+
+    rows = spark.createDataFrame([(i, f"t{i}", f"l{i % 40}") for i in range(400)], "doc_id long, text string, label string")
+    assert len({y for _, y in sampling.training_rows(rows, 3)}) == 40
+    monkeypatch.setattr(sampling, "MAX_LABELS", 39)
+    with pytest.raises(ValueError, match="39"):
+        sampling.training_rows(rows, 3)
+
+
+def test_training_texts_are_whole_and_bounded(spark):
+    from plexus.llm import sampling
+
+    rows = spark.createDataFrame([(i, f"t{i} " * 30000 if i == 7 else f"t{i}", i % 2) for i in range(300)], "doc_id long, text string, label int")
+    got = sampling.training_rows(rows, 1000)
+    assert sorted(t for t, _ in got) == sorted(f"t{i} " * 30000 if i == 7 else f"t{i}" for i in range(300) if zlib.crc32(str(i).encode()) % 5)
+    few = sampling.training_rows(rows.repartition(7), 20)
+    assert [y for _, y in few].count(0) == [y for _, y in few].count(1) == 20 and few == sampling.training_rows(rows, 20)
+
+
+def test_predictions_for_null_and_long_texts(spark, docs):
+    m = langid.learn(docs)
+    q = quality.train([("good words here and there " * 9, 1), ("$$$ ### !!! " * 9, 0)] * 10)
+    rows = spark.createDataFrame([(1, None), (2, "the same words " * 60000), (2, "the same words " * 60000), (3, "")], "doc_id long, text string")
+    got = langid.predict(rows, m).collect()
+    assert [r["lang_pred"] for r in got if r["doc_id"] in (1, 3)] == ["und", "und"] and len({(r["lang_pred"], r["score"]) for r in got if r["doc_id"] == 2}) == 1
+    long = [t for _, t in rows.collect()][1]
+    assert np.allclose(langid.logits(m, [long.encode()])[0], m["table"][langid.text_slots(long)].astype(float).mean(axis=0) + m["bias"], atol=1e-6)
+    s = {(r["doc_id"], round(r["score"], 9)) for r in quality.scored(rows, q).collect()}
+    plain = lambda t: float(quality.combine(q, quality.pooled(q, quality.chunks((t or "").encode())), np.array([0]))[0])
+    assert {(i, round(plain(t), 6)) for i, t in ((1, None), (2, long), (3, ""))} == {(i, round(v, 6)) for i, v in s}
+
+
+def test_accepted_keeps_the_users_columns(spark):
+    rows = spark.createDataFrame([(1, "x", "mine"), (2, None, None)], "doc_id long, text string, _quality_score string")
+    got = quality.accepted(rows, spark.createDataFrame([], "doc_id long, quality int"))
+    assert got.columns == rows.columns and {tuple(r) for r in got.collect()} == {(1, "x", "mine"), (2, None, None)}
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     got = quality.predict(docs, labels).join(labels, "doc_id").filter("held_out").collect()
