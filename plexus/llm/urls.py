@@ -30,8 +30,8 @@ RULES = (
 SLOTS = 4096
 GRAMS = (3, 4, 5)
 MAX_LABELLED = 1000
-STEPS = 200
-RATE = 20.0
+STEPS = 100
+RATE = 10.0
 DECAY = 1e-4
 
 #: The labelled table is made from words of either label, invented names, paths of either label and paths of both.
@@ -71,12 +71,15 @@ def path_of(url: Column) -> Column:
 def slots(host: Column, path: Column) -> Column:
     """Hash slots of the n-grams of host and path, which have spaces of their own."""
 
+    def of_size(tag: str, s: Column, n: int) -> Column:
+        # The lambda has one parameter only: a second one, though it had a default, would be given the element's index.
+        at = F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1)))
+        hashed = F.transform(at, lambda i: F.pmod(F.xxhash64(F.lit(tag), s.substr(i, F.lit(n))), F.lit(SLOTS)).cast("int"))
+        return F.when(F.length(s) >= n, hashed).otherwise(F.array().cast("array<int>"))
+
     def grams(tag: str, s: Column) -> list[Column]:
         s = F.concat(F.lit("\x02"), s, F.lit("\x03"))
-        return [
-            F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - (n - 1), F.lit(1))), lambda i, n=n: F.pmod(F.xxhash64(F.lit(tag), s.substr(i, F.lit(n))), F.lit(SLOTS)).cast("int"))).otherwise(F.array().cast("array<int>"))
-            for n in GRAMS
-        ]
+        return [of_size(tag, s, n) for n in GRAMS]
 
     return F.concat(*grams("h", host), *grams("p", path))
 
