@@ -29,7 +29,10 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Texts are long rows: the default of 10,000 rows a batch lets a worker's memory grow with them."""
+    """Texts are long rows: the default of 10,000 rows a batch lets a worker's memory grow with them.
+
+    Spark reads these settings when a plan runs, which is after the query has returned it, so they stay set.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -56,6 +59,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/plexus-{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this session wrote."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage; the rows are in the shared folder, so they outlive any executor."""
     shared_dir(df.sparkSession)
