@@ -501,11 +501,12 @@ def representatives(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
     rows = rows.select("_row", F.unhex(F.md5(F.to_json("_row"))).alias("_k"))
     own, named = grouped(rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), F.unhex(F.md5("_row.text")).alias("t"), F.col("_k").alias("k")))
-    # Equal rows are one from here on, so a group costs no more than its different rows.
-    several = own.groupBy("cls", "doc_id", "t", "k").agg(F.count("*").alias("n")).join(named.select("cls", "label"), "cls", "left")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "k", "n")
-    best = several.filter("label is not null").groupBy("label").agg(F.min(order).alias("b")).select(F.col("b.k").alias("_k"), (F.col("b.n") > 1).alias("repeats"))
-    stay = checkpoint(best.union(several.filter("label is null").select("k", F.lit(False)).distinct()))
+    labelled = own.join(checkpoint(named.select("cls", "label")), "cls", "left").drop("cls", "n_shingles")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "k")
+    best = labelled.filter("label is not null").groupBy("label").agg(F.min(order)["k"].alias("_k")).select("_k")
+    several = own.groupBy(F.col("k").alias("_k")).agg(F.count("*").alias("n")).filter("n > 1").select("_k", F.lit(True).alias("repeats"))
+    chosen = best.join(several, "_k", "left").select("_k", F.coalesce("repeats", F.lit(False)).alias("repeats"))
+    stay = checkpoint(chosen.union(labelled.filter("label is null").select("k", F.lit(False)).distinct()))
     repeats = stay.filter("repeats").select("_k")
     many = repeats.count()
     kept = rows.join(stay.filter("not repeats").select("_k"), "_k").select("_row")

@@ -177,7 +177,7 @@ def scored(docs: DataFrame, model: dict | None, name: str = "score") -> DataFram
 def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
     """A model from documents outside fold 0 that have a label. Labels of one document are alike or the least counts."""
     marks = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    rows = training_rows(docs.select("doc_id", "text").join(marks, "doc_id"), PER_LABEL)
+    rows = training_rows(docs.select("doc_id", "text"), PER_LABEL, marks)
     return train(rows) if rows else None
 
 

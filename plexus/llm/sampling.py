@@ -18,23 +18,28 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 0
 
 
-def training_rows(labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
-    """Whole texts of at most ``per_label`` rows for each of (text, label, doc_id)'s labels, chosen by a hash of doc_id.
+def training_rows(docs: DataFrame, per_label: int, labels: DataFrame | None = None) -> list[tuple[str, object]]:
+    """Whole texts of at most ``per_label`` rows for each label, chosen by a hash of doc_id, in a fixed order.
 
-    Only rows outside fold 0 are used. The labels are counted, then one scan draws a range of the hash for each label by
-    its count, so that no sort meets all rows and texts are read for the drawn rows only. More than MAX_LABELS labels
-    are an error. The order is fixed.
+    ``docs`` has doc_id, text and, unless ``labels`` (one row a doc_id) has it, label. Only rows outside fold 0 are used.
+    The labels are counted first, then a range of the hash is drawn for each label by its count, so that no sort meets
+    all rows and texts are read for the drawn rows only. More than MAX_LABELS labels are an error.
     """
-    usable = labelled.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("label").isNotNull())
-    found = usable.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(MAX_LABELS + 1).collect()
+    usable = docs.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+    marked = (usable.select("doc_id", "label") if labels is None else usable.select("doc_id").join(labels, "doc_id")).filter("label is not null")
+    found = marked.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
         raise ValueError(f"there are more than {MAX_LABELS} labels")
     if not found:
         return []
     share = F.create_map(*[F.lit(x) for r in found for x in (r["label"], min(1.0, (1.2 * per_label + 20) / r["n"]))])
-    part = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    drawn = usable.filter(part < F.element_at(share, F.col("label"))).select("text", "label", F.xxhash64("doc_id", "text").alias("o")).collect()
+    inside = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.element_at(share, F.col("label"))
+    if labels is None:
+        drawn = usable.filter(F.col("label").isNotNull() & inside)
+    else:
+        drawn = usable.join(F.broadcast(marked.filter(inside).distinct()), "doc_id")  # about 1.2 * per_label of each label
+    rows = drawn.select("text", "label", F.xxhash64("doc_id", "text").alias("o")).collect()
     by_label: dict = {}
-    for o, t, y in sorted((r["o"], r["text"], r["label"]) for r in drawn):
+    for o, t, y in sorted((r["o"], r["text"], r["label"]) for r in rows):
         by_label.setdefault(y, []).append((o, t, y))
     return [(t, y) for _, t, y in sorted(x for own in by_label.values() for x in own[:per_label])]
