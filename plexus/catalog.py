@@ -99,7 +99,9 @@ on_graph("P18", "SELECT path FROM nodes WHERE label = 'File' AND NOT list_has_an
     lambda g: g.label("File").filter(~F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, ("src1", "src2", "de"))))).select("path")
 )
 for _s, _w in (("success", "return_code = 0"), ("failed", "return_code <> 0"), ("cached", "cached"), ("other", "false")):
-    on_log(f"P19_{_s}", f"SELECT event_id, repo, cmd FROM log WHERE {_w} AND contains(repo, '1')")(lambda d, s=_s: logs.by_status(d, s).filter(c("repo").contains("1")).select("event_id", "repo", "cmd"))
+    on_log(f"P19_{_s}", f"SELECT event_id, repo, cmd FROM log WHERE {_w} AND contains(repo, '1') AND regexp_matches(cmd, '^[a-m].*r')")(
+        lambda d, s=_s: logs.by_status(d, s).filter(c("repo").contains("1") & c("cmd").rlike("^[a-m].*r")).select("event_id", "repo", "cmd")
+    )
 on_graph("P21", "SELECT node_id, CASE WHEN label IN ('Function','Method','Class') THEN 'code' WHEN label IN ('File','Module') THEN 'file' ELSE 'structural' END AS category FROM nodes")(
     lambda g: g.nodes.select("node_id", F.when(c("label").isin("Function", "Method", "Class"), "code").when(c("label").isin("File", "Module"), "file").otherwise("structural").alias("category"))
 )
@@ -151,9 +153,6 @@ on_graph("J14", """, m AS (SELECT e.src AS cls, e.dst AS method FROM edges e JOI
 up AS (SELECT node_id AS cls, node_id AS anc, 0 AS depth FROM nodes WHERE label = 'Class' UNION ALL SELECT up.cls, e.dst, depth + 1 FROM up JOIN edges e ON e.type = 'INHERITS' AND e.src = up.anc)
 SELECT up.cls, arg_min(m.method, up.depth) AS method, min(up.depth)::BIGINT AS depth FROM up JOIN m ON m.cls = up.anc GROUP BY up.cls""")(inherited)
 on_graph("J17", "SELECT dst AS node_id, src AS module FROM edges WHERE type = 'DEFINES'")(lambda g: resolve.defining_module(g))
-on_graph("J18", "SELECT a.dst AS node_id, b.dst AS sibling FROM edges a JOIN edges b ON a.src = b.src AND a.dst <> b.dst WHERE a.type = 'DEFINES' AND b.type = 'DEFINES' AND a.src % 10 = 1")(
-    lambda g: g.of_type("DEFINES").filter("src % 10 = 1").select("src", c("dst").alias("node_id")).join(g.of_type("DEFINES").select("src", c("dst").alias("sibling")), "src").filter("node_id != sibling").select("node_id", "sibling")
-)
 on_graph("J23", """SELECT DISTINCT a.src, a.dst AS middle, b.dst FROM calls a JOIN calls b ON a.dst = b.src JOIN nodes s ON s.node_id = a.src JOIN nodes d ON d.node_id = b.dst WHERE starts_with(s.qualified_name, 'r1.') AND starts_with(d.qualified_name, 'r2.')""")(
     lambda g: paths.walks(g.of_type("CALLS"), 2).join(g.nodes.filter(c("qualified_name").startswith("r1.")).select(c("node_id").alias("n0")), "n0").join(g.nodes.filter(c("qualified_name").startswith("r2.")).select(c("node_id").alias("n2")), "n2").select(c("n0").alias("src"), c("n1").alias("middle"), c("n2").alias("dst")).distinct()
 )
@@ -204,16 +203,6 @@ p AS (SELECT [n.node_id] AS path FROM nodes n JOIN prod USING (node_id) WHERE n.
 mx AS (SELECT path FROM p WHERE len(path) = {most} + 1 OR NOT EXISTS (SELECT 1 FROM g WHERE g.src = p.path[-1] AND NOT list_contains(p.path, g.dst)))
 SELECT array_to_string(path, ',') AS path, (len(path) - 1)::BIGINT AS hops, count(*) AS ways FROM (SELECT path, unnest(path) AS node_id FROM mx WHERE len(path) > {least}) JOIN prod USING (node_id) GROUP BY path HAVING bool_and(ok) AND count(DISTINCT module) >= {mods}"""
 on_graph("T05", SIMPLE.format(prod=PROD, kind="CALLS", labels="'Function', 'Method'", most=4, least=3, mods=2).replace("count(*) AS ways", "1::BIGINT AS ways"))(lambda g: paths.chains(g, "CALLS", ("Function", "Method"), 3, 4, 2))
-on_graph("T06", SIMPLE.format(prod=PROD, kind="INHERITS", labels="'Class'", most=4, least=2, mods=1).replace("count(*) AS ways", "1::BIGINT AS ways"))(lambda g: paths.chains(g, "INHERITS", ("Class",), 2, 4, 1))
-
-
-def fixed_chains(g: PropertyGraph, hops: int) -> DataFrame:
-    n = g.nodes.filter(production(c("qualified_name"))).select("node_id", "name", module_of(c("qualified_name")).alias("module"))
-    out = paths.walks(g.of_type("CALLS"), hops)
-    for i in range(hops + 1):
-        out = out.join(n.select(c("node_id").alias(f"n{i}"), c("name").alias(f"name{i}"), c("module").alias(f"m{i}")), f"n{i}")
-    distinct = lambda tag: F.size(F.array_distinct(F.array(*[f"{tag}{i}" for i in range(hops + 1)])))
-    return out.filter((distinct("name") == hops + 1) & (distinct("m") >= 2)).select(*[f"n{i}" for i in range(hops + 1)])
 
 
 def fixed_sql(hops: int) -> str:
@@ -224,27 +213,11 @@ def fixed_sql(hops: int) -> str:
     return f", pn AS (SELECT node_id, name, split_part(qualified_name, '.', 1) AS module FROM nodes WHERE {PROD}) SELECT {', '.join(f'{ends[i]} AS n{i}' for i in ks)} FROM calls c0 {joins} {named} WHERE len(list_distinct([{', '.join(f'p{i}.name' for i in ks)}])) = {hops + 1} AND len(list_distinct([{', '.join(f'p{i}.module' for i in ks)}])) >= 2"
 
 
-on_graph("T07", fixed_sql(3))(lambda g: fixed_chains(g, 3))
-on_graph("T08", fixed_sql(4))(lambda g: fixed_chains(g, 4))
+on_graph("T07", fixed_sql(3))(lambda g: paths.fixed_chains(g, 3))
+on_graph("T08", fixed_sql(4))(lambda g: paths.fixed_chains(g, 4))
 seeds = lambda g, label, n: g.label(label).filter(c("node_id") % n == 0).select(c("node_id").alias("seed"))
 REACH = ", s AS (SELECT node_id AS seed FROM nodes WHERE label = '{label}' AND node_id % {n} = 0), g AS ({g}), r AS (SELECT seed, seed AS node, 0 AS depth FROM s UNION SELECT r.seed, g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < {d}) SELECT seed, node, min(depth)::BIGINT AS depth FROM r GROUP BY seed, node"
-on_graph("T09", REACH.format(label="Class", n=1, d=40, g="SELECT src, dst FROM edges WHERE type = 'INHERITS'"))(lambda g: paths.bfs(g.of_type("INHERITS"), seeds(g, "Class", 1), 40))
 BOTH = "SELECT src, dst FROM edges WHERE type IN ({t}) UNION ALL SELECT dst, src FROM edges WHERE type IN ({t})"
-on_graph("T10", REACH.format(label="Function", n=50, d=2, g=BOTH.format(t="'CALLS','DEFINES','DEFINES_METHOD','INHERITS','IMPORTS'")))(lambda g: paths.bfs(g.undirected(*paths.STRATEGIES["bfs"][0]), seeds(g, "Function", 50), 2))
-_reach = REACH.format(label="Function", n=50, d=2, g=BOTH.format(t="'CALLS','DEFINES','DEFINES_METHOD','INHERITS','IMPORTS'"))
-_cut = _reach.rindex("SELECT seed")
-on_graph("T10_capped", _reach[:_cut] + f"SELECT seed, node, depth FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY depth, md5(node::VARCHAR||'s'), node) AS k FROM ({_reach[_cut:]})) WHERE k <= 25")(lambda g: paths.expand(g, seeds(g, "Function", 50), "bfs", 2, 25))
-on_graph("T12", REACH.format(label="Function", n=20, d=3, g="SELECT dst AS src, src AS dst FROM calls"))(lambda g: paths.expand(g, seeds(g, "Function", 20), "callers", 3, 1 << 30))
-on_graph("T13", REACH.format(label="Function", n=20, d=4, g="SELECT src, dst FROM calls"))(lambda g: paths.expand(g, seeds(g, "Function", 20), "callees", 4, 1 << 30))
-on_graph("T15", REACH.format(label="Module", n=50, d=1, g="SELECT src, dst FROM edges WHERE type IN ('IMPORTS', 'DEFINES') UNION ALL SELECT dst, src FROM edges WHERE type = 'IMPORTS'"))(lambda g: paths.expand(g, seeds(g, "Module", 50), "imports", 1, 1 << 30))
-on_graph("T16", REACH.format(label="Class", n=20, d=3, g=BOTH.format(t="'INHERITS'")))(lambda g: paths.expand(g, seeds(g, "Class", 20), "inheritance", 3, 1 << 30))
-on_graph("T17", REACH.format(label="Class", n=3, d=1, g="SELECT src, dst FROM edges WHERE type IN ('DEFINES', 'DEFINES_METHOD')"))(lambda g: paths.expand(g, seeds(g, "Class", 3), "definitions", 1, 1 << 30))
-on_graph("T18", REACH.format(label="Class", n=100, d=10, g="SELECT src, dst FROM (" + BOTH.format(t="'INHERITS'") + ") WHERE dst % 2 = 0"))(
-    lambda g: paths.bfs(g.undirected("INHERITS"), seeds(g, "Class", 100), 10, g.label("Class").filter("node_id % 2 = 0"))
-)
-on_graph("T19", """, k AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS r FROM calls) WHERE r <= 4),
-t AS (SELECT node_id AS seed, [node_id] AS path FROM nodes WHERE label = 'Function' AND node_id % 25 = 0 UNION ALL SELECT seed, list_append(path, k.dst) FROM t JOIN k ON k.src = t.path[-1] WHERE len(path) <= 3 AND NOT list_contains(path, k.dst))
-SELECT seed, array_to_string(path, ',') AS path FROM t""")(lambda g: paths.call_tree(g.of_type("CALLS"), seeds(g, "Function", 25), 3).select("seed", F.array_join("path", ",").alias("path")))
 
 # Aggregates -------------------------------------------------------------------------------------------------------------
 
@@ -297,19 +270,9 @@ def hubs(g: PropertyGraph) -> DataFrame:
 
 
 on_graph("A13", f", p AS (SELECT node_id FROM fm WHERE {PROD}), e AS (SELECT * FROM calls WHERE src IN (SELECT * FROM p) AND dst IN (SELECT * FROM p)) SELECT node_id, i AS n_in, o AS n_out FROM (SELECT dst AS node_id, count(*) AS i FROM e GROUP BY dst) JOIN (SELECT src AS node_id, count(*) AS o FROM e GROUP BY src) USING (node_id) WHERE i >= 3 AND o >= 3 ORDER BY i + o DESC, i DESC, node_id DESC LIMIT 10")(hubs)
-on_graph("A14", "SELECT split_part(s.qualified_name, '.', 1) AS src_mod, split_part(d.qualified_name, '.', 1) AS dst_mod, count(*) AS n FROM calls JOIN nodes s ON s.node_id = src JOIN nodes d ON d.node_id = dst GROUP BY 1, 2 HAVING src_mod <> dst_mod ORDER BY n DESC, 1, 2 LIMIT 25")(
-    lambda g: g.ends("CALLS").groupBy(module_of(c("s_qualified_name")).alias("src_mod"), module_of(c("d_qualified_name")).alias("dst_mod")).agg(F.count("*").alias("n")).filter("src_mod != dst_mod").orderBy(F.desc("n"), "src_mod", "dst_mod").limit(25)
-)
 on_graph("A15", f"SELECT dst AS parent, string_agg(src::VARCHAR, ',' ORDER BY src) AS children FROM edges JOIN nodes ON node_id = src WHERE type = 'INHERITS' AND {PROD} GROUP BY dst")(
     lambda g: g.ends("INHERITS").filter(production(c("s_qualified_name"))).groupBy(c("dst").alias("parent")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("src")), lambda x: x.cast("string")), ",").alias("children"))
 )
-on_graph("A16", f"SELECT e.src AS module, count(*) FILTER (d.label = 'Function') AS functions, count(*) FILTER (d.label = 'Class') AS classes FROM edges e JOIN nodes m ON m.node_id = e.src JOIN nodes d ON d.node_id = e.dst WHERE e.type = 'DEFINES' AND {PROD.replace('qualified_name', 'm.qualified_name')} GROUP BY e.src")(
-    lambda g: g.ends("DEFINES", src=("Module",)).filter(production(c("s_qualified_name"))).groupBy(c("src").alias("module")).agg(F.count_if(c("d_label") == "Function").alias("functions"), F.count_if(c("d_label") == "Class").alias("classes"))
-)
-for _n, _not in (("A17_literal", "NOT "), ("A17_production", "")):
-    on_graph(_n, f"SELECT e.src AS module, count(*) AS n FROM edges e JOIN nodes d ON d.node_id = e.dst WHERE e.type = 'IMPORTS' AND {_not}{PROD.replace('qualified_name', 'd.qualified_name')} GROUP BY e.src")(
-        lambda g, neg=bool(_not): g.ends("IMPORTS").filter(~production(c("d_qualified_name")) if neg else production(c("d_qualified_name"))).groupBy(c("src").alias("module")).agg(F.count("*").alias("n"))
-    )
 on_graph("A18", None)(lambda g: (lambda p: resolve.overrides(g).join(p.withColumnRenamed("node_id", "src"), "src", "left_semi").join(p.withColumnRenamed("node_id", "dst"), "dst", "left_semi").select("src", "dst"))(g.label("Method").filter(production(c("qualified_name"))).select("node_id")))
 SQL["A18"] = SQL["J13"].replace("SELECT a.method AS src, arg_min(b.method, up.depth) AS dst, min(up.depth)::BIGINT AS depth", "SELECT a.method AS src, arg_min(b.method, up.depth) AS dst")
 on_graph("A19", """, m AS (SELECT e.src AS cls, string_agg(n.name, ',' ORDER BY n.name) AS ms FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY dst) AS k FROM edges WHERE type = 'DEFINES_METHOD') e JOIN nodes n ON n.node_id = e.dst WHERE k <= 5 GROUP BY e.src)
@@ -324,9 +287,6 @@ rounded = lambda d: d.withColumn("avg_ms", F.round("avg_ms", 6))
 on_log("A21", f"SELECT {COUNTS}, count(DISTINCT repo) AS repos, count(DISTINCT cmd) AS cmds FROM log")(lambda d: rounded(logs.summary(d)))
 on_log("A21_slowest", "SELECT event_id, cmd, duration_ms FROM log WHERE NOT cached ORDER BY duration_ms DESC, event_id LIMIT 5")(lambda d: d.filter(~c("cached")).orderBy(F.desc("duration_ms"), "event_id").limit(5).select("event_id", "cmd", "duration_ms"))
 on_log("A23", f"SELECT cmd AS prefix, {COUNTS}, count(*) FILTER (return_code <> 0) / count(*) AS failure_rate FROM log GROUP BY cmd")(lambda d: rounded(logs.by_prefix(d)))
-on_log("A24", "SELECT cmd AS prefix, count(*) AS total FROM log GROUP BY cmd ORDER BY total DESC, prefix LIMIT 3")(lambda d: logs.by_prefix(d).orderBy(F.desc("total"), "prefix").limit(3).select("prefix", "total"))
-on_log("A26", "SELECT count(*) AS entries, count(*) FILTER (cached) AS hits, count(*) FILTER (NOT cached) AS misses FROM log")(lambda d: d.agg(F.count("*").alias("entries"), F.count_if("cached").alias("hits"), F.count_if(~c("cached")).alias("misses")))
-on_graph("A27", "SELECT extension, count(*) AS n FROM nodes WHERE label = 'File' GROUP BY extension ORDER BY n DESC, extension LIMIT 1")(lambda g: g.label("File").groupBy("extension").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "extension").limit(1))
 on_table("A28", "documents", "SELECT lang, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM documents GROUP BY lang")(
     lambda d: d.groupBy("lang").agg(F.count("*").alias("n")).select("lang", "n", F.round(100.0 * c("n") / F.sum("n").over(Window.partitionBy()), 4).alias("share"))
 )
@@ -338,9 +298,6 @@ on_log("W09", "SELECT event_id, repo, round(avg(duration_ms) OVER (PARTITION BY
 on_graph("O03", "SELECT node_id, end_line - start_line AS span FROM nodes WHERE label = 'Function' ORDER BY span DESC, node_id LIMIT 20")(lambda g: g.label("Function").select("node_id", (c("end_line") - c("start_line")).alias("span")).orderBy(F.desc("span"), "node_id").limit(20))
 SCORES = ", r AS (SELECT node_id, count(*) AS all_rels, count(*) FILTER (type = 'CALLS') AS calls FROM (SELECT src AS node_id, type FROM edges UNION ALL SELECT dst, type FROM edges) GROUP BY node_id), sc AS (SELECT node_id, coalesce(calls, 0) AS calls, coalesce(all_rels, 0) AS all_rels, greatest(coalesce(end_line, 0) - coalesce(start_line, 0), 0) AS span, docstring FROM fm LEFT JOIN r USING (node_id)), o5 AS (SELECT node_id, calls, all_rels, (10 * calls + 2 * all_rels + least(span, 50) + CASE WHEN length(docstring) > 0 THEN 5 ELSE 0 END)::BIGINT AS score FROM sc WHERE all_rels >= 3 OR span >= 10) "
 on_graph("O05", SCORES + "SELECT * FROM o5")(lambda g: sampling.seed_scores(g))
-on_graph("A32", ", r AS (SELECT node_id, count(*) AS all_rels, count(*) FILTER (type = 'CALLS') AS calls FROM (SELECT src AS node_id, type FROM edges UNION ALL SELECT dst, type FROM edges) GROUP BY node_id) SELECT node_id, calls, all_rels FROM r JOIN fm USING (node_id)")(
-    lambda g: (lambda s: s.groupBy("node_id").agg(F.count_if(c("type") == "CALLS").alias("calls"), F.count("*").alias("all_rels")).join(g.label("Function", "Method").select("node_id"), "node_id", "left_semi"))(g.undirected().select(c("src").alias("node_id"), "type"))
-)
 on_graph("O06", """, e2 AS (SELECT src AS node_id, type, 'out' AS way FROM edges UNION ALL SELECT dst, type, 'in' FROM edges),
 k AS (SELECT node_id, count(*) FILTER (type = 'CALLS') AS calls, count(*) FILTER (way = 'in' AND type IN ('DEFINES', 'DEFINES_METHOD')) AS defd, count(*) FILTER (type = 'INHERITS') AS inh, count(*) FILTER (way = 'out' AND type = 'DEFINES_METHOD') AS mm, count(*) FILTER (type = 'IMPORTS') AS imp, count(*) FILTER (way = 'out' AND type = 'DEFINES') AS def FROM e2 GROUP BY node_id)
 SELECT node_id, total, best FROM (SELECT node_id, CASE WHEN label IN ('Function', 'Method') THEN calls + defd WHEN label = 'Class' THEN inh + mm ELSE imp + def END AS total, CASE WHEN label = 'Class' THEN 'INHERITS' WHEN label = 'Module' THEN 'IMPORTS' WHEN calls >= defd THEN 'CALLS' ELSE 'DEFINES' END AS best FROM nodes JOIN k USING (node_id) WHERE label IN ('Function', 'Method', 'Class', 'Module')) WHERE total > 0""")(lambda g: sampling.sparse_seeds(g))
@@ -350,12 +307,8 @@ on_graph("O09", "SELECT node_id AS seed, s AS strategy, t::BIGINT AS turn FROM (
     lambda g: sampling.round_robin(g.label("Module").select(c("node_id").alias("seed")), {"callees": 3, "chain": 2, "file": 2, "callers": 2, "bfs": 1})
 )
 on_log("O10", "SELECT event_id, cmd FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS k FROM log) WHERE k = 8")(lambda d: d.orderBy("event_id").limit(8).orderBy(F.desc("event_id")).limit(1).select("event_id", "cmd"))
-on_graph("O12", "SELECT label, node_id FROM (SELECT label, node_id, row_number() OVER (PARTITION BY label ORDER BY md5(node_id::VARCHAR||'q'), node_id) AS k FROM nodes) WHERE k <= 10")(
-    lambda g: g.nodes.withColumn("k", F.row_number().over(Window.partitionBy("label").orderBy(sampling.hash_order(c("node_id"), "q"), "node_id"))).filter("k <= 10").select("label", "node_id")
-)
 on_graph("W06", "SELECT src, min(dst) AS dst FROM calls GROUP BY src")(lambda g: g.of_type("CALLS").groupBy("src").agg(F.min("dst").alias("dst")))
 on_graph("W04", "SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) AS k FROM calls) WHERE k <= 4")(lambda g: g.of_type("CALLS").select("src", "dst", F.row_number().over(Window.partitionBy("src").orderBy("dst")).alias("k")).filter("k <= 4").select("src", "dst"))
-on_graph("W05", None)(lambda g: sampling.packed(paths.expand(g, seeds(g, "Function", 1), "bfs", 1, 30).join(g.nodes.filter("end_line IS NOT NULL").select(c("node_id").alias("node"), (c("end_line") - c("start_line")).alias("size")), "node"), 60))
 on_graph("W07", "SELECT node_id, row_number() OVER (ORDER BY node_id) - 1 AS seq FROM nodes")(lambda g: sampling.numbered(g.nodes.select("node_id"), ["node_id"], "seq", ""))
 on_table("W08", "documents", "SELECT doc_id, printf('prompt_%04d', row_number() OVER (ORDER BY doc_id) - 1) AS prompt FROM documents")(lambda d: sampling.numbered(d.select("doc_id"), ["doc_id"], "prompt"))
 
@@ -382,11 +335,9 @@ on_graph("F10", "SELECT node_id, replace(regexp_replace(path, '\\.[^./]*$', ''),
 on_graph("F07", """SELECT c.src, c.dst, (greatest(len(a), len(b)) - (CASE WHEN a[1] <> b[1] THEN 0 WHEN a[2] <> b[2] THEN 1 WHEN a[3] <> b[3] THEN 2 ELSE 3 END) - (CASE WHEN a[1] = b[1] AND a[2] = b[2] THEN 1 ELSE 0 END))::BIGINT AS distance FROM calls c JOIN (SELECT node_id, string_split(qualified_name, '.') AS a FROM nodes) x ON x.node_id = c.dst JOIN (SELECT node_id, string_split(qualified_name, '.')[1:3] AS b FROM nodes) y ON y.node_id = c.src""")(
     lambda g: g.ends("CALLS").select("src", "dst", N.import_distance(c("d_qualified_name"), N.parent_part(c("s_qualified_name"))).alias("distance"))
 )
-on_table("F18", "documents", None)(lambda d: d.select("doc_id", N.normal_error(c("text")).alias("pattern"), N.pattern_id(N.normal_error(c("text"))).alias("pattern_id")))
 on_log("F19", "SELECT event_id, sha256(repo||':'||cmd) AS key FROM log")(lambda d: d.select("event_id", N.cache_key(c("repo"), c("cmd")).alias("key")))
 on_table("F21", "documents", "SELECT doc_id, CASE WHEN len(l) <= 3 THEN text ELSE array_to_string(l[1:3], chr(10))||chr(10)||'... ('||(len(l) - 3)||' more lines)' END AS code FROM (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents)")(lambda d: d.select("doc_id", N.truncated(c("text"), 3).alias("code")))
 on_table("F22", "documents", "SELECT doc_id, length(text) // 4 AS tokens FROM documents")(lambda d: d.select("doc_id", F.floor(F.length("text") / 4).alias("tokens")))
-on_table("F16", "documents", "SELECT DISTINCT lang, CASE lang WHEN 'py' THEN 'python' ELSE lower(trim(lang)) END AS language FROM documents")(lambda d: d.select("lang", N.language(c("lang")).alias("language")).distinct())
 on_graph("F23", "SELECT hops, mods, CASE WHEN hops + mods <= 3 THEN 'easy' WHEN hops + mods <= 5 THEN 'medium' WHEN hops + mods <= 7 THEN 'hard' ELSE 'expert' END AS difficulty FROM (SELECT unnest(range(1, 6)) AS hops), (SELECT unnest(range(1, 5)) AS mods)")(
     lambda g: g.nodes.sparkSession.range(1, 6).select(c("id").alias("hops"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(4).cast("bigint"))).alias("mods")).withColumn("difficulty", N.difficulty(c("hops"), c("mods")))
 )
@@ -407,24 +358,17 @@ on_graph("F06", "SELECT node_id, string_split_regex(qualified_name, '[.:]')[-1]
 on_graph("F08", "SELECT node_id, CASE WHEN p = k THEN 100 WHEN ends_with(p, k) OR ends_with(k, p) THEN 90 WHEN contains(p, k) THEN floor(80 * length(k) / length(p)) ELSE 0 END::BIGINT AS score FROM (SELECT node_id, lower(qualified_name) AS p, lower(name) AS k FROM nodes WHERE qualified_name IS NOT NULL)")(
     lambda g: g.nodes.filter("qualified_name IS NOT NULL").select("node_id", N.match_score(F.lower("qualified_name"), F.lower("name")).alias("score"))
 )
-on_graph("F12", "SELECT node_id, string_split(qualified_name, '.')[2]||'.x' AS target FROM nodes WHERE label = 'Module'")(lambda g: g.label("Module").select("node_id", N.relative_import(c("qualified_name"), 1, F.lit("x")).alias("target")))
 on_graph("F13", "SELECT src, dst, 'size' AS name, substr(version_spec, 5) AS spec FROM edges WHERE version_spec IS NOT NULL")(
     lambda g: g.edges.filter("version_spec IS NOT NULL").select("src", "dst", N.requirement_name(c("version_spec")).alias("name"), N.requirement_spec(c("version_spec")).alias("spec"))
 )
-on_log("F17", "SELECT event_id, cmd AS prefix FROM log")(lambda d: d.select("event_id", N.command_prefix(c("cmd")).alias("prefix")))
 for _n, _p in (("F24", 3), ("F25", 6)):
     on_table(_n, "embeddings", f"SELECT vec_id, CASE WHEN round(score, {_p}) = 0 THEN 0.0 ELSE round(score, {_p}) END AS score FROM ({COSINE})")(
         lambda e, p=_p: e.crossJoin(F.broadcast(e.filter("vec_id = 0").select(c("embedding").alias("q")))).select("vec_id", F.round(N.cosine(c("embedding"), c("q")), p).alias("score"))  # one row
     )
 on_log("F26", "SELECT event_id, 'Look at '||repo||'.' AS line FROM log")(lambda d: d.select("event_id", N.filled(F.lit("Look at ${REPO_NAME}."), REPO_NAME=c("repo")).alias("line")))
-on_log("F32", "SELECT event_id, false AS valid, 'Command '''||cmd||''' not in allowlist' AS error FROM log")(lambda d: d.select("event_id", commands.validated(c("cmd")).alias("r")).select("event_id", "r.*"))
 on_log("F34", "SELECT event_id, CASE WHEN s < 60 THEN s||'s' WHEN s < 3600 THEN (s // 60)||'m '||(s % 60)||'s' ELSE (s // 3600)||'h '||(s % 3600 // 60)||'m' END AS took FROM (SELECT event_id, event_id AS s FROM log)")(
     lambda d: d.select("event_id", N.duration(c("event_id")).alias("took"))
 )
-on_log("A22", f"SELECT {COUNTS} FROM log")(lambda d: rounded(logs.summary(d)).drop("repos", "cmds"))
-on_log("A25", "SELECT substr(md5(p), 1, 12) AS pattern_id, p AS pattern, count(*) AS n, arg_min(e, event_id) AS first_stderr FROM (SELECT event_id, cmd||' at step '||event_id AS e, cmd||' at step {num}' AS p FROM log WHERE return_code <> 0) GROUP BY p")(
-    lambda d: logs.error_patterns(d.filter("return_code != 0").select(F.concat_ws(" at step ", "cmd", "event_id").alias("stderr"), "cmd", "repo", c("event_id").alias("seq"))).drop("examples")
-)
 on_graph("O01", "SELECT src, count(*) AS n FROM calls GROUP BY src ORDER BY n DESC, src LIMIT 10")(lambda g: g.of_type("CALLS").groupBy("src").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "src").limit(10))
 on_graph("O02", "SELECT node_id FROM nodes WHERE label = 'Function' ORDER BY node_id LIMIT 50")(lambda g: g.label("Function").select("node_id").orderBy("node_id").limit(50))
 on_log("K01", "SELECT repo AS key, cmd AS k, arg_max(event_id::VARCHAR, event_id) AS v FROM log GROUP BY repo, cmd")(
@@ -451,9 +395,5 @@ on_graph("K03", "SELECT 'CALLS' AS type, count(*) AS attempted, count(*) FILTER
 on_log("K06", "SELECT row_number() OVER (ORDER BY min(event_id)) - 1 AS node_id, 'Function' AS label, repo AS key, arg_min(cmd, event_id) AS cmd FROM log GROUP BY repo")(
     lambda d: sinks.first_nodes(d.select(F.lit("Function").alias("label"), c("repo").alias("key"), F.create_map(F.lit("cmd"), "cmd").alias("props"), c("event_id").alias("seq"))).select("node_id", "label", "key", c("props")["cmd"].alias("cmd"))
 )
-on_log("K13", "SELECT repo, count(*) AS n, count(*) FILTER (return_code = 0) AS success FROM log GROUP BY repo")(lambda d: d.groupBy("repo").agg(F.count("*").alias("n"), F.count_if(c("return_code") == 0).alias("success")))
-on_log("A30", "SELECT count(*) AS n, count(*) FILTER (return_code = 0) AS success, count(DISTINCT repo) AS repos FROM log")(lambda d: d.agg(F.count("*").alias("n"), F.count_if(c("return_code") == 0).alias("success"), F.count_distinct("repo").alias("repos")))
-on_log("A31", "SELECT date_trunc('hour', ts) AS begin, count(*) AS n FROM log GROUP BY 1")(lambda d: d.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select(c("w.start").alias("begin"), "n"))
-on_graph("W01", "SELECT src, min(dst) AS dst FROM edges WHERE type = 'INHERITS' GROUP BY src")(lambda g: g.of_type("INHERITS").groupBy("src").agg(F.min("dst").alias("dst")))
 
 from plexus import catalog_names, catalog_sources, catalog_whole  # noqa: E402, F401

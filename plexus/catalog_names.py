@@ -134,20 +134,17 @@ CHAIN = "".join(
     for i in range(4)
 )
 SIBLINGS = (
-    SEEDS.format(n=20) + ", p0 AS (SELECT seed, [seed] AS path FROM s)" + CHAIN + ", ch AS (SELECT seed, unnest(path) AS node FROM (" + " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(5)) + """)),
+    SEEDS.format(n=1) + ", p0 AS (SELECT seed, [seed] AS path FROM s)" + CHAIN + ", ch AS (SELECT seed, unnest(path) AS node FROM (" + " UNION ALL ".join(f"SELECT * FROM p{i}" for i in range(5)) + """)),
 own AS (SELECT DISTINCT src AS up, dst AS node FROM edges WHERE type IN ('DEFINES', 'DEFINES_METHOD')),
 sib AS (SELECT DISTINCT ch.seed, ch.node, b.node AS sibling FROM ch JOIN own a ON a.node = ch.node JOIN own b ON b.up = a.up AND b.node <> ch.node)
 SELECT DISTINCT seed, node FROM ch UNION SELECT seed, sibling FROM (SELECT *, row_number() OVER (PARTITION BY seed, node ORDER BY md5(sibling::VARCHAR||'s'), sibling) AS k FROM sib) WHERE k <= 2
 UNION SELECT seed, src FROM (SELECT seed, src, row_number() OVER (PARTITION BY seed ORDER BY md5(src::VARCHAR||'s'), src) AS k FROM s JOIN calls ON dst = seed) WHERE k <= 3""")
-on_graph("T11", SIBLINGS)(lambda g: paths.chain_with_siblings(g, seeds(g, 20)))
-FILE = SEEDS.format(n=20) + """, ins AS (SELECT seed, seed AS node FROM s UNION SELECT seed, b.dst FROM s JOIN edges a ON a.type = 'DEFINES' AND a.dst = seed JOIN edges b ON b.type = 'DEFINES' AND b.src = a.src),
+on_graph("T11", SIBLINGS)(lambda g: paths.chain_with_siblings(g, seeds(g, 1)))
+FILE = SEEDS.format(n=1) + """, ins AS (SELECT seed, seed AS node FROM s UNION SELECT seed, b.dst FROM s JOIN edges a ON a.type = 'DEFINES' AND a.dst = seed JOIN edges b ON b.type = 'DEFINES' AND b.src = a.src),
 ext AS (SELECT DISTINCT ins.seed, c.dst AS node FROM ins JOIN calls c ON c.src = ins.node WHERE (ins.seed, c.dst) NOT IN (SELECT (seed, node) FROM ins)),
 fc AS (SELECT seed, node FROM ins UNION ALL SELECT seed, node FROM (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY md5(node::VARCHAR||'s'), node) AS k FROM ext) WHERE k <= 5)"""
-file_centric = lambda g: paths.file_centric(g, seeds(g, 20), resolve.defining_module(g))
+file_centric = lambda g: paths.file_centric(g, seeds(g, 1), resolve.defining_module(g))
 on_graph("T14", FILE + " SELECT seed, node FROM fc")(file_centric)
-on_graph("T20", SIBLINGS.replace("SELECT DISTINCT seed, node FROM ch UNION", FILE[FILE.index(", ins") :] + " SELECT 'file' AS strategy, seed, node FROM fc UNION ALL SELECT 'chain', seed, node FROM (SELECT DISTINCT seed, node FROM ch UNION", 1) + ")")(
-    lambda g: file_centric(g).select(F.lit("file").alias("strategy"), "seed", "node").union(paths.chain_with_siblings(g, seeds(g, 20)).select(F.lit("chain"), "seed", "node"))
-)
 
 # Contexts ---------------------------------------------------------------------------------------------------------------
 

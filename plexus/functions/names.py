@@ -95,6 +95,14 @@ def language(name: Column) -> Column:
     return F.coalesce(F.element_at(table, low), low)
 
 
+#: File extensions of languages, fixed values.
+EXTENSIONS = {".py": "python", ".js": "javascript", ".jsx": "javascript", ".ts": "typescript", ".tsx": "typescript", ".rs": "rust", ".go": "go", ".java": "java", ".scala": "scala", ".cpp": "cpp", ".lua": "lua"}
+
+
+def language_of_extension(extension: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in EXTENSIONS.items() for x in kv]), extension)
+
+
 def command_prefix(cmd: Column) -> Column:
     """the first word, or with its subcommand, option or flags for some commands."""
     t = F.filter(F.split(F.trim(cmd), r"\s+"), lambda x: x != "")

@@ -25,33 +25,52 @@ def walks(edges: DataFrame, hops: int, rule: str = "walk") -> DataFrame:
     return out.select(*[f"n{i}" for i in range(hops + 1)])
 
 
-def maximal_paths(edges: DataFrame, starts: DataFrame, max_edges: int) -> DataFrame:
+def fixed_chains(g: PropertyGraph, hops: int, min_modules: int = 2) -> DataFrame:
+    """n0..n<hops> of paths of production nodes with different names over at least ``min_modules`` modules.
+
+    Edges to other nodes go before the first hop, and a name met again ends a path at once.
+    """
+    n = g.nodes.filter(production(F.col("qualified_name"))).select("node_id", "name", module_of(F.col("qualified_name")).alias("module"))
+    start = n.select(F.col("node_id").alias("src"), F.col("name").alias("s_name"), F.col("module").alias("s_module"))
+    end = n.select(F.col("node_id").alias("dst"), F.col("name").alias("d_name"), F.col("module").alias("d_module"))
+    e = durable(g.of_type("CALLS").select("src", "dst").join(start, "src").join(end, "dst").filter("s_name != d_name"))
+    out = e.select(F.col("src").alias("n0"), F.col("dst").alias("n1"), F.array("s_name", "d_name").alias("names"), F.array_distinct(F.array("s_module", "d_module")).alias("modules"))
+    step = e.select("src", "dst", "d_name", "d_module")
+    for k in range(1, hops):
+        out = out.join(step.withColumnRenamed("src", f"n{k}").withColumnRenamed("dst", f"n{k + 1}"), f"n{k}").filter(~F.array_contains("names", F.col("d_name")))
+        out = out.withColumn("names", F.array_append("names", F.col("d_name"))).withColumn("modules", F.array_union("modules", F.array("d_module"))).drop("d_name", "d_module")
+    return out.filter(F.size("modules") >= min_modules).select(*[f"n{i}" for i in range(hops + 1)])
+
+
+def maximal_paths(edges: DataFrame, starts: DataFrame, max_edges: int, allowed: DataFrame | None = None) -> DataFrame:
     """``path`` of every simple path from ``starts`` (node_id) that has ``max_edges`` edges or cannot go on.
 
-    One row per way along parallel edges. A path cannot go on if every edge from its end leads back into it.
+    One row per way along parallel edges. A path cannot go on if every edge from its end leads back into it. With
+    ``allowed`` (node_id), paths that meet any other node are left out, and no longer followed.
     """
     e = edges.select("src", "dst")
-    fans = e.groupBy("src").agg(F.collect_list("dst").alias("next"))
+    e = e.withColumn("to", F.col("dst")) if allowed is None else e.join(allowed.select(F.col("node_id").alias("dst"), F.col("node_id").alias("to")), "dst", "left")
+    fans = durable(e.groupBy("src").agg(F.collect_list("dst").alias("next"), F.collect_list("to").alias("good")))
     now = starts.select(F.array("node_id").alias("path"))
     done = None
+    free_of = lambda x: F.filter(F.coalesce(x, F.array().cast("array<bigint>")), lambda y: ~F.array_contains(F.col("path"), y))
     for _ in range(max_edges):
         fan = now.withColumn("src", F.element_at("path", -1)).join(fans, "src", "left")
-        free = fan.withColumn("next", F.filter(F.coalesce("next", F.array().cast("array<bigint>")), lambda x: ~F.array_contains(F.col("path"), x)))
-        ended = free.filter(F.size("next") == 0).select("path")
+        ended = fan.filter(F.size(free_of("next")) == 0).select("path")
         done = ended if done is None else done.union(ended)
-        now = free.select("path", F.explode("next").alias("to")).select(F.array_append("path", F.col("to")).alias("path"))
+        now = fan.select("path", F.explode(free_of("good")).alias("to")).select(F.array_append("path", F.col("to")).alias("path"))
     return now if done is None else done.union(now)
 
 
 def chains(g: PropertyGraph, kind: str, labels: tuple[str, ...], min_edges: int, max_edges: int, min_modules: int, depth: int = 1) -> DataFrame:
     """Maximal paths of production nodes over at least ``min_modules`` modules: ids joined by commas and the edge count."""
-    names = g.nodes.select("node_id", "qualified_name", production(F.col("qualified_name")).alias("ok"), module_of(F.col("qualified_name"), depth=depth).alias("module"))
-    found = maximal_paths(g.of_type(kind), names.join(g.label(*labels).select("node_id"), "node_id").filter("ok"), max_edges).filter(F.size("path") > min_edges)
-    # A path's nodes meet again by position; parallel ways keep their number.
+    names = g.nodes.filter(production(F.col("qualified_name"))).select("node_id", module_of(F.col("qualified_name"), depth=depth).alias("module"))
+    found = maximal_paths(g.of_type(kind), names.join(g.label(*labels).select("node_id"), "node_id"), max_edges, names).filter(F.size("path") > min_edges)
     counted = found.groupBy("path").agg(F.count("*").alias("ways"))
-    each = counted.select("path", "ways", F.explode("path").alias("node_id")).join(names, "node_id")
-    whole = each.groupBy("path", "ways").agg(F.min("ok").alias("ok"), F.count_distinct("module").alias("modules")).filter(F.col("ok") & (F.col("modules") >= min_modules))
-    return whole.select(F.array_join("path", ",").alias("path"), (F.size("path") - 1).cast("bigint").alias("hops"), F.col("ways").alias("ways"))
+    if min_modules > 1:
+        each = counted.select("path", "ways", F.explode("path").alias("node_id")).join(names, "node_id")
+        counted = each.groupBy("path", "ways").agg(F.count_distinct("module").alias("modules")).filter(F.col("modules") >= min_modules)
+    return counted.select(F.array_join("path", ",").alias("path"), (F.size("path") - 1).cast("bigint").alias("hops"), F.col("ways").alias("ways"))
 
 
 def bfs(edges: DataFrame, seeds: DataFrame, depth: int, within: DataFrame | None = None) -> DataFrame:
@@ -59,6 +78,7 @@ def bfs(edges: DataFrame, seeds: DataFrame, depth: int, within: DataFrame | None
     e = edges.select("src", "dst").distinct()
     if within is not None:
         e = e.join(within.select(F.col("node_id").alias("dst")), "dst", "left_semi")
+    e = durable(e)  # planned once, not at every level
     seen = seeds.select("seed", F.col("seed").alias("node"), F.lit(0).cast("bigint").alias("depth"))
     front = seen
     for k in range(1, depth + 1):
@@ -113,15 +133,73 @@ def expand(g: PropertyGraph, seeds: DataFrame, strategy: str, depth: int, most:
     return capped(bfs(e, seeds, depth), most)
 
 
+def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """node_id of everything reachable from ``starts`` (seed): one frontier for all of them, each node met once."""
+    e = durable(edges.select("src", "dst").distinct())
+    front = seen = durable(starts.select(F.col("seed").alias("node_id")).distinct())
+    while not front.isEmpty():
+        front = durable(front.join(e, front.node_id == e.src).select(F.col("dst").alias("node_id")).distinct().join(seen, "node_id", "left_anti"))
+        seen = durable(seen.union(front))
+    return seen
+
+
 def closure_delete(g: PropertyGraph, roots: DataFrame, literal: bool = False) -> PropertyGraph:
     """Without everything reachable from ``roots`` (seed); only along containment unless ``literal``."""
-    e = g.edges if literal else g.of_type("DEFINES", "DEFINES_METHOD")
-    gone = bfs(e, roots, 1000).select(F.col("node").alias("node_id")).distinct()
+    gone = reachable(g.edges if literal else g.of_type("DEFINES", "DEFINES_METHOD"), roots)
     nodes = g.nodes.join(gone, "node_id", "left_anti")
     edges = g.edges.join(gone.withColumnRenamed("node_id", "src"), "src", "left_anti").join(gone.withColumnRenamed("node_id", "dst"), "dst", "left_anti")
     return PropertyGraph(nodes, edges)
 
 
+def ancestors(g: PropertyGraph, least: int = 2, depth: int = 40) -> DataFrame:
+    """Seed, node, depth of each class with ``least`` ancestors or more; parents without a name are not traversed."""
+    named = g.nodes.filter("name IS NOT NULL").select("node_id")
+    up = bfs(g.of_type("INHERITS"), g.label("Class").select(F.col("node_id").alias("seed")), depth, named).filter("depth > 0")
+    enough = up.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("seed")
+    return up.join(enough, "seed", "left_semi")
+
+
+def inheritance_tree(g: PropertyGraph, seeds: DataFrame, most: int, levels: int = 5, salt: str = "s") -> DataFrame:
+    """Seed, node: INHERITS both ways, a further level only while a seed has fewer than most // 2 nodes, then methods as fill."""
+    e = durable(g.undirected("INHERITS").select("src", "dst").distinct())
+    seen = front = seeds.select("seed", F.col("seed").alias("node"))
+    for _ in range(levels):
+        open_ = seen.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") < most // 2).select("seed")
+        step = front.join(open_, "seed", "left_semi").join(e, front.node == e.src).select("seed", F.col("dst").alias("node")).distinct()
+        front = durable(step.join(seen, ["seed", "node"], "left_anti"))
+        seen = durable(seen.union(front))
+    return _filled(seen, g.of_type("DEFINES_METHOD"), most, salt)
+
+
+def definitions_and_related(g: PropertyGraph, seeds: DataFrame, most: int, salt: str = "s") -> DataFrame:
+    """Seed, node: what the seed defines up to the cap, then what all of these call or define."""
+    own = _filled(seeds.select("seed", F.col("seed").alias("node")), g.of_type("DEFINES", "DEFINES_METHOD"), most, salt)
+    return _filled(durable(own), g.of_type("CALLS", "DEFINES_METHOD"), most, salt)
+
+
+def _filled(seen: DataFrame, edges: DataFrame, most: int, salt: str) -> DataFrame:
+    """``seen`` (seed, node) and, up to ``most`` nodes a seed, other ends of its nodes' ``edges`` by a fixed hash."""
+    e = edges.select(F.col("src").alias("node"), "dst").distinct()
+    more = seen.join(e, "node").select("seed", F.col("dst").alias("node")).distinct().join(seen, ["seed", "node"], "left_anti")
+    room = seen.groupBy("seed").agg((F.lit(most) - F.count("*")).alias("room"))
+    # No seed has more room than most, so the window keeps that many a seed at most.
+    return seen.union(_least(more, "seed", "node", most, salt, rank="_k").join(room, "seed").filter("_k <= room").select("seed", "node"))
+
+
+def distances_within(g: PropertyGraph, sets: DataFrame, depth: int = 10) -> DataFrame:
+    """Seed, node, depth along edges of any type, both ways, inside each seed's own set (seed, node)."""
+    e = g.undirected().select("src", "dst").filter("src != dst").distinct()
+    inside = durable(sets.select("seed", F.col("node").alias("src")).join(e, "src").join(sets.select("seed", F.col("node").alias("dst")), ["seed", "dst"]).select("seed", "src", "dst"))
+    seen = front = sets.select("seed").distinct().select("seed", F.col("seed").alias("node"), F.lit(0).cast("bigint").alias("depth"))
+    for k in range(1, depth + 1):
+        step = front.select("seed", F.col("node").alias("src")).join(inside, ["seed", "src"]).select("seed", F.col("dst").alias("node")).distinct()
+        front = durable(step.join(seen, ["seed", "node"], "left_anti").withColumn("depth", F.lit(k).cast("bigint")))
+        if front.isEmpty():
+            break
+        seen = durable(seen.unionByName(front))
+    return seen
+
+
 def call_tree(edges: DataFrame, seeds: DataFrame, depth: int, children: int = 4) -> DataFrame:
     """Seed and path of ids; the first ``children`` callees by id under each node, none twice on a path."""
     w = Window.partitionBy("src").orderBy("dst")
@@ -158,10 +236,11 @@ def chain_with_siblings(g: PropertyGraph, seeds: DataFrame, depth: int = 4, sibl
     return chain.union(picked).union(above).distinct()
 
 
-def _least(rows: DataFrame, key: str, col: str, most: int, salt: str) -> DataFrame:
-    """The first ``most`` values of ``col`` under each key by a fixed hash."""
+def _least(rows: DataFrame, key: str, col: str, most: int, salt: str, rank: str | None = None) -> DataFrame:
+    """The first ``most`` values of ``col`` under each key by a fixed hash; with ``rank``, also their place from 1 on."""
     w = Window.partitionBy(key).orderBy(F.md5(F.concat(F.col(col).cast("string"), F.lit(salt))), col)
-    return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= most).drop("_r")
+    first = rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= most)
+    return first.withColumnRenamed("_r", rank) if rank else first.drop("_r")
 
 
 def file_centric(g: PropertyGraph, seeds: DataFrame, modules: DataFrame, external: int = 5, salt: str = "s") -> DataFrame:

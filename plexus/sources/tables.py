@@ -53,11 +53,13 @@ def graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     def edge(df: DataFrame, kind: str, s: int, a: Column, d: int, b: Column, spec: Column | None = None) -> DataFrame:
         return df.select((F.lit(s * KIND) + a).cast("bigint").alias("src"), (F.lit(d * KIND) + b).cast("bigint").alias("dst"), F.lit(kind).alias("type"), (F.lit(None) if spec is None else spec).cast("string").alias("version_spec"))
 
-    line = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    line = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     one, two = line.filter("l_linenumber = 1").drop("l_linenumber"), line.filter("l_linenumber = 2").drop("l_linenumber")
 
-    def pairs(col: str) -> DataFrame:
-        return one.select("l_orderkey", c(col).alias("a")).join(two.select("l_orderkey", c(col).alias("b")), "l_orderkey").select("a", "b").distinct()
+    called = one.select("l_orderkey", c("l_partkey").alias("a")).join(two.select("l_orderkey", c("l_partkey").alias("b")), "l_orderkey").select("a", "b").distinct()
+    # A few imports a module, some of them mutual, so that import chains of any length can be listed at any scale.
+    s = c("s_suppkey")
+    imported = t("supplier").select(F.explode(F.array(*[F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b")) for a, b in ((s, F.floor(s / 2)), (s, F.floor(s / 3)), (F.floor(s / 5), s))])).alias("e")).select("e.*").filter("a >= 1 AND b >= 1").distinct()
 
     brand_use = parts.groupBy("n_regionkey", "p_brand").agg(F.min("p_size").alias("least")).join(F.broadcast(brands), "p_brand")
     edges = [
@@ -65,8 +67,8 @@ def graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
         edge(t("supplier"), "CONTAINS_MODULE", 2, c("s_nationkey"), 3, c("s_suppkey")),
         edge(homes, "DEFINES", 3, c("home"), 4, c("p_partkey")),
         edge(methods, "DEFINES_METHOD", 5, c("o_custkey"), 6, c("o_custkey") * 7 + c("m")),
-        edge(pairs("l_partkey"), "CALLS", 4, c("a"), 4, c("b")),
-        edge(pairs("l_suppkey"), "IMPORTS", 3, c("a"), 3, c("b")),
+        edge(called, "CALLS", 4, c("a"), 4, c("b")),
+        edge(imported, "IMPORTS", 3, c("a"), 3, c("b")),
         edge(t("customer").filter("c_custkey >= 1"), "INHERITS", 5, c("c_custkey"), 5, F.floor(c("c_custkey") / 2)),
         edge(brand_use, "DEPENDS_ON_EXTERNAL", 1, c("n_regionkey"), 8, c("b"), text("size>=", c("least"))),
     ]
@@ -96,7 +98,7 @@ UNION ALL SELECT 20000000000 + s_nationkey, 30000000000 + s_suppkey, 'CONTAINS_M
 UNION ALL SELECT 30000000000 + home, 40000000000 + p_partkey, 'DEFINES', NULL FROM prt
 UNION ALL SELECT 50000000000 + o_custkey, 60000000000 + o_custkey * 7 + m, 'DEFINES_METHOD', NULL FROM mth
 UNION ALL SELECT DISTINCT 40000000000 + x.l_partkey, 40000000000 + y.l_partkey, 'CALLS', NULL FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber = 1 AND y.l_linenumber = 2
-UNION ALL SELECT DISTINCT 30000000000 + x.l_suppkey, 30000000000 + y.l_suppkey, 'IMPORTS', NULL FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber = 1 AND y.l_linenumber = 2
+UNION ALL SELECT DISTINCT 30000000000 + a, 30000000000 + b, 'IMPORTS', NULL FROM (SELECT s_suppkey AS a, s_suppkey // 2 AS b FROM supplier UNION ALL SELECT s_suppkey, s_suppkey // 3 FROM supplier UNION ALL SELECT s_suppkey // 5, s_suppkey FROM supplier) WHERE a >= 1 AND b >= 1
 UNION ALL SELECT 50000000000 + c_custkey, 50000000000 + c_custkey // 2, 'INHERITS', NULL FROM customer WHERE c_custkey >= 1
 UNION ALL SELECT 10000000000 + n_regionkey, 80000000000 + b, 'DEPENDS_ON_EXTERNAL', 'size>='||min(p_size) FROM prt JOIN mods ON home = s_suppkey JOIN brands USING (p_brand) GROUP BY n_regionkey, b),
 fm AS (SELECT * FROM nodes WHERE label IN ('Function', 'Method')),
