@@ -148,6 +148,7 @@ on_table("R09", "customer", "SELECT c_custkey AS url FROM customer WHERE c_custk
 # Sources: one Python file a part ------------------------------------------------------------------------------------------
 
 CODE = ("import os\nfrom r1.util import x as y\nfrom r2 import *\nclass K", "(Base", '):\n    "doc"\n    @deco(1)\n    def m(self):\n        return self.h(os.path.join(y))\ndef f', "(a):\n    def inner():\n        return y(a)\n    return inner()\n")
+PARTS = "WITH m AS (SELECT p_partkey AS k, 'proj.src.p'||p_partkey AS qn FROM part) "
 
 
 def sources(d: DataFrame) -> DataFrame:
@@ -157,7 +158,7 @@ def sources(d: DataFrame) -> DataFrame:
 
 def on_code(name: str, sql: str):
     def add(f: Callable[[DataFrame], DataFrame]):
-        return on_table(name, "part", "WITH m AS (SELECT p_partkey AS k, 'proj.src.p'||p_partkey AS qn FROM part) " + sql)(lambda d: f(extract.extracted(sources(d), "proj")))
+        return on_table(name, "part", PARTS + sql)(lambda d: f(extract.extracted(sources(d), "proj")))
 
     return add
 

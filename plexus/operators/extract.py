@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterator
+import difflib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from plexus.functions.names import path_to_module
 
@@ -144,3 +146,52 @@ def excludable(paths: DataFrame, ignored: tuple[str, ...], deepest: int = 10) ->
     dirs = F.slice(parts, F.lit(1), F.size(parts) - 1)
     bad: Column = F.array_position(F.transform(dirs, lambda x: x.isin(*ignored)), True)
     return paths.select(F.when((bad > 0) & (bad <= deepest + 1), F.array_join(F.slice(dirs, F.lit(1), bad.cast("int")), "/")).alias("path")).filter("path IS NOT NULL").distinct()
+
+
+def embedded(located: DataFrame, files: DataFrame, model: Callable[[list[str]], list[list[float]]]) -> DataFrame:
+    """node_id, qualified_name, embedding of the worklist's texts; rows without a source have none.
+
+    located: node_id, label, qualified_name, path, start_line, end_line. ``model`` gives a vector to each text of a batch.
+    """
+    own = texts(located, files).filter("text != ''").join(located.select("node_id", "qualified_name"), "node_id")
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in it:
+            yield pd.DataFrame({"node_id": part["node_id"], "qualified_name": part["qualified_name"], "embedding": pd.Series(model(part["text"].tolist()), dtype=object)})
+
+    return own.select("node_id", "qualified_name", "text").mapInPandas(run, "node_id bigint, qualified_name string, embedding array<double>")
+
+
+def function_sources(asked: DataFrame, rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Id, qualified_name, text of asked (id, path, name, line): a function's source in a file.
+
+    ``name`` is a simple name or its class and name with a dot. ``line`` picks the one that begins there; without it, or
+    where none begins there, the first one counts. rows: those of ``extracted``. No such function: no row.
+    """
+    parts = F.split("qualified_name", "[.]")
+    own = rows.filter("kind IN ('Function', 'Method')").select("path", "qualified_name", "start_line", "end_line", "kind", "name", F.array_join(F.slice(parts, -2, 2), ".").alias("long"))
+    names = F.explode(F.when(F.col("kind") == "Method", F.array("name", "long")).otherwise(F.array("name"))).alias("name")
+    known = own.select("path", "qualified_name", "start_line", "end_line", names)
+    hit = asked.join(known, ["path", "name"]).withColumn("_far", F.coalesce(F.col("start_line") != F.col("line"), F.lit(True)))
+    best = hit.groupBy("id", "path").agg(F.min(F.struct("_far", "start_line", "end_line", "qualified_name")).alias("b")).select("id", "path", "b.*")
+    cut = F.array_join(F.slice(F.split("content", "\r\n|\r|\n"), F.col("start_line").cast("int"), (F.col("end_line") - F.col("start_line") + 1).cast("int")), "\n")
+    return best.join(files.select("path", "content"), "path").select("id", "qualified_name", cut.alias("text"))
+
+
+def replaced_first(content: Column, target: Column, replacement: Column) -> Column:
+    """The content with the first occurrence of a block replaced; null if it has none or nothing would change."""
+    at = F.instr(content, target)
+    done = F.concat(F.left(content, at - 1), replacement, F.substr(content, at + F.length(target)))
+    return F.when((at > 0) & (F.length(target) > 0) & (target != replacement), done)
+
+
+@F.pandas_udf(StringType())
+def unified_diff(before: pd.Series, after: pd.Series, path: pd.Series) -> pd.Series:
+    """The unified diff of two texts, three lines around each change; null if either is null, empty if they are equal."""
+
+    def one(a: str | None, b: str | None, name: str) -> str | None:
+        if a is None or b is None:
+            return None
+        return "\n".join(difflib.unified_diff(a.splitlines(), b.splitlines(), f"a/{name}", f"b/{name}", lineterm=""))
+
+    return pd.Series([one(*x) for x in zip(before, after, path, strict=True)], dtype=object)

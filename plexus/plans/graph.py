@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Node labels and their key property; None: the label has no unique key. Fixed values.
@@ -17,11 +19,26 @@ LABEL_KEYS = {
 EDGE_TYPES = ("CONTAINS_PACKAGE", "CONTAINS_FOLDER", "CONTAINS_FILE", "CONTAINS_MODULE", "DEFINES", "DEFINES_METHOD", "IMPORTS", "EXPORTS", "EXPORTS_MODULE", "IMPLEMENTS_MODULE", "INHERITS", "IMPLEMENTS", "OVERRIDES", "CALLS", "DEPENDS_ON_EXTERNAL")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a checkpoint in the cluster's shared folder; a temporary one only where none is set."""
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one in local mode only, as other executors could not read it."""
+    sc = spark.sparkContext
+    at = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not at and not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    at = at or "file://" + tempfile.mkdtemp(prefix="plexus-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="plexus-"))
+        sc.setCheckpointDir(at)
+    return at
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder in the shared one that nothing else uses."""
+    return f"{shared_dir(spark)}/plexus-{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts lineage with a checkpoint in the cluster's shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -65,3 +65,8 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str, at: str) -> None:
 def truncate(like: DataFrame, path: str) -> None:
     """An empty table of the same columns."""
     like.limit(0).write.mode("overwrite").parquet(path)
+
+
+def write_lines(rows: DataFrame, path: str) -> None:
+    """A folder of JSON lines, one a row, nulls included: node texts, prompts, evaluation prompts or questions."""
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)

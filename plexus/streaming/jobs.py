@@ -69,3 +69,18 @@ def follow(events: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
 def pending(wanted: DataFrame, finished: DataFrame, key: str = "url") -> DataFrame:
     """What is neither completed nor failed yet."""
     return wanted.join(finished.select(key), key, "left_anti")
+
+
+def run_once(rows: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over what has arrived and gives its rows as written to ``path``; a restart with the same path goes on.
+
+    ``complete`` rewrites the whole result with each micro-batch, as a changed total replaces the one before.
+    """
+    out, spark = f"{path}/rows", rows.sparkSession
+    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(out)  # what is read if nothing has arrived
+    if mode == "append":
+        writer = rows.writeStream.format("parquet").option("path", out)
+    else:
+        writer = rows.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+    writer.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)

@@ -175,3 +175,15 @@ def test_structure_and_texts(spark):
     located = spark.createDataFrame([(1, "Function", "f", 2, 9), (2, "Function", "f", 4, 5), (3, None, "f", 1, 1), (4, "Folder", None, None, None), (5, "Function", None, 1, 1), (6, "Function", "g", 1, 1)], "node_id long, label string, path string, start_line long, end_line long")
     got = {r.node_id: (r.text, r.error) for r in extract.texts(located, spark.createDataFrame([("f", "x\r\ny\nz")], "path string, content string")).collect()}
     assert got == {1: ("y\nz", None), 2: (None, "out of range"), 3: (None, "unknown"), 4: (None, "structural"), 5: (None, "no module"), 6: (None, "unreadable")}
+
+
+def test_edits(spark):
+    code = "def f():\n    return 1\nclass A:\n    def f(self):\n        return 2\n"
+    src = spark.createDataFrame([("a.py", code), ("null.py", None)], "path string, content string")
+    asked = spark.createDataFrame([(1, "a.py", "f", None), (2, "a.py", "f", 4), (3, "a.py", "A.f", None), (4, "a.py", "f", 99), (5, "a.py", "g", None), (6, "null.py", "f", None)], "id int, path string, name string, line long")
+    got = {r.id: r.qualified_name for r in extract.function_sources(asked, extract.extracted(src, "P"), src).collect()}
+    assert got == {1: "P.a.f", 2: "P.a.A.f", 3: "P.a.A.f", 4: "P.a.f"}
+    rows = spark.createDataFrame([("xax", "a", "b"), ("aa", "a", ""), ("x", "a", "b"), ("a", "a", "a"), (None, "a", "b"), ("a", "", "b")], "t string, a string, b string")
+    assert [r[0] for r in rows.select(extract.replaced_first(F.col("t"), F.col("a"), F.col("b"))).collect()] == ["xbx", "a", None, None, None, None]
+    texts = spark.createDataFrame([("a\nb", "a\nc"), ("a", "a"), (None, "a")], "x string, y string")
+    assert [r[0] for r in texts.select(extract.unified_diff("x", "y", F.lit("p"))).collect()] == ["--- a/p\n+++ b/p\n@@ -1,2 +1,2 @@\n a\n-b\n+c", "", None]
