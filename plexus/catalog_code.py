@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plexus.catalog import GRAPH_SQL, LOG_SQL, QUERIES, SQL, c, on_graph, on_log, on_table
 from plexus.catalog_sources import PARTS, node_texts, sources, text
-from plexus.operators import extract
+from plexus.operators import extract, types
 from plexus.plans.graph import PropertyGraph, new_folder
 from plexus.sources import files, sinks
 from plexus.sources.tables import graph, read
@@ -112,3 +112,28 @@ def edited_functions(d: DataFrame) -> DataFrame:
 
 
 on_table("E25", "part", PARTS + "SELECT k AS id, CASE WHEN k % 2 = 0 THEN qn||'.f'||k||'.inner' ELSE qn||'.K'||k||'.m' END AS qualified_name, CASE WHEN k % 2 = 0 THEN '    def inner():'||chr(10)||'        return not y(a)' ELSE '    def m(self):'||chr(10)||'        return not self.h(os.path.join(y))' END AS edited, 2 AS n_changed FROM m")(edited_functions)
+
+# Types -------------------------------------------------------------------------------------------------------------------
+
+TYPED = (
+    "class Help:\n    def go(self) -> 'K", "':\n        ...\nclass Base:\n    def base(self):\n        return self\nclass K", "(Base):\n    def __init__(self):\n        self.h = Help()\n    def m(self):\n        return self.h.go()\n"
+    "    def up(self):\n        return super().base()\ndef f(a: K", "):\n    x = a.m()\n    x.m().up()\n    return x\ndef g():\n    f(1).up()\n",
+)
+
+
+def typed(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    k = c("p_partkey")
+    src = d.select(text("src/p", k, ".py").alias("path"), text(TYPED[0], k, TYPED[1], k, TYPED[2], k, TYPED[3]).alias("content"))
+    rows = extract.extracted(src, "proj")
+    roots = d.sparkSession.createDataFrame([("src",)], "root string")
+    return types.inferred(types.bindings(src, "proj"), extract.local_imports(rows, roots, "proj"), rows)
+
+
+on_table("E10", "part", PARTS + "SELECT unnest([qn||'.K'||k, qn||'.f', qn||'.f']) AS at, unnest(['self.h', 'a', 'x']) AS var, unnest([qn||'.Help', qn||'.K'||k, qn||'.K'||k]) AS cls FROM m")(
+    lambda d: typed(d)[0].filter(~c("var").startswith("%") & ~c("var").isin("self", types.RETURN)).select("at", "var", "cls")
+)
+on_table("E14", "part", PARTS + "SELECT unnest([qn||'.Help.go', qn||'.Base.base', qn||'.K'||k||'.m', qn||'.K'||k||'.up', qn||'.f']) AS at, unnest([qn||'.K'||k, qn||'.Base', qn||'.K'||k, qn||'.Base', qn||'.K'||k]) AS cls FROM m")(
+    lambda d: typed(d)[0].filter(c("var") == types.RETURN).select("at", "cls")
+)
+on_table("E12_typed", "part", PARTS + """SELECT unnest([qn||'.K'||k||'.m', qn||'.K'||k||'.up', qn||'.f', qn||'.f', qn||'.f', qn||'.g', qn||'.g']) AS at, unnest([11, 13, 15, 16, 16, 19, 19]) AS line,
+unnest([qn||'.Help.go', qn||'.Base.base', qn||'.K'||k||'.m', qn||'.K'||k||'.m', qn||'.K'||k||'.up', qn||'.f', qn||'.K'||k||'.up']) AS callee FROM m""")(lambda d: typed(d)[1].select("at", "line", "callee"))

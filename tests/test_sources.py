@@ -4,7 +4,7 @@ import shlex
 import pytest
 
 from plexus.functions import names as N
-from plexus.operators import extract
+from plexus.operators import extract, types
 from plexus.operators.commands import fault, groups, needs_approval, validated
 from plexus.plans.graph import PropertyGraph
 from plexus.sources import files, manifests, sinks
@@ -187,3 +187,36 @@ def test_edits(spark):
     assert [r[0] for r in rows.select(extract.replaced_first(F.col("t"), F.col("a"), F.col("b"))).collect()] == ["xbx", "a", None, None, None, None]
     texts = spark.createDataFrame([("a\nb", "a\nc"), ("a", "a"), (None, "a")], "x string, y string")
     assert [r[0] for r in texts.select(extract.unified_diff("x", "y", F.lit("p"))).collect()] == ["--- a/p\n+++ b/p\n@@ -1,2 +1,2 @@\n a\n-b\n+c", "", None]
+
+
+def test_types(spark):
+    one = """from b import Base, make
+class K(Base):
+    def __init__(self): self.h = Help()
+    def m(self): return self.h.go()
+    def up(self): return super().base()
+class Help:
+    def go(self) -> "K": ...
+def f(a: K, o: Help | None):
+    x = a.m()
+    x.m().up()
+    y = make().base()
+    for z in [K()]: z.base()
+    with open("p") as q: q.read()
+    return x
+def g(): f(1, 2).up(); loop()
+def loop(): return loop()
+"""
+    two = "class Base:\n    def base(self): return self\ndef make(): return Base()\n"
+    src = spark.createDataFrame([("a.py", one), ("b.py", two), ("bad.py", "def ("), ("null.py", None), ("empty.py", "")], "path string, content string")
+    rows = extract.extracted(src, "P")
+    imports = extract.local_imports(rows, spark.createDataFrame([("b",)], "root string"), "P")
+    known, reached = types.inferred(types.bindings(src, "P"), imports, rows)
+    got = {(r.at, r.var): r.cls for r in known.collect() if r.var[0] != "%" and r.var != "self"}
+    assert got == {
+        ("P.a.K", "self.h"): "P.a.Help", ("P.a.f", "a"): "P.a.K", ("P.a.f", "o"): "P.a.Help", ("P.a.f", "x"): "P.a.K", ("P.a.f", "y"): "P.b.Base", ("P.a.f", "z"): "P.a.K", ("P.a.Help.go", "<return>"): "P.a.K",
+        ("P.a.K.m", "<return>"): "P.a.K", ("P.a.K.up", "<return>"): "P.b.Base", ("P.a.f", "<return>"): "P.a.K", ("P.b.Base.base", "<return>"): "P.b.Base", ("P.b.make", "<return>"): "P.b.Base",
+    }
+    assert sorted((r.line, r.callee) for r in reached.collect()) == [
+        (4, "P.a.Help.go"), (5, "P.b.Base.base"), (9, "P.a.K.m"), (10, "P.a.K.m"), (10, "P.a.K.up"), (11, "P.b.Base.base"), (11, "P.b.make"), (12, "P.b.Base.base"), (15, "P.a.K.up"), (15, "P.a.f"), (15, "P.a.loop"), (16, "P.a.loop"),
+    ]
