@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plexus.catalog import GRAPH_SQL, LOG_SQL, QUERIES, SQL, c, on_graph, on_log, on_table
 from plexus.catalog_sources import PARTS, node_texts, sources, text
-from plexus.operators import extract, types
+from plexus.operators import extract, javascript, types
 from plexus.plans.graph import PropertyGraph, new_folder
 from plexus.sources import files, sinks
 from plexus.sources.tables import graph, read
@@ -137,3 +137,14 @@ on_table("E14", "part", PARTS + "SELECT unnest([qn||'.Help.go', qn||'.Base.base'
 )
 on_table("E12_typed", "part", PARTS + """SELECT unnest([qn||'.K'||k||'.m', qn||'.K'||k||'.up', qn||'.f', qn||'.f', qn||'.f', qn||'.g', qn||'.g']) AS at, unnest([11, 13, 15, 16, 16, 19, 19]) AS line,
 unnest([qn||'.Help.go', qn||'.Base.base', qn||'.K'||k||'.m', qn||'.K'||k||'.m', qn||'.K'||k||'.up', qn||'.f', qn||'.K'||k||'.up']) AS callee FROM m""")(lambda d: typed(d)[1].select("at", "line", "callee"))
+
+# JavaScript --------------------------------------------------------------------------------------------------------------
+
+SCRIPT = (
+    "import D, { a as b, c } from './lib/x';\nimport * as ns from 'm/n';\nimport './side';\nconst q = require('../u');\nexport { z as w } from './y';\nexport * from './all';\n// import no from 'no';\nexport const f",
+    " = (a) => a;\nexport function g() {}\nexports.h = function () {};\nmodule.exports.i = async x => x;\nexports.v = 3;\n",
+)
+scripts = lambda d: d.select(text("src/p", c("p_partkey"), ".js").alias("path"), text(SCRIPT[0], c("p_partkey"), SCRIPT[1]).alias("content"))
+on_table("E08_js", "part", PARTS + """SELECT qn AS module_qn, unnest(['D', 'b', 'c', 'ns', 'q', 'w', '*proj.src.all']) AS local_name, unnest(['proj.src.lib.x.default', 'proj.src.lib.x.a', 'proj.src.lib.x.c', 'm.n', 'proj.u', 'proj.src.y.z', 'proj.src.all']) AS full_name,
+unnest([false, false, false, false, false, false, true]) AS is_wildcard FROM m""")(lambda d: javascript.imports(scripts(d), "proj"))
+on_table("E16", "part", PARTS + "SELECT qn AS module_qn, qn||'.'||n AS qualified_name, n AS name, kind FROM (SELECT qn, unnest(['f'||k, 'g', 'h', 'i']) AS n, unnest(['es6', 'es6', 'commonjs', 'commonjs']) AS kind FROM m)")(lambda d: javascript.exported_functions(scripts(d), "proj"))

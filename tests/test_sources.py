@@ -4,7 +4,7 @@ import shlex
 import pytest
 
 from plexus.functions import names as N
-from plexus.operators import extract, types
+from plexus.operators import extract, javascript, types
 from plexus.operators.commands import fault, groups, needs_approval, validated
 from plexus.plans.graph import PropertyGraph
 from plexus.sources import files, manifests, sinks
@@ -220,3 +220,23 @@ def loop(): return loop()
     assert sorted((r.line, r.callee) for r in reached.collect()) == [
         (4, "P.a.Help.go"), (5, "P.b.Base.base"), (9, "P.a.K.m"), (10, "P.a.K.m"), (10, "P.a.K.up"), (11, "P.b.Base.base"), (11, "P.b.make"), (12, "P.b.Base.base"), (15, "P.a.K.up"), (15, "P.a.f"), (15, "P.a.loop"), (16, "P.a.loop"),
     ]
+
+
+def test_scripts(spark):
+    code = """import type { T } from "./t"
+import {
+  one,
+  two as deux,
+} from '../k/l';
+const u = 'http://x'; /* export * from 'no'
+*/ export default async function main() {}
+let p = require("pkg")
+export const h = async ({ a, b }: P): Q => 1
+  exports.inner = () => 1
+export const n = 3
+export * as all from './z'
+"""
+    src = spark.createDataFrame([("a/b.ts", code), ("n.js", None), ("e.js", ""), ("c.py", "import x from 'y'")], "path string, content string")
+    got = {(r.local_name, r.full_name, r.is_wildcard) for r in javascript.imports(src, "P").collect()}
+    assert got == {("T", "P.a.t.T", False), ("one", "P.k.l.one", False), ("deux", "P.k.l.two", False), ("p", "pkg", False), ("all", "P.a.z", False)}
+    assert {r.name for r in javascript.exported_functions(src, "P").collect()} == {"h"}
