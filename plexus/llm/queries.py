@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import corpus_pipeline
-from plexus.llm import bpe, fingerprints, jaccard, langid, mixing, pii, quality, rules, tokencount, urls
+from plexus.llm import align, bpe, centroids, fingerprints, jaccard, langid, mixing, pii, quality, rules, tokencount, urls, warc
 from plexus.llm.common import scratch, shared_dir, table
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +59,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text", "source")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_pii, op3_fingerprints, op4_token_counts, op5_url_filter, op6_quality_rules, op7_ngram_jaccard, op8_language_id, op9_quality_classifier, op10_mixing, rules_ablation)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_pii, op3_fingerprints, op4_token_counts, op5_url_filter, op6_quality_rules, op7_ngram_jaccard, op8_language_id, op9_quality_classifier, op10_mixing, op11_centroids, op12_alignment, op13_warc, rules_ablation)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_centroids": centroids.sql(), "op13_warc": warc.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
