@@ -5,9 +5,11 @@ counts are exact) and the digest of the tokenizer file. Digests are joined to st
 without a count are encoded; their counts are appended to the cache, from which all rows then get theirs. Texts are
 thinned to one per digest on the map side, before they are shuffled, so copies cost nothing further.
 
-The cache is one Parquet table in a shared folder for all corpora, with a folder for each tokenizer digest, so only one
-tokenizer's counts are read. Counts never go stale, as a digest names content and tokenizer; a digest that two jobs append at once is in it twice and read once. Executors that are lost leave no partial rows, because
-an append appears only when its job commits.
+The cache is a shared folder for all corpora, with a folder for each tokenizer digest, so only one tokenizer's counts are
+read. Every append is written to a hidden folder of its own, which gets its name when the job is complete, so jobs that
+append at once do not touch each other's files, and lost executors or drivers leave no partial rows. Counts never go
+stale, as a digest names content and tokenizer; a digest that two jobs append is in the cache twice and read once. Files
+that are gone are counted anew by the next run; a cache that cannot be read, and a row without a count, are errors.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; very long texts are encoded whole; repeated rows share a
 count; a count equal to the limit is not over it; an empty table gives no rows and appends nothing; further columns are
@@ -19,10 +21,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ from plexus.llm.common import checkpoint
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-_CACHE = "digest binary, n_tokens bigint, tokenizer string"
+_CACHE = "digest binary, n_tokens bigint"
 #: Digests that are sent to all tasks at most (4 MB); more are joined by a shuffle.
 MAX_HINTED = 100_000
 #: White space that the faster encoder is not given: its pattern needs a stack as deep as the run.
@@ -94,13 +96,29 @@ def counter(name: str) -> Callable[[str], int]:
     return lambda text: len(t.encode(text, add_special_tokens=False).ids)
 
 
+def _place(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path there."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
-    """digest and n_tokens, one row per digest. Only the tokenizer's own folder is read."""
-    try:
-        rows = spark.read.schema(_CACHE).parquet(path)
-    except AnalysisException:
-        rows = spark.createDataFrame([], _CACHE)
-    return rows.filter(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    """digest and n_tokens, one row per digest. Only the tokenizer's own folder is read; appends that are not complete are hidden."""
+    files, at = _place(spark, f"{path}/{tokenizer}")
+    if not files.exists(at):
+        return spark.createDataFrame([], _CACHE)
+    rows = spark.read.schema(_CACHE).option("recursiveFileLookup", "true").parquet(f"{path}/{tokenizer}")
+    return rows.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+
+
+def append(counts: DataFrame, path: str, tokenizer: str) -> None:
+    """Writes ``counts`` (digest, n_tokens) to a folder of its own and names it when it is complete."""
+    spark, name = counts.sparkSession, uuid.uuid4().hex
+    counts.write.parquet(f"{path}/{tokenizer}/_{name}")
+    files, at = _place(spark, f"{path}/{tokenizer}/_{name}")
+    if not files.rename(at, _place(spark, f"{path}/{tokenizer}/{name}")[1]):
+        raise OSError(f"{at} cannot be renamed")
 
 
 def append_misses(docs: DataFrame, path: str, name: str) -> None:
@@ -123,20 +141,25 @@ def append_misses(docs: DataFrame, path: str, name: str) -> None:
         for batch in it:
             count = count or counter(name)
             n = [count(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64()), pa.array([tokenizer] * len(n), pa.string())], ["digest", "n_tokens", "tokenizer"])
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
-    contents.mapInArrow(run, _CACHE).write.mode("append").partitionBy("tokenizer").parquet(path)
+    append(contents.mapInArrow(run, _CACHE), path, tokenizer)
 
 
 def _digest(text):
     return F.unhex(F.sha2(text, 256))
 
 
-def token_counts(docs: DataFrame, path: str, name: str = TOKENIZER, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit of every row, by the cache at ``path``, which is filled first."""
-    append_misses(docs, path, name)
+def counted(docs: DataFrame, counts: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every row by counts (digest, n_tokens); a row without a count is an error."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), _digest(text).alias("digest"))
+    n = F.coalesce("n_tokens", F.raise_error(F.concat(F.lit("no count is stored for "), F.hex("digest"))).cast("bigint"))
+    return keyed.join(counts, "digest", "left").select("doc_id", "n_bytes", n.alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+def token_counts(docs: DataFrame, path: str, name: str = TOKENIZER, limit: int = LIMIT) -> DataFrame:
+    """The same by the cache at ``path``, which is filled first."""
+    append_misses(docs, path, name)
     # Written out, so that both sides of the join are plain exchanges and a digest that many rows share can be split.
-    counts = checkpoint(read_cache(docs.sparkSession, path, file_digest(name)))
-    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return counted(docs, checkpoint(read_cache(docs.sparkSession, path, file_digest(name))), limit)
