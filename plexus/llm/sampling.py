@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 FOLDS = 5
 MAX_LABELS = 1000
+#: Bytes of the texts of one label at most.
+MAX_BYTES = 32 << 20
 
 
 def fold(doc_id: Column) -> Column:
@@ -18,28 +20,38 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 0
 
 
-def training_rows(docs: DataFrame, per_label: int, labels: DataFrame | None = None) -> list[tuple[str, object]]:
-    """Whole texts of at most ``per_label`` rows for each label, chosen by a hash of doc_id, in a fixed order.
+def training_rows(docs: DataFrame, per_label: int, labels: DataFrame | None = None, max_bytes: int = MAX_BYTES) -> list[tuple[str, object]]:
+    """Whole texts of at most ``per_label`` rows and ``max_bytes`` bytes for each label, in a fixed order.
 
-    ``docs`` has doc_id, text and, unless ``labels`` (one row a doc_id) has it, label. Only rows outside fold 0 are used.
-    The labels are counted first, then a range of the hash is drawn for each label by its count, so that no sort meets
-    all rows and texts are read for the drawn rows only. More than MAX_LABELS labels are an error.
+    ``docs`` has doc_id, text and, unless ``labels`` (one row a doc_id) has it, label. Only rows outside fold 0 are used,
+    and equal rows once. Rows are drawn by a hash of id and text: their kinds are counted first (approximately), a range
+    of the hash that holds about 1.2 * per_label is drawn for each label, and its rows are taken in the hash's order as
+    long as they fit in ``max_bytes``; if none fits, the shortest. Only hashes and lengths of the drawn rows, at most twice
+    as many as expected, and the texts that are taken come to the driver. More than MAX_LABELS labels are an error.
     """
-    usable = docs.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    marked = (usable.select("doc_id", "label") if labels is None else usable.select("doc_id").join(labels, "doc_id")).filter("label is not null")
-    found = marked.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(MAX_LABELS + 1).collect()
+    key = ["doc_id", "text"] if labels is not None else ["doc_id", "text", "label"]
+    usable = docs.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).withColumn("_o", F.xxhash64(*key))
+    brief = usable.select("doc_id", "_o", F.octet_length("text").alias("_n"), *(["label"] if labels is None else []))
+    marked = (brief if labels is None else brief.join(labels, "doc_id")).filter("label is not null")
+    found = marked.groupBy("label").agg(F.approx_count_distinct("_o", 0.02).alias("n")).orderBy("label").limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
         raise ValueError(f"there are more than {MAX_LABELS} labels")
     if not found:
         return []
-    share = F.create_map(*[F.lit(x) for r in found for x in (r["label"], min(1.0, (1.2 * per_label + 20) / r["n"]))])
-    inside = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.element_at(share, F.col("label"))
-    if labels is None:
-        drawn = usable.filter(F.col("label").isNotNull() & inside)
-    else:
-        drawn = usable.join(F.broadcast(marked.filter(inside).distinct()), "doc_id")  # about 1.2 * per_label of each label
-    rows = drawn.select("text", "label", F.xxhash64("doc_id", "text").alias("o")).collect()
-    by_label: dict = {}
-    for o, t, y in sorted((r["o"], r["text"], r["label"]) for r in rows):
-        by_label.setdefault(y, []).append((o, t, y))
-    return [(t, y) for _, t, y in sorted(x for own in by_label.values() for x in own[:per_label])]
+    wanted = 1.2 * per_label + 20
+    share = F.create_map(*[F.lit(x) for r in found for x in (r["label"], min(1.0, wanted / max(1, r["n"])))])
+    inside = F.pmod(F.xxhash64("_o", F.lit("draw")), F.lit(1 << 40)) / F.lit(float(1 << 40)) < F.element_at(share, F.col("label"))
+    drawn = marked.filter(inside).select("label", "_o", "_n").distinct()
+    rows = drawn.orderBy("_o").limit(int(2 * wanted * len(found))).collect()
+    taken = {}
+    for label in dict.fromkeys(r["label"] for r in found):
+        own, left = [(r["_o"], r["_n"]) for r in rows if r["label"] == label], max_bytes
+        fits = []
+        for o, n in own:
+            if len(fits) < per_label and n <= left:
+                fits.append(o)
+                left -= n
+        taken |= dict.fromkeys(fits or [o for o, _ in sorted(own, key=lambda x: x[::-1])[:1]], label)
+    chosen = docs.sparkSession.createDataFrame([(o,) for o in taken], "_o bigint")  # at most per_label * MAX_LABELS rows
+    texts = usable.join(F.broadcast(chosen), "_o", "left_semi").select("_o", "text").dropDuplicates(["_o"]).collect()
+    return [(r["text"], taken[r["_o"]]) for r in sorted(texts, key=lambda r: (r["_o"], r["text"]))]
