@@ -6,8 +6,9 @@ over the whole numbers below the count of such values, walked on until the resul
 equal values stay equal across documents and different values stay different, and nothing is stored or shuffled.
 
 Numbers and dates keep their punctuation and the width of their fields, check digits are recomputed, mail keeps its last
-two domain labels; keys and passwords of any length are permuted letter by letter class, letters of other scripts within
-their neighbourhood. Where a candidate fails validation, its shorter runs that end at a
+two domain labels; keys and named secrets are permuted letter by letter class, letters of other scripts within
+their neighbourhood, their punctuation stays. A named secret runs to its closing quote or, without quotes, to white space,
+a quote or the line's end, less the punctuation that ends a clause. Where a candidate fails validation, its shorter runs that end at a
 separator and the later kinds are tried, then what begins further on inside it; numbers that fail all are left alone.
 
 Defined results: null texts stay null with no finds; empty texts likewise; texts without finds come back unchanged, byte
@@ -210,7 +211,8 @@ def mail(m: re.Match, key: bytes) -> str:
 
 
 def secret(m: re.Match, key: bytes) -> str:
-    head, value = m["name"] or "", m["value"]
+    head = m["name"] or ""
+    value = next(v for v in (m["double"], m["single"], m["value"]) if v is not None)
     lower, upper = re.fullmatch(r"[0-9a-f]{12,}", value), re.fullmatch(r"[0-9A-F]{12,}", value)
     alphabets = [HEX if lower else HEX.upper()] * len(value) if lower or upper else None
     new = value
@@ -218,7 +220,8 @@ def secret(m: re.Match, key: bytes) -> str:
         new = by_class(new, "secret" if head else "key", key, alphabets)
         # Digits alone count as lower-case, so an upper-case value must keep a letter.
         if lower or not upper or not new.isdigit():
-            return m[0][: len(m[0]) - len(value)] + new
+            start = max(m.start(g) for g in ("double", "single", "value")) - m.start()
+            return m[0][:start] + new + m[0][start + len(value) :]
 
 
 def access_key(m: re.Match, key: bytes) -> str:
@@ -229,7 +232,7 @@ def access_key(m: re.Match, key: bytes) -> str:
 KINDS = {
     "mail": (r"(?<![\w.%+-])[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", mail),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])", access_key),
-    "secret": (rf"(?<!\w)(?P<name>{NAMES})\s{{0,3}}[=:]\s{{0,3}}[\"']?(?P<value>[A-Za-z0-9_+/-]{{8,}})", secret),
+    "secret": (rf"(?<!\w)(?P<name>{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}(?:\"(?P<double>[^\"\r\n]{{8,}})\"|'(?P<single>[^'\r\n]{{8,}})'|[\"']?(?P<value>[^\s\"']{{8,}})(?<![.,;:!?)\]}}>]))", secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", iban),
     "ipv4": (r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)", ipv4),
     "date": (r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!\d|[-/]\d)", date),
@@ -251,7 +254,9 @@ def compiled() -> re.Pattern:
     return re.compile("|".join(parts))
 
 
-_HINT = re.compile(rf"[0-9@]|{NAMES}\s{{0,3}}[=:]")
+#: What every value of a kind holds, so that texts without any of it need no search; digits of all scripts.
+HINTS = {"mail": "@", "access_key": "AKIA|ASIA", "secret": rf"{NAMES}[\"']?\s{{0,3}}[=:]"} | dict.fromkeys(("iban", "ipv4", "date", "ssn", "phone", "card"), r"\d")
+_HINT = re.compile("|".join(dict.fromkeys(HINTS[kind] for kind in KINDS)))
 
 
 def replaced(text: str, at: int, first: str, key: bytes) -> tuple[str, int, str] | None:
