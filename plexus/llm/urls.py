@@ -34,11 +34,12 @@ STEPS = 100
 RATE = 10.0
 DECAY = 1e-4
 
-#: The labelled table is made from words of either label, invented names, paths of either label and paths of both.
-BAD_WORDS = ("casino", "slots", "pills", "bets", "ads", "spam", "adult", "xxx", "cheap", "free", "win", "loans", "seo", "click", "track", "cams", "dating", "bonus", "poker", "farm")
+#: The labelled table is made from words of either label, invented names, paths of either label and paths of both. None of
+#: the words is in the tables that the filter is tried on.
+BAD_WORDS = ("slots", "xxx", "loans", "seo", "click", "cams", "dating", "bonus", "poker", "roulette", "jackpot", "replica", "forex", "lottery", "payday", "warez", "escort", "gambling", "pharmacy", "torrent")
 GOOD_WORDS = ("library", "museum", "school", "news", "garden", "city", "weather", "forum", "recipes", "history", "science", "travel", "music", "health", "council", "theatre", "railway", "river", "harbour", "village")
 SYLLABLES = ("lo", "ren", "ga", "mir", "on", "vel", "sha", "ku", "ber", "ing", "wo", "nes", "zan", "al", "du", "cor")
-BAD_PATHS = ("/casino/bonus/spin-now", "/cheap/pills/order", "/adult/cams/live.html", "/win/free/prize")
+BAD_PATHS = ("/roulette/bonus/spin-now", "/replica/watches/order", "/cams/dating/live.html", "/lottery/prize/claim")
 GOOD_PATHS = ("/articles/history/bridges", "/docs/reference/index.html", "/recipes/bread/rye", "/council/minutes/2020")
 PATHS = ("/", "/en/204", "/de/77/", "/fr/310.html", "/es/5", "/en/8841/")
 FIRST = ("", "www.", "m.", "blog.")
