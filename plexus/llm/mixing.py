@@ -7,7 +7,7 @@ cut where the prefix sum reaches its budget; whole epochs are repeated before th
 
 Defined results: null text has size 0; null source is a source of its own, last in order; a source without words has
 target 0; null doc_ids are keyed by their text, so they spread; very long texts count by all their words and may be cut; rows
-of one key are ordered by doc_id and size, and equal ones stand next to each other; an empty table gives no rows; further
+of one key are ordered by doc_id, size and a digest of the whole row, so reruns cut the same text; an empty table gives no rows; further
 columns pass through, whatever their names, but for the four that ``mix`` adds.
 """
 
@@ -62,13 +62,14 @@ def mix(docs: DataFrame, seed: str = SEED, slice_bits: int = SLICE_BITS) -> Data
         F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2")).alias("_skey"),
         key.alias("_key"),
         n_words(F.col("text")).alias("size"),
+        F.xxhash64(*[c for c, kind in docs.dtypes if c in keep and "map<" not in kind]).alias("_digest"),
     ).withColumn("_slice", F.shiftright("_key", _KEY_BITS - slice_bits).cast("int"))
     slices = keyed.groupBy("_skey", "_slice").agg(F.sum("size").alias("_total"))
     prior = Window.partitionBy("_skey").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.withColumn("_offset", F.coalesce(F.sum("_total").over(prior), F.lit(0)))
     sources = targets(slices.groupBy("_skey").agg(F.sum("_total").alias("source_size")))
     plan = offsets.join(sources, "_skey").drop("_total")
-    within = Window.partitionBy("_skey", "_slice").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_skey", "_slice").orderBy("_key", "_id", "size", "_digest").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.join(plan, ["_skey", "_slice"]).withColumn("_before", F.col("_offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
