@@ -99,6 +99,10 @@ class Frequent:
         return self.item[often], self.count[often] + self.taken
 
 
+#: Shingles of a hash range on average, at most (about 300 MB in a worker while it is sorted).
+RANGE_SHINGLES = 4_000_000
+
+
 def _describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows: all columns but the text, n_shingles, cls and check (null without shingles); and frequent shingles, as (cls: shingle, n_shingles: count)."""
     frequent, empty = Frequent(), None
@@ -186,9 +190,10 @@ def _holds(found: np.ndarray, values: np.ndarray) -> np.ndarray:
 def shared_shingles(docs: DataFrame, described: DataFrame, doubled: np.ndarray) -> DataFrame:
     """cls, n, r, tok, df: classes that may have partners, with their shared shingles in the global order."""
     spark = docs.sparkSession
-    labels = _labels(spark, shuffle_partitions(spark))
-    parts = len(labels)
     total = described.filter("not is_shingle").agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("t")).first()["t"]
+    # A range is sorted in one worker's memory, so their number grows with the shingles.
+    labels = _labels(spark, max(shuffle_partitions(spark), -(-total // RANGE_SHINGLES)))
+    parts = len(labels)
     often = described.filter("is_shingle").groupBy("cls").agg(F.sum("n_shingles").alias("c")).filter(F.col("c") >= max(16, total // MAX_FREQUENT))
     # Each holds a share of about 1 / MAX_FREQUENT of all shingles at least, which bounds their number.
     frequent = spark.sparkContext.broadcast(np.sort(np.array([r["cls"] for r in often.select("cls").collect()], np.int64).view(np.uint64)))
