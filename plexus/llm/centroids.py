@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.llm.common import checkpoint
@@ -213,9 +213,8 @@ def clustered(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, seed: str =
     rows = checkpoint(assigned(kept, centroids, dimensions)) if centroids else assigned(kept.limit(0), [[0] * dimensions], dimensions)
     # At most k rows from here on, so they are sent to all tasks.
     own = rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(28,0)")).alias("s"))
-    every = own.agg(F.sum("s").alias("t"))
     names = vectors.sparkSession.createDataFrame([(j, digest(c)) for j, c in enumerate(centroids)], "cluster int, centroid_sha256 string")
-    facts = own.crossJoin(F.broadcast(every)).join(F.broadcast(names), "cluster").select("cluster", _long(F.col("s")).alias("cluster_inertia"), _long(F.col("t")).alias("inertia"), "centroid_sha256")
+    facts = own.withColumn("t", F.sum("s").over(Window.partitionBy())).join(F.broadcast(names), "cluster").select("cluster", _long(F.col("s")).alias("cluster_inertia"), _long(F.col("t")).alias("inertia"), "centroid_sha256")
     return rows.join(F.broadcast(facts), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
