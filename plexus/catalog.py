@@ -396,4 +396,4 @@ on_log("K06", "SELECT row_number() OVER (ORDER BY min(event_id)) - 1 AS node_id,
     lambda d: sinks.first_nodes(d.select(F.lit("Function").alias("label"), c("repo").alias("key"), F.create_map(F.lit("cmd"), "cmd").alias("props"), c("event_id").alias("seq"))).select("node_id", "label", "key", c("props")["cmd"].alias("cmd"))
 )
 
-from plexus import catalog_code, catalog_names, catalog_sources, catalog_whole  # noqa: E402, F401
+from plexus import catalog_code, catalog_languages, catalog_names, catalog_sources, catalog_whole  # noqa: E402, F401
