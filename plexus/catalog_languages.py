@@ -6,13 +6,14 @@ The SQL states what each template holds.
 
 from __future__ import annotations
 
+import builtins
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.catalog import on_table
-from plexus.operators import entities, java, languages, outline, scan
+from plexus.operators import entities, extract, java, languages, outline, resolve, scan, types
 from plexus.plans.graph import durable, new_folder
 
 #: By language: the templates, each a map of paths to contents; ``$k`` is the key.
@@ -86,6 +87,18 @@ TEMPLATES: dict[str, list[dict[str, str]]] = {
         {"l$k.lua": "repeat\n  local x = next$k()\nuntil x == nil\nlist.each(function(v) use(v) end)\n"},
         {"l$k.lua": "function a.b.c$k(x) if x then if y then z() end end return w() end\nfunction plain$k() end\n"},
     ],
+    "cascade": [
+        {"py$k/a.py": "def f():\n    pass\n", "py$k/b.py": "from py$k.a import f as g\ndef h():\n    g()\n"},
+        {"py$k/a.py": "def f():\n    pass\nclass C:\n    def m(self):\n        pass\n", "py$k/b.py": "import py$k.a as z\nfrom py$k.a import C\ndef h():\n    z.f()\n    C.m(None)\n"},
+        {"py$k/a.py": "def f$k():\n    pass\n", "py$k/b.py": "from py$k.a import *\ndef h():\n    f$k()\n"},
+        {"py$k/a.py": "def f():\n    g()\ndef g():\n    def inner():\n        f()\n    inner()\n"},
+        {"py$k/deep/a.py": "def far$k():\n    pass\n", "py$k/b.py": "def h(o):\n    far$k()\n    o.far$k()\n", "other$k/c.py": "def far$k():\n    pass\n"},
+        {"py$k/a.py": "class A:\n    def up(self):\n        pass\nclass B(A):\n    def go(self):\n        super().up()\n        super().none()\n        self.up()\n"},
+        {"py$k/a.py": "class T:\n    def a(self) -> 'T':\n        return self\ndef go(t: T):\n    t.a().a()\n    lost$k().a()\n"},
+        {"py$k/a.py": "def go(x$k):\n    print(len(x$k))\n    nobody$k()\n    x$k.nobody$k()\n"},
+        {"py$k/a.py": "class T:\n    def run$k(self):\n        pass\nclass U:\n    def __init__(self):\n        self.t = T()\n    def go(self):\n        x = T()\n        x.run$k()\n        self.t.run$k()\n"},
+        {"js$k/a.js": "(function () { boot$k() })();\nfunction boot$k() {\n  (() => { last$k() })()\n}\n", "cc$k/a.cpp": "int go$k(P a, P b) { return pick(a.operator+(b), c.operator[](1)); }\nint pick(int a, int b) { return a; }\n"},
+    ],
 }
 
 
@@ -498,6 +511,45 @@ def lua_imports(f: DataFrame) -> DataFrame:
     return imported(outlined(f))
 
 
+# The cascade -------------------------------------------------------------------------------------------------------------
+
+
+@on_files("E12_cascade", "cascade", "caller name callee step by", {
+    0: [("proj.py$k.b.h", "g", "proj.py$k.a.f", 4, "import")],
+    1: [("proj.py$k.b.h", "f", "proj.py$k.a.f", 5, "qualified"), ("proj.py$k.b.h", "m", "proj.py$k.a.C.m", 5, "qualified")],
+    2: [("proj.py$k.b.h", "f$k", "proj.py$k.a.f$k", 6, "wildcard")],
+    3: [("proj.py$k.a.f", "g", "proj.py$k.a.g", 7, "module"), ("proj.py$k.a.g.inner", "f", "proj.py$k.a.f", 7, "module"), ("proj.py$k.a.g", "inner", "proj.py$k.a.g.inner", 8, "nearest")],
+    4: [("proj.py$k.b.h", "far$k", "proj.py$k.deep.a.far$k", 8, "nearest"), ("proj.py$k.b.h", "far$k", "proj.py$k.deep.a.far$k", 8, "nearest")],
+    5: [("proj.py$k.a.B.go", "up", "proj.py$k.a.A.up", 2, "super"), ("proj.py$k.a.B.go", "up", "proj.py$k.a.A.up", 5, "qualified")],
+    6: [("proj.py$k.a.go", "a", "proj.py$k.a.T.a", 5, "qualified"), ("proj.py$k.a.go", "a", "proj.py$k.a.T.a", 3, "chain")],
+    7: [("proj.py$k.a.go", "print", "builtin.print", 9, "builtin"), ("proj.py$k.a.go", "len", "builtin.len", 9, "builtin")],
+    8: [("proj.py$k.a.U.__init__", "T", "proj.py$k.a.T", 7, "module"), ("proj.py$k.a.U.go", "T", "proj.py$k.a.T", 7, "module"), ("proj.py$k.a.U.go", "run$k", "proj.py$k.a.T.run$k", 5, "qualified"), ("proj.py$k.a.U.go", "run$k", "proj.py$k.a.T.run$k", 5, "qualified")],
+    9: [
+        ("proj.js$k.a", "anonymous_1_13", "proj.js$k.a.anonymous_1_13", 1, "iife"), ("proj.js$k.a.anonymous_1_13", "boot$k", "proj.js$k.a.boot$k", 7, "module"), ("proj.js$k.a.boot$k", "anonymous_3_9", "proj.js$k.a.boot$k.anonymous_3_9", 1, "iife"),
+        ("proj.cc$k.a.go$k", "pick", "proj.cc$k.a.pick", 7, "module"), ("proj.cc$k.a.go$k", "operator_plus", "builtin.cpp.operator_plus", 10, "operator"), ("proj.cc$k.a.go$k", "operator_subscript", "builtin.cpp.operator_subscript", 10, "operator"),
+    ],
+})
+def call_cascade(f: DataFrame) -> DataFrame:
+    """Python's calls with types of receivers, and those of JavaScript and C++, through one cascade."""
+    spark = f.sparkSession
+    rows, other = durable(extract.extracted(f, "proj")), outlined(f)
+    roots = f.select(F.substring_index("path", "/", 1).alias("root")).distinct()
+    imports = durable(extract.local_imports(rows, roots, "proj"))
+    bound = durable(types.bindings(f, "proj"))
+    reached = types.inferred(bound, imports.filter("NOT is_wildcard"), rows)[1]
+    key = F.xxhash64("path", "seq").alias("id")
+    kind = F.when((F.col("recv") == "super()") | (F.col("name") == "super"), "super").when(F.col("recv").startswith("%"), "chain").otherwise("plain")
+    python = bound.filter("how = 'call'").select(key, "module_qn", F.col("what").alias("call_name"), "name", kind.alias("kind"), F.col("at").alias("caller"))
+    placed = outline.placed_calls(other).withColumn("kind", F.lit("iife")).union(outline.calls(other).union(outline.operator_calls(other)).withColumn("kind", F.lit("plain")))
+    scanned = placed.select(F.xxhash64("module_qn", "caller", "call_name", "line").alias("id"), "module_qn", "call_name", F.element_at(F.split("call_name", "[.]"), -1).alias("name"), "kind", "caller").dropDuplicates(["id"])
+    calls = durable(python.union(scanned))
+    defined = rows.filter("kind IN ('Function', 'Method', 'Class')").select("qualified_name").union(outline.definitions(other).select("qualified_name"))
+    registry = durable(defined.distinct().withColumn("simple_name", F.element_at(F.split("qualified_name", "[.]"), -1)))
+    native = spark.createDataFrame([(n, f"builtin.{n}") for n in sorted(dir(builtins)) if callable(getattr(builtins, n))], "name string, callee string")
+    found = resolve.cascade(calls.drop("caller"), reached.select(key, "callee"), imports, registry, native)
+    return calls.select("id", "caller", "name").join(found, "id")
+
+
 # Entities ----------------------------------------------------------------------------------------------------------------
 
 #: lang, full_name, module_path, way; every fourth key's results are stored before the others are asked for.

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plexus.operators.outline import _NESTED, KEYWORDS, running
+from plexus.operators.resolve import lattice
 from plexus.plans.graph import durable
 
 _TYPE = r"([A-Z][\w.]*)(?:<[\w\s,.<>?&]*>)?(?:\[\])*"
-#: Levels of ancestors at most; no real hierarchy is deeper.
-LEVELS = 40
 
 
 def _without(text: Column, pattern: str, times: int = 4) -> Column:
@@ -83,26 +82,6 @@ def class_of(uses: DataFrame, classes: DataFrame, imports: DataFrame) -> DataFra
     return every.groupBy("id").agg(F.min(F.struct("way", (-shared).alias("s"), F.length("qualified_name").alias("n"), "qualified_name"))["qualified_name"].alias("cls"))
 
 
-def lattice(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """cls, above, by_interface, level, place: every class with itself and all that it inherits from, each once.
-
-    edges: cls, parent, type, ord. The superclasses come before what an interface on the way gives, nearer before farther,
-    and equally near ones in the order of the sources; cycles end.
-    """
-    step = edges.select(F.col("cls").alias("above"), F.col("parent").alias("_next"), (F.col("type") != "INHERITS").cast("int").alias("_i"), F.lpad(F.col("ord").cast("string"), 4, "0").alias("_o")).distinct()
-    every = edges.select("cls").union(edges.select("parent")).distinct()
-    seen = durable(every.select("cls", F.col("cls").alias("above"), F.lit(0).alias("by_interface"), F.lit(0).alias("level"), F.lit("").alias("place")))
-    new = seen
-    for _ in range(levels):
-        up = new.join(step, "above").select("cls", F.col("_next").alias("above"), F.greatest("by_interface", "_i").alias("by_interface"), (F.col("level") + 1).alias("level"), F.concat("place", "_o").alias("place"))
-        best = up.groupBy("cls", "above").agg(F.min(F.struct("by_interface", "level", "place")).alias("b")).select("cls", "above", "b.*")
-        new = durable(best.join(seen.select("cls", "above"), ["cls", "above"], "left_anti"))
-        if new.isEmpty():
-            break
-        seen = seen.union(new)
-    return seen
-
-
 def resolved_methods(calls: DataFrame, defined: DataFrame, bases: DataFrame, imports: DataFrame, variables: DataFrame) -> DataFrame:
     """Id, callee, how of Java calls (``method_calls``).
 
@@ -119,9 +98,7 @@ def resolved_methods(calls: DataFrame, defined: DataFrame, bases: DataFrame, imp
     written = durable(bases.filter("lang = 'java'").withColumn("id", F.xxhash64("cls", "base", "ord")))
     up = class_of(written.select("id", "module_qn", F.col("base").alias("type")), classes, own_imports)
     edges = durable(written.join(up.withColumnRenamed("cls", "parent"), "id").select("cls", "parent", "type", "ord"))
-    above = lattice(edges)
-    alone = classes.select(F.col("qualified_name").alias("cls")).join(above.select("cls").distinct(), "cls", "left_anti").select("cls", F.col("cls").alias("above"), F.lit(0).alias("by_interface"), F.lit(0).alias("level"), F.lit("").alias("place"))
-    above = above.union(alone)
+    above = lattice(edges, classes.select(F.col("qualified_name").alias("cls")))
     calls = durable(calls.distinct())
     # Types of receivers, by the first way that has one.
     direct = calls.filter("receiver IS NULL OR receiver IN ('this', 'super')").filter("cls IS NOT NULL").select("id", "cls", F.lit(0).alias("way"), (F.col("receiver") == "super").alias("_up"))

@@ -268,3 +268,19 @@ def calls(rows: DataFrame) -> DataFrame:
     each = running(rows).select("module_qn", "lang", "caller", F.explode(sites).alias("call_name"), F.col("start_line").alias("line"))
     name = F.regexp_replace("call_name", r"\s*(?:\?\.|::|->|:|\.)\s*", ".")
     return each.withColumn("call_name", F.regexp_replace(name, "#", "")).filter(~F.col("call_name").isin(*KEYWORDS))
+
+
+def placed_calls(rows: DataFrame) -> DataFrame:
+    """module_qn, lang, caller, call_name, line of anonymous functions that are called where they stand."""
+    blocks = rows.filter("kind = 'block' AND label = 'Anonymous'").select("path", F.col("id").alias("_id"), F.concat_ws(".", F.array_join(F.transform("scope", lambda x: x["name"]), "."), "shown").alias("_name"))
+    text = running(rows).filter(F.col("code").rlike(r"\{\}\s*\)?\s*(?:\.call\s*)?\(")).select("path", "module_qn", "lang", "caller", F.get("holds", F.lit(0)).alias("_id"), F.col("start_line").alias("line"))
+    return text.join(blocks, ["path", "_id"]).select("module_qn", "lang", "caller", F.regexp_replace("_name", r"^\.", "").alias("call_name"), "line")
+
+
+def operator_calls(rows: DataFrame) -> DataFrame:
+    """The same of C++ operators that are called by their names."""
+    run = running(rows.filter("lang = 'cpp'"))
+    symbol = F.explode(F.regexp_extract_all("run", F.lit(r"\boperator\s*([^\s\w(]+|\(\))\s*\("), F.lit(1))).alias("_s")
+    known = F.create_map(*[F.lit(x) for pair in OPERATORS.items() for x in pair])
+    each = run.select("module_qn", "lang", "caller", symbol, F.col("start_line").alias("line"))
+    return each.select("module_qn", "lang", "caller", F.concat(F.lit("operator_"), F.coalesce(F.element_at(known, F.col("_s")), F.col("_s"))).alias("call_name"), "line")

@@ -178,3 +178,89 @@ def ranked_modules(candidates: DataFrame, penalty: Column) -> DataFrame:
     distance = F.greatest(import_distance(F.col("candidate"), F.col("module_qn")), F.lit(0))
     w = Window.partitionBy("id").orderBy("_p", "_d", "idx")
     return candidates.withColumn("_p", penalty).withColumn("_d", distance).withColumn("rank", F.row_number().over(w).cast("bigint")).drop("_p", "_d")
+
+
+#: Levels of ancestors at most; no real hierarchy is deeper.
+LEVELS = 40
+
+
+def lattice(edges: DataFrame, classes: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """cls, above, by_interface, level, place: every class with itself and all that it inherits from, each once.
+
+    edges: cls, parent, type, ord; classes: cls, also those without parents. The superclasses come before what an interface on the way gives, nearer before farther,
+    and equally near ones in the order of the sources; cycles end.
+    """
+    step = edges.select(F.col("cls").alias("above"), F.col("parent").alias("_next"), (F.col("type") != "INHERITS").cast("int").alias("_i"), F.lpad(F.col("ord").cast("string"), 4, "0").alias("_o")).distinct()
+    every = edges.select("cls").union(edges.select("parent")).union(classes.select("cls")).distinct()
+    seen = durable(every.select("cls", F.col("cls").alias("above"), F.lit(0).alias("by_interface"), F.lit(0).alias("level"), F.lit("").alias("place")))
+    new = seen
+    for _ in range(levels):
+        up = new.join(step, "above").select("cls", F.col("_next").alias("above"), F.greatest("by_interface", "_i").alias("by_interface"), (F.col("level") + 1).alias("level"), F.concat("place", "_o").alias("place"))
+        best = up.groupBy("cls", "above").agg(F.min(F.struct("by_interface", "level", "place")).alias("b")).select("cls", "above", "b.*")
+        new = durable(best.join(seen.select("cls", "above"), ["cls", "above"], "left_anti"))
+        if new.isEmpty():
+            break
+        seen = seen.union(new)
+    return seen
+
+
+#: The steps of ``cascade``, in order.
+STEPS = ("iife", "super", "chain", "import", "qualified", "wildcard", "module", "nearest", "builtin", "operator")
+
+
+def cascade(calls: DataFrame, typed: DataFrame, imports: DataFrame, registry: DataFrame, builtins: DataFrame) -> DataFrame:
+    """Id, callee, step (its number and name) of each call by the first step that finds one. A call that a step has found, or that must end there, is not in the next one's input.
+
+    Steps: iife, a function that is called where it stands; super, a method above the class, or nothing; chain, a method
+    of what a call gives, or nothing; import, the imported name itself; qualified, a method of the receiver's type, then
+    what follows an imported name, then the module's own dotted name; wildcard; module, the same one; nearest, the least
+    import distance among equal simple names; builtin; operator, by its name.
+
+    calls: id, module_qn, call_name (dotted; null behind a call), name (its last part), kind (iife, super, chain or plain).
+    typed: id, callee of calls whose receiver has a known type. imports: module_qn, local_name, full_name, is_wildcard.
+    registry: qualified_name, simple_name. builtins: name, callee.
+    """
+    known = durable(registry.select(F.col("qualified_name").alias("callee")).distinct())
+    named = durable(imports.filter("NOT is_wildcard").groupBy("module_qn", "local_name").agg(F.max("full_name").alias("full_name")))
+    stars = imports.filter("is_wildcard").select("module_qn", "full_name").distinct()
+    held = lambda df: df.join(known, "callee", "left_semi").select("id", "callee")
+    in_module = lambda left: left.select("id", F.concat_ws(".", "module_qn", "call_name").alias("callee"))
+
+    def qualified(left: DataFrame) -> DataFrame:
+        dotted = left.filter("call_name LIKE '%.%'")
+        by_type = dotted.join(typed, "id").select("id", "callee", F.lit(0).alias("way"))
+        head, rest = F.substring_index("call_name", ".", 1), F.expr("substring(call_name, instr(call_name, '.') + 1)")
+        through = dotted.select("id", "module_qn", head.alias("local_name"), rest.alias("_r")).join(named, ["module_qn", "local_name"]).select("id", F.concat_ws(".", "full_name", "_r").alias("callee"))
+        own = held(through).withColumn("way", F.lit(1)).union(held(in_module(dotted)).withColumn("way", F.lit(2)))
+        return by_type.union(own).groupBy("id").agg(F.min(F.struct("way", "callee"))["callee"].alias("callee"))
+
+    def wildcard(left: DataFrame) -> DataFrame:
+        # The registry's names by what they stand in, so a call meets only those of its name.
+        under = known.select("callee", F.regexp_replace("callee", r"\.[^.]*$", "").alias("full_name"), F.element_at(F.split("callee", "[.]"), -1).alias("call_name"))
+        offered = stars.join(under, "full_name").select("module_qn", "call_name", "callee").groupBy("module_qn", "call_name").agg(F.min("callee").alias("callee"))
+        return left.join(offered, ["module_qn", "call_name"]).select("id", "callee")
+
+    def nearest(left: DataFrame) -> DataFrame:
+        # A method of something unknown is not looked for by its name alone if something is known by the whole name's head.
+        return by_simple_name(left.filter("call_name IS NOT NULL"), registry).select("id", "callee")
+
+    ways = {
+        "iife": (lambda left: held(in_module(left.filter("kind = 'iife'"))), None),
+        "super": (lambda left: left.filter("kind = 'super'").join(typed, "id").select("id", "callee"), "super"),
+        "chain": (lambda left: left.filter("kind = 'chain'").join(typed, "id").select("id", "callee"), "chain"),
+        "import": (lambda left: held(left.join(named, (left.call_name == named.local_name) & (left.module_qn == named.module_qn)).select("id", F.col("full_name").alias("callee"))), None),
+        "qualified": (qualified, None),
+        "wildcard": (wildcard, None),
+        "module": (lambda left: held(in_module(left)), None),
+        "nearest": (nearest, None),
+        "builtin": (lambda left: left.join(builtins, left.call_name == builtins.name).select("id", "callee"), None),
+        "operator": (lambda left: left.filter("name LIKE 'operator\\_%'").select("id", F.concat(F.lit("builtin.cpp."), "name").alias("callee")), None),
+    }
+    left, out = durable(calls), None
+    for number, step in enumerate(STEPS, 1):
+        find, ends = ways[step]
+        got = durable(find(left).groupBy("id").agg(F.min("callee").alias("callee")))
+        hit = got.select("id", "callee", F.lit(number).alias("step"), F.lit(step).alias("by"))
+        out = hit if out is None else out.union(hit)
+        left = durable((left.filter(F.col("kind") != ends) if ends else left).join(got.select("id"), "id", "left_anti"))
+    return out

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plexus.functions.names import path_to_module
 from plexus.operators.extract import SCOPES, dotted
-from plexus.operators.resolve import ancestor_methods, class_names
+from plexus.operators.resolve import class_names, lattice
 from plexus.plans.graph import durable
 
 #: how: type (var is of the annotated ``what``), alias (var is the value at ``what``), call (var is what a call gives).
@@ -193,21 +193,25 @@ def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: in
     qn = qn.select("path", "seq", "at", "var", "line", "name", F.coalesce("full_name", F.concat_ws(".", "module_qn", "what")).alias("callee"))
     functions = defined.filter("kind = 'Function'").select(F.col("qualified_name").alias("callee"))
     plain = durable(qn.join(functions, "callee", "left_semi").select("path", "seq", "at", "var", "line", "name", "callee"))
-    above = durable(calls.filter("recv = 'super()' AND cls IS NOT NULL").select("path", "seq", "at", "var", "line", "name", "cls"))
-    up = ancestor_methods(inherits, methods, own=False, wanted=above)
-    reached = durable(plain.union(above.join(up, ["cls", "name"]).select("path", "seq", "at", "var", "line", "name", F.col("found").alias("callee"))))
-    fresh, on_object = known, calls.filter("recv IS NOT NULL AND recv != 'super()'")
+    # Every class with the methods that it has or inherits, nearest first, parents in order: found once for all rounds.
+    edges = inherits.select(F.col("child").alias("cls"), "parent", F.lit("INHERITS").alias("type"), "ord")
+    up = lattice(edges, registry.select(F.col("qualified_name").alias("cls"))).join(methods.withColumnRenamed("cls", "above"), "above")
+    nearest = lambda df: durable(df.groupBy("cls", "name").agg(F.min(F.struct("level", "place", "method"))["method"].alias("callee")))
+    own_or_above, only_above = nearest(up), nearest(up.filter("level > 0"))
+    call = ["path", "seq", "at", "var", "line", "name", "callee"]
+    reached = durable(plain.union(calls.filter("recv = 'super()' AND cls IS NOT NULL").join(only_above, ["cls", "name"]).select(call)))
+    fresh, on_object, aliases = known, calls.filter("recv IS NOT NULL AND recv != 'super()'").drop("cls"), rows.filter("how = 'alias'").drop("cls")
+    returns = lambda df: df.filter(F.col("var") == RETURN).select(F.col("at").alias("callee"), "cls")
     for _ in range(rounds):
-        recv = fresh.select(F.col("at").alias("frm"), F.col("var").alias("recv"), F.col("cls").alias("of"))
-        asked = durable(on_object.drop("cls").join(recv, ["frm", "recv"]).select("path", "seq", "at", "var", "line", "name", F.col("of").alias("cls")))
-        hit = ancestor_methods(inherits, methods, own=True, wanted=asked)
-        new_calls = asked.join(hit, ["cls", "name"]).select("path", "seq", "at", "var", "line", "name", F.col("found").alias("callee"))
-        reached = durable(reached.union(new_calls))
-        returns = known.filter(F.col("var") == RETURN).select(F.col("at").alias("callee"), "cls")
-        given = reached.join(returns, "callee").select("at", "var", "cls", "seq")
-        moved = rows.filter("how = 'alias'").drop("cls").join(known.select(F.col("at").alias("frm"), F.col("var").alias("what"), "cls"), ["frm", "what"]).select("at", "var", "cls", "seq")
+        recv = fresh.select(F.col("at").alias("frm"), F.col("var").alias("recv"), "cls")
+        hit = durable(on_object.join(recv, ["frm", "recv"]).join(own_or_above, ["cls", "name"]).select(call))
+        # What a round can add comes from new calls or from new types; the rest was met before.
+        of_new, of_old = hit.join(returns(known), "callee"), reached.join(returns(fresh), "callee")
+        given = of_new.select("at", "var", "cls", "seq").union(of_old.select("at", "var", "cls", "seq"))
+        moved = aliases.join(fresh.select(F.col("at").alias("frm"), F.col("var").alias("what"), "cls"), ["frm", "what"]).select("at", "var", "cls", "seq")
+        reached = reached.union(hit)
         fresh = first(given.union(moved).join(known, ["at", "var"], "left_anti"))
         if fresh.isEmpty():
             break
-        known = durable(known.union(fresh))
+        known = known.union(fresh)
     return known, reached
