@@ -12,6 +12,7 @@ from plexus.plans.graph import PropertyGraph, durable, new_folder
 from plexus.sources import files, sinks
 from plexus.sources.tables import graph, read
 from plexus.streaming import jobs
+from plexus.streaming.keyed import KeyedTable
 
 # Graph files -------------------------------------------------------------------------------------------------------------
 
@@ -75,6 +76,80 @@ on_log("R07", "SELECT cmd, repo, return_code, cached FROM log")(lambda d: once(a
 on_log("R05_stream", SQL["R05"].removeprefix(LOG_SQL))(lambda d: once(jobs.prefix_totals(arriving(d)), "complete").select("prefix", "total", "failed"))
 on_log("R06_stream", SQL["R06"].removeprefix(LOG_SQL))(lambda d: once(jobs.error_totals(arriving(d)), "complete").select("pattern", "n"))
 
+
+
+def in_two_runs(rows: DataFrame, later, follow) -> None:
+    """``follow`` on a stream of what has arrived, and again, as after a restart, when the rest (``later``) has; two files a micro-batch."""
+    spark, at = rows.sparkSession, new_folder(rows.sparkSession, "arriving")
+    for part in (rows.filter(~later), rows.filter(later)):
+        part.repartition(4).write.mode("append").parquet(at)
+        follow(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(at)).awaitTermination()
+
+
+def keyed(spark: SparkSession, schema: str, *keys: str) -> tuple[KeyedTable, str]:
+    at = new_folder(spark, "keyed")
+    return KeyedTable(spark, f"{at}/table", schema, keys, buckets=8), f"{at}/checkpoint"
+
+
+#: What kind of file event stands for each kind of event.
+FILE_EVENT = {"signup": "created", "error": "deleted"}
+
+
+def live_graph(d: DataFrame) -> DataFrame:
+    """Each user is a file; what its last event leaves of it, with the events out of order."""
+    spark = d.sparkSession
+    kind = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in FILE_EVENT.items() for x in pair]), c("event_type")), F.lit("modified"))
+    events = d.select(text("u/", c("user_id"), ".py").alias("path"), kind.alias("event_type"), F.lit(False).alias("is_directory"), F.struct(c("ts").alias("at"), c("event_id").alias("id")).alias("ts"))
+
+    def parse(paths: DataFrame) -> DataFrame:
+        key = F.regexp_extract("path", r"(\d+)\.py$", 1)
+        files = paths.select("path", text("def a", key, "():\n    pass\nclass B", key, ":\n    pass\n").alias("content"))
+        return extract.extracted(files, "proj").filter("kind IN ('Function', 'Class')").groupBy("path").agg(F.sort_array(F.collect_list("qualified_name")).alias("names"))
+
+    table, checkpoint = keyed(spark, jobs.LIVE, "path")
+    in_two_runs(events, c("ts.id") % 2 == 0, lambda stream: jobs.live_modules(stream, table, checkpoint, parse))
+    return table.read().select("path", "event_type", F.array_join("names", ",").alias("names"))
+
+
+on_table("R01_stream", "events", """WITH last AS (SELECT user_id AS u, arg_max(event_type, (ts, event_id)) AS t FROM events GROUP BY 1)
+SELECT 'u/'||u||'.py' AS path, CASE t WHEN 'signup' THEN 'created' WHEN 'error' THEN 'deleted' ELSE 'modified' END AS event_type, CASE WHEN t <> 'error' THEN 'proj.u.'||u||'.B'||u||',proj.u.'||u||'.a'||u END AS names FROM last""")(live_graph)
+
+
+def rates_so_far(d: DataFrame) -> DataFrame:
+    """Rates by hour as the log arrives in no order; nothing is too late within the log's own length."""
+    table, checkpoint = keyed(d.sparkSession, "begin timestamp, n bigint, failed bigint", "begin")
+    log = d.select(c("ts").cast("timestamp").alias("ts"), "return_code", "event_id")  # a watermark needs a time zone
+    in_two_runs(log, c("event_id") % 3 == 0, lambda stream: jobs.live_rates(stream, table, checkpoint, "1 hour", "1000 days"))
+    return table.read().withColumn("begin", c("begin").cast("timestamp_ntz"))
+
+
+on_log("R08_stream", SQL["R08"].removeprefix(LOG_SQL))(rates_so_far)
+
+
+def clone_states(d: DataFrame) -> DataFrame:
+    """Which repositories are pending after two runs; the second one mends failures and clones some more."""
+    k = c("c_custkey")
+    first = d.filter(k % 3 < 2).select(k.alias("url"), F.when(k % 3 == 0, "completed").otherwise("failed").alias("state"), F.lit(1).alias("ts"))
+    then = d.filter((k % 6 == 1) | (k % 12 == 2)).select(k.alias("url"), F.lit("completed").alias("state"), F.lit(2).alias("ts"))
+    table, checkpoint = keyed(d.sparkSession, "url bigint, state string, ts int", "url")
+    in_two_runs(first.union(then), c("ts") == 2, lambda stream: jobs.live_states(stream, table, checkpoint))
+    states = table.read()
+    return states.select("url", "state").union(jobs.pending(d.select(k.alias("url")), states).select("url", F.lit("pending")))
+
+
+on_table("R09_stream", "customer", "SELECT c_custkey AS url, CASE WHEN c_custkey % 3 = 0 OR c_custkey % 6 = 1 OR c_custkey % 12 = 2 THEN 'completed' WHEN c_custkey % 3 = 1 THEN 'failed' ELSE 'pending' END AS state FROM customer")(clone_states)
+
+
+def vector_table(d: DataFrame) -> DataFrame:
+    """Vectors stored by id; every third is stored again with its components in reverse."""
+    table, _ = keyed(d.sparkSession, "vec_id bigint, embedding array<float>", "vec_id")
+    table.merge(d, 0)
+    table.merge(d.filter("vec_id % 3 = 0").select("vec_id", F.reverse("embedding").alias("embedding")), 1)
+    return table.read().select("vec_id", F.col("embedding")[0].alias("first"), F.size("embedding").alias("n"))
+
+
+on_table("K10_table", "embeddings", "SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN embedding[len(embedding)] ELSE embedding[1] END AS first, len(embedding)::INT AS n FROM embeddings")(vector_table)
+
 # Embeddings and edits ----------------------------------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from plexus.operators.logs import by_prefix
 from plexus.operators.paths import closure_delete
 from plexus.plans.graph import PropertyGraph
 from plexus.sources.files import RESULT, kept_path
+from plexus.streaming.keyed import KeyedTable
 
 
 def results(spark, path: str) -> DataFrame:
@@ -84,3 +85,39 @@ def run_once(rows: DataFrame, path: str, mode: str = "append") -> DataFrame:
         writer = rows.writeStream.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
     writer.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
+
+
+LIVE = "path string, ts struct<at:timestamp,id:bigint>, event_type string, names array<string>"
+
+
+def live_modules(events: DataFrame, table: KeyedTable, checkpoint: str, parse: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Keeps ``table`` (of ``LIVE``, keyed by path) at what the files' last events leave: a deleted file has no names.
+
+    Only files with new events are parsed again. An event that is older than what its file has seen changes nothing, in
+    whatever micro-batch it comes. events: path, event_type, is_directory, ts. parse: path, names of given paths.
+    """
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        own = batch.filter(~F.col("is_directory") & kept_path(F.col("path")))
+        return own.groupBy("path").agg(F.max(F.struct("ts", "event_type")).alias("b")).select("path", "b.ts", "b.event_type", F.lit(None).cast("array<string>").alias("names"))
+
+    def combine(current: DataFrame, new: DataFrame) -> DataFrame:
+        both = current.withColumn("_new", F.lit(False)).union(new.withColumn("_new", F.lit(True)))
+        last = both.groupBy("path").agg(F.max_by(F.struct("ts", "event_type", "names", "_new"), F.struct("ts", ~F.col("_new"))).alias("b")).select("path", "b.*")
+        asked = last.filter("_new AND event_type != 'deleted'")
+        parsed = asked.drop("names").join(parse(asked.select("path")), "path", "left").select("path", "ts", "event_type", F.coalesce("names", F.array().cast("array<string>")).alias("names"))
+        rest = last.filter("NOT (_new AND event_type != 'deleted')").select("path", "ts", "event_type", F.when(~F.col("_new"), F.col("names")).alias("names"))
+        return parsed.union(rest)
+
+    return table.follow(events, checkpoint, prepare, combine)
+
+
+def live_rates(log: DataFrame, table: KeyedTable, checkpoint: str, size: str = "1 minute", late: str = "10 minutes") -> StreamingQuery:
+    """The counts of each window so far (begin, n, failed), updated as results come."""
+    return table.follow(rates(log, size=size, late=late), checkpoint, mode="update")
+
+
+def live_states(results: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """The last state of each repository (url, state, ts), so that a restart knows what is pending."""
+    last = lambda rows: rows.groupBy("url").agg(F.max(F.struct("ts", "state")).alias("b")).select("url", "b.state", "b.ts")
+    return table.follow(results, checkpoint, last, lambda current, new: last(current.union(new)))
