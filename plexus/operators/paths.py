@@ -42,6 +42,10 @@ def fixed_chains(g: PropertyGraph, hops: int, min_modules: int = 2) -> DataFrame
     return out.filter(F.size("modules") >= min_modules).select(*[f"n{i}" for i in range(hops + 1)])
 
 
+#: Neighbours in one page of a node's edges.
+PAGE = 1024
+
+
 def maximal_paths(edges: DataFrame, starts: DataFrame, max_edges: int, allowed: DataFrame | None = None) -> DataFrame:
     """``path`` of every simple path from ``starts`` (node_id) that has ``max_edges`` edges or cannot go on.
 
@@ -50,15 +54,25 @@ def maximal_paths(edges: DataFrame, starts: DataFrame, max_edges: int, allowed:
     """
     e = edges.select("src", "dst")
     e = e.withColumn("to", F.col("dst")) if allowed is None else e.join(allowed.select(F.col("node_id").alias("dst"), F.col("node_id").alias("to")), "dst", "left")
-    fans = durable(e.groupBy("src").agg(F.collect_list("dst").alias("next"), F.collect_list("to").alias("good")))
+    # A node's edges are dealt to pages of about PAGE neighbours, so a path meets a hub's list in pieces, in many tasks.
+    e = durable(e.groupBy("src", "dst", "to").agg(F.count("*").alias("ways")))
+    size = max(PAGE, max_edges + 1)
+    pages = e.groupBy("src").agg(F.ceil(F.count_distinct("dst") / size).cast("int").alias("pages"))
+    dealt = e.join(pages, "src").withColumn("page", F.pmod(F.xxhash64("dst"), F.col("pages")).cast("int"))
+    fans = durable(dealt.groupBy("src", "page").agg(F.collect_list(F.struct("dst", "to", "ways")).alias("next")))
+    pages = durable(pages)
     now = starts.select(F.array("node_id").alias("path"))
     done = None
-    free_of = lambda x: F.filter(F.coalesce(x, F.array().cast("array<bigint>")), lambda y: ~F.array_contains(F.col("path"), y))
     for _ in range(max_edges):
-        fan = now.withColumn("src", F.element_at("path", -1)).join(fans, "src", "left")
-        ended = fan.filter(F.size(free_of("next")) == 0).select("path")
+        met = now.withColumn("src", F.element_at("path", -1)).join(pages, "src", "left")
+        each = met.withColumn("page", F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce("pages", F.lit(1)) - 1, F.lit(0)))))
+        fan = each.join(fans, ["src", "page"], "left").withColumn("free", F.filter("next", lambda y: ~F.array_contains(F.col("path"), y["dst"])))
+        # A node of several pages has more neighbours than a path has nodes, so only one page can be used up.
+        ended = fan.filter("pages IS NULL OR pages = 1 AND size(free) = 0").select("path")
         done = ended if done is None else done.union(ended)
-        now = fan.select("path", F.explode(free_of("good")).alias("to")).select(F.array_append("path", F.col("to")).alias("path"))
+        good = F.filter("free", lambda y: y["to"].isNotNull())
+        step = fan.filter("pages IS NOT NULL").select("path", F.explode(good).alias("y")).select("path", "y.to", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("y.ways"))))
+        now = durable(step.select(F.array_append("path", F.col("to")).alias("path")))  # both what ends and what goes on read it
     return now if done is None else done.union(now)
 
 
@@ -98,6 +112,29 @@ def capped(reached: DataFrame, most: int, salt: str = "s") -> DataFrame:
     return reached.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= most).drop("_r")
 
 
+def budgeted(edges: DataFrame, seeds: DataFrame, depth: int, most: int, salt: str = "s") -> DataFrame:
+    """What ``capped`` leaves of ``bfs``, without the rest being found: a level adds nodes only up to ``most``, and a full seed leaves the frontier.
+
+    Of a node's neighbours only the first 2 * most by the hash can matter, as fewer than ``most`` of them are known.
+    """
+    order = F.md5(F.concat(F.col("dst").cast("string"), F.lit(salt)))
+    e = edges.select("src", "dst").distinct().withColumn("_r", F.row_number().over(Window.partitionBy("src").orderBy(order, "dst"))).filter(F.col("_r") <= 2 * most).drop("_r")
+    e = durable(e)
+    seen = front = capped(seeds.select("seed", F.col("seed").alias("node"), F.lit(0).cast("bigint").alias("depth")).distinct(), most, salt)
+    for k in range(1, depth + 1):
+        counts = seen.groupBy("seed").agg(F.count("*").alias("_n"))
+        reached = front.join(e, front.node == e.src).select("seed", F.col("dst").alias("node")).distinct()
+        new = reached.join(seen, ["seed", "node"], "left_anti").withColumn("depth", F.lit(k).cast("bigint"))
+        ranked = new.withColumn("_r", F.row_number().over(Window.partitionBy("seed").orderBy(F.md5(F.concat(F.col("node").cast("string"), F.lit(salt))), "node")))
+        front = durable(ranked.join(counts, "seed").filter(F.col("_r") <= most - F.col("_n")).withColumn("_full", F.col("_n") + F.col("_r") >= most).drop("_r"))
+        seen = seen.unionByName(front.select("seed", "node", "depth"))
+        if k == depth:
+            break
+        full = front.filter("_full").select("seed").distinct()
+        front = front.select("seed", "node", "depth").join(full, "seed", "left_anti")
+    return seen
+
+
 def shortest_path(edges: DataFrame, start: int, goal: int, most: int = 10) -> DataFrame:
     """The path of fewest edges, least by node ids among equals; no row if there is none within ``most``."""
     e = edges.select("src", "dst").distinct()
@@ -116,6 +153,9 @@ def shortest_path(edges: DataFrame, start: int, goal: int, most: int = 10) -> Da
     return front.limit(0).select(F.array_join("path", ",").alias("path"), F.lit(0).cast("bigint").alias("hops"))
 
 
+#: Caps up to which nodes are counted while they are found.
+LARGEST_BUDGET = 10_000
+
 #: Strategy name to edge types and direction, fixed values.
 STRATEGIES = {"bfs": (("CALLS", "DEFINES", "DEFINES_METHOD", "INHERITS", "IMPORTS"), "both"), "callers": (("CALLS",), "in"), "callees": (("CALLS",), "out"), "imports": (("IMPORTS", "DEFINES"), "imports"), "inheritance": (("INHERITS",), "both"), "definitions": (("DEFINES", "DEFINES_METHOD"), "out"), "file": (("DEFINES", "DEFINES_METHOD", "CALLS"), "out"), "chain": (("CALLS",), "out")}
 
@@ -130,7 +170,7 @@ def expand(g: PropertyGraph, seeds: DataFrame, strategy: str, depth: int, most:
         e = g.undirected(*types)
     elif way == "imports":
         e = e.select("src", "dst").union(e.filter("type = 'IMPORTS'").select("dst", "src"))
-    return capped(bfs(e, seeds, depth), most)
+    return budgeted(e, seeds, depth, most) if most <= LARGEST_BUDGET else capped(bfs(e, seeds, depth), most)
 
 
 def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:

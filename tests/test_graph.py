@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -7,7 +9,7 @@ from plexus.operators import logs, paths, resolve, sampling
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12_1", "F12_2", "F12_3", "F16", "F18", "T06", "T09", "T10", "T12", "T13", "T10_capped", "T15", "T16", "T17", "T18", "T19", "W05", "A16", "A17_literal", "A17_production", "A24_failing", "A24_sorted", "A26", "A27", "A31_moving", "A32", "O12", "P19_failed", "T05", "T08", "T04", "J18", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35", "S10", "S12", "S13", "S14", "S16", "S17", "S09", "T21", "S11", "E19", "K08", "K10", "P22", "F09", "F11", "F15", "F27", "F28", "F29", "F31", "F33", "F36", "R01", "R04", "R06", "R08", "R09", "E01", "E02", "E04", "E07", "E08", "E11", "E12", "E21", "E22", "E24", "E25", "S01", "K05", "K08_metadata", "K09_texts", "R05_stream", "R06_stream", "R07", "E10", "E12_typed", "E14", "E08_js", "E16"]
+SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12_1", "F12_2", "F12_3", "F16", "F18", "T06", "T09", "T10", "T12", "T13", "T10_capped", "T15", "T16", "T17", "T18", "T19", "W05", "A16", "A17_literal", "A17_production", "A24_failing", "A24_sorted", "A26", "A27", "A31_moving", "A32", "O12", "P19_failed", "T05", "T08", "T04", "J18", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35", "S10", "S12", "S13", "S14", "S16", "S17", "S09", "T21", "S11", "E19", "K08", "K10", "P22", "F09", "F11", "F15", "F27", "F28", "F29", "F31", "F33", "F36", "R01", "R04", "R06", "R08", "R09", "E01", "E02", "E04", "E07", "E08", "E11", "E12", "E21", "E22", "E24", "E25", "S01", "K05", "K08_metadata", "K09_texts", "R05_stream", "R06_stream", "R07", "E10", "E12_typed", "E14", "E08_js", "E16", "E09", "E13", "E15", "E15_links", "E17_edges", "E17_exported", "E18", "E04_js", "E04_cpp", "E04_go", "E04_lua", "E07_java", "E08_cpp", "E08_lua", "E10_java", "E11_js", "E11_rust", "E12_cascade", "R01_stream", "R08_stream", "R09_stream", "K10_table"]
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +169,36 @@ def test_expansions_with_caps(spark):
     # 3 has no name, so nothing above it is an ancestor.
     assert {tuple(r) for r in paths.ancestors(g, 1).collect()} == {(1, 2, 1), (5, 2, 1), (3, 4, 1)}
     assert {r["node_id"] for r in paths.reachable(g.of_type("INHERITS"), one).collect()} == {1, 2, 3, 4}
+
+
+@pytest.mark.parametrize("most", [1, 3, 7, 1000])
+@pytest.mark.parametrize("depth", [1, 2, 4])
+def test_a_budget_leaves_what_a_cap_leaves(spark, most, depth):
+    rng = random.Random(most * 10 + depth)
+    edges = [(rng.randrange(30), rng.randrange(30)) for _ in range(70)] + [(0, i) for i in range(30)] + [(5, 5), (0, 1)]
+    e = spark.createDataFrame(edges, "src long, dst long")
+    seeds = spark.createDataFrame([(0,), (3,), (7,), (99,), (0,)], "seed long").distinct()
+    got = {tuple(r) for r in paths.budgeted(e, seeds, depth, most).collect()}
+    assert got == {tuple(r) for r in paths.capped(paths.bfs(e, seeds, depth), most).select("seed", "node", "depth").collect()}
+
+
+def test_paths_through_a_hub_of_many_pages(spark, monkeypatch):
+    """A page holds one neighbour or so; ways along parallel edges count each."""
+    monkeypatch.setattr(paths, "PAGE", 1)
+    edges = [(0, 1), (0, 1), *[(1, i) for i in range(2, 30)], (2, 0), (2, 1), (3, 1), (4, 5), (5, 6)]
+    starts = [0, 2, 4, 29]
+    want = []
+
+    def walk(path):
+        free = [d for s, d in edges if s == path[-1] and d not in path]
+        if len(path) == 4 or not free:
+            want.append(tuple(path))
+            return
+        for d in free:
+            walk([*path, d])
+
+    for s in starts:
+        walk([s])
+    e = spark.createDataFrame(edges, "src long, dst long")
+    got = sorted(tuple(r["path"]) for r in paths.maximal_paths(e, spark.createDataFrame([(s,) for s in starts], "node_id long"), 3).collect())
+    assert got == sorted(want)
