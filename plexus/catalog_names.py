@@ -157,3 +157,36 @@ cc AS (SELECT seed, string_agg(l, chr(10) ORDER BY node) AS b FROM cl GROUP BY s
 SELECT seed, '## File Structure'||chr(10)||fl.b||chr(10)||chr(10)||'## Call Graph'||coalesce(chr(10)||cc.b, '')||chr(10)||chr(10)||'## Inheritance' AS context FROM fl LEFT JOIN cc USING (seed)"""
 on_graph("F35", FILE + CONTEXT)(lambda g: render.graph_context(g, file_centric(g)))
 on_graph("O11", FILE + CONTEXT[: CONTEXT.index("cl AS")].rstrip(",\n") + " SELECT seed, file, b AS block FROM bl ORDER BY seed, file")(lambda g: render.file_blocks(g, file_centric(g)).orderBy("seed", "file"))
+
+CHUNKS = """, co AS (SELECT src AS node, string_agg(qn, ', ' ORDER BY dst) AS v FROM (SELECT c.src, c.dst, n.qualified_name AS qn, row_number() OVER (PARTITION BY c.src ORDER BY c.dst) AS r FROM calls c JOIN nodes n ON n.node_id = c.dst) WHERE r <= 5 GROUP BY src),
+ci AS (SELECT dst AS node, string_agg(qn, ', ' ORDER BY src) AS v FROM (SELECT c.src, c.dst, n.qualified_name AS qn, row_number() OVER (PARTITION BY c.dst ORDER BY c.src) AS r FROM calls c JOIN nodes n ON n.node_id = c.src) WHERE r <= 5 GROUP BY dst),
+ih AS (SELECT e.src AS node, string_agg(n.name, ', ' ORDER BY e.dst) AS v FROM edges e JOIN nodes n ON n.node_id = e.dst WHERE e.type = 'INHERITS' GROUP BY e.src),
+df AS (SELECT e.dst AS node, arg_min(n.qualified_name, e.src) AS v, arg_min(n.path, e.src) AS file FROM edges e JOIN nodes n ON n.node_id = e.src WHERE e.type IN ('DEFINES', 'DEFINES_METHOD') GROUP BY e.dst),
+el AS (SELECT n.*, co.v AS a, ci.v AS b, ih.v AS c, df.v AS d, df.file AS f FROM nodes n LEFT JOIN co ON co.node = node_id LEFT JOIN ci ON ci.node = node_id LEFT JOIN ih ON ih.node = node_id LEFT JOIN df ON df.node = node_id WHERE label IN ('Function', 'Class', 'Method'))
+SELECT node_id AS node, concat_ws(chr(10), '<code_chunk>', '  <node_id>'||node_id||'</node_id>', '  <type>'||label||'</type>', '  <qualified_name>'||qualified_name||'</qualified_name>', '  <file>'||f||'</file>', '  <lines>'||start_line||'-'||end_line||'</lines>',
+'  <calls>'||a||'</calls>', '  <called_by>'||b||'</called_by>', '  <inherits>'||c||'</inherits>', '  <defined_in>'||d||'</defined_in>', '  <decorators>'||array_to_string(decorators, ', ')||'</decorators>', '  <source>', coalesce(docstring, ''), '  </source>', '</code_chunk>') AS chunk FROM el"""
+
+
+@on_graph("F35_chunks", CHUNKS)
+def chunks(g):
+    """The elements of all functions, classes and methods; a function's documentation stands for its source."""
+    own = g.label("Function", "Class", "Method")
+    first = g.of_type("DEFINES", "DEFINES_METHOD").groupBy(c("dst").alias("node")).agg(F.min("src").alias("up"))
+    homes = g.nodes.select(c("node_id").alias("up"), c("path").alias("file"))
+    texts = own.select(c("node_id").alias("node"), c("docstring").alias("text"), "start_line", "end_line").join(first, "node", "left").join(homes, "up", "left")
+    return render.code_chunks(g, own.select(c("node_id").alias("node")), texts)
+
+
+def _tree(name: str, source: str, target: str, depth: int) -> str:
+    return f"""{name}k AS (SELECT src, dst FROM (SELECT {source} AS src, {target} AS dst, row_number() OVER (PARTITION BY {source} ORDER BY {target}) AS r FROM calls) WHERE r <= 4),
+{name}t AS (SELECT node_id AS seed, [node_id] AS path, []::BIGINT[] AS place, []::BOOLEAN[] AS last FROM nodes WHERE label = 'Function' UNION ALL SELECT seed, list_append(path, dst), list_append(place, rn), list_append(last, rn = cnt)
+FROM (SELECT t.*, k.dst, row_number() OVER (PARTITION BY t.path ORDER BY k.dst) AS rn, count(*) OVER (PARTITION BY t.path) AS cnt FROM {name}t t JOIN {name}k k ON k.src = t.path[-1] WHERE len(t.path) <= {depth} AND NOT list_contains(t.path, k.dst))),
+{name}l AS (SELECT seed, string_agg('│   '||array_to_string(list_transform(last[1:len(last) - 1], lambda x: CASE WHEN x THEN '    ' ELSE '│   ' END), '')||CASE WHEN last[-1] THEN '└── ' ELSE '├── ' END||n.name, chr(10) ORDER BY place) AS l FROM {name}t t JOIN nodes n ON n.node_id = t.path[-1] WHERE len(t.path) > 1 GROUP BY seed)"""
+
+
+ASCII = ", " + _tree("d", "src", "dst", 3) + ",\n" + _tree("u", "dst", "src", 2) + """,
+sb AS (SELECT a.dst AS seed, b.dst AS node, row_number() OVER (PARTITION BY a.dst ORDER BY b.dst) AS n FROM edges a JOIN edges b ON a.type = 'DEFINES' AND b.type = 'DEFINES' AND a.src = b.src AND a.dst <> b.dst),
+sl AS (SELECT seed, string_agg(CASE WHEN n = m THEN '    └── ' ELSE '    ├── ' END||name, chr(10) ORDER BY n) AS l FROM (SELECT *, max(n) OVER (PARTITION BY seed) AS m FROM sb WHERE n <= 5) JOIN nodes ON node_id = node GROUP BY seed)
+SELECT node_id AS seed, concat_ws(chr(10), '=== GRAPH STRUCTURE ==='||chr(10), 'Seed: '||name||' ('||label||')', '│', '├─► CALLS (downstream)'||chr(10)||dl.l||chr(10)||'│', '├─◄ CALLED BY (upstream)'||chr(10)||ul.l||chr(10)||'│', '└── SIBLINGS (same file)'||chr(10)||sl.l) AS shown
+FROM nodes LEFT JOIN dl ON dl.seed = node_id LEFT JOIN ul ON ul.seed = node_id LEFT JOIN sl ON sl.seed = node_id WHERE label = 'Function'"""
+on_graph("F35_ascii", ASCII)(lambda g: render.ascii_graph(g, g.label("Function").select(c("node_id").alias("seed"))))

@@ -9,7 +9,7 @@ from plexus.operators import logs, paths, resolve, sampling
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
-SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12_1", "F12_2", "F12_3", "F16", "F18", "T06", "T09", "T10", "T12", "T13", "T10_capped", "T15", "T16", "T17", "T18", "T19", "W05", "A16", "A17_literal", "A17_production", "A24_failing", "A24_sorted", "A26", "A27", "A31_moving", "A32", "O12", "P19_failed", "T05", "T08", "T04", "J18", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35", "S10", "S12", "S13", "S14", "S16", "S17", "S09", "T21", "S11", "E19", "K08", "K10", "P22", "F09", "F11", "F15", "F27", "F28", "F29", "F31", "F33", "F36", "R01", "R04", "R06", "R08", "R09", "E01", "E02", "E04", "E07", "E08", "E11", "E12", "E21", "E22", "E24", "E25", "S01", "K05", "K08_metadata", "K09_texts", "R05_stream", "R06_stream", "R07", "E10", "E12_typed", "E14", "E08_js", "E16", "E09", "E13", "E15", "E15_links", "E17_edges", "E17_exported", "E18", "E04_js", "E04_cpp", "E04_go", "E04_lua", "E07_java", "E08_cpp", "E08_lua", "E10_java", "E11_js", "E11_rust", "E12_cascade", "R01_stream", "R08_stream", "R09_stream", "K10_table"]
+SOME = ["S05", "P13", "J05_calls", "J06", "J07", "T03", "T07", "A06", "A12", "A13", "A14", "A23", "O05", "O06", "O07", "O09", "W08", "X03", "F07", "P01", "P03", "F01", "F06", "F08", "F12_1", "F12_2", "F12_3", "F16", "F18", "T06", "T09", "T10", "T12", "T13", "T10_capped", "T15", "T16", "T17", "T18", "T19", "W05", "A16", "A17_literal", "A17_production", "A24_failing", "A24_sorted", "A26", "A27", "A31_moving", "A32", "O12", "P19_failed", "T05", "T08", "T04", "J18", "F13", "F17", "F24", "F25", "F26", "F32", "F34", "A22", "A25", "O01", "O02", "K01", "K02", "K03", "K06", "K13", "A30", "A31", "W01", "J12", "J15", "J16", "J19", "J21", "J22", "W03", "T11", "T14", "T20", "O11", "F35", "S10", "S12", "S13", "S14", "S16", "S17", "S09", "T21", "S11", "E19", "K08", "K10", "P22", "F09", "F11", "F15", "F27", "F28", "F29", "F31", "F33", "F36", "R01", "R04", "R06", "R08", "R09", "E01", "E02", "E04", "E07", "E08", "E11", "E12", "E21", "E22", "E24", "E25", "S01", "K05", "K08_metadata", "K09_texts", "R05_stream", "R06_stream", "R07", "E10", "E12_typed", "E14", "E08_js", "E16", "E09", "E13", "E15", "E15_links", "E17_edges", "E17_exported", "E18", "E04_js", "E04_cpp", "E04_go", "E04_lua", "E07_java", "E08_cpp", "E08_lua", "E10_java", "E11_js", "E11_rust", "E12_cascade", "R01_stream", "R08_stream", "R09_stream", "K10_table", "F35_chunks", "F35_ascii"]
 
 
 @pytest.fixture(scope="module")
