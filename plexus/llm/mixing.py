@@ -89,3 +89,17 @@ def materialise(docs: DataFrame, **options) -> DataFrame:
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_cut")), "")
     text = F.when(F.col("_cut").isNull(), F.col("_keep.text")).otherwise(cut)
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"_keep.{c}").alias(c) for c in docs.columns])
+
+
+def sql(seed: str = SEED) -> str:
+    """The same in SQL for DuckDB: doc_id, size, source_size, target, taken."""
+    w = ", ".join(map(str, WEIGHTS))
+    return f"""WITH d AS (SELECT doc_id, coalesce('1' || source, '2') AS s, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+('0x' || left(md5(coalesce(doc_id::VARCHAR, 'null/' || md5(coalesce(text, ''))) || '/{seed}'), {_KEY_BITS // 4}))::BIGINT AS k FROM documents),
+z AS (SELECT s, sum(size)::BIGINT AS source_size FROM d GROUP BY s),
+w AS (SELECT *, ([{w}])[(row_number() OVER (ORDER BY s) - 1) % {len(WEIGHTS)} + 1]::BIGINT AS w, source_size * {MAX_EPOCHS} AS c FROM z),
+f AS (SELECT *, c / w AS ratio, (sum(source_size) OVER () * {SHARE}::DOUBLE - coalesce(sum(c) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level FROM w WINDOW b AS (ORDER BY c / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT s, source_size, CASE WHEN ratio < level THEN c::DOUBLE ELSE least(c::DOUBLE, w * (SELECT arg_min(level, (ratio, s)) FROM f WHERE ratio >= level)) END AS target FROM f),
+p AS (SELECT d.*, source_size, target, round(target)::BIGINT AS budget, coalesce(sum(size) OVER (PARTITION BY s ORDER BY k, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN t USING (s)),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * epochs + greatest(0, least(size, budget - source_size * epochs - before)))::BIGINT AS taken FROM e"""

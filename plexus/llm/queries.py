@@ -74,6 +74,6 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_pii, op3_fingerprints, op4_token_counts, op5_url_filter, op6_quality_rules, op7_ngram_jaccard, op8_language_id, op9_quality_classifier, op10_mixing, op11_centroids, op12_alignment, op13_warc, rules_ablation)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL: dict[str, str] = {"op11_centroids": centroids.sql(), "op13_warc": warc.SQL}
+SQL: dict[str, str] = {"op6_quality_rules": rules.sql(), "op10_mixing": mixing.sql(), "op11_centroids": centroids.sql(), "op13_warc": warc.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

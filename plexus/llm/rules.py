@@ -144,3 +144,23 @@ def judged(docs: DataFrame, policy: str = CURRENT, path: str | None = None) -> D
     out = apply_policy(rows, policy).withColumn("base_failed", F.col("failed").bitwiseAND(policy_mask("base")) != 0)
     every = [(F.col("failed").bitwiseAND(policy_mask(p)) == 0).alias(f"kept_{p}") for p in POLICIES]
     return out.select("doc_id", *MEASURED, "base_failed", "kept", "failed", *every)
+
+
+def sql(policy: str = CURRENT) -> str:
+    """``judged`` in SQL for DuckDB."""
+    space, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+    failed = " + ".join(f"CASE WHEN {fails} THEN {BIT[name]} ELSE 0 END" for name, fails in RULES)
+    kept = lambda p: f"(failed & {policy_mask(p)}) = 0"
+    every = ", ".join(f"{kept(p)} AS kept_{p}" for p in POLICIES)
+    window = " || ' ' || ".join(["x", *(f"lead(x, {k}) OVER o" for k in range(1, WINDOW))])
+    return f"""WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT r, regexp_extract_all(t, '{word}+') AS w FROM t),
+u AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM w),
+g AS (SELECT r, p, {window} AS g FROM u WINDOW o AS (PARTITION BY r ORDER BY p)),
+x AS (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n FROM g WHERE g IS NOT NULL),
+c AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + {WINDOW})) AS q FROM x WHERE n > 1) GROUP BY r),
+l AS (SELECT r, list_filter(string_split(t, chr(10)), lambda s: regexp_matches(s, '{word}')) AS l FROM t),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{space}', '', 'g'))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
+(len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines, (length(t) - length(replace(t, '!', '')))::BIGINT AS n_marks FROM t JOIN w USING (r) JOIN l USING (r) LEFT JOIN c USING (r)),
+f AS (SELECT *, ({failed})::INT AS failed FROM m)
+SELECT doc_id, {", ".join(MEASURED)}, NOT {kept("base")} AS base_failed, {kept(policy)} AS kept, failed, {every} FROM f"""
