@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from plexus.catalog import GRAPH_SQL, LOG_SQL, QUERIES, SQL, c, on_graph, on_log, on_table
 from plexus.catalog_sources import PARTS, node_texts, sources, text
-from plexus.operators import extract, javascript, types
+from plexus import catalog_names  # noqa: F401
+from plexus.functions import names as N
+from plexus.operators import extract, javascript, render, sampling, types
 from plexus.plans.graph import PropertyGraph, durable, new_folder
 from plexus.sources import files, sinks
 from plexus.sources.tables import graph, read
@@ -58,6 +60,36 @@ def written_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["K09_texts"], SQL["K09_texts"] = written_texts, SQL["E22"]
 
+
+
+def written_prompts(g: PropertyGraph) -> DataFrame:
+    """A numbered prompt for each function with its surroundings as a tree, written as JSON lines and read back."""
+    at = new_folder(g.nodes.sparkSession, "prompts")
+    shown = render.ascii_graph(g, g.label("Function").select(c("node_id").alias("seed")))
+    rows = sampling.numbered(shown, ["seed"], "prompt_id").withColumn("prompt", N.filled(F.lit("Explore ${REPO_NAME} from here:\n${CONTEXT}"), REPO_NAME=F.lit("proj"), CONTEXT=c("shown")))
+    sinks.write_lines(rows.select("prompt_id", "seed", "prompt", F.floor(F.length("prompt") / 4).alias("tokens")), at)
+    return g.nodes.sparkSession.read.schema("prompt_id string, seed bigint, prompt string, tokens bigint").json(at)
+
+
+def written_questions(d: DataFrame) -> DataFrame:
+    """An evaluation prompt for each question, with nested metadata, written as JSON lines and read back; nulls stay."""
+    at = new_folder(d.sparkSession, "questions")
+    asked = text("Why did ", c("cmd"), " fail in ", c("repo"), "?")
+    hops = (c("event_id") % 9).cast("int")
+    rows = d.select("event_id", "repo", asked.alias("question"), hops.alias("hops"), F.when(c("return_code") != 0, c("cmd")).alias("seed_node"))
+    rows = sampling.numbered(rows, ["event_id"], "question_id", "q_%03d")
+    rows = rows.withColumn("user_prompt", N.filled(F.lit("In ${REPO_NAME}: ${QUESTION}"), REPO_NAME=c("repo"), QUESTION=c("question")))
+    meta = F.struct("seed_node", F.lit("grep").alias("expected_search_strategy"), (c("hops") > 4).alias("deep"))
+    sinks.write_lines(rows.select("question_id", c("repo").alias("repo_name"), "question", "user_prompt", meta.alias("metadata")), at)
+    back = d.sparkSession.read.schema("question_id string, repo_name string, question string, user_prompt string, metadata struct<seed_node:string,expected_search_strategy:string,deep:boolean>").json(at)
+    return back.select("question_id", "repo_name", "question", "user_prompt", "metadata.seed_node", "metadata.deep")
+
+
+on_graph("K09_prompts", SQL["F35_ascii"].removeprefix(GRAPH_SQL).replace("\nSELECT node_id AS seed", ",\nsh AS (SELECT node_id AS seed") + """),
+pr AS (SELECT printf('prompt_%04d', row_number() OVER (ORDER BY seed) - 1) AS prompt_id, seed, 'Explore proj from here:'||chr(10)||shown AS prompt FROM sh) SELECT prompt_id, seed, prompt, length(prompt) // 4 AS tokens FROM pr""")(written_prompts)
+on_log("K09_questions", """SELECT printf('q_%03d', row_number() OVER (ORDER BY event_id) - 1) AS question_id, repo AS repo_name, 'Why did '||cmd||' fail in '||repo||'?' AS question, 'In '||repo||': Why did '||cmd||' fail in '||repo||'?' AS user_prompt,
+CASE WHEN return_code <> 0 THEN cmd END AS seed_node, event_id % 9 > 4 AS deep FROM log""")(written_questions)
+
 # Streams -----------------------------------------------------------------------------------------------------------------
 
 

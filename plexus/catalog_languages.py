@@ -192,6 +192,15 @@ def prototype_functions(f: DataFrame) -> DataFrame:
     return languages.prototype_functions(rows, outline.definitions(rows))
 
 
+@on_files("E16_scanned", "javascript", "module_qn qualified_name name kind", {
+    3: [("proj.j$k", "proj.j$k.run$k", "run$k", "commonjs"), ("proj.j$k", "proj.j$k.stop", "stop", "commonjs")],
+    8: [("proj.j$k", "proj.j$k.geo.dist", "dist", "es6")],
+})
+def exported_functions(f: DataFrame) -> DataFrame:
+    rows = outlined(f)
+    return languages.exported_functions(rows, outline.definitions(rows))
+
+
 @on_files("E15_links", "javascript", "child parent", {
     0: [("proj.j$k.Kid$k", "proj.j$k.Base$k")],
     7: [("proj.j$k.Q$k", "proj.j$k.Emitter"), ("proj.j$k.R", "proj.j$k.Q$k")],

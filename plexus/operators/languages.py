@@ -143,6 +143,15 @@ def prototype_functions(rows: DataFrame, defined: DataFrame) -> DataFrame:
     return last.select(F.when(through, "prototype").otherwise(F.col("way")).alias("way"), F.when(through, F.concat_ws(".", parent, "name")).otherwise(F.col("qualified_name")).alias("qualified_name"), "name", parent.alias("parent_qn"), "start_line", "end_line")
 
 
+def exported_functions(rows: DataFrame, defined: DataFrame) -> DataFrame:
+    """module_qn, qualified_name, name, kind (commonjs or es6) of JavaScript functions that are exported where they are defined, at any depth of blocks."""
+    own = rows.filter("lang = 'javascript' AND label IN ('Function', 'Assigned') AND name != ''")
+    kind = F.when(F.col("code").rlike(r"^export\b"), "es6").when(F.col("code").rlike(r"^(?:module\.)?exports\.[\w$]+\s*="), "commonjs")
+    marked = own.select("path", "start_line", "end_line", "id", F.col("kind").alias("_kind"), "code", kind.alias("way")).filter("way IS NOT NULL")
+    found = defined.filter("lang = 'javascript'").select("path", "start_line", "end_line", "id", F.col("kind").alias("_kind"), "code", "module_qn", "qualified_name", "name")
+    return marked.join(found, ["path", "start_line", "end_line", "id", "_kind", "code"]).select("module_qn", "qualified_name", "name", F.col("way").alias("kind")).distinct()
+
+
 # C++ modules -------------------------------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexus.plans.graph import PropertyGraph
+from plexus.plans.graph import PropertyGraph, durable
 
 
 def _joined(rows: DataFrame, key: list[str], order: list[str], text: str, sep: str, out: str) -> DataFrame:
@@ -92,14 +92,15 @@ def tree_lines(edges: DataFrame, seeds: DataFrame, names: DataFrame, depth: int,
     are its paths in order. edges: src, dst; names: node, name.
     """
     w = Window.partitionBy("src")
-    few = edges.select("src", "dst").distinct().withColumn("_r", F.row_number().over(w.orderBy("dst"))).filter(F.col("_r") <= children)
+    few = durable(edges.select("src", "dst").distinct().withColumn("_r", F.row_number().over(w.orderBy("dst"))).filter(F.col("_r") <= children))
     now = seeds.select("seed", F.col("seed").alias("node"), F.array("seed").alias("path"), F.array().cast("array<int>").alias("place"), F.array().cast("array<boolean>").alias("last"))
     out = None
     for _ in range(depth):
         met = now.join(few, F.col("node") == F.col("src")).filter(~F.array_contains("path", F.col("dst")))
         mine = Window.partitionBy("seed", "path")
         met = met.withColumn("_n", F.row_number().over(mine.orderBy("dst"))).withColumn("_of", F.count("*").over(mine))
-        now = met.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), F.array_append("place", F.col("_n")).alias("place"), F.array_append("last", F.col("_n") == F.col("_of")).alias("last"))
+        # Written out, as both the next level and the lines read it.
+        now = durable(met.select("seed", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"), F.array_append("place", F.col("_n")).alias("place"), F.array_append("last", F.col("_n") == F.col("_of")).alias("last")))
         out = now if out is None else out.union(now)
     above = F.array_join(F.transform(F.slice("last", F.lit(1), F.size("last") - 1), lambda x: F.when(x, "    ").otherwise("│   ")), "")
     mark = F.when(F.element_at("last", -1), "└── ").otherwise("├── ")
