@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from plexus.functions.names import path_to_module
+from plexus.plans.graph import spread
 
 #: kind: Function, Class, Method, import, call or error; a row fills the columns that its kind has.
 SCHEMA = "path string, module_qn string, kind string, qualified_name string, name string, parent string, start_line bigint, end_line bigint, docstring string, decorators array<string>, bases array<string>, full_name string, is_wildcard boolean, call_name string"
@@ -93,7 +94,7 @@ def extracted(files: DataFrame, project: str) -> DataFrame:
                 yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
     own = files.filter(F.col("path").endswith(".py") & F.col("content").isNotNull())
-    return own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content").mapInPandas(run, SCHEMA)
+    return spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInPandas(run, SCHEMA)
 
 
 def local_imports(rows: DataFrame, roots: DataFrame, project: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.names import path_to_module
+from plexus.plans.graph import spread
 
 #: kind: block or text. ``code`` is on one line, its strings are ``"<index in strings>"`` and blocks in it ``{}``. A
 #: block's code leads to its brace, ``item`` is what follows the last comma outside brackets in it. ``ups`` are the ids of
@@ -228,4 +229,4 @@ def statements(files: DataFrame, project: str, *langs: str) -> DataFrame:
 
     suffix = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     own = files.filter(F.col("content").isNotNull() & suffix.isin(*of))
-    return own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content").mapInPandas(run, SCHEMA)
+    return spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInPandas(run, SCHEMA)

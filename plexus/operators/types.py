@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from plexus.functions.names import path_to_module
 from plexus.operators.extract import SCOPES, dotted
 from plexus.operators.resolve import class_names, lattice
-from plexus.plans.graph import durable
+from plexus.plans.graph import durable, spread
 
 #: how: type (var is of the annotated ``what``), alias (var is the value at ``what``), call (var is what a call gives).
 SCHEMA = "path string, module_qn string, seq bigint, how string, at string, var string, frm string, what string, recv string, name string, cls string, line bigint"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 RETURN = "<return>"
-#: Rounds of inference at most, which also ends recursive returns.
-ROUNDS = 8
+#: Rounds of inference at most; a variable gets its type once, so recursion ends by itself.
+ROUNDS = 64
 
 
 class _Scope:
@@ -159,7 +159,7 @@ def bindings(files: DataFrame, project: str) -> DataFrame:
                     yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
     own = files.filter(F.col("path").endswith(".py") & F.col("content").isNotNull())
-    return own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content").mapInPandas(run, SCHEMA)
+    return spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInPandas(run, SCHEMA)
 
 
 def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +170,7 @@ def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: in
     methods whose return has a type, own or inherited, and those on ``super()``. Of several types of a variable the first
     round's counts, then the first in the source. Inference ends when nothing is new, or after ``rounds``.
     """
-    rows = durable(rows)
+    rows, defined, imports = durable(rows), durable(defined), durable(imports)
     classes = defined.filter("kind = 'Class'")
     registry = classes.select("qualified_name")
     methods = durable(defined.filter("kind = 'Method'").select(F.col("parent").alias("cls"), "name", F.col("qualified_name").alias("method")).distinct())
@@ -184,7 +184,7 @@ def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: in
     found = durable(found.groupBy("id").agg(F.min("class_qn").alias("class_qn")))
     inherits = durable(found.select(F.col("id.child").alias("child"), F.col("class_qn").alias("parent"), F.col("id.ord").alias("ord")).join(registry, F.col("child") == F.col("qualified_name"), "left_semi"))
     by_name = rows.join(found.select(F.expr("substring(id.child, 6)").alias("path"), F.col("id.ord").cast("bigint").alias("seq"), "class_qn").filter("startswith(id.child, 'file ')"), ["path", "seq"])
-    first = lambda df: durable(df.groupBy("at", "var").agg(F.min_by("cls", "seq").alias("cls")))
+    first = lambda df: durable(df.filter("at IS NOT NULL AND var IS NOT NULL").groupBy("at", "var").agg(F.min_by("cls", "seq").alias("cls")))
     own = rows.filter("cls IS NOT NULL").select("at", F.lit("self").alias("var"), "cls", F.lit(-1).cast("bigint").alias("seq")).filter("at != cls").distinct()
     known = first(by_name.select("at", "var", F.col("class_qn").alias("cls"), "seq").union(own))
     calls = rows.filter("how = 'call'")

@@ -47,6 +47,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that each cost much, such as sources to parse, over all cores where a small input has fewer partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class PropertyGraph:
     """nodes: node_id, label and properties. edges: src, dst, type and properties."""
