@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexus.catalog import GRAPH_SQL, LOG_SQL, QUERIES, SQL, c, on_graph, on_log, on_table
-from plexus.catalog_sources import PARTS, node_texts, sources, text
+from plexus.catalog_sources import PARTS, complaint, node_texts, sources, text
 from plexus import catalog_names  # noqa: F401
 from plexus.functions import names as N
 from plexus.operators import extract, javascript, render, sampling, types
@@ -96,7 +96,7 @@ CASE WHEN return_code <> 0 THEN cmd END AS seed_node, event_id % 9 > 4 AS deep F
 def arriving(log: DataFrame) -> DataFrame:
     """A stream over the log, written as files of command results."""
     at = new_folder(log.sparkSession, "results")
-    log.select("cmd", "repo", F.lit("").alias("stdout"), text("bad ", c("event_id")).alias("stderr"), "return_code", "duration_ms", "cached").write.json(at)
+    log.select("cmd", "repo", F.lit("").alias("stdout"), complaint(c("event_id")).alias("stderr"), "return_code", "duration_ms", "cached").write.json(at)
     return jobs.results(log.sparkSession, at)
 
 

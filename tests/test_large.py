@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from plexus import catalog, catalog_code, catalog_sources  # noqa: F401
 
 
-@pytest.mark.parametrize("name", ["R06"])
+@pytest.mark.parametrize("name", ["R06", "R06_stream"])
 def test_errors_of_long_numbers(spark, tmp_path, name):
     ids = [5, 999999, 1234567, 12345678, 123456789012]
     kind = F.when(F.col("event_id") == 5, "click").otherwise("error")
