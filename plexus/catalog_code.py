@@ -228,24 +228,23 @@ TYPED = (
 )
 
 
-#: Written results by session and input, as three queries show parts of one.
+#: Results, unions of checkpoints, by session and input, as three queries show parts of one.
 _TYPED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 
 def typed(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = d.sparkSession.sparkContext.applicationId, tuple(sorted(d.inputFiles()))
     if key not in _TYPED:
-        known, reached = _typed(d)
-        _TYPED[key] = durable(known), durable(reached)
+        _TYPED[key] = _typed(d)
     return _TYPED[key]
 
 
 def _typed(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     k = c("p_partkey")
     src = d.select(text("src/p", k, ".py").alias("path"), text(TYPED[0], k, TYPED[1], k, TYPED[2], k, TYPED[3]).alias("content"))
-    rows = extract.extracted(src, "proj")
+    rows = durable(extract.extracted(src, "proj"))
     roots = d.sparkSession.createDataFrame([("src",)], "root string")
-    return types.inferred(types.bindings(src, "proj"), extract.local_imports(rows, roots, "proj"), rows)
+    return types.inferred(durable(types.bindings(src, "proj")), durable(extract.local_imports(rows, roots, "proj")), rows)
 
 
 on_table("E10", "part", PARTS + "SELECT unnest([qn||'.K'||k, qn||'.f', qn||'.f']) AS at, unnest(['self.h', 'a', 'x']) AS var, unnest([qn||'.Help', qn||'.K'||k, qn||'.K'||k]) AS cls FROM m")(

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.names import path_to_module
-from plexus.operators.extract import SCOPES, dotted
+from plexus.operators.extract import AT_ONCE, SCOPES, dotted
 from plexus.operators.resolve import class_names, lattice
-from plexus.plans.graph import durable, spread
+from plexus.plans.graph import durable, large, spread
 
 #: how: type (var is of the annotated ``what``), alias (var is the value at ``what``), call (var is what a call gives).
 SCHEMA = "path string, module_qn string, seq bigint, how string, at string, var string, frm string, what string, recv string, name string, cls string, line bigint"
@@ -153,10 +153,14 @@ def bindings(files: DataFrame, project: str) -> DataFrame:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in it:
+            rows: list[list] = []
             for path, module, content in part.itertuples(index=False):
-                rows = [[{"path": path, "module_qn": module, **r}.get(k) for k in COLUMNS] for r in bound_in(module, content)]
-                if rows:
+                rows += [[{"path": path, "module_qn": module, **r}.get(k) for k in COLUMNS] for r in bound_in(module, content)]
+                if len(rows) >= AT_ONCE:
                     yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
     own = files.filter(F.col("path").endswith(".py") & F.col("content").isNotNull())
     return spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInPandas(run, SCHEMA)
@@ -168,49 +172,49 @@ def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: in
     rows: ``bindings``; imports: module_qn, local_name, full_name; defined: kind, qualified_name, name, parent, bases,
     module_qn of ``extracted``. Each round types what the types of the one before reach: aliases, calls of functions and
     methods whose return has a type, own or inherited, and those on ``super()``. Of several types of a variable the first
-    round's counts, then the first in the source. Inference ends when nothing is new, or after ``rounds``.
+    round's counts, then the first in the source. Inference ends when nothing is new, or after ``rounds``. Every input is
+    read many times, so give checkpoints of them.
     """
-    rows, defined, imports = durable(rows), durable(defined), durable(imports)
     classes = defined.filter("kind = 'Class'")
     registry = classes.select("qualified_name")
     methods = durable(defined.filter("kind = 'Method'").select(F.col("parent").alias("cls"), "name", F.col("qualified_name").alias("method")).distinct())
     bases = classes.select(F.col("qualified_name").alias("child"), "module_qn", F.posexplode("bases").alias("ord", "class_name"))
     named = bases.select(F.struct("child", "ord").alias("id"), "class_name", "module_qn").union(rows.filter("how IN ('type', 'call') AND what IS NOT NULL").select(F.struct(F.concat(F.lit("file "), "path").alias("child"), F.col("seq").cast("int").alias("ord")), F.col("what").alias("class_name"), "module_qn"))
-    simple = named.withColumn("head", F.substring_index("class_name", ".", 1)).join(imports.select("module_qn", F.col("local_name").alias("head"), "full_name"), ["module_qn", "head"], "left")
+    simple = named.withColumn("head", F.substring_index("class_name", ".", 1)).join(large(imports.select("module_qn", F.col("local_name").alias("head"), "full_name")), ["module_qn", "head"], "left")
     dots = F.col("class_name").contains(".") & F.col("full_name").isNotNull()
     full = F.when(dots, F.concat("full_name", F.expr("substring(class_name, length(head) + 1)")))
     direct = simple.select("id", full.alias("class_qn")).filter("class_qn IS NOT NULL")
-    found = class_names(named, imports, registry).select("id", "class_qn").union(direct).join(registry.select(F.col("qualified_name").alias("class_qn")), "class_qn", "left_semi")
+    found = class_names(named, imports, registry).select("id", "class_qn").union(direct).join(large(registry.select(F.col("qualified_name").alias("class_qn"))), "class_qn", "left_semi")
     found = durable(found.groupBy("id").agg(F.min("class_qn").alias("class_qn")))
-    inherits = durable(found.select(F.col("id.child").alias("child"), F.col("class_qn").alias("parent"), F.col("id.ord").alias("ord")).join(registry, F.col("child") == F.col("qualified_name"), "left_semi"))
-    by_name = rows.join(found.select(F.expr("substring(id.child, 6)").alias("path"), F.col("id.ord").cast("bigint").alias("seq"), "class_qn").filter("startswith(id.child, 'file ')"), ["path", "seq"])
+    inherits = durable(found.select(F.col("id.child").alias("child"), F.col("class_qn").alias("parent"), F.col("id.ord").alias("ord")).join(large(registry), F.col("child") == F.col("qualified_name"), "left_semi"))
+    by_name = rows.join(large(found.select(F.expr("substring(id.child, 6)").alias("path"), F.col("id.ord").cast("bigint").alias("seq"), "class_qn").filter("startswith(id.child, 'file ')")), ["path", "seq"])
     first = lambda df: durable(df.filter("at IS NOT NULL AND var IS NOT NULL").groupBy("at", "var").agg(F.min_by("cls", "seq").alias("cls")))
     own = rows.filter("cls IS NOT NULL").select("at", F.lit("self").alias("var"), "cls", F.lit(-1).cast("bigint").alias("seq")).filter("at != cls").distinct()
     known = first(by_name.select("at", "var", F.col("class_qn").alias("cls"), "seq").union(own))
     calls = rows.filter("how = 'call'")
     # Functions by an imported name or one of the same module.
-    qn = calls.filter("what IS NOT NULL").join(imports.select("module_qn", F.col("local_name").alias("what"), "full_name"), ["module_qn", "what"], "left")
+    qn = calls.filter("what IS NOT NULL").join(large(imports.select("module_qn", F.col("local_name").alias("what"), "full_name")), ["module_qn", "what"], "left")
     qn = qn.select("path", "seq", "at", "var", "line", "name", F.coalesce("full_name", F.concat_ws(".", "module_qn", "what")).alias("callee"))
     functions = defined.filter("kind = 'Function'").select(F.col("qualified_name").alias("callee"))
-    plain = durable(qn.join(functions, "callee", "left_semi").select("path", "seq", "at", "var", "line", "name", "callee"))
+    plain = durable(qn.join(large(functions), "callee", "left_semi").select("path", "seq", "at", "var", "line", "name", "callee"))
     # Every class with the methods that it has or inherits, nearest first, parents in order: found once for all rounds.
     edges = inherits.select(F.col("child").alias("cls"), "parent", F.lit("INHERITS").alias("type"), "ord")
-    up = lattice(edges, registry.select(F.col("qualified_name").alias("cls"))).join(methods.withColumnRenamed("cls", "above"), "above")
+    up = lattice(edges, registry.select(F.col("qualified_name").alias("cls"))).join(large(methods.withColumnRenamed("cls", "above")), "above")
     nearest = lambda df: durable(df.groupBy("cls", "name").agg(F.min(F.struct("level", "place", "method"))["method"].alias("callee")))
     own_or_above, only_above = nearest(up), nearest(up.filter("level > 0"))
     call = ["path", "seq", "at", "var", "line", "name", "callee"]
-    reached = durable(plain.union(calls.filter("recv = 'super()' AND cls IS NOT NULL").join(only_above, ["cls", "name"]).select(call)))
+    reached = durable(plain.union(calls.filter("recv = 'super()' AND cls IS NOT NULL").join(large(only_above), ["cls", "name"]).select(call)))
     fresh, on_object, aliases = known, calls.filter("recv IS NOT NULL AND recv != 'super()'").drop("cls"), rows.filter("how = 'alias'").drop("cls")
     returns = lambda df: df.filter(F.col("var") == RETURN).select(F.col("at").alias("callee"), "cls")
     for _ in range(rounds):
         recv = fresh.select(F.col("at").alias("frm"), F.col("var").alias("recv"), "cls")
-        hit = durable(on_object.join(recv, ["frm", "recv"]).join(own_or_above, ["cls", "name"]).select(call))
+        hit = durable(on_object.join(large(recv), ["frm", "recv"]).join(large(own_or_above), ["cls", "name"]).select(call))
         # What a round can add comes from new calls or from new types; the rest was met before.
-        of_new, of_old = hit.join(returns(known), "callee"), reached.join(returns(fresh), "callee")
+        of_new, of_old = hit.join(large(returns(known)), "callee"), reached.join(large(returns(fresh)), "callee")
         given = of_new.select("at", "var", "cls", "seq").union(of_old.select("at", "var", "cls", "seq"))
-        moved = aliases.join(fresh.select(F.col("at").alias("frm"), F.col("var").alias("what"), "cls"), ["frm", "what"]).select("at", "var", "cls", "seq")
+        moved = aliases.join(large(fresh.select(F.col("at").alias("frm"), F.col("var").alias("what"), "cls")), ["frm", "what"]).select("at", "var", "cls", "seq")
         reached = reached.union(hit)
-        fresh = first(given.union(moved).join(known, ["at", "var"], "left_anti"))
+        fresh = first(given.union(moved).join(large(known), ["at", "var"], "left_anti"))
         if fresh.isEmpty():
             break
         known = known.union(fresh)

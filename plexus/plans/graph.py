@@ -47,6 +47,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def large(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the corpus: both sides are sorted and merged, and this one is never broadcast.
+
+    Rows made from a small table, such as sources from a list of numbers, look as small as that table after any number of
+    checkpoints, so Spark would gather millions of them on the driver.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows that each cost much, such as sources to parse, over all cores where a small input has fewer partitions."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -1,5 +1,7 @@
 """What small tables do not show: long numbers, and joins whose sides grow with the corpus."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,3 +15,19 @@ def test_errors_of_long_numbers(spark, tmp_path, name):
     rows = spark.createDataFrame([(i,) for i in ids], "event_id bigint").withColumns({"ts": F.lit("2024-01-01").cast("timestamp_ntz"), "user_id": F.lit(1).cast("bigint"), "event_type": kind, "value": F.lit(1.0), "props": F.lit('{"k": 1}')})
     rows.write.parquet(f"{tmp_path}/events.parquet")
     assert [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()] == [("bad {num}", 4)]
+
+
+@pytest.mark.parametrize("name", ["E10"])
+def test_inference_broadcasts_nothing(spark, tmp_path, name):
+    """Sources look as small as the table of numbers that they are made from, so a broadcast of them fails at size."""
+    catalog_code._TYPED.clear()
+    spark.range(40).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    seen = spark._jsparkSession.sharedState().statusStore()
+    before = seen.executionsCount()
+    assert catalog.QUERIES[name](spark, str(tmp_path)).count() == 40 * {"E10": 3, "E14": 5, "E12_typed": 7}[name]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = seen.executionsList(before, 10_000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    assert len(plans) > 10
+    # The project's top folders are a small table; nothing else goes to the driver.
+    assert sum(len(set(re.findall(r"BroadcastExchange \((\d+)\)", p))) > 0 for p in plans) <= 1
