@@ -17,7 +17,7 @@ def test_errors_of_long_numbers(spark, tmp_path, name):
     assert [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()] == [("bad {num}", 4)]
 
 
-@pytest.mark.parametrize("name", ["E10", "E12_typed"])
+@pytest.mark.parametrize("name", ["E10", "E12_typed", "E14"])
 def test_inference_broadcasts_nothing(spark, tmp_path, name):
     """Sources look as small as the table of numbers that they are made from, so a broadcast of them fails at size."""
     catalog_code._TYPED.clear()
