@@ -10,7 +10,7 @@ from plexus.catalog_sources import PARTS, complaint, node_texts, sources, text
 from plexus import catalog_names  # noqa: F401
 from plexus.functions import names as N
 from plexus.operators import extract, javascript, render, sampling, types
-from plexus.plans.graph import PropertyGraph, durable, new_folder
+from plexus.plans.graph import PropertyGraph, new_folder, spread, stored
 from plexus.sources import files, sinks
 from plexus.sources.tables import graph, read
 from plexus.streaming import jobs
@@ -228,7 +228,7 @@ TYPED = (
 )
 
 
-#: Results, unions of checkpoints, by session and input, as three queries show parts of one.
+#: Results, unions of stored rows, by session and input, as three queries show parts of one.
 _TYPED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 
 
@@ -241,10 +241,10 @@ def typed(d: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _typed(d: DataFrame) -> tuple[DataFrame, DataFrame]:
     k = c("p_partkey")
-    src = d.select(text("src/p", k, ".py").alias("path"), text(TYPED[0], k, TYPED[1], k, TYPED[2], k, TYPED[3]).alias("content"))
-    rows = durable(extract.extracted(src, "proj"))
+    src = spread(d.select(k)).select(text("src/p", k, ".py").alias("path"), text(TYPED[0], k, TYPED[1], k, TYPED[2], k, TYPED[3]).alias("content"))
+    rows, bound = types.parsed(src, "proj")
     roots = d.sparkSession.createDataFrame([("src",)], "root string")
-    return types.inferred(durable(types.bindings(src, "proj")), durable(extract.local_imports(rows, roots, "proj")), rows)
+    return types.inferred(bound, stored(extract.local_imports(rows, roots, "proj")), rows)
 
 
 on_table("E10", "part", PARTS + "SELECT unnest([qn||'.K'||k, qn||'.f', qn||'.f']) AS at, unnest(['self.h', 'a', 'x']) AS var, unnest([qn||'.Help', qn||'.K'||k, qn||'.K'||k]) AS cls FROM m")(

@@ -19,6 +19,8 @@ SCHEMA = "path string, module_qn string, kind string, qualified_name string, nam
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 #: Rows sent back at once, and those of one source more.
 AT_ONCE = 5000
+#: Where a statement holds further ones, in the order of the source.
+BLOCKS = ("body", "handlers", "orelse", "finalbody", "cases")
 SCOPES = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
 
 
@@ -52,12 +54,17 @@ def found_in(module: str, content: str) -> list[dict]:
         tree = ast.parse(content)
     except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
         return [{"kind": "error", "name": type(e).__name__}]
+    return found_under(module, tree)
+
+
+def found_under(module: str, tree: ast.Module, calls: bool = True) -> list[dict]:
+    """Rows of a parsed source; without ``calls``, expressions are left out, as they define and import nothing."""
     out: list[dict] = []
     # Each entry: a node, the scope's qualified name, whether the scope is a class, and the caller of its calls.
     todo = [(n, module, False, module) for n in reversed(tree.body)]
     while todo:
         node, scope, in_class, caller = todo.pop()
-        inner = [*ast.iter_child_nodes(node)]
+        inner = [*ast.iter_child_nodes(node)] if calls else [x for b in BLOCKS for x in getattr(node, b, ())]
         if isinstance(node, SCOPES):
             qn, is_class = f"{scope}.{node.name}", isinstance(node, ast.ClassDef)
             kind = "Class" if is_class else "Method" if in_class else "Function"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexus.functions.names import call_target, import_distance
-from plexus.plans.graph import PropertyGraph, durable, large
+from plexus.plans.graph import PropertyGraph, durable, large, met, stored
 
 
 def ancestor_methods(inherits: DataFrame, methods: DataFrame, own: bool, most: int = 40, wanted: DataFrame | None = None) -> DataFrame:
@@ -126,13 +126,13 @@ def class_names(uses: DataFrame, imports: DataFrame, registry: DataFrame) -> Dat
     """
     reg = registry.select("qualified_name").distinct()
     first = imports.groupBy("module_qn", F.col("local_name").alias("class_name")).agg(F.max("full_name").alias("qn"))
-    by_import = uses.join(large(first), ["module_qn", "class_name"]).select("id", "qn", F.lit(0).alias("step"))
-    parts = F.split("module_qn", "[.]")
-    around = F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct((F.size(parts) - i + 1).alias("step"), F.array_join(F.slice(parts, F.lit(1), i), ".").alias("at"))))
-    probes = uses.select("id", "class_name", around.alias("p")).select("id", F.concat_ws(".", "p.at", "class_name").alias("qualified_name"), "p.step")
-    by_place = probes.join(large(reg), "qualified_name").select("id", F.col("qualified_name").alias("qn"), "step")
+    by_import = met(uses, first, ["module_qn", "class_name"]).select("id", "qn", F.lit(0).alias("step"))
+    size = F.length("module_qn") - F.length(F.replace("module_qn", F.lit("."))) + 1
+    around = uses.select("id", "class_name", "module_qn", size.alias("_n"), F.explode(F.sequence(F.lit(1), size)).alias("_i"))
+    probes = around.select("id", F.concat_ws(".", F.expr("substring_index(module_qn, '.', _i)"), "class_name").alias("qualified_name"), (F.col("_n") - F.col("_i") + 1).alias("step"))
+    by_place = met(probes, reg, ["qualified_name"]).select("id", F.col("qualified_name").alias("qn"), "step")
     ends = reg.groupBy(F.element_at(F.split("qualified_name", "[.]"), -1).alias("class_name")).agg(F.min("qualified_name").alias("qn"))
-    by_end = uses.join(large(ends), "class_name").select("id", "qn", F.lit(1000).alias("step"))
+    by_end = met(uses, ends, ["class_name"]).select("id", "qn", F.lit(1000).alias("step"))
     best = by_import.union(by_place).union(by_end).groupBy("id").agg(F.min(F.struct("step", "qn")).alias("b"))
     return best.select("id", F.col("b.qn").alias("class_qn"), F.col("b.step").cast("bigint").alias("step"))
 
@@ -192,12 +192,12 @@ def lattice(edges: DataFrame, classes: DataFrame, levels: int = LEVELS) -> DataF
     """
     step = edges.select(F.col("cls").alias("above"), F.col("parent").alias("_next"), (F.col("type") != "INHERITS").cast("int").alias("_i"), F.lpad(F.col("ord").cast("string"), 4, "0").alias("_o")).distinct()
     every = edges.select("cls").union(edges.select("parent")).union(classes.select("cls")).distinct()
-    seen = durable(every.select("cls", F.col("cls").alias("above"), F.lit(0).alias("by_interface"), F.lit(0).alias("level"), F.lit("").alias("place")))
-    new = seen
+    seen = stored(every.select("cls", F.col("cls").alias("above"), F.lit(0).alias("by_interface"), F.lit(0).alias("level"), F.lit("").alias("place")))
+    new, step = seen, stored(step)
     for _ in range(levels):
-        up = new.join(large(step), "above").select("cls", F.col("_next").alias("above"), F.greatest("by_interface", "_i").alias("by_interface"), (F.col("level") + 1).alias("level"), F.concat("place", "_o").alias("place"))
-        best = up.groupBy("cls", "above").agg(F.min(F.struct("by_interface", "level", "place")).alias("b")).select("cls", "above", "b.*")
-        new = durable(best.join(large(seen.select("cls", "above")), ["cls", "above"], "left_anti"))
+        up = met(new, step, ["above"]).select("cls", F.col("_next").alias("above"), F.greatest("by_interface", "_i").alias("by_interface"), (F.col("level") + 1).alias("level"), F.concat("place", "_o").alias("place"))
+        left = met(up, seen.select("cls", "above"), ["cls", "above"], "left_anti")
+        new = stored(left.groupBy(F.xxhash64("cls", "above"), "cls", "above").agg(F.min(F.struct("by_interface", "level", "place")).alias("b")).select("cls", "above", "b.*"))
         if new.isEmpty():
             break
         seen = seen.union(new)

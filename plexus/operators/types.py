@@ -9,17 +9,22 @@ import ast
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexus.functions.names import path_to_module
-from plexus.operators.extract import AT_ONCE, SCOPES, dotted
+from plexus.operators.extract import AT_ONCE, BLOCKS, SCOPES, dotted, found_under
 from plexus.operators.resolve import class_names, lattice
-from plexus.plans.graph import durable, large, spread
+from plexus.plans.graph import met, spread, stored
 
 #: how: type (var is of the annotated ``what``), alias (var is the value at ``what``), call (var is what a call gives).
 SCHEMA = "path string, module_qn string, seq bigint, how string, at string, var string, frm string, what string, recv string, name string, cls string, line bigint"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+#: Rows of definitions, imports and errors, in which ``how`` is null, and of bindings, in which ``kind`` is.
+DEFINED = ["path", "module_qn", "kind", "qualified_name", "name", "parent", "bases", "full_name", "is_wildcard"]
+BOTH = "kind string, qualified_name string, parent string, bases array<string>, full_name string, is_wildcard boolean, " + SCHEMA
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
 RETURN = "<return>"
 #: Rounds of inference at most; a variable gets its type once, so recursion ends by itself.
 ROUNDS = 64
@@ -139,7 +144,7 @@ def _bound(module: str, tree: ast.Module) -> list[dict]:
             for x in ast.iter_child_nodes(node):
                 if isinstance(x, ast.expr):
                     s.value(x)
-        todo += [(n, s) for n in reversed([*ast.iter_child_nodes(node)]) if isinstance(n, ast.stmt | ast.ExceptHandler | ast.match_case)]
+        todo += [(n, s) for n in reversed([x for b in BLOCKS for x in getattr(node, b, ())])]
         for item in getattr(node, "items", ()):  # with
             if isinstance(item, ast.withitem):
                 got = s.value(item.context_expr)
@@ -166,6 +171,40 @@ def bindings(files: DataFrame, project: str) -> DataFrame:
     return spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInPandas(run, SCHEMA)
 
 
+def both_in(module: str, content: str) -> list[dict]:
+    """Definitions, imports and bindings of one source, of one parse; one that does not parse has an error row."""
+    try:
+        tree = ast.parse(content)
+    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
+        return [{"kind": "error", "name": type(e).__name__}]
+    rows = found_under(module, tree, calls=False)
+    try:
+        return rows + _bound(module, tree)
+    except RecursionError:
+        return rows
+
+
+def parsed(files: DataFrame, project: str) -> tuple[DataFrame, DataFrame]:
+    """The columns ``DEFINED`` of ``extracted``, without calls, and ``bindings`` of files (path, content), each parsed once and stored."""
+    fields = [c.split() for c in BOTH.split(", ")]
+    schema = pa.schema([(name, ARROW[kind]) for name, kind in fields])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in it:
+            rows: list[dict] = []
+            for path, module, content in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
+                rows += [{"path": path, "module_qn": module, **r} for r in both_in(module, content)]
+                if len(rows) >= AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
+
+    own = files.filter(F.col("path").endswith(".py") & F.col("content").isNotNull())
+    both = stored(spread(own.select("path", F.concat(F.lit(project + "."), path_to_module(F.col("path"))).alias("module_qn"), "content")).mapInArrow(run, BOTH))
+    return both.filter("kind IS NOT NULL").select(DEFINED), both.filter("how IS NOT NULL").select(COLUMNS)
+
+
 def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """E10, E14 and typed steps of E12: (at, var, cls of what has a type; path, seq, at, line, name, callee of calls).
 
@@ -173,48 +212,50 @@ def inferred(rows: DataFrame, imports: DataFrame, defined: DataFrame, rounds: in
     module_qn of ``extracted``. Each round types what the types of the one before reach: aliases, calls of functions and
     methods whose return has a type, own or inherited, and those on ``super()``. Of several types of a variable the first
     round's counts, then the first in the source. Inference ends when nothing is new, or after ``rounds``. Every input is
-    read many times, so give checkpoints of them.
+    read many times, so give stored ones. Each round stores its calls and types in the shared folder.
     """
     classes = defined.filter("kind = 'Class'")
-    registry = classes.select("qualified_name")
-    methods = durable(defined.filter("kind = 'Method'").select(F.col("parent").alias("cls"), "name", F.col("qualified_name").alias("method")).distinct())
+    registry = stored(classes.select("qualified_name"))
+    methods = defined.filter("kind = 'Method'").select(F.col("parent").alias("above"), "name", F.col("qualified_name").alias("method")).distinct()
     bases = classes.select(F.col("qualified_name").alias("child"), "module_qn", F.posexplode("bases").alias("ord", "class_name"))
     named = bases.select(F.struct("child", "ord").alias("id"), "class_name", "module_qn").union(rows.filter("how IN ('type', 'call') AND what IS NOT NULL").select(F.struct(F.concat(F.lit("file "), "path").alias("child"), F.col("seq").cast("int").alias("ord")), F.col("what").alias("class_name"), "module_qn"))
-    simple = named.withColumn("head", F.substring_index("class_name", ".", 1)).join(large(imports.select("module_qn", F.col("local_name").alias("head"), "full_name")), ["module_qn", "head"], "left")
-    dots = F.col("class_name").contains(".") & F.col("full_name").isNotNull()
-    full = F.when(dots, F.concat("full_name", F.expr("substring(class_name, length(head) + 1)")))
-    direct = simple.select("id", full.alias("class_qn")).filter("class_qn IS NOT NULL")
-    found = class_names(named, imports, registry).select("id", "class_qn").union(direct).join(large(registry.select(F.col("qualified_name").alias("class_qn"))), "class_qn", "left_semi")
-    found = durable(found.groupBy("id").agg(F.min("class_qn").alias("class_qn")))
-    inherits = durable(found.select(F.col("id.child").alias("child"), F.col("class_qn").alias("parent"), F.col("id.ord").alias("ord")).join(large(registry), F.col("child") == F.col("qualified_name"), "left_semi"))
-    by_name = rows.join(large(found.select(F.expr("substring(id.child, 6)").alias("path"), F.col("id.ord").cast("bigint").alias("seq"), "class_qn").filter("startswith(id.child, 'file ')")), ["path", "seq"])
-    first = lambda df: durable(df.filter("at IS NOT NULL AND var IS NOT NULL").groupBy("at", "var").agg(F.min_by("cls", "seq").alias("cls")))
-    own = rows.filter("cls IS NOT NULL").select("at", F.lit("self").alias("var"), "cls", F.lit(-1).cast("bigint").alias("seq")).filter("at != cls").distinct()
+    # What follows an imported name's first dot is under what the name stands for.
+    dots = named.filter("contains(class_name, '.')").withColumn("head", F.substring_index("class_name", ".", 1))
+    direct = met(dots, imports.select("module_qn", F.col("local_name").alias("head"), "full_name"), ["module_qn", "head"]).select("id", F.concat("full_name", F.expr("substring(class_name, length(head) + 1)")).alias("class_qn"))
+    found = class_names(named, imports, registry).select("id", "class_qn").union(direct.filter("class_qn IS NOT NULL"))
+    found = met(found, registry.select(F.col("qualified_name").alias("class_qn")), ["class_qn"], "left_semi")
+    found = stored(found.groupBy(F.xxhash64("id"), "id").agg(F.min("class_qn").alias("class_qn")).select("id", "class_qn"))
+    inherits = met(found.select(F.col("id.child").alias("child"), F.col("class_qn").alias("parent"), F.col("id.ord").alias("ord")), registry.select(F.col("qualified_name").alias("child")), ["child"], "left_semi")
+    by_name = met(rows, found.filter("startswith(id.child, 'file ')").select(F.expr("substring(id.child, 6)").alias("path"), F.col("id.ord").cast("bigint").alias("seq"), "class_qn"), ["path", "seq"])
+    first = lambda df: stored(df.filter("at IS NOT NULL AND var IS NOT NULL").groupBy(F.xxhash64("at", "var"), "at", "var").agg(F.min_by("cls", "seq").alias("cls")).select("at", "var", "cls"))
+    own = rows.filter("cls IS NOT NULL").select("at", F.lit("self").alias("var"), "cls", F.lit(-1).cast("bigint").alias("seq")).filter("at != cls")
     known = first(by_name.select("at", "var", F.col("class_qn").alias("cls"), "seq").union(own))
+    call = ["path", "seq", "at", "var", "line", "name", "callee"]
     calls = rows.filter("how = 'call'")
     # Functions by an imported name or one of the same module.
-    qn = calls.filter("what IS NOT NULL").join(large(imports.select("module_qn", F.col("local_name").alias("what"), "full_name")), ["module_qn", "what"], "left")
-    qn = qn.select("path", "seq", "at", "var", "line", "name", F.coalesce("full_name", F.concat_ws(".", "module_qn", "what")).alias("callee"))
-    functions = defined.filter("kind = 'Function'").select(F.col("qualified_name").alias("callee"))
-    plain = durable(qn.join(large(functions), "callee", "left_semi").select("path", "seq", "at", "var", "line", "name", "callee"))
-    # Every class with the methods that it has or inherits, nearest first, parents in order: found once for all rounds.
+    local = calls.filter("what IS NOT NULL").select("module_qn", "what", "path", "seq", "at", "var", "line", "name")
+    qn = met(local, imports.select("module_qn", F.col("local_name").alias("what"), "full_name"), ["module_qn", "what"], "left").withColumn("callee", F.coalesce("full_name", F.concat_ws(".", "module_qn", "what")))
+    plain = met(qn.select(call), defined.filter("kind = 'Function'").select(F.col("qualified_name").alias("callee")), ["callee"], "left_semi").select(call)
+    # Every class with the methods that it has or inherits, nearest first, parents in order, and the nearest of those above: found once for all rounds.
     edges = inherits.select(F.col("child").alias("cls"), "parent", F.lit("INHERITS").alias("type"), "ord")
-    up = lattice(edges, registry.select(F.col("qualified_name").alias("cls"))).join(large(methods.withColumnRenamed("cls", "above")), "above")
-    nearest = lambda df: durable(df.groupBy("cls", "name").agg(F.min(F.struct("level", "place", "method"))["method"].alias("callee")))
-    own_or_above, only_above = nearest(up), nearest(up.filter("level > 0"))
-    call = ["path", "seq", "at", "var", "line", "name", "callee"]
-    reached = durable(plain.union(calls.filter("recv = 'super()' AND cls IS NOT NULL").join(large(only_above), ["cls", "name"]).select(call)))
-    fresh, on_object, aliases = known, calls.filter("recv IS NOT NULL AND recv != 'super()'").drop("cls"), rows.filter("how = 'alias'").drop("cls")
-    returns = lambda df: df.filter(F.col("var") == RETURN).select(F.col("at").alias("callee"), "cls")
+    up = met(lattice(edges, registry.select(F.col("qualified_name").alias("cls"))), methods, ["above"])
+    near = F.struct("level", "place", "method")
+    nearest = stored(up.groupBy(F.xxhash64("cls", "name"), "cls", "name").agg(F.min(near)["method"].alias("callee"), F.min(F.when(F.col("level") > 0, near))["method"].alias("super")).select("cls", "name", "callee", "super"))
+    own_or_above, only_above = nearest.select("cls", "name", "callee"), nearest.filter("super IS NOT NULL").select("cls", "name", F.col("super").alias("callee"))
+    reached = stored(plain.union(met(calls.filter("recv = 'super()' AND cls IS NOT NULL").drop("callee"), only_above, ["cls", "name"]).select(call)))
+    on_object = stored(calls.filter("recv IS NOT NULL AND recv != 'super()'").select("frm", "recv", "path", "seq", "at", "var", "line", "name"))
+    # A call gives what its callee returns, as an alias of it would.
+    given = lambda df: df.select(F.col("callee").alias("frm"), F.lit(RETURN).alias("what"), "at", "var", "seq")
+    flows = stored(rows.filter("how = 'alias'").select("frm", "what", "at", "var", "seq").union(given(reached)))
+    fresh = known
+    at_place = lambda df, name: df.select(F.col("at").alias("frm"), F.col("var").alias(name), "cls")
     for _ in range(rounds):
-        recv = fresh.select(F.col("at").alias("frm"), F.col("var").alias("recv"), "cls")
-        hit = durable(on_object.join(large(recv), ["frm", "recv"]).join(large(own_or_above), ["cls", "name"]).select(call))
+        hit = stored(met(met(on_object, at_place(fresh, "recv"), ["frm", "recv"]), own_or_above, ["cls", "name"]).select(call))
         # What a round can add comes from new calls or from new types; the rest was met before.
-        of_new, of_old = hit.join(large(returns(known)), "callee"), reached.join(large(returns(fresh)), "callee")
-        given = of_new.select("at", "var", "cls", "seq").union(of_old.select("at", "var", "cls", "seq"))
-        moved = aliases.join(large(fresh.select(F.col("at").alias("frm"), F.col("var").alias("what"), "cls")), ["frm", "what"]).select("at", "var", "cls", "seq")
-        reached = reached.union(hit)
-        fresh = first(given.union(moved).join(large(known), ["at", "var"], "left_anti"))
+        of_new = met(given(hit), at_place(known.filter(F.col("var") == RETURN), "what"), ["frm", "what"])
+        of_old = met(flows, at_place(fresh, "what"), ["frm", "what"])
+        reached, flows = reached.union(hit), flows.union(given(hit))
+        fresh = first(met(of_new.union(of_old).select("at", "var", "cls", "seq"), known.select("at", "var"), ["at", "var"], "left_anti"))
         if fresh.isEmpty():
             break
         known = known.union(fresh)

@@ -47,6 +47,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts lineage as ``durable`` does, with Parquet in the shared folder, of which each reader takes only the columns that it names."""
+    at = new_folder(df.sparkSession, "rows")
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def large(df: DataFrame) -> DataFrame:
     """A side of a join that grows with the corpus: both sides are sorted and merged, and this one is never broadcast.
 
@@ -56,6 +63,12 @@ def large(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def met(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A merged join on long names that begin alike: they are sorted by a hash first, which tells nearly all of them apart."""
+    key = F.xxhash64(*on)
+    return left.withColumn("_h", key).join(large(right.withColumn("_h", key)), ["_h", *on], how).drop("_h")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows that each cost much, such as sources to parse, over all cores where a small input has fewer partitions."""
     cores = df.sparkSession.sparkContext.defaultParallelism
