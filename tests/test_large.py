@@ -31,3 +31,19 @@ def test_inference_broadcasts_nothing(spark, tmp_path, name):
     assert len(plans) > 10
     # The project's top folders are a small table; nothing else goes to the driver.
     assert sum(len(set(re.findall(r"BroadcastExchange \((\d+)\)", p))) > 0 for p in plans) <= 1
+
+
+@pytest.mark.parametrize("name", ["E12_typed", "E14"])
+def test_inference_parses_once_and_reads_columns(spark, tmp_path, name):
+    """One task parses a source for all rows of it, and no round reads whole rows of earlier ones again."""
+    catalog_code._TYPED.clear()
+    spark.range(10).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    seen = spark._jsparkSession.sharedState().statusStore()
+    before = seen.executionsCount()
+    assert catalog.QUERIES[name](spark, str(tmp_path)).count() == 10 * {"E14": 5, "E12_typed": 7}[name]
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = seen.executionsList(before, 10_000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    assert sum("MapInArrow" in p or "MapInPandas" in p for p in plans) == 1
+    # Rows of the project's roots are made by the session; all others are read from columns.
+    assert sum("Scan ExistingRDD" in p for p in plans) <= 1
