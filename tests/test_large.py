@@ -47,3 +47,23 @@ def test_inference_parses_once_and_reads_columns(spark, tmp_path, name):
     assert sum("MapInArrow" in p or "MapInPandas" in p for p in plans) == 1
     # Rows of the project's roots are made by the session; all others are read from columns.
     assert sum("Scan ExistingRDD" in p for p in plans) <= 1
+
+
+def test_inference_sends_the_driver_nothing_that_grows(spark, tmp_path):
+    """E14 alone: a task's answer to the driver is as long as its metrics, however many rows it has."""
+    catalog_code._TYPED.clear()
+    spark.range(400).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    sc = spark.sparkContext
+    store = sc._jsc.sc().statusStore()
+
+    def stages():
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        every = store.stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return {x.stageId(): (x.resultSize(), x.numCompleteTasks()) for x in (every.apply(i) for i in range(every.size()))}
+
+    before = stages()
+    catalog.QUERIES["E14"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    own = [size / n for k, (size, n) in stages().items() if k not in before and n]
+    assert len(own) > 10
+    assert max(own) < 40_000
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 400 * 5
